@@ -1,4 +1,8 @@
-"""The composed tables over the adapters, built lazily and once per query."""
+"""The composed tables over the adapters, built on demand and once per query.
+
+Tables that feed several others are written to the shared folder, as the
+warehouse layers are; the rest stays lazy.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,15 @@ from checks.adapters import AS_OF, Inputs
 from checks.views import NORMALS, REFERENCE
 from rivulet.functions import geo
 from rivulet.plans import climate, facts, staging
+from rivulet.sources.tables import scratch_root, settle
+
+
+def stored(build):
+    """A cached property whose table is written once and read back."""
+    def get(self) -> DataFrame:
+        return settle(build(self), build.__name__)
+
+    return cached_property(get)
 
 
 class Chain(Inputs):
@@ -18,12 +31,10 @@ class Chain(Inputs):
 
     def scratch(self, name: str) -> str:
         """A fresh folder in the shared directory the session names."""
-        from rivulet.sources.tables import scratch_root
-
         return f"{scratch_root(self.spark)}/{name}-{uuid.uuid4().hex}"
 
     # ---- silver
-    @cached_property
+    @stored
     def stations(self) -> DataFrame:
         return staging.build_stg_piezo_stations(self("raw_stations"))
 
@@ -38,11 +49,11 @@ class Chain(Inputs):
         missing = [c for c in staging.SITE_COLUMNS if c not in raw.columns]
         return raw.withColumns({c: F.lit(None).cast("string") for c in missing})
 
-    @cached_property
+    @stored
     def sites(self) -> DataFrame:
         return staging.build_stg_hydrometry_sites(self.raw_sites)
 
-    @cached_property
+    @stored
     def hydro_stations(self) -> DataFrame:
         return staging.build_stg_hydrometry_stations(self("raw_hydro_stations"), self.sites)
 
@@ -50,11 +61,11 @@ class Chain(Inputs):
     def flows(self) -> DataFrame:
         return staging.build_stg_hydrometry_obs_elab(self("raw_flows"), self.sites)
 
-    @cached_property
+    @stored
     def rain(self) -> DataFrame:
         return staging.build_stg_era5_timeseries(self("raw_rain"))
 
-    @cached_property
+    @stored
     def temps(self) -> DataFrame:
         return staging.build_stg_era5_daily_temp_stats(self("raw_temps"))
 
@@ -68,13 +79,13 @@ class Chain(Inputs):
                        corner("x0", "y1"))
         return self("boxes").select("code_eh", "libelle_eh", ring.alias("geometry"))
 
-    @cached_property
+    @stored
     def entities(self) -> DataFrame:
         raw = self("raw_entites").unionByName(self.boxes, allowMissingColumns=True)
         return staging.build_stg_tme_entites(raw)
 
     # ---- intermediate
-    @cached_property
+    @stored
     def daily_levels(self) -> DataFrame:
         return facts.build_int_daily_measurements(self.levels)
 
@@ -82,57 +93,57 @@ class Chain(Inputs):
     def daily_flows(self) -> DataFrame:
         return facts.build_int_hydro_daily_measurements(self.flows, self.hydro_stations)
 
-    @cached_property
+    @stored
     def grid_points(self) -> DataFrame:
         return facts.build_int_era5_grid_points(self.rain)
 
-    @cached_property
+    @stored
     def mapping(self) -> DataFrame:
         return facts.build_int_station_era5_mapping(
             self.stations, self.grid_points, self.entities, distance=geo.haversine_m)
 
-    @cached_property
+    @stored
     def hydro_mapping(self) -> DataFrame:
         return facts.build_int_hydro_station_era5_mapping(
             self.hydro_stations, self.sites, self.grid_points, distance=geo.haversine_m)
 
-    @cached_property
+    @stored
     def weather(self) -> DataFrame:
         return facts.build_int_era5_for_all_stations(self.rain, self.temps, self.mapping,
                                                      self.hydro_mapping)
 
     # ---- facts
-    @cached_property
+    @stored
     def fact_levels(self) -> DataFrame:
         return facts.build_piezo_daily_chroniques(self.daily_levels, self.mapping, self.weather)
 
-    @cached_property
+    @stored
     def fact_flows(self) -> DataFrame:
         return facts.build_hydro_daily_chroniques(self.daily_flows, self.hydro_mapping,
                                                   self.weather)
 
-    @cached_property
+    @stored
     def monthly_levels(self) -> DataFrame:
         return facts.build_fct_monthly_chroniques(self.fact_levels)
 
-    @cached_property
+    @stored
     def monthly_flows(self) -> DataFrame:
         return facts.build_fct_monthly_hydro(self.fact_flows)
 
-    @cached_property
+    @stored
     def yearly_levels(self) -> DataFrame:
         return facts.build_fct_yearly_stats(self.monthly_levels)
 
-    @cached_property
+    @stored
     def yearly_flows(self) -> DataFrame:
         return facts.build_fct_yearly_hydro(self.monthly_flows)
 
     # ---- climate
-    @cached_property
+    @stored
     def monthly_grid(self) -> DataFrame:
         return climate.build_fct_era5_monthly_grid(self.rain, self.temps)
 
-    @cached_property
+    @stored
     def normals(self) -> DataFrame:
         start, end, _ = NORMALS
         return climate.build_fct_era5_climatology_grid(self.monthly_grid, start, end)

@@ -14,7 +14,7 @@ def col(c: Column | str) -> Column:
 def clean_text(c: Column | str) -> Column:
     """Trim; blank and the literal ``NULL`` become NULL."""
     trimmed = F.trim(col(c).cast("string"))
-    return F.nullif(F.nullif(trimmed, F.lit("")), F.lit("NULL"))
+    return F.when(~trimmed.isin("", "NULL"), trimmed)
 
 
 def clean_numeric(c: Column | str, strict: bool = True) -> Column:
@@ -88,4 +88,4 @@ def first_token(c: Column | str, sep: str = ",") -> Column:
 def tokens(c: Column | str, sep: str = ",") -> Column:
     """All elements of a separated list, trimmed, blanks removed."""
     parts = F.split(F.coalesce(col(c), F.lit("")), f"\\Q{sep}\\E")
-    return F.filter(F.transform(parts, F.trim), lambda x: x != "")
+    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")

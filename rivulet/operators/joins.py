@@ -1,10 +1,11 @@
 """Joins between series, referentials and grids.
 
 No broadcast hints: Spark broadcasts a side when its size estimate (or, under
-AQE, its measured size) is below the threshold and sort-merges otherwise. Raw
-facts can be dominated by one key, so the raw-grain joins spread the left side
-over ``salt`` sub-keys and repeat the (unique-key) right side; the result is
-the same with any salt.
+AQE, its measured size) is below the threshold and sort-merges otherwise, and
+AQE splits skewed sort-merge partitions. Raw facts can be dominated by one key,
+or by NULL, so the raw-grain joins also spread the left side over sub-keys
+derived from a row identifier and repeat the (unique-key) right side; the
+result is the same with any salt.
 """
 
 from __future__ import annotations
@@ -25,51 +26,52 @@ def _list(keys: Sequence[str] | str) -> list[str]:
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | str, how: str,
-                salt: int = SALT) -> DataFrame:
+                spread: Sequence[str] = (), salt: int = SALT) -> DataFrame:
     """Equi-join that tolerates a hot (or NULL) key on the left side.
 
-    ``right`` must hold each key once and stay small enough to repeat ``salt``
-    times. ``how`` is one that never emits unmatched right rows.
+    ``spread`` names left columns that differ between the rows of one key, such
+    as a row identifier; without it this is a plain join. ``right`` must hold
+    each key once and stay small enough to repeat ``salt`` times. ``how`` is one
+    that never emits unmatched right rows.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"unsupported join type: {how}")
     keys = _list(keys)
-    if salt <= 1:
+    if not spread or salt <= 1:
         return left.join(right, keys, how)
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salt))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    salted = left.withColumn("_salt", spread.cast("int"))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    bucket = F.pmod(F.xxhash64(*spread), F.lit(salt)).cast("int")
+    return left.withColumn("_salt", bucket).join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
 def keep_known(df: DataFrame, ref: DataFrame, key: Sequence[str] | str,
-               salt: int = SALT) -> DataFrame:
+               spread: Sequence[str] = ()) -> DataFrame:
     """Keep rows whose key exists in the referential; an empty referential gives no rows."""
     keys = _list(key)
-    return salted_join(df, ref.select(*keys).distinct(), keys, "left_semi", salt)
+    return salted_join(df, ref.select(*keys).distinct(), keys, "left_semi", spread)
 
 
 def drop_known(df: DataFrame, ref: DataFrame, key: Sequence[str] | str,
-               salt: int = SALT) -> DataFrame:
+               spread: Sequence[str] = ()) -> DataFrame:
     """NOT EXISTS."""
     keys = _list(key)
-    return salted_join(df, ref.select(*keys).distinct(), keys, "left_anti", salt)
+    return salted_join(df, ref.select(*keys).distinct(), keys, "left_anti", spread)
 
 
 def flag_known(df: DataFrame, ref: DataFrame, key: Sequence[str] | str, flag: str,
-               salt: int = SALT) -> DataFrame:
+               spread: Sequence[str] = ()) -> DataFrame:
     """Add a boolean existence column instead of filtering."""
     keys = _list(key)
     known = ref.select(*keys).distinct().withColumn(flag, F.lit(True))
-    joined = salted_join(df, known, keys, "left", salt)
+    joined = salted_join(df, known, keys, "left", spread)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).select(*df.columns, flag)
 
 
 def enrich(df: DataFrame, dim: DataFrame, key: Sequence[str] | str,
-           cols: Sequence[str], salt: int = 1) -> DataFrame:
+           cols: Sequence[str], spread: Sequence[str] = ()) -> DataFrame:
     """Left join of dimension columns by a key that is unique in ``dim``."""
     keys = _list(key)
-    return salted_join(df, dim.select(*keys, *cols), keys, "left", salt)
+    return salted_join(df, dim.select(*keys, *cols), keys, "left", spread)
 
 
 def join_weather(facts: DataFrame, mapping: DataFrame, grid: DataFrame, key: str, day: str,

@@ -161,17 +161,19 @@ def label_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]],
 
 def split_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]], ref: DataFrame | None = None,
                   key: str | None = None, ref_key: str | None = None,
-                  known: str = "_known") -> tuple[DataFrame, DataFrame]:
+                  known: str = "_known", row_id: str = "_dlt_id"
+                  ) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected with a reason) from one labelled frame.
 
     With ``ref`` the rules may use the boolean column ``known``: the key exists
-    in the referential. The key is joined in its cleaned text form.
+    in the referential. The key is joined in its cleaned text form, spread by ``row_id``.
     """
     source = df
     if ref is not None:
         keyed = df.withColumn("_ref_key", clean_text(key))
         parents = ref.select(F.col(ref_key or key).alias("_ref_key"))
-        source = flag_known(keyed, parents, "_ref_key", known)
+        source = flag_known(keyed, parents, "_ref_key", known,
+                            spread=[row_id] if row_id in df.columns else ())
     labelled = label_rejects(source, rules).select(*df.columns, "rejection_reason")
     accepted = labelled.where("rejection_reason is null").drop("rejection_reason")
     return accepted, labelled.where("rejection_reason is not null")
@@ -179,4 +181,4 @@ def split_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]], ref: DataF
 
 def append_rejects(old: DataFrame, new: DataFrame, row_id: str = "_dlt_id") -> DataFrame:
     """New rejects that are not logged yet; the log itself is append-only."""
-    return drop_known(new, old, row_id, salt=1)
+    return drop_known(new, old, row_id)

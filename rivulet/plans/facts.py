@@ -40,7 +40,7 @@ def build_int_hydro_daily_measurements(obs: DataFrame, stations: DataFrame,
         obs = lookback_filter(obs, target, "date_obs_elab", days)
     daily = daily_mean(obs, ["code_site", "code_station", "grandeur_hydro_elab"],
                        "date_obs_elab", ["resultat_obs_elab"], with_count="nb_obs")
-    return joins.keep_known(daily, stations, "code_station", salt=1).select(
+    return joins.keep_known(daily, stations, "code_station").select(
         "code_site", "code_station", "date_obs_elab", "grandeur_hydro_elab",
         "resultat_obs_elab", "nb_obs")
 
@@ -66,17 +66,18 @@ def build_int_station_era5_mapping(stations: DataFrame, grid: DataFrame, entitie
     """Station -> nearest cell and entity: first listed code, any listed code, polygon."""
 
     def build(todo: DataFrame) -> DataFrame:
-        located = _nearest_cell(
-            todo.select("code_bss", "x", "y", "geometry", "codes_bdlisa", "code_commune_insee",
-                        "nom_commune", "altitude_station", "code_departement",
-                        "nom_departement"),
-            grid, "code_bss", "y", "x", distance)
-        matched = joins.match_entity(located, entities, "code_bss", "codes_bdlisa",
+        inside = todo.where(in_bbox("y", "x", BOX)).select(
+            "code_bss", "x", "y", "geometry", "codes_bdlisa", "code_commune_insee",
+            "nom_commune", "altitude_station", "code_departement", "nom_departement")
+        matched = joins.match_entity(inside, entities, "code_bss", "codes_bdlisa",
                                      attrs=ENTITY_ATTRS)
         missed = matched.where("matched_by is null").select("code_bss", "x", "y")
         around = spatial.contains_join(missed, entities, "code_bss", "x", "y", "geometry",
                                        "code_eh", ENTITY_ATTRS)
         filled = joins.coalesce_sources(matched, ["code_eh", *ENTITY_ATTRS], around, "code_bss")
+        located = _nearest_cell(inside.select("code_bss", "x", "y"), grid, "code_bss", "y", "x",
+                                distance).drop("x", "y")
+        filled = filled.join(located, "code_bss")
         return filled.select(
             "code_bss", "era5_latitude", "era5_longitude", F.col("y").alias("station_latitude"),
             F.col("x").alias("station_longitude"), F.col("geometry").alias("geom"),

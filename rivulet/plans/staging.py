@@ -66,7 +66,7 @@ def build_stg_piezo_chroniques(raw: DataFrame, stations: DataFrame,
     if target is not None or reprocess_from is not None:
         rows = lookback_filter(rows, target, "date_mesure", days, reprocess_from)
     best = first_per_key(rows, ["code_bss", "date_mesure"], [("niveau_nappe_eau", "desc")])
-    return keep_known(best, stations, "code_bss", salt=1)
+    return keep_known(best, stations, "code_bss")
 
 
 def build_piezo_chroniques_rejected(raw: DataFrame, stations: DataFrame,
@@ -110,7 +110,8 @@ def build_stg_hydrometry_stations(raw: DataFrame, sites: DataFrame) -> DataFrame
         *_text("code_station", "code_site", "code_departement", "libelle_station", "libelle_site",
                "code_cours_eau", "libelle_cours_eau", "uri_cours_eau", "libelle_departement"))
     rows = require_not_null(rows, ["code_station", "longitude_station", "latitude_station"])
-    latest = first_per_key(keep_known(rows, sites, "code_site"), ["code_station"],
+    latest = first_per_key(keep_known(
+        rows, sites, "code_site", spread=["code_station", "date_maj_station"]), ["code_station"],
                            [("date_maj_station", "desc")])
     return latest.withColumn("geometry", make_point("longitude_station", "latitude_station"))
 
@@ -148,7 +149,7 @@ def build_stg_hydrometry_obs_elab(raw: DataFrame, sites: DataFrame,
     if target is not None or reprocess_from is not None:
         rows = lookback_filter(rows, target, "date_obs_elab", days, reprocess_from)
     best = first_per_key(rows, list(keys), [("resultat_obs_elab", "desc")])
-    known = keep_known(best, sites, "code_site", salt=1)
+    known = keep_known(best, sites, "code_site")
     return enrich(known, sites, "code_site", ["geometry"])
 
 

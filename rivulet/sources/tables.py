@@ -1,9 +1,9 @@
 """Writing tables: replace, partition and window refresh, export, ledger.
 
 Partitioned tables are Parquet folders split by a ``year`` column and replaced
-partition by partition (dynamic overwrite). A refresh that reads the table it
-rewrites goes through a staging folder next to it, so a lost job leaves the old
-data in place.
+partition by partition (dynamic overwrite). A whole-table refresh is written to
+a staging folder next to the table first, so a lost job never leaves the table
+half written without a complete copy beside it.
 """
 
 from __future__ import annotations
@@ -25,6 +25,18 @@ def scratch_root(spark: SparkSession) -> str:
     return shared.rstrip("/") if shared else tempfile.gettempdir()
 
 
+def settle(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage the way a stored table does: later steps do not recompute
+    it, a lost executor cannot lose it, and its true size is known to the
+    planner, which then broadcasts it only if it is small.
+    """
+    target = path or f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
@@ -75,14 +87,26 @@ def refresh_partition(df: DataFrame, path: str, day: str, year: int,
 
 def _rewrite(df: DataFrame, path: str, day: str, touched: Column,
              change: Callable[[DataFrame], DataFrame], sort: Sequence[str]) -> DataFrame:
-    """Read the touched years, change them, write those years back."""
+    """Read the touched years, change them, write those years back.
+
+    Dynamic overwrite stages its files and swaps partitions at commit, so it may
+    read the table it writes. It cannot empty a partition; when a change leaves
+    a year without rows the whole table is rewritten instead.
+    """
     spark = df.sparkSession
     if not exists(spark, path):
         _replace_years(_with_year(change(df.limit(0)), day), path, sort)
         return read_table(spark, path)
-    old = read_table(spark, path).where(touched)
+    table = read_table(spark, path)
+    old = table.where(touched)
     new = _with_year(change(old.drop("year")), day)
-    _replace_years(_staged(new, path), path, sort)
+    gone = old.select("year").distinct().join(new.select("year").distinct(), "year", "left_anti")
+    if gone.isEmpty():
+        _replace_years(new, path, sort)
+    else:
+        whole = _staged(table.where(~touched).unionByName(new), path)
+        whole.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "year").parquet(path)
     return read_table(spark, path)
 
 
