@@ -59,10 +59,10 @@ def norm_cdf_sql(x: str) -> str:
 
 
 def gamma_cdf_sql(u: str, a: str) -> str:
-    """Sum of the series' terms through lgamma, 400 of them."""
+    """Sum of the series' terms through lgamma, well past its largest term."""
     return (f"CASE WHEN {u} IS NULL OR {a} IS NULL OR {a}<=0 THEN NULL WHEN {u}<=0 THEN 0.0 "
             f"WHEN {u}>{a}+40*sqrt({a})+50 THEN 1.0 ELSE least(1.0, list_sum(list_transform("
-            f"range(0,400), lambda n: exp(({a}+n)*ln({u})-{u}-lgamma({a}+n+1))))) END")
+            f"range(0, CAST(ceil(greatest({u}-{a},0)+12*sqrt({u})+80) AS BIGINT)), lambda n: exp(({a}+n)*ln({u})-{u}-lgamma({a}+n+1))))) END")
 
 
 def clip(p: str) -> str:
@@ -520,11 +520,15 @@ LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER B
                  WHERE year(v.mois) BETWEEN b.s AND b.s + 29{keep} GROUP BY 1, 2) c
            WHERE ny >= {_YEARS}) q WHERE rk = 1) b ON r.code = b.code"""
     probs = ", ".join(f"{i / 100}" for i in range(1, 100))
+    # quantile_cont weighs both neighbours and blurs plateaus by one ulp
+    at = "CAST(floor(q * (len(vals) - 1)) AS INTEGER)"
     D[f"{tag}_own"] = f"""
-SELECT v.code, month(v.mois) AS m, quantile_cont(v.val, [{probs}]) AS grid
-FROM {tag}_series v JOIN {tag}_window w ON v.code = w.code
-WHERE v.mois BETWEEN w.baseline_start AND w.baseline_end{keep}
-GROUP BY 1, 2 HAVING COUNT(*) >= {_PER}"""
+SELECT code, m, list_transform([{probs}], lambda q: vals[{at} + 1]
+         + (vals[least({at} + 2, len(vals))] - vals[{at} + 1]) * (q * (len(vals) - 1) - {at})) AS grid
+FROM (SELECT v.code, month(v.mois) AS m, list(v.val ORDER BY v.val) AS vals
+      FROM {tag}_series v JOIN {tag}_window w ON v.code = w.code
+      WHERE v.mois BETWEEN w.baseline_start AND w.baseline_end{keep}
+      GROUP BY 1, 2 HAVING COUNT(*) >= {_PER}) g"""
     D[f"{tag}_grid"] = f"""
 SELECT t.code, t.month, n.grid AS quantile_grid, w.baseline_start, w.baseline_end,
        coalesce(w.flag, 'provisoire') AS flag, coalesce(w.n_years, 0) AS n_years

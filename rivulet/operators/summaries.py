@@ -141,12 +141,20 @@ def percentile_vector(df: DataFrame, keys: Sequence[str], value: str,
                       probs: Sequence[float] = PERCENTS, name: str = "grid") -> DataFrame:
     """Exact percentiles by linear interpolation, plus the sample size ``n``.
 
-    Equal values are counted first, so what meets in one task per group is its
-    distinct values. Feed it series at a calendar grain (one value per month or
-    year), where that number is bounded by the length of the record.
+    A group's values meet in one sorted array, so feed it series at a calendar
+    grain (one value per month or year), where the record bounds its length.
+    Spark's own ``percentile`` weighs both neighbours, which is off by one ulp
+    between equal values; a percentile grid needs its plateaus exact.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("_f"))
-    return counted.groupBy(*keys).agg(
-        F.percentile(F.col(value), F.array(*[F.lit(p) for p in probs]), F.col("_f")).alias(name),
-        F.sum("_f").alias("n"))
+    groups = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.col(value).cast("double"))).alias("_v"))
+
+    def at(p: Column) -> Column:
+        position = p * (F.size("_v") - 1)
+        low = F.floor(position).cast("int")
+        a = F.element_at("_v", low + 1)
+        b = F.element_at("_v", F.least(low + 2, F.size("_v")))
+        return a + (b - a) * (position - low)
+
+    grid = F.transform(F.array(*[F.lit(float(p)) for p in probs]), at)
+    return groups.select(*keys, grid.alias(name), F.size("_v").cast("bigint").alias("n"))
