@@ -79,11 +79,11 @@ FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS key FROM orders) k""")(
 
 _LEDGER = """SELECT 'load' AS job, CAST(year(o_orderdate) AS STRING) AS partition,
        CASE WHEN o_orderstatus = 'F' THEN 'completed' ELSE 'failed' END AS status,
-       o_orderdate AS at, o_orderkey FROM orders"""
+       o_orderdate AS logged_at, o_orderkey FROM orders"""
 
 
 @query("backfill_pending", "s partition", f"""
-SELECT partition FROM (SELECT *, row_number() OVER (PARTITION BY partition ORDER BY at DESC, o_orderkey DESC) AS rk
+SELECT partition FROM (SELECT *, row_number() OVER (PARTITION BY partition ORDER BY logged_at DESC, o_orderkey DESC) AS rk
   FROM ({_LEDGER}) l) x WHERE rk = 1 AND status <> 'completed'
 UNION SELECT CAST(y AS STRING) FROM (SELECT UNNEST(range(1990, 1995)) AS y) z""")
 def backfill_pending(t):

@@ -31,7 +31,8 @@ def haversine_m(lon1, lat1, lon2, lat2) -> Column:
     x1, y1, x2, y2 = (F.radians(col(c).cast("double")) for c in (lon1, lat1, lon2, lat2))
     half = (F.pow(F.sin((y2 - y1) / 2), F.lit(2.0))
             + F.cos(y1) * F.cos(y2) * F.pow(F.sin((x2 - x1) / 2), F.lit(2.0)))
-    return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.least(half, F.lit(1.0))))
+    # least() would turn a missing coordinate into the antipodal distance
+    return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.when(half > 1, F.lit(1.0)).otherwise(half)))
 
 
 def distance_m(lon1, lat1, lon2, lat2, rounds: int = 8) -> Column:

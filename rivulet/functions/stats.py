@@ -57,19 +57,26 @@ def _poly(x: Column, ascending: list[float]) -> Column:
 
 
 def norm_ppf(p: Column | str) -> Column:
-    """Quantile of the standard normal law for 0 < p < 1, NULL elsewhere."""
-    p = col(p)
-    q = p - 0.5
-    r = 0.180625 - q * q
-    centre = q * _poly(r, PPND_A) / _poly(r, PPND_B)
-    tail = F.sqrt(-F.log(F.least(p, 1 - p)))
-    near = tail - 1.6
-    far = tail - 5.0
-    outer = F.when(tail <= 5, _poly(near, PPND_C) / _poly(near, PPND_D)).otherwise(
-        _poly(far, PPND_E) / _poly(far, PPND_F))
-    return (F.when((p <= 0) | (p >= 1), F.lit(None).cast("double"))
-            .when(F.abs(q) <= 0.425, centre)
-            .otherwise(F.signum(q) * outer))
+    """Quantile of the standard normal law for 0 < p < 1, NULL elsewhere.
+
+    The argument and the two polynomial variables are bound once. Written out
+    flat, the expression is large enough to push a generated stage past the
+    JVM's compilation limit, which costs far more than the bindings.
+    """
+    def centre(q: Column) -> Column:
+        return let(0.180625 - q * q, lambda r: q * _poly(r, PPND_A) / _poly(r, PPND_B))
+
+    def outer(v: Column) -> Column:
+        return let(F.sqrt(-F.log(F.least(v, 1 - v))), lambda t: F.when(
+            t <= 5, let(t - 1.6, lambda r: _poly(r, PPND_C) / _poly(r, PPND_D))).otherwise(
+            let(t - 5.0, lambda r: _poly(r, PPND_E) / _poly(r, PPND_F))))
+
+    def body(v: Column) -> Column:
+        return (F.when((v <= 0) | (v >= 1), F.lit(None).cast("double"))
+                .when(F.abs(v - 0.5) <= 0.425, let(v - 0.5, centre))
+                .otherwise(F.signum(v - 0.5) * outer(v)))
+
+    return let(col(p), body)
 
 
 def norm_cdf(x: Column | str) -> Column:
@@ -104,11 +111,9 @@ def gamma_cdf(x: Column | str, shape: Column | str, scale: Column | str | float
     the result rounds to 1 anyway.
     """
     scale = F.lit(float(scale)) if isinstance(scale, (int, float)) else col(scale)
-    pair = F.struct((col(x).cast("double") / F.nullif(scale, F.lit(0.0))).alias("x"),
-                    col(shape).cast("double").alias("a"))
+    scaled = col(x).cast("double") / F.nullif(scale, F.lit(0.0))
 
-    def body(p: Column) -> Column:
-        u, a = p["x"], p["a"]
+    def body(u: Column, a: Column) -> Column:
         terms = F.ceil(F.greatest(u - a, F.lit(0.0)) + 6 * F.sqrt(u) + 18).cast("int")
         # nested (Horner) form of the series: one running double per term
         series = F.aggregate(F.sequence(terms, F.lit(1), F.lit(-1)), F.lit(1.0),
@@ -120,7 +125,7 @@ def gamma_cdf(x: Column | str, shape: Column | str, scale: Column | str | float
                 .when(u > a + 40 * F.sqrt(a) + 50, F.lit(1.0))
                 .otherwise(F.least(value, F.lit(1.0))))
 
-    return let(pair, body)
+    return let(scaled, lambda u: let(col(shape).cast("double"), lambda a: body(u, a)))
 
 
 def clip_probability(p: Column | str, clip: tuple[float, float] = PROB_CLIP) -> Column:
