@@ -72,10 +72,12 @@ FROM (SELECT *, CAST(UNNEST(generate_series(date_trunc('month', a), date_trunc('
 query("distinct_keys", "s key", "SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS key FROM lineitem")(
     lambda t: files.distinct_keys(t("lineitem").withColumnRenamed("l_partkey", "key"), "key"))
 
-query("key_batches", "s key; l batch", """
-SELECT key, (row_number() OVER (ORDER BY key) - 1) // 100 AS batch
-FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS key FROM orders) k""")(
-    lambda t: files.key_batches(t("orders").withColumnRenamed("o_custkey", "key"), "key", 100))
+query("key_batches", "l batch n_keys", """
+SELECT batch, COUNT(*) AS n_keys FROM (
+  SELECT (row_number() OVER (ORDER BY key) - 1) // 100 AS batch
+  FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS key FROM orders) k) b GROUP BY 1""")(
+    lambda t: files.key_batches(t("orders").withColumnRenamed("o_custkey", "key"), "key", 100)
+    .groupBy("batch").agg(F.countDistinct("key").alias("n_keys")))
 
 _LEDGER = """SELECT 'load' AS job, CAST(year(o_orderdate) AS STRING) AS partition,
        CASE WHEN o_orderstatus = 'F' THEN 'completed' ELSE 'failed' END AS status,

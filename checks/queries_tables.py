@@ -269,7 +269,7 @@ SELECT _dlt_id, grandeur_hydro_elab FROM raw_flows WHERE grandeur_hydro_elab NOT
 query("check_relationships", "s code_bss; d date_mesure", """
 SELECT code_bss, date_mesure FROM best_levels
 WHERE code_bss NOT IN (SELECT code_bss FROM stg_stations)""")(
-    lambda t: quality.relationships(_best(t), "code_bss", t.stations))
+    lambda t: quality.relationships(_best(t), "code_bss", t.stations, spread=["date_mesure"]))
 query("check_accepted_range", "f latitude longitude total_precipitation; t time", """
 SELECT * FROM stg_rain WHERE (total_precipitation < 0 OR total_precipitation > 60)
   AND time >= TIMESTAMP '1996-01-01'""")(

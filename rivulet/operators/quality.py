@@ -50,10 +50,11 @@ def accepted_values(df: DataFrame, col: str, values: Sequence, where: str | None
 
 
 def relationships(df: DataFrame, col: str, ref: DataFrame, ref_col: str | None = None,
-                  where: str | None = None) -> DataFrame:
-    """Rows whose non-NULL key has no parent."""
+                  where: str | None = None, spread: Sequence[str] = ()) -> DataFrame:
+    """Rows whose non-NULL key has no parent; ``spread`` as in ``salted_join``."""
     parents = ref.select(F.col(ref_col or col).alias(col))
-    return drop_known(_scope(df, where).where(F.col(col).isNotNull()), parents, col)
+    return drop_known(_scope(df, where).where(F.col(col).isNotNull()), parents, col,
+                      spread)
 
 
 def accepted_range(df: DataFrame, col: str, lo=None, hi=None, where: str | None = None

@@ -69,3 +69,11 @@ def test_backfill_only_and_force(spark, tmp_path):
     tables.run_backfill(spark, "j", ["1", "2", "3"], seen.append, ledger)
     tables.run_backfill(spark, "j", ["1", "2", "3"], seen.append, ledger, only=["2"], force=True)
     assert seen == ["1", "2", "3", "2"]
+
+
+def test_key_batches_hold_every_key_once(spark):
+    df = spark.range(2500).selectExpr("concat('k', id % 1230) as code")
+    rows = files.key_batches(df, "code", 100).collect()
+    assert len(rows) == len({r.code for r in rows}) == 1230
+    sizes = [sum(r.batch == b for r in rows) for b in range(13)]
+    assert sizes == [100] * 12 + [30]
