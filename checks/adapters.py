@@ -116,7 +116,7 @@ SELECT CASE WHEN s_suppkey % 31 = 11 THEN '' ELSE 'H' || CAST(s_suppkey AS STRIN
        'Site ' || CAST(s_suppkey AS STRING) AS libelle_site,
        'R' || CAST(s_suppkey % 13 AS STRING) AS code_cours_eau,
        'River ' || CAST(s_suppkey % 13 AS STRING) AS libelle_cours_eau,
-       'http://id.eaufrance.fr/CEA/R' || CAST(s_suppkey % 13 AS STRING) AS uri_cours_eau,
+       'http://example.org/river/R' || CAST(s_suppkey % 13 AS STRING) AS uri_cours_eau,
        '1994-05-17' AS date_ouverture_station,
        CASE s_suppkey % 3 WHEN 0 THEN '' WHEN 1 THEN '2001-06-30' ELSE '2003-01-01' END
          AS date_fermeture_station,
