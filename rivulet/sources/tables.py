@@ -8,7 +8,6 @@ half written without a complete copy beside it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import date, datetime, timezone
@@ -19,10 +18,27 @@ from pyspark.sql.utils import AnalysisException
 from rivulet.operators import refresh
 
 
+SCRATCH = "rivulet.scratch.dir"
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the session; a local one only where none is set (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    return shared.rstrip("/") if shared else tempfile.gettempdir()
+    """The shared folder for tables between steps.
+
+    ``spark.checkpoint.dir`` if the session has it, else ``rivulet.scratch.dir``
+    (set by ``use_scratch`` where no cluster names a folder). There is no silent
+    fallback: a machine's own folder would lose rows on a cluster.
+    """
+    for key in ("spark.checkpoint.dir", SCRATCH):
+        shared = spark.conf.get(key, None)
+        if shared:
+            return shared.rstrip("/")
+    raise ValueError(f"set spark.checkpoint.dir or {SCRATCH} to a folder all executors share")
+
+
+def use_scratch(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of a session that has none."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set(SCRATCH, folder)
 
 
 def settle(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:

@@ -11,9 +11,10 @@ from rivulet import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("local[8]", 8, app="tests", **{
-        "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+        "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
