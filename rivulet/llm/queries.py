@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import simhash, topk
+import public_tokenizers
+
+from rivulet.llm import bpe, simhash, suffix_dedup, token_counts, topk
 from rivulet.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +51,34 @@ def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return simhash.near_duplicates(docs, words=3, radius=2).select(
         "doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+def vocabulary(name: str = "word_bpe_49k.json") -> bytes:
+    """The vocabulary file, read by the driver and handed to the tasks."""
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+@query("op5_bpe_round_trip")
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, data = table(spark, sf_dir, "documents"), vocabulary()
+    lexicon = bpe.build_lexicon(docs, data, size=131_072)
+    return bpe.round_trip(docs, data, lexicon).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary()).withColumn(
+        "over_limit", F.col("n_tokens") > 2048)
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), match=50)
+    lost = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", lost.alias("n_removed"),
+                        F.size("spans").cast("bigint").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
