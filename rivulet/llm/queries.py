@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from rivulet.llm import bpe, simhash, suffix_dedup, token_counts, topk
+from rivulet.llm import ann, bpe, simhash, suffix_dedup, token_counts, topk
 from rivulet.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", lost.alias("n_removed"),
                         F.size("spans").cast("bigint").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_projected_neighbours")
+def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, vectors.where("vec_id % 20 = 0"), k=20)
