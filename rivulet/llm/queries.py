@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from rivulet.llm import ann, bpe, simhash, suffix_dedup, token_counts, topk
-from rivulet.llm.common import table
+from rivulet.llm import ann, bpe, langid, quality, simhash, suffix_dedup, token_counts, topk
+from rivulet.llm.common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,22 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest_neighbours(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@query("op10_crf_language")
+def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_remainder("doc_id", 4) == 2
+    field = langid.fit_field(docs.where(~held_out).select("doc_id", "text", "lang"))
+    return langid.label_languages(docs.select("doc_id", F.coalesce(held_out, F.lit(False))
+                                              .alias("held_out"), "text"), field).drop("text")
+
+
+@query("op4_rule_quality")
+def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_remainder("doc_id", 5) == 0
+    stats, rules = quality.fitted_rules(docs, labels, ~held_out)
+    return stats.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
+                        rules.score().alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.3).cast("int"))
