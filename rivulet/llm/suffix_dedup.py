@@ -2,7 +2,7 @@
 
 Which suffixes. Each window of ``match`` bytes has an anchor: the position of its
 smallest GRAM-byte hash, leftmost of equal ones. Equal windows have equal anchors,
-so only anchored suffixes (about one byte in eighteen) need to be indexed. The
+so only anchored suffixes (about one byte in fourteen) need to be indexed. The
 windows that share an anchor form a run, and the run's text is its context.
 
 Suffix arrays. A batch of documents becomes, for each shard of the hash space, an
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.llm.common import byte_views, settle, slices
 
-GRAM = 16
+GRAM = 24
 SEGMENT = 1 << 22  # bytes handled at once; positions must fit 24 bits
 LAST_ID = np.iinfo(np.int64).max  # stands for a missing doc_id
 U = np.uint64
@@ -58,12 +58,14 @@ def _final(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 def rolling_hashes(text: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the GRAM bytes and of the ``match`` bytes from each position on."""
-    h, size, gram = BYTE[text], 1, None
+    h, size, gram, eight = BYTE[text], 1, None, None
     while size * 2 <= match:
         h = _join(h[:-size], h[size:])
         size *= 2
-        if size == GRAM:
-            gram = h
+        if size == 8:
+            eight = h
+        if size == 16:  # 16 bytes and the next 8
+            gram = _join(h[:len(text) - GRAM + 1], eight[16:][:len(text) - GRAM + 1])
     rest = match - size
     return gram, (_join(h[:len(h) - rest], h[rest:]) if rest else h)
 
@@ -108,66 +110,88 @@ def runs_of(text: np.ndarray, ends: np.ndarray, match: int) -> tuple[np.ndarray,
 
 @dataclass
 class Suffixes:
-    """A suffix array: anchored suffixes sorted by key, equal keys by check, then document."""
+    """A suffix array: anchored suffixes sorted by key, equal keys by check, then document.
+
+    Documents are numbers in a table of (id, hash of the text) sorted by id, which
+    tells apart rows that share an id.
+    """
 
     key: np.ndarray  # uint64: 40 bits of the gram hash, 24 of the context hash
     check: np.ndarray  # uint32: 32 more bits of the context hash
-    doc: np.ndarray  # int64
-    text: np.ndarray  # int64: hash of the whole text, tells apart rows of one doc_id
+    doc: np.ndarray  # uint32: number in the table
     low: np.ndarray  # uint32: first window
     span: np.ndarray  # uint8: windows in the run, less one
 
-    FIELDS = ("key", "check", "doc", "text", "low", "span")
+    FIELDS = ("key", "check", "doc", "low", "span")
 
     def __len__(self) -> int:
         return len(self.key)
 
-    def take(self, which: np.ndarray) -> Suffixes:
+    def take(self, which) -> Suffixes:
         return Suffixes(*[getattr(self, f)[which] for f in self.FIELDS])
 
     def ordered(self) -> Suffixes:
-        return self.take(np.lexsort((self.doc, self.check, self.key)))
+        order = np.argsort(self.key)
+        same = np.diff(self.key[order]) == 0
+        tied = np.flatnonzero(np.append(same, False) | np.insert(same, 0, False))
+        some = order[tied]
+        order[tied] = some[np.lexsort((self.doc[some], self.check[some], self.key[some]))]
+        return self.take(order)
 
     @staticmethod
     def joined(parts: list[Suffixes]) -> Suffixes:
-        return Suffixes(*[np.concatenate([getattr(p, f) for p in parts]) for f in Suffixes.FIELDS])
+        return parts[0] if len(parts) == 1 else Suffixes(
+            *[np.concatenate([getattr(p, f) for p in parts]) for f in Suffixes.FIELDS])
 
     def heads(self) -> np.ndarray:
         """For each entry the first one of equal key and check."""
         fresh = np.ones(len(self), bool)
         fresh[1:] = (np.diff(self.key) != 0) | (np.diff(self.check) != 0)
-        first = np.flatnonzero(fresh)
-        return first[np.cumsum(fresh) - 1]
-
-    def pack(self) -> bytes:
-        """Documents once, entries by the document's number."""
-        pairs, number = np.unique(np.stack([self.doc, self.text]), axis=1, return_inverse=True)
-        head = np.array([len(self), pairs.shape[1]], np.int64)
-        return b"".join(x.tobytes() for x in (head, pairs, self.key, self.check,
-                                              number.ravel().astype(np.uint32), self.low, self.span))
-
-    @staticmethod
-    def unpack(data: bytes) -> Suffixes:
-        n, m = np.frombuffer(data, np.int64, 2)
-        pairs = np.frombuffer(data, np.int64, 2 * m, 16).reshape(2, m)
-        at, parts = 16 + 16 * m, []
-        for kind in (np.uint64, np.uint32, np.uint32, np.uint32, np.uint8):
-            parts.append(np.frombuffer(data, kind, n, at))
-            at += n * np.dtype(kind).itemsize
-        key, check, number, low, span = parts
-        return Suffixes(key, check, pairs[0][number], pairs[1][number], low, span)
-
-
-def split_covered(run: Suffixes) -> tuple[Suffixes, Suffixes]:
-    """(index, covered): a suffix is covered if a smaller document has the same context."""
-    smaller = run.doc[run.heads()] < run.doc
-    return run.take(~smaller), run.take(smaller)
+        return np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+
+
+class Table:
+    """Documents in order of (id, hash): ids and hashes by number."""
+
+    def __init__(self, ids: np.ndarray, hashes: np.ndarray):
+        order = np.lexsort((hashes, ids))
+        fresh = np.ones(len(ids), bool)
+        fresh[1:] = (np.diff(ids[order]) != 0) | (np.diff(hashes[order]) != 0)
+        self.ids, self.hashes = ids[order[fresh]], hashes[order[fresh]]
+        self.number = np.empty(len(ids), np.uint32)  # of each row given
+        self.number[order] = np.cumsum(fresh) - 1
+
+
+def pack(run: Suffixes, lost: Suffixes, table: Table) -> bytes:
+    """The array, and the (doc, low, span) that its batch has covered itself."""
+    used = np.zeros(len(table.ids), bool)
+    used[run.doc] = used[lost.doc] = True
+    number = (np.cumsum(used) - 1).astype(np.uint32)
+    head = np.array([len(run), len(lost), used.sum()], np.int64)
+    return b"".join(x.tobytes() for x in (
+        head, table.ids[used], table.hashes[used], run.key, run.check, number[run.doc], run.low,
+        number[lost.doc], lost.low, run.span, lost.span))
+
+
+def unpack(data: bytes) -> tuple[Suffixes, Suffixes, np.ndarray, np.ndarray]:
+    n, m, docs = np.frombuffer(data, np.int64, 3).tolist()
+    at, parts = 24, []
+    for kind, size in ((np.int64, docs), (np.int64, docs), (np.uint64, n), (np.uint32, n),
+                       (np.uint32, n), (np.uint32, n), (np.uint32, m), (np.uint32, m),
+                       (np.uint8, n), (np.uint8, m)):
+        parts.append(np.frombuffer(data, kind, size, at))
+        at += size * np.dtype(kind).itemsize
+    ids, hashes, key, check, doc, low, lost_doc, lost_low, span, lost_span = parts
+    none = np.zeros(m, np.uint64), np.zeros(m, np.uint32)
+    return (Suffixes(key, check, doc, low, span), Suffixes(*none, lost_doc, lost_low, lost_span),
+            ids, hashes)
 
 
 class LevelFamily:
     """Sorted arrays of growing size; adding one costs a scan of each and seldom a large merge."""
 
-    def __init__(self):
+    def __init__(self, ids: np.ndarray):
+        self.ids = ids  # by document number
         self.levels: list[Suffixes] = []
         self.covered: list[Suffixes] = []
 
@@ -190,8 +214,8 @@ class LevelFamily:
                 break
             at[behind] += 1
         same = (at <= last) & (level.key[here] == batch.key) & (level.check[here] == batch.check)
-        lost = same & (level.doc[here] < batch.doc)
-        won = same & (level.doc[here] > batch.doc)
+        ours, theirs = self.ids[batch.doc], self.ids[level.doc[here]]
+        lost, won = same & (theirs < ours), same & (theirs > ours)
         if won.any():
             beaten = np.zeros(len(level), bool)
             beaten[here[won]] = True
@@ -203,138 +227,170 @@ class LevelFamily:
             batch = batch.take(~lost)
         return batch, level
 
-    def merged(self) -> Suffixes | None:
-        return Suffixes.joined(self.levels).ordered() if self.levels else None
+    def merged(self) -> Suffixes:
+        return Suffixes.joined(self.levels).ordered()
 
 
-def _edges(index: Suffixes) -> Suffixes:
+def _edges(index: Suffixes, ids: np.ndarray) -> Suffixes:
     """Suffixes whose gram stands in another context of another document too."""
-    gram = index.key >> U(24)
+    gram, doc = index.key >> U(24), ids[index.doc]
     first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]) != 0)
-    least, most = np.minimum.reduceat(index.doc, first), np.maximum.reduceat(index.doc, first)
-    return index.take(np.repeat(least != most, np.diff(np.append(first, len(index)))))
+    mixed = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+    return index.take(np.repeat(mixed, np.diff(np.append(first, len(index)))))
+
+
+def _pack_ranges(found: Suffixes) -> list[tuple[int, bytes]]:
+    """(document number, ranges); a range is a first window and a number of windows less one."""
+    if not len(found):
+        return []
+    order = np.lexsort((found.low, found.doc))
+    doc, low, high = found.doc[order], found.low[order], found.low[order] + found.span[order]
+    # windows in a row become one range
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = (np.diff(doc) != 0) | (low[1:] > high[:-1] + 1)
+    first = np.flatnonzero(fresh)
+    doc, low = doc[first], low[first]
+    ranges = np.stack([low, np.maximum.reduceat(high, first) - low], axis=1).astype("<u4")
+    cuts = np.flatnonzero(np.diff(doc, prepend=~doc[:1]) != 0)
+    return [(int(doc[a]), ranges[a:b].tobytes()) for a, b in zip(cuts, [*cuts[1:], len(doc)])]
 
 
-def _pack_ranges(found: Suffixes) -> list[tuple[int, int, bytes]]:
-    """(doc, text, ranges) per text; a range is a first window and a number of windows."""
-    found = found.take(np.lexsort((found.low, found.text, found.doc)))
-    fresh = np.flatnonzero((np.diff(found.doc, prepend=~found.doc[:1]) != 0)
-                           | (np.diff(found.text, prepend=~found.text[:1]) != 0))
-    ranges = np.rec.fromarrays([found.low, found.span], dtype="<u4,u1")
-    return [(int(found.doc[a]), int(found.text[a]), ranges[a:b].tobytes())
-            for a, b in zip(fresh, [*fresh[1:], len(found)])]
+def _ranges(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    found = np.frombuffer(b"".join(blobs), "<u4").reshape(-1, 2).astype(np.int64)
+    return found[:, 0], found[:, 1]
 
 
-def _ranges(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    found = np.frombuffer(b"".join(blobs), dtype=[("low", "<u4"), ("span", "u1")])
-    return found["low"].astype(np.int64), found["span"].astype(np.int64)
-
-
-def _emit(parts: list[Suffixes], shards: int) -> Iterator[pa.RecordBatch]:
-    """One batch's suffix array in shards; what it covers itself goes along to the shard."""
-    if not parts:
-        return
-    run = Suffixes.joined(parts).ordered()
-    keep = run.doc[run.heads()] >= run.doc
-    # equal parts of the hash space, in order
-    home = (run.key >> U(32)) * U(shards) >> U(32)
-    cuts = np.searchsorted(home, np.arange(shards + 1, dtype=np.uint64))
-    for s in np.flatnonzero(np.diff(cuts)):
-        part, own = run.take(slice(cuts[s], cuts[s + 1])), keep[cuts[s]:cuts[s + 1]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([int(s)], pa.int32()), pa.array([int(part.doc.min())], pa.int64()),
-             pa.array([part.take(own).pack()], pa.binary()),
-             pa.array([part.take(~own).pack()], pa.binary())],
-            ["shard", "first_doc", "suffixes", "covered"])
-
-
-EMITTED = "shard int, first_doc bigint, suffixes binary, covered binary"
+EMITTED = "shard int, first_doc bigint, suffixes binary"
 FOUND = "doc bigint, hash bigint, edge boolean, ranges binary"
-MOST = 1_500_000  # suffixes in a batch
+MOST = 1_200_000  # suffixes in a batch
+
+
+class _Batch:
+    """Gathers the suffixes of documents until they make an array."""
+
+    def __init__(self, shards: int):
+        self.shards, self.n = shards, 0
+        self.parts: list[Suffixes] = []
+        self.ids: list[int] = []
+        self.hashes: list[int] = []
+
+    def add(self, part: Suffixes) -> None:
+        self.parts.append(part)
+        self.n += len(part)
+
+    def emit(self) -> Iterator[pa.RecordBatch]:
+        """One batch's suffix array in shards; what it covers itself goes along to the shard."""
+        if self.n:
+            table = Table(np.array(self.ids, np.int64), np.array(self.hashes, np.int64))
+            run = Suffixes.joined(self.parts)
+            run.doc = table.number[run.doc]
+            run = run.ordered()
+            keep = table.ids[run.doc[run.heads()]] >= table.ids[run.doc]
+            # equal parts of the hash space, in order
+            home = (run.key >> U(32)) * U(self.shards) >> U(32)
+            cuts = np.searchsorted(home, np.arange(self.shards + 1, dtype=np.uint64))
+            for s in np.flatnonzero(np.diff(cuts)):
+                part, own = run.take(slice(cuts[s], cuts[s + 1])), keep[cuts[s]:cuts[s + 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(s)], pa.int32()), pa.array([int(table.ids[0])], pa.int64()),
+                     pa.array([pack(part.take(own), part.take(~own), table)], pa.binary())],
+                    ["shard", "first_doc", "suffixes"])
+        self.__init__(self.shards)
 
 
 def _index_texts(match: int, shards: int):
     """Batches of (doc, hash, text) to sharded suffix arrays of their runs."""
-    def segment(doc: list[int], hashes: list[int], texts: list[bytes], starts: list[int]) -> Suffixes:
+    def segment(texts: list[bytes], number: int, start: int = 0) -> Suffixes:
         lens = np.array([len(t) for t in texts])
         ends = np.cumsum(lens)
         low, high, gram, context = runs_of(np.frombuffer(b"".join(texts), np.uint8), ends, match)
         which = np.searchsorted(ends, low, side="right")
-        key = (gram & ~U(0xFFFFFF)) | (context >> U(40))
-        return Suffixes(key, (context & U(0xFFFFFFFF)).astype(np.uint32),
-                        np.array(doc, np.int64)[which], np.array(hashes, np.int64)[which],
-                        (low - (ends - lens)[which] + np.array(starts)[which]).astype(np.uint32),
+        return Suffixes((gram & ~U(0xFFFFFF)) | (context >> U(40)),
+                        (context & U(0xFFFFFFFF)).astype(np.uint32),
+                        (which + number).astype(np.uint32),
+                        (low - (ends - lens)[which] + start).astype(np.uint32),
                         (high - low).astype(np.uint8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, n = [], 0
+        gathered = _Batch(shards)
         for batch in batches:
             for part in slices(batch, "text", 1 << 19):
-                docs, hashes = part.column("doc").to_pylist(), part.column("hash").to_pylist()
-                texts = byte_views(part.column("text"))
-                if len(texts) == 1 and len(texts[0]) > SEGMENT:
-                    cuts = range(0, len(texts[0]), SEGMENT)
-                    found = [segment(docs, hashes, [texts[0][c:c + SEGMENT + match - 1]], [c])
-                             for c in cuts]
-                else:
-                    found = [segment(docs, hashes, texts, [0] * len(texts))]
-                parts += found
-                n += sum(map(len, found))
-                if n >= MOST:
-                    yield from _emit(parts, shards)
-                    parts, n = [], 0
-        yield from _emit(parts, shards)
+                texts, number = byte_views(part.column("text")), len(gathered.ids)
+                gathered.ids += part.column("doc").to_pylist()
+                gathered.hashes += part.column("hash").to_pylist()
+                if max(map(len, texts)) <= SEGMENT:
+                    gathered.add(segment(texts, number))
+                else:  # a huge text in overlapping segments
+                    for k, text in enumerate(texts):
+                        for c in range(0, max(1, len(text)), SEGMENT):
+                            gathered.add(segment([text[c:c + SEGMENT + match - 1]], number + k, c))
+                if gathered.n >= MOST:
+                    yield from gathered.emit()
+        yield from gathered.emit()
 
     return run
 
 
 def _index_edges(match: int, shards: int):
     """Batches of (doc, hash, text, ranges) to suffix arrays of single windows."""
+    def windows(texts: list[bytes], ranges: list, number: int, start: int = 0) -> Suffixes:
+        base = np.cumsum([0, *map(len, texts)])
+        low = np.concatenate([r[0] + b for r, b in zip(ranges, base)])
+        count = np.concatenate([r[1] for r in ranges]) + 1
+        doc = np.repeat(np.arange(len(ranges)) + number, [len(r[0]) for r in ranges])
+        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        doc = np.repeat(doc, count)
+        if len(base) == 2:  # of a segment, the windows that start in it
+            here = (at >= 0) & (at < min(SEGMENT, base[1] - match + 1))
+            at, doc = at[here], doc[here]
+        _, whole = rolling_hashes(np.frombuffer(b"".join(texts), np.uint8), match)
+        h = whole[at]
+        local = at - base[np.maximum(doc - number, 0)] + start
+        return Suffixes(_final(h), (_final(h, 2) >> U(32)).astype(np.uint32), doc.astype(np.uint32),
+                        local.astype(np.uint32), np.zeros(len(at), np.uint8))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, n = [], 0
+        gathered = _Batch(shards)
         for batch in batches:
             for part in slices(batch, "text", 1 << 19):
-                for doc, text_hash, raw, blobs in zip(
-                        part.column("doc").to_pylist(), part.column("hash").to_pylist(),
-                        byte_views(part.column("text")), part.column("ranges").to_pylist()):
-                    low, span = _ranges(blobs)
-                    first = np.cumsum(span + 1) - (span + 1)
-                    at = np.unique(np.repeat(low - first, span + 1) + np.arange((span + 1).sum()))
-                    text = np.frombuffer(raw, np.uint8)
-                    for c in range(0, len(raw), SEGMENT):
-                        here = at[(at >= c) & (at < c + SEGMENT)]
-                        if not len(here):
-                            continue
-                        _, whole = rolling_hashes(text[c:c + SEGMENT + match - 1], match)
-                        h = whole[here - c]
-                        parts.append(Suffixes(
-                            _final(h), (_final(h, 2) >> U(32)).astype(np.uint32),
-                            np.full(len(here), doc, np.int64), np.full(len(here), text_hash, np.int64),
-                            here.astype(np.uint32), np.zeros(len(here), np.uint8)))
-                        n += len(here)
-                    if n >= MOST:
-                        yield from _emit(parts, shards)
-                        parts, n = [], 0
-        yield from _emit(parts, shards)
+                texts, number = byte_views(part.column("text")), len(gathered.ids)
+                ranges = [_ranges(blobs) for blobs in part.column("ranges").to_pylist()]
+                gathered.ids += part.column("doc").to_pylist()
+                gathered.hashes += part.column("hash").to_pylist()
+                if max(map(len, texts)) <= SEGMENT and len(texts) > 1:
+                    gathered.add(windows(texts, ranges, number))
+                else:
+                    for k, (text, (low, span)) in enumerate(zip(texts, ranges)):
+                        for c in range(0, len(text) - match + 1, SEGMENT):
+                            gathered.add(windows([text[c:c + SEGMENT + match - 1]],
+                                                 [(low - c, span)], number + k, c))
+                if gathered.n >= MOST:
+                    yield from gathered.emit()
+        yield from gathered.emit()
 
     return run
 
 
 def _family_of_shard(with_edges: bool):
-    def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("first_doc").to_numpy(), kind="stable")
-        arrays, given = table.column("suffixes"), table.column("covered")
-        family = LevelFamily()
-        for i in order.tolist():
-            family.covered.append(Suffixes.unpack(given[i].as_py()))
-            family.add(Suffixes.unpack(arrays[i].as_py()))
-        index = family.merged()
-        edges = _edges(index) if with_edges and len(index) else index.take(slice(0, 0))
-        rows = [(d, h, False, r) for d, h, r in _pack_ranges(Suffixes.joined(family.covered))]
-        rows += [(d, h, True, r) for d, h, r in _pack_ranges(edges)]
+    def run(group: pa.Table) -> pa.Table:
+        order = np.argsort(group.column("first_doc").to_numpy(), kind="stable")
+        blobs = [group.column("suffixes")[int(i)].as_py() for i in order]
+        opened = [unpack(b)[2:] for b in blobs]
+        table = Table(np.concatenate([o[0] for o in opened]), np.concatenate([o[1] for o in opened]))
+        numbers = np.split(table.number, np.cumsum([len(o[0]) for o in opened])[:-1])
+        family = LevelFamily(table.ids)
+        for blob, number in zip(blobs, numbers):
+            run, lost = unpack(blob)[:2]
+            run.doc, lost.doc = number[run.doc], number[lost.doc]
+            family.covered.append(lost)
+            family.add(run)
+        rows = [(d, False, r) for d, r in _pack_ranges(Suffixes.joined(family.covered))]
+        if with_edges:
+            rows += [(d, True, r) for d, r in _pack_ranges(_edges(family.merged(), table.ids))]
+        doc = np.array([r[0] for r in rows], np.int64)
         return pa.Table.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.bool_()), pa.array([r[3] for r in rows], pa.binary())],
+            [pa.array(table.ids[doc]), pa.array(table.hashes[doc]),
+             pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.binary())],
             ["doc", "hash", "edge", "ranges"])
 
     return run
@@ -369,9 +425,11 @@ def removed_spans(low: np.ndarray, span: np.ndarray, match: int) -> list[tuple[i
 
 
 def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   shard_bytes: int = 32 << 20) -> DataFrame:
+                   carry: tuple[str, ...] = (), shard_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, n_bytes, spans (array of start, end) and kept (binary) of each document.
 
+    Columns named in ``carry`` go along.
+
     A byte goes if it lies under a string of ``match`` bytes that also starts in a
     document with a smaller id. Strings are judged on the input; spans are maximal
     and never touch. ``shard_bytes`` is the text behind one shard of the index (its
@@ -391,8 +449,10 @@ def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", tex
         F.collect_list("ranges").alias("ranges"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(id_col).cast("bigint"), missing).alias("doc"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                       *[F.col(c).alias(f"carry_{k}") for k, c in enumerate(carry)]).withColumn(
         "hash", F.xxhash64("text"))
+    along = [f"carry_{k}" for k in range(len(carry))]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,7 +466,13 @@ def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", tex
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(r) for r in raws], pa.int64()),
                      pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                     pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
-
-    return rows.join(ranges, ["doc", "hash"], "left").select("doc_id", "text", "ranges").mapInArrow(
-        cut, "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
+                     pa.array(kept, pa.binary()), *[part.column(c) for c in along]],
+                    ["doc_id", "n_bytes", "spans", "kept", *along])
+
+    kinds = dict(rows.dtypes)
+    out = rows.join(ranges, ["doc", "hash"], "left").select(
+        "doc_id", "text", "ranges", *along).mapInArrow(
+        cut, ", ".join(["doc_id bigint", "n_bytes bigint", "spans array<struct<start:bigint,end:bigint>>",
+                        "kept binary", *[f"{c} {kinds[c]}" for c in along]]))
+    return out.select("doc_id", "n_bytes", "spans", "kept",
+                      *[F.col(a).alias(c) for a, c in zip(along, carry)])
