@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from rivulet.llm import ann, bpe, langid, quality, simhash, suffix_dedup, token_counts, topk
+from rivulet.llm import ann, bpe, langid, licenses, packing, quality, simhash, suffix_dedup, token_counts, topk
 from rivulet.llm.common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,13 @@ def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
                         rules.score().alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op1_length_buckets")
+def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), max_len=2048, buckets=16, budget=65_536)
+
+
+@query("op7_license_scan")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), containment=0.8)
