@@ -19,7 +19,6 @@ window by window.
 
 from __future__ import annotations
 
-import gc
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -105,7 +104,8 @@ def runs_of(text: np.ndarray, ends: np.ndarray, match: int) -> tuple[np.ndarray,
     where = anchor[fresh]
     shape = ((high - low) * 256 + (where - low)).astype(np.uint64)
     context = _final(_join(_join(whole[low], whole[high]), shape), 1)
-    return low, high, order[where], context
+    # minima crowd near zero; mixed anew they spread evenly over shards
+    return low, high, _final(gram[where], 3), context
 
 
 @dataclass
@@ -396,23 +396,15 @@ def _family_of_shard(with_edges: bool):
     return run
 
 
-def _release(df: DataFrame) -> None:
-    """Let Spark's cleaner drop the shuffle files of steps whose result is stored."""
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
-
-
 def covered_windows(texts: DataFrame, match: int, shard_bytes: int) -> DataFrame:
     """(doc, hash, ranges): windows of (doc, hash, text) rows that start in a smaller doc too."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, math.ceil(size / shard_bytes))
     suffixes = texts.mapInArrow(_index_texts(match, shards), EMITTED)
     found = settle(suffixes.groupBy("shard").applyInArrow(_family_of_shard(True), FOUND), "runs")
-    _release(texts)
     grouped = found.where("edge").groupBy("doc", "hash").agg(F.collect_list("ranges").alias("ranges"))
     windows = texts.join(grouped, ["doc", "hash"]).mapInArrow(_index_edges(match, shards), EMITTED)
     edges = settle(windows.groupBy("shard").applyInArrow(_family_of_shard(False), FOUND), "edges")
-    _release(texts)
     return found.where("NOT edge").union(edges).select("doc", "hash", "ranges")
 
 
