@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from rivulet.llm import word_bpe
-from rivulet.llm.common import share_file, shared_path, slices
+from rivulet.llm.common import settle, share_file, shared_path, slices
 from rivulet.llm.word_bpe import WordBpe
 
 LONGEST = 64  # bytes of a word in the lexicon
@@ -185,14 +185,25 @@ def word_counts(docs: DataFrame, vocabulary: bytes, text_col: str = "text") -> D
 
 def build_lexicon(docs: DataFrame, vocabulary: bytes, size: int = 65_536,
                   text_col: str = "text") -> str:
-    """Compile the ``size`` most frequent words of the corpus; returns the shared file's name.
+    """Compile the most frequent words of the corpus, ``size`` at most; returns the shared file's name.
 
-    ``size`` bounds the file (some 40 bytes a word) and what the driver holds. It
-    changes no result: words outside the lexicon are merged when met.
+    A histogram of counts (eight bins to a doubling) tells from which count on the
+    words fit, so only those reach the driver. ``size`` bounds the file (some 40 bytes
+    a word) and what the driver holds. It changes no result: words outside the lexicon
+    are merged when met.
     """
     bpe = WordBpe(vocabulary)
-    top = word_counts(docs, vocabulary, text_col).orderBy(F.desc("n"), "word").limit(size)
-    entries = {r["word"].encode(): bpe.merge(r["word"]) for r in top.select("word").collect()}
+    counts = settle(word_counts(docs, vocabulary, text_col).withColumn(
+        "bin", F.floor(F.log2("n") * 8)), "word_counts")
+    bins = {r["bin"]: r["count"] for r in counts.groupBy("bin").count().collect()}
+    fitting, total = [], 0
+    for bin_, n in sorted(bins.items(), reverse=True):
+        total += n
+        if total > size:
+            break
+        fitting.append(bin_)
+    top = counts.where(F.col("bin") >= min(fitting)).select("word").collect() if fitting else []
+    entries = {r["word"].encode(): bpe.merge(r["word"]) for r in top}
     return share_file(docs.sparkSession, compile_lexicon(entries), "lexicon")
 
 
