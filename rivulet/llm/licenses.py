@@ -124,7 +124,7 @@ class Library:
             last.shingles.append(shingles)
         floor = min((containment * len(c.shingles[0]) / (c.blocks * c.step + len(c.shingles[0])
                      - containment * len(c.shingles[0])) for c in self.classes), default=1.0)
-        self.bands = bands_for(floor, certainty)
+        self.bands = bands_for(floor, certainty) if self.classes else 0
         rng = np.random.default_rng(seed)
         self.factors = rng.integers(1, 1 << 63, (self.bands * ROWS, 2), dtype=np.uint64) * U(2) + U(1)
         for c in self.classes:

@@ -160,7 +160,8 @@ def token_counts(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", tex
         failed = found.where("n_tokens IS NULL")
         if failed.isEmpty():
             break
-        size, overlap = size * 4, overlap * 8
+        overlap *= 8
+        size = max(size * 4, overlap * 2)  # at last a text is one chunk
         left = texts.select("row", "text").join(failed.select("row"), "row", "left_semi")
     counted = done[0]
     for more in done[1:]:

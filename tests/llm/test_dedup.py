@@ -6,6 +6,7 @@ import itertools
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -161,15 +162,10 @@ def test_remove_repeats_in_segments_and_batches(spark, monkeypatch):
     rows = [(1, long), (2, long[700:1300] + "-" + long[100:160]), (3, "#" + long + "#"), (4, long[5:55])]
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 512)
     monkeypatch.setattr(suffix_dedup, "MOST", 100)
-    shared = [(r[0], r[1]) for r in rows]
-    found = []
-    for index in (suffix_dedup._index_texts(50, 3),):
-        import pyarrow as pa
-        batch = pa.RecordBatch.from_pydict({"doc": [i for i, _ in shared], "hash": [0] * 4,
-                                            "text": [t for _, t in shared]})
-        found = list(index(iter([batch])))
+    batches = [pa.RecordBatch.from_pydict({"doc": [i], "hash": [0], "text": [t]}) for i, t in rows]
+    found = list(suffix_dedup._index_texts(50, 3)(iter(batches)))
     assert len(found) > 3
-    table = pa.Table.from_batches([b for b in found])
+    table = pa.Table.from_batches(found)
     outs = [suffix_dedup._family_of_shard(True)(table.filter(pa.compute.equal(table["shard"], s)))
             for s in set(table["shard"].to_pylist())]
     covered, edges = {}, {}
@@ -177,7 +173,7 @@ def test_remove_repeats_in_segments_and_batches(spark, monkeypatch):
         for doc, h, edge, blob in zip(*[out.column(c).to_pylist() for c in ("doc", "hash", "edge", "ranges")]):
             (edges if edge else covered).setdefault(doc, []).append(blob)
     batch = pa.RecordBatch.from_pydict({
-        "doc": list(edges), "hash": [0] * len(edges), "text": [dict(shared)[d] for d in edges],
+        "doc": list(edges), "hash": [0] * len(edges), "text": [dict(rows)[d] for d in edges],
         "ranges": list(edges.values())}, pa.schema([("doc", pa.int64()), ("hash", pa.int64()),
                                                     ("text", pa.string()), ("ranges", pa.list_(pa.binary()))]))
     table = pa.Table.from_batches(list(suffix_dedup._index_edges(50, 1)(iter([batch]))))
