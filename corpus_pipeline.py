@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rivulet.llm import langid, packing, quality, simhash, suffix_dedup
 from rivulet.llm.common import settle, table
 
-LEAST_SHARE = 0.35  # of a document's words in its language
+LEAST_SHARE = 0.3  # of a document's words in its language, by probability
 LEAST_QUALITY = 0.3
 SIMHASH_LANES = 4  # 256 bits
 SIMHASH_RADIUS = 44  # bits: 83 % of pairs at similarity 0.8, 98 % at 0.85, 1 % at 0.6

@@ -169,9 +169,11 @@ def near_duplicate_links(prints: DataFrame, radius: int, lanes: int = 1,
                 ["tile", "fp", "rep"])
 
     placed = settle(classes.mapInArrow(place, "tile bigint, fp binary, rep bigint"), "prints")
+    # one row per tile: at most 17^4 population counts, or the few bands and sizes, so it may
+    # be broadcast; a join by tile would bring all of a full tile to one task
     chunks = placed.groupBy("tile").agg(
         F.ceil(F.count("*") / tile_rows).cast("int").alias("chunks"))
-    tiles = (placed.join(chunks, "tile")
+    tiles = (placed.join(F.broadcast(chunks), "tile")
              .withColumn("chunk", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("chunks")).cast("int"))
              .groupBy("tile", "chunk").agg(F.collect_list(F.struct("fp", "rep")).alias("rows")))
     tiles = settle(tiles, "tiles")
