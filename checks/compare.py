@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import tempfile
 import time
 
 import pandas as pd
@@ -70,7 +71,8 @@ def main() -> int:
     args = parser.parse_args()
     registry.load()
     spark = build_session("local[8]", 8, **{"spark.driver.memory": "16g",
-                                            "spark.ui.enabled": "false"})
+                                            "spark.ui.enabled": "false",
+                                            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")})
     sf_dir = f"/root/testdata/sf{args.sf}"
     con = connect(sf_dir)
     failed = 0

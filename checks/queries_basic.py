@@ -228,7 +228,7 @@ FROM stg_rain r LEFT JOIN stg_temps t USING (latitude, longitude, time)""")(
 
 query("nearest_cell", "s code_bss; f era5_latitude era5_longitude", "SELECT * FROM located_stations")(
     lambda t: spatial.nearest(t.stations.where(clean.in_bbox("y", "x")), t.grid_points, "code_bss",
-                              "y", "x", box=(41.0, 52.0, -5.5, 10.0)))
+                              "y", "x"))
 
 query("nearest_cell_any_distance", "s code_bss; f era5_latitude era5_longitude", top1("""
 SELECT s.code_bss, g.era5_latitude, g.era5_longitude,
@@ -248,7 +248,7 @@ FROM located_stations""")(
 
 def nearest_cells(t):
     return spatial.nearest(t.stations.where(clean.in_bbox("y", "x")), t.grid_points, "code_bss",
-                           "y", "x", box=(41.0, 52.0, -5.5, 10.0))
+                           "y", "x")
 
 
 def vincenty_sql(source: str, key: str, lon1: str, lat1: str, lon2: str, lat2: str) -> str:

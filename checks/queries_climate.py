@@ -74,6 +74,15 @@ def indices_nightly_upsert(t):
                                                target=stale, months=3, min_years=_YEARS)
 
 
+@query("indices_nightly_partition", _INDEX, "SELECT * FROM grid_index")
+def indices_nightly_partition(t):
+    """The same as a stored table: the first run fills it, the second rewrites the last years."""
+    path = t.scratch("indices")
+    args = (path, t.monthly_grid, t.normals, t.spei_params)
+    climate.store_fct_era5_indices_grid(*args, "2001-06-01", start=INDEX_START, min_years=_YEARS)
+    return climate.store_fct_era5_indices_grid(*args, INDEX_END, months=12, min_years=_YEARS)
+
+
 # ---- distribution functions on data-driven arguments -------------------------------
 
 _RANKED = """(SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice,

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from checks.queries_tables import MONTHLY_LEVELS, YEARLY_LEVELS
 from checks.registry import query
 from checks.views import AS_OF, SNAP_LAT, SNAP_LON, top1
-from rivulet.functions import geo
-from rivulet.operators import joins, refresh, reshape
+from rivulet.functions import clean, geo
+from rivulet.operators import joins, quality, refresh, reshape
 from rivulet.plans import climate, facts, staging
 from rivulet.sources import files, tables
 from rivulet.streaming import landing
@@ -32,6 +32,22 @@ def _stale(df, day: str, since: str, value: str):
         .otherwise(F.col(value)))
 
 
+def _undated(df, day: str, like: str, code=None):
+    """The rows of one day once more, without a day; the tables of rejects hold such rows."""
+    rows = df.where(F.col(day) == _day(like)).withColumn(day, F.lit(None).cast("date"))
+    return rows if code is None else rows.withColumn("code_bss", code)
+
+
+def _undated_sql(table: str, day: str, like: str, code: str = "code_bss") -> str:
+    return f"""
+SELECT {code} AS code_bss, CAST(NULL AS DATE) AS {day}, niveau_nappe_eau, profondeur_nappe
+FROM {table} WHERE {day} = DATE '{like}'"""
+
+
+_ALL_DAYS = "SELECT code_bss, date_mesure, niveau_nappe_eau, profondeur_nappe FROM daily_levels"
+_UNDATED = _undated_sql("daily_levels", "date_mesure", "1999-03-03")
+
+
 # ---- pure refresh queries --------------------------------------------------------
 
 query("replace_recent_window", "s code_bss; d date_mesure; f niveau_nappe_eau", f"""
@@ -118,9 +134,14 @@ SELECT * FROM raw_rain WHERE created_at > (SELECT MAX(created_at) FROM raw_rain
 
 @query("incremental_staging", _DAILY, "SELECT * FROM stg_levels")
 def incremental_staging(t):
-    """Stored silver up to mid-2001 plus an upsert of the look-back window: equal to a rebuild."""
-    old = t.levels.where("date_mesure < '2001-06-01'")
-    new = staging.build_stg_piezo_chroniques(t("raw_levels"), t.stations, target=old, days=7)
+    """Stored silver up to mid-2001 plus an upsert of the look-back window: equal to a rebuild.
+
+    Bronze is stored by the year of the reading, so only the last years are read.
+    """
+    old, bronze = t.levels.where("date_mesure < '2001-06-01'"), t.scratch("bronze")
+    (t("raw_levels").withColumn("year", F.year(clean.clean_date("date_mesure")))
+     .write.partitionBy("year").parquet(bronze))
+    new = staging.build_stg_piezo_chroniques(t.spark.read.parquet(bronze), t.stations, target=old, days=7)
     return refresh.upsert(old, new, ["code_bss", "date_mesure"])
 
 
@@ -133,11 +154,26 @@ def incremental_climate_staging(t):
     return refresh.upsert(old, new, ["latitude", "longitude", "time"])
 
 
-query("upsert_by_key", _DAILY, "SELECT * FROM daily_levels")(
+query("upsert_by_key", _DAILY, f"{_ALL_DAYS} UNION ALL {_UNDATED}")(
     lambda t: refresh.upsert(
-        _stale(t.daily_levels, "date_mesure", "2001-03-01", "niveau_nappe_eau"),
+        _stale(t.daily_levels, "date_mesure", "2001-03-01", "niveau_nappe_eau").unionByName(
+            _undated(t.daily_levels, "date_mesure", "1999-03-03")),
         t.daily_levels.where("date_mesure >= '2000-12-01'"), ["code_bss", "date_mesure"]))
 
+
+@query("upsert_partition", _DAILY, f"{_ALL_DAYS} UNION ALL {_UNDATED} UNION ALL "
+       + _undated_sql("daily_levels", "date_mesure", "1999-03-04", "code_bss || '-2'"))
+def upsert_partition(t):
+    """Undated rows are stored, and more of them under other keys come with the corrections."""
+    path = t.scratch("upsert")
+    tables.upsert_table(_stale(t.daily_levels, "date_mesure", "2001-03-01", "niveau_nappe_eau")
+                        .unionByName(_undated(t.daily_levels, "date_mesure", "1999-03-03")),
+                        path, ["code_bss", "date_mesure"], "date_mesure")
+    more = _undated(t.daily_levels, "date_mesure", "1999-03-04", F.concat("code_bss", F.lit("-2")))
+    return tables.upsert_table(t.daily_levels.where("date_mesure >= '2000-12-01'").unionByName(more),
+                               path, ["code_bss", "date_mesure"], "date_mesure")
+
+
 _FACT = "s code_bss; d date; f niveau_nappe_eau temperature_2m total_precipitation era5_latitude"
 
 
@@ -219,6 +255,89 @@ FROM events""")(
     .withColumn("ts", F.to_timestamp("ts")))
 
 
+@query("presence_validation", "f latitude longitude total_precipitation; t time",
+       "SELECT * FROM raw_rain")
+def presence_validation(t):
+    """A batch with its variables passes; one without a variable or without rows is refused."""
+    rain = t("raw_rain")
+    for bad in (rain.drop("total_precipitation"), rain.where("false")):
+        try:
+            files.require_grid_records(bad, ["time", "total_precipitation"])
+        except ValueError:
+            continue
+        raise AssertionError("an unusable batch was accepted")
+    return files.require_grid_records(rain, ["time", "latitude", "longitude", "total_precipitation"])
+
+
+query("source_fallback", "s n_name; l n_nationkey", "SELECT n_name, n_nationkey FROM nation")(
+    lambda t: files.first_nonempty(
+        t.spark, None, t("nation").where("n_nationkey < 0"), lambda: t("nation"),
+        t("region"), schema=t("nation").schema))
+
+
+@query("seed_table", "s code_bss code_bss_nouveau; f longitude latitude dernier_ips; i derniere_classe;"
+       " d derniere_date_calcul", """
+SELECT CAST(o_orderkey AS VARCHAR) AS code_bss,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'N' || CAST(o_custkey AS VARCHAR) END AS code_bss_nouveau,
+       o_totalprice / 1000 AS longitude, o_totalprice / 2000 AS latitude, o_totalprice / 3000 AS dernier_ips,
+       o_orderkey % 5 AS derniere_classe, CAST(o_orderdate AS DATE) AS derniere_date_calcul FROM orders""")
+def seed_table(t):
+    """Orders written as a seed file with a header, then loaded with declared types."""
+    folder = t.scratch("seed")
+    price = F.col("o_totalprice").cast("double")
+    (t("orders").select(
+        F.col("o_orderkey").cast("string").alias("code_bss"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.concat(F.lit("N"), "o_custkey")).alias("code_bss_nouveau"),
+        (price / 1000).alias("longitude"), (price / 2000).alias("latitude"),
+        (F.col("o_orderkey") % 5).alias("derniere_classe"), (price / 3000).alias("dernier_ips"),
+        F.to_date("o_orderdate").alias("derniere_date_calcul"))
+     .write.csv(folder, header=True))
+    return files.load_seed(t.spark, folder)
+
+
+@query("entity_files", "s code_eh libelle_eh niveau_eh", """
+SELECT CAST(s_suppkey AS VARCHAR) || 'AA' AS code_eh,
+       CASE WHEN s_suppkey % 2 = 0 THEN 'Système ' || s_name END AS libelle_eh,
+       CASE WHEN s_suppkey % 2 = 1 THEN CAST(s_nationkey AS VARCHAR) END AS niveau_eh FROM supplier""")
+def entity_files(t):
+    """A Latin-1 file with semicolons and a UTF-8 file with commas, headers spelled differently."""
+    latin, comma = t.scratch("latin"), t.scratch("comma")
+    code = F.concat(F.col("s_suppkey").cast("string"), F.lit("AA"))
+    even = F.col("s_suppkey") % 2 == 0
+    (t("supplier").where(even).select(code.alias("Code entité"), F.concat(F.lit("Système "), "s_name")
+                                      .alias("Libelle EH"))
+     .write.csv(latin, sep=";", header=True, encoding="ISO-8859-1"))
+    (t("supplier").where(~even).select(code.alias("code_eh"), F.col("s_nationkey").alias("NiveauEH"),
+                                       F.col("s_name").alias("other"))
+     .write.csv(comma, sep=",", header=True))
+    return reshape.union_all(files.read_entity_csv(t.spark, latin), files.read_entity_csv(t.spark, comma))
+
+
+def _checks():
+    return [quality.Check("priced", severity="warn", bad=F.col("o_totalprice") < 20000),
+            quality.Check("dated", severity="warn", bad=F.col("o_orderdate").isNull()),
+            quality.Check("one_per_customer", lambda d: quality.unique(d, ["o_custkey"]), "warn")]
+
+
+query("severity_report", "s name status; l failing", """
+SELECT name, failing, CASE WHEN failing = 0 THEN 'pass' ELSE 'warn' END AS status FROM (
+  SELECT 'priced' AS name, COUNT(*) FILTER (o_totalprice < 20000) AS failing FROM orders
+  UNION ALL SELECT 'dated', COUNT(*) FILTER (o_orderdate IS NULL) FROM orders
+  UNION ALL SELECT 'one_per_customer', COUNT(*) FROM (
+    SELECT o_custkey FROM orders GROUP BY 1 HAVING COUNT(*) > 1) m) r""")(
+    lambda t: t.spark.createDataFrame(
+        [(r["check"], r["status"], r["failing"]) for r in quality.run_checks(t("orders"), _checks())],
+        "name string, status string, failing bigint"))
+
+
+@query("stored_failures", "l o_orderkey; f o_totalprice",
+       "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice < 20000")
+def stored_failures(t):
+    folder = t.scratch("audit")
+    quality.run_checks(t("orders"), _checks(), audit=folder)
+    return t.spark.read.parquet(f"{folder}/priced")
+
+
 @query("replace_table", "s code_bss; f x y", "SELECT * FROM stg_stations")
 def replace_table(t):
     path = t.scratch("replace")
@@ -235,34 +354,90 @@ def replace_year_partition(t):
     return tables.refresh_partition(t.daily_levels, path, "date_mesure", 1998, ["code_bss"])
 
 
-@query("replace_recent_partition", _DAILY, "SELECT * FROM daily_levels")
-def replace_recent_partition(t):
-    path = t.scratch("recent")
-    tables.upsert_table(_stale(t.daily_levels, "date_mesure", "2001-09-15", "niveau_nappe_eau"), path,
+def _stored_levels(t, name: str, rows=None):
+    """A table of levels by year with undated rows in it."""
+    path = t.scratch(name)
+    rows = t.daily_levels if rows is None else rows
+    tables.upsert_table(rows.unionByName(_undated(t.daily_levels, "date_mesure", "1999-03-03")), path,
                         ["code_bss", "date_mesure"], "date_mesure", ["code_bss"])
+    return path
+
+
+@query("replace_recent_partition", _DAILY, f"{_ALL_DAYS} UNION ALL {_UNDATED}")
+def replace_recent_partition(t):
+    path = _stored_levels(t, "recent", _stale(t.daily_levels, "date_mesure", "2001-09-15",
+                                              "niveau_nappe_eau"))
     return tables.refresh_recent(t.daily_levels, path, "date_mesure", 120, AS_OF, ["code_bss"])
 
 
-@query("replace_range_partition", _DAILY, """
-SELECT * FROM daily_levels WHERE date_mesure NOT BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'
-UNION ALL SELECT * FROM daily_levels WHERE date_mesure BETWEEN DATE '1997-01-01' AND DATE '1997-06-30'""")
+@query("replace_range_partition", _DAILY, f"""
+{_ALL_DAYS} WHERE date_mesure NOT BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'
+UNION ALL {_ALL_DAYS} WHERE date_mesure BETWEEN DATE '1997-01-01' AND DATE '1997-06-30'
+UNION ALL {_UNDATED}""")
 def replace_range_partition(t):
     """The new batch only covers half of the range; the rest of the range empties."""
-    path = t.scratch("range")
-    tables.upsert_table(t.daily_levels, path, ["code_bss", "date_mesure"], "date_mesure")
+    path = _stored_levels(t, "range")
     return tables.refresh_range(t.daily_levels.where("date_mesure <= '1997-06-30'"), path,
                                 "date_mesure", "1997-01-01", "1997-12-31")
 
 
-@query("emptied_year_partition", _DAILY, """
-SELECT * FROM daily_levels WHERE year(date_mesure) <> 1997""")
+@query("emptied_year_partition", _DAILY, f"""
+{_ALL_DAYS} WHERE year(date_mesure) <> 1997 UNION ALL {_UNDATED}""")
 def emptied_year_partition(t):
-    path = t.scratch("emptied")
-    tables.upsert_table(t.daily_levels, path, ["code_bss", "date_mesure"], "date_mesure")
+    path = _stored_levels(t, "emptied")
     return tables.refresh_range(t.daily_levels.where("date_mesure < '1990-01-01'"), path,
                                 "date_mesure", "1997-01-01", "1997-12-31")
 
 
+# ---- recomputed facts in partitioned tables -----------------------------------------
+
+def _by_year(t, df, day: str, name: str) -> str:
+    path = t.scratch(name)
+    df.withColumn("year", F.year(day)).write.partitionBy("year").parquet(path)
+    return path
+
+
+@query("recent_fact_partition", _FACT, "SELECT * FROM fact_levels")
+def recent_fact_partition(t):
+    stale = t.fact_levels.withColumn("niveau_nappe_eau", F.when(
+        F.col("date") >= F.date_sub(_day(AS_OF), 90), F.lit(-1.0)).otherwise(F.col("niveau_nappe_eau")))
+    path = _by_year(t, stale, "date", "fact")
+    return tables.recompute_recent_table(
+        t.spark, path, "date", AS_OF, lambda cut: facts.build_piezo_daily_chroniques(
+            t.daily_levels, t.mapping, t.weather, cut), days=90, sort=["code_bss"])
+
+
+@query("recent_months_partition", MONTHLY_LEVELS, "SELECT * FROM monthly_levels")
+def recent_months_partition(t):
+    stale = t.monthly_levels.withColumn("niveau_moyen", F.when(
+        F.col("mois") >= _day("2001-01-01"), F.lit(0.0)).otherwise(F.col("niveau_moyen")))
+    return tables.recompute_months_table(
+        _by_year(t, stale, "mois", "monthly"), facts.aggregate_monthly_chroniques,
+        facts.roll_monthly_chroniques, t.fact_levels, "date", "mois")
+
+
+@query("active_stations_partition", YEARLY_LEVELS, "SELECT * FROM yearly_levels")
+def active_stations_partition(t):
+    active = joins.recent_keys(t.fact_levels, "code_bss", "date", AS_OF, 60)
+    stale = t.yearly_levels.join(active.withColumn("_hit", F.lit(True)), "code_bss", "left")
+    stale = stale.withColumn("amplitude_annuelle", F.when(
+        F.col("_hit"), F.lit(-1.0)).otherwise(F.col("amplitude_annuelle"))).drop("_hit")
+    path = t.scratch("yearly")
+    tables.with_key_part(stale, "code_bss", 8).write.partitionBy(tables.KEY_PART).parquet(path)
+    return tables.recompute_active_table(path, facts.build_fct_yearly_stats, t.monthly_levels, active,
+                                         "code_bss", parts=8)
+
+
+@query("recent_grid_partition", "f era5_latitude era5_longitude precipitation_totale etp_totale; d mois;"
+       " l nb_jours", "SELECT * FROM monthly_grid")
+def recent_grid_partition(t):
+    stale = t.monthly_grid.where("mois < '2001-10-01'").withColumn("etp_totale", F.when(
+        F.col("mois") >= _day("2001-08-01"), F.lit(0.0)).otherwise(F.col("etp_totale")))
+    return tables.recompute_recent_table(
+        t.spark, _by_year(t, stale, "mois", "grid"), "mois", AS_OF,
+        lambda cut: climate.build_fct_era5_monthly_grid(t.rain, t.temps, cut), months=3)
+
+
 @query("export_parquet", "s code_bss; f x y", "SELECT * FROM stg_stations")
 def export_parquet(t):
     out = t.scratch("export")
@@ -336,13 +511,12 @@ def _events(t):
     return t("events").select("user_id", F.to_date("ts").alias("day"), "value", "event_id")
 
 
-def _stream_of(t, *parts):
-    """Write each part as one landed file, in order, one file per micro-batch."""
+def _landings(t, *parts):
+    """Land each part in turn and give the stream over the folder so far, one run per landing."""
     folder = t.scratch("landed")
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return (t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1)
-            .parquet(folder))
+        part.write.mode("append").parquet(folder)
+        yield t.spark.readStream.schema(parts[0].schema).parquet(folder)
 
 
 @query("stream_keep_best", "l user_id event_id; d day; f value", _BEST)
@@ -350,11 +524,11 @@ def stream_keep_best(t):
     """Corrections replace stored rows: the second landing repeats all keys with final values."""
     rows = _events(t)
     first = rows.withColumn("value", F.col("value") - 1000)
-    table = t.scratch("upsert")
-    stream = _stream_of(t, first, rows)
-    landing.stream_upsert(stream, table, t.scratch("mark"), ["user_id", "day"],
-                          [("value", "desc"), ("event_id", "asc")], "day", horizon=60
-                          ).awaitTermination()
+    table, mark = t.scratch("upsert"), t.scratch("mark")
+    for stream in _landings(t, first, rows):
+        landing.stream_upsert(stream, table, mark, ["user_id", "day"],
+                              [("value", "desc"), ("event_id", "asc")], "day", horizon=60
+                              ).awaitTermination()
     return tables.read_table(t.spark, table)
 
 
@@ -365,11 +539,11 @@ WHERE CAST(ts AS DATE) < (SELECT MAX(CAST(ts AS DATE)) FROM events WHERE ts >= T
 def stream_late_rows(t):
     """The end of the month lands first; rows more than 12 days older go to the rejects."""
     rows, cut = _events(t), _day("2024-01-20")
-    table, rejects = t.scratch("upsert"), t.scratch("late")
-    stream = _stream_of(t, rows.where(F.col("day") >= cut), rows.where(F.col("day") < cut))
-    landing.stream_upsert(stream, table, t.scratch("mark"), ["user_id", "day"],
-                          [("value", "desc"), ("event_id", "asc")], "day", horizon=12,
-                          rejects=rejects).awaitTermination()
+    table, rejects, mark = t.scratch("upsert"), t.scratch("late"), t.scratch("mark")
+    for stream in _landings(t, rows.where(F.col("day") >= cut), rows.where(F.col("day") < cut)):
+        landing.stream_upsert(stream, table, mark, ["user_id", "day"],
+                              [("value", "desc"), ("event_id", "asc")], "day", horizon=12,
+                              rejects=rejects).awaitTermination()
     return t.spark.read.parquet(rejects)
 
 
@@ -384,9 +558,9 @@ def stream_hourly_to_daily(t):
     rows = t("hourly")
     half = F.col("time") < F.lit("2024-01-16").cast("timestamp")
     table, mark = t.scratch("daily"), t.scratch("mark")
-    stream = _stream_of(t, rows.where(half), rows.where(~half))
-    daily = landing.stream_hourly_to_daily(stream, digits=8)
-    landing.ingest_stream(daily, table, mark).awaitTermination()
+    for stream in _landings(t, rows.where(half), rows.where(~half)):
+        daily = landing.stream_hourly_to_daily(stream, digits=8)
+        landing.ingest_stream(daily, table, mark).awaitTermination()
     return t.spark.read.parquet(table)
 
 

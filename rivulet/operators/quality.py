@@ -26,6 +26,17 @@ def require_nonempty(df: DataFrame, what: str = "input") -> DataFrame:
     return df
 
 
+def require_parent(df: DataFrame, parent: DataFrame, what: str) -> DataFrame:
+    """The rows, but reading any of them fails while the referential is empty.
+
+    An existence filter over an empty referential would drop every row silently. The
+    referential is looked at when the plan runs, and only for a first row.
+    """
+    filled = parent.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar() > 0
+    return df.where(F.when(filled, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"{what}: the referential has no rows")).cast("boolean")))
+
+
 def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(cols))
 
@@ -78,9 +89,16 @@ def _scope(df: DataFrame, where: str | None) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
+    """``failing`` gives the failing rows. A check of single rows may give a condition
+    (true where a row fails) instead; all such checks are counted in one pass."""
+
     name: str
-    failing: Callable[[DataFrame], DataFrame]
+    failing: Callable[[DataFrame], DataFrame] | None = None
     severity: str = "error"
+    bad: Column | None = None
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        return self.failing(df) if self.bad is None else df.where(self.bad)
 
 
 class CheckFailed(Exception):
@@ -93,13 +111,15 @@ def run_checks(df: DataFrame, checks: Sequence[Check], audit: str | None = None)
     With ``audit`` the failing rows of each check are kept under that folder.
     """
     report = []
-    for check in checks:
-        bad = check.failing(df)
-        if audit:
-            store_failures(bad, check.name, audit)
+    by_row = {f"_{k}": F.count_if(c.bad) for k, c in enumerate(checks) if c.bad is not None}
+    counted = df.agg(*[v.alias(k) for k, v in by_row.items()]).first() if by_row else {}
+    for k, check in enumerate(checks):
+        failing = counted[f"_{k}"] if check.bad is not None else None
+        if audit and failing != 0:
+            store_failures(check.rows(df), check.name, audit)
             failing = df.sparkSession.read.parquet(f"{audit}/{check.name}").count()
-        else:
-            failing = bad.count()
+        elif failing is None:
+            failing = check.rows(df).count()
         status = "pass" if failing == 0 else check.severity
         report.append({"check": check.name, "failing": failing, "status": status})
     broken = [r for r in report if r["status"] == "error"]

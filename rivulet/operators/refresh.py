@@ -21,19 +21,32 @@ def latest(df: DataFrame, col: str):
     return df.agg(F.max(col)).first()[0]
 
 
-def lookback_filter(src: DataFrame, target: DataFrame, day: str, days: int = 7,
+def lookback_bound(target: DataFrame | None, day: str, days: int = 7,
+                   reprocess_from: date | str | None = None) -> date:
+    """First day to read: ``reprocess_from``, else the target's maximum minus ``days``."""
+    if reprocess_from is not None:
+        return date.fromisoformat(str(reprocess_from)[:10])
+    return _as_date(latest(target, day) or date(1900, 1, 1)) - timedelta(days=days)
+
+
+def since_bound(src: DataFrame, bound: date, part: str = "year") -> DataFrame:
+    """Without the year partitions before the bound, where the table has such partitions.
+
+    Cleaned day columns reach no partition filter; this one does.
+    """
+    return src.where(F.col(part) >= bound.year) if part in src.columns else src
+
+
+def lookback_filter(src: DataFrame, target: DataFrame | None, day: str, days: int = 7,
                     reprocess_from: date | str | None = None,
                     target_day: str | None = None) -> DataFrame:
     """Source rows since the target's own maximum minus ``days``.
 
     The bound is collected first, so the scan of ``src`` prunes files by it.
     """
-    if reprocess_from is not None:
-        return src.where(F.col(day) >= _day(reprocess_from))
-    top = latest(target, target_day or day) or date(1900, 1, 1)
-    if isinstance(top, datetime):
-        top = top.date()
-    return src.where(F.col(day) >= _day(top - timedelta(days=days)))
+    if reprocess_from is None and target_day is not None:
+        target = target.select(F.col(target_day).alias(day))
+    return src.where(F.col(day) >= _day(lookback_bound(target, day, days, reprocess_from)))
 
 
 def newer_than(src: DataFrame, target: DataFrame, ts: str,
@@ -54,15 +67,29 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def replace_recent(old: DataFrame, new: DataFrame, day: str, days: int, as_of: date | str
                    ) -> DataFrame:
-    """Drop the last ``days`` days and append the re-fetched ones (same bound on both)."""
+    """Drop the last ``days`` days and append the re-fetched ones (same bound on both).
+
+    Old rows without a day are in no window and stay.
+    """
     cut = F.date_sub(_day(as_of), days)
-    return old.where(F.col(day) < cut).unionByName(new.where(F.col(day) >= cut))
+    return old.where(_before(day, cut)).unionByName(new.where(F.col(day) >= cut))
 
 
 def replace_range(old: DataFrame, new: DataFrame, ts: str, start, end) -> DataFrame:
     """Replace the days of [start, end]; the batch is cut to the same window first."""
     inside = F.to_date(ts).between(_day(start), _day(end))
-    return old.where(~inside).unionByName(new.where(inside))
+    return old.where(~F.coalesce(inside, F.lit(False))).unionByName(new.where(inside))
+
+
+def _before(day: str, cut: Column) -> Column:
+    return F.coalesce(F.col(day) < cut, F.lit(True))
+
+
+def recent_cut(as_of: date | str, days: int | None = None, months: int | None = None) -> Column:
+    """First day of the last ``days`` days or of the last whole ``months``."""
+    if months is not None:
+        return F.trunc(F.add_months(_day(as_of), -months), "month")
+    return F.date_sub(_day(as_of), days)
 
 
 def recompute_recent(build: Callable[[Column | None], DataFrame], target: DataFrame, day: str,
@@ -72,12 +99,9 @@ def recompute_recent(build: Callable[[Column | None], DataFrame], target: DataFr
 
     ``build`` receives the lower date bound, to apply to every source it reads.
     """
-    if months is not None:
-        cut = F.trunc(F.add_months(_day(as_of), -months), "month")
-    else:
-        cut = F.date_sub(_day(as_of), days)
+    cut = recent_cut(as_of, days, months)
     fresh = build(cut).where(F.col(day) >= cut)
-    return target.where(F.col(day) < cut).unionByName(fresh)
+    return target.where(_before(day, cut)).unionByName(fresh)
 
 
 def recompute_months(aggregate: Callable[[DataFrame], DataFrame],

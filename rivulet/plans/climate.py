@@ -16,6 +16,7 @@ from rivulet.operators.joins import attach_normals, left_align
 from rivulet.operators.refresh import upsert
 from rivulet.operators.reshape import tag_union, unpivot_windows
 from rivulet.operators.summaries import positive_moments, valid_stats
+from rivulet.sources.tables import exists, upsert_table
 
 
 def _daily(df: DataFrame, measures: Sequence[str]) -> DataFrame:
@@ -104,22 +105,41 @@ def build_fct_era5_spei_climatology_grid(monthly: DataFrame, **params) -> DataFr
         F.col("n").cast("int").alias("nb_annees"), F.current_timestamp().alias("computed_at"))
 
 
+INDEX_KEYS = [*CELL, "month", "fenetre"]
+
+
+def _scored(monthly: DataFrame, normals: DataFrame, spei_params: DataFrame, as_of: str,
+            months: int | None, start: str, min_years: int) -> DataFrame:
+    """All months from ``start``, or the last ``months`` before the month of ``as_of``."""
+    if months is not None:
+        total = int(as_of[:4]) * 12 + int(as_of[5:7]) - 1 - months
+        start = f"{total // 12:04d}-{total % 12 + 1:02d}-01"
+    scored = indices.grid_indices(monthly, attach_normals(normals, spei_params), start,
+                                  as_of[:7] + "-01", min_years=min_years)
+    return scored.withColumn("computed_at", F.current_timestamp())
+
+
 def build_fct_era5_indices_grid(monthly: DataFrame, normals: DataFrame,
                                 spei_params: DataFrame, as_of: str,
                                 target: DataFrame | None = None, months: int = 3,
                                 start: str = "1950-01-01",
                                 min_years: int = indices.MIN_YEARS_REF) -> DataFrame:
     """Full history without a target; with one, the last months are rescored and upserted."""
-    end = as_of[:7] + "-01"
-    if target is not None:
-        total = int(as_of[:4]) * 12 + int(as_of[5:7]) - 1 - months
-        start = f"{total // 12:04d}-{total % 12 + 1:02d}-01"
-    params = attach_normals(normals, spei_params)
-    scored = indices.grid_indices(monthly, params, start, end, min_years=min_years)
-    fresh = scored.withColumn("computed_at", F.current_timestamp())
-    if target is None:
-        return fresh
-    return upsert(target, fresh, [*CELL, "month", "fenetre"])
+    fresh = _scored(monthly, normals, spei_params, as_of, None if target is None else months,
+                    start, min_years)
+    return fresh if target is None else upsert(target, fresh, INDEX_KEYS)
+
+
+def store_fct_era5_indices_grid(path: str, monthly: DataFrame, normals: DataFrame,
+                                spei_params: DataFrame, as_of: str, months: int = 3,
+                                start: str = "1950-01-01",
+                                min_years: int = indices.MIN_YEARS_REF) -> DataFrame:
+    """The nightly job on a table partitioned by year: only the years of the last months
+    are rewritten. The first run stores the whole history."""
+    first = not exists(monthly.sparkSession, path)
+    fresh = _scored(monthly, normals, spei_params, as_of, None if first else months, start,
+                    min_years)
+    return upsert_table(fresh, path, INDEX_KEYS, "month", sort=CELL)
 
 
 # ---- station indices ---------------------------------------------------------

@@ -55,7 +55,7 @@ def build_int_era5_grid_points(timeseries: DataFrame) -> DataFrame:
 def _nearest_cell(stations: DataFrame, grid: DataFrame, key: str, lat: str, lon: str,
                   distance) -> DataFrame:
     inside = stations.where(in_bbox(lat, lon, BOX))
-    found = spatial.nearest(inside, grid, key, lat, lon, box=BOX)
+    found = spatial.nearest(inside, grid, key, lat, lon)
     return found.withColumn("era5_distance_m",
                             distance(lon, lat, "era5_longitude", "era5_latitude"))
 

@@ -9,8 +9,9 @@ from rivulet.functions.clean import (clean_date, clean_int, clean_numeric, clean
 from rivulet.functions.geo import make_point
 from rivulet.operators.dedup import first_per_key
 from rivulet.operators.joins import enrich, keep_known
-from rivulet.operators.quality import append_rejects, require_any, require_not_null, split_rejects
-from rivulet.operators.refresh import lookback_filter, newer_than
+from rivulet.operators.quality import (append_rejects, require_any, require_not_null,
+                                       require_parent, split_rejects)
+from rivulet.operators.refresh import lookback_bound, newer_than, since_bound
 from rivulet.operators.reshape import select_with_rest
 
 LOADER_COLUMNS = ["_dlt_load_id", "_dlt_id"]
@@ -59,14 +60,18 @@ def build_stg_piezo_chroniques(raw: DataFrame, stations: DataFrame,
     The station test comes after the reduction to one row per station and day,
     where a very chatty station weighs no more than its number of days.
     """
+    incremental = target is not None or reprocess_from is not None
+    if incremental:
+        bound = lookback_bound(target, "date_mesure", days, reprocess_from)
+        raw = since_bound(raw, bound)
     typed = raw.select(clean_date("date_mesure").alias("date_mesure"),
                        *_number("niveau_nappe_eau", "profondeur_nappe"), *_text("code_bss"))
     rows = require_any(require_not_null(typed, ["date_mesure", "code_bss"]),
                        ["niveau_nappe_eau", "profondeur_nappe"])
-    if target is not None or reprocess_from is not None:
-        rows = lookback_filter(rows, target, "date_mesure", days, reprocess_from)
+    if incremental:
+        rows = rows.where(F.col("date_mesure") >= F.lit(bound))
     best = first_per_key(rows, ["code_bss", "date_mesure"], [("niveau_nappe_eau", "desc")])
-    return keep_known(best, stations, "code_bss")
+    return keep_known(require_parent(best, stations, "stations"), stations, "code_bss")
 
 
 def build_piezo_chroniques_rejected(raw: DataFrame, stations: DataFrame,
@@ -111,7 +116,7 @@ def build_stg_hydrometry_stations(raw: DataFrame, sites: DataFrame) -> DataFrame
                "code_cours_eau", "libelle_cours_eau", "uri_cours_eau", "libelle_departement"))
     rows = require_not_null(rows, ["code_station", "longitude_station", "latitude_station"])
     latest = first_per_key(keep_known(
-        rows, sites, "code_site", spread=["code_station", "date_maj_station"]), ["code_station"],
+        require_parent(rows, sites, "sites"), sites, "code_site", spread=["code_station", "date_maj_station"]), ["code_station"],
                            [("date_maj_station", "desc")])
     return latest.withColumn("geometry", make_point("longitude_station", "latitude_station"))
 
@@ -137,6 +142,10 @@ def build_stg_hydrometry_obs_elab(raw: DataFrame, sites: DataFrame,
                                   keys: tuple[str, ...] = ("code_site", "date_obs_elab",
                                                            "grandeur_hydro_elab")) -> DataFrame:
     """Highest value per site, day and quantity; ``keys`` may name the station instead."""
+    incremental = target is not None or reprocess_from is not None
+    if incremental:
+        bound = lookback_bound(target, "date_obs_elab", days, reprocess_from)
+        raw = since_bound(raw, bound)
     rows = raw.select(
         clean_date("date_obs_elab").alias("date_obs_elab"), *_number("resultat_obs_elab"),
         *_text("code_site", "grandeur_hydro_elab", "code_station"),
@@ -146,10 +155,10 @@ def build_stg_hydrometry_obs_elab(raw: DataFrame, sites: DataFrame,
         *_number("longitude", "latitude"))
     rows = require_not_null(rows, ["code_site", "date_obs_elab", "grandeur_hydro_elab",
                                    "resultat_obs_elab"])
-    if target is not None or reprocess_from is not None:
-        rows = lookback_filter(rows, target, "date_obs_elab", days, reprocess_from)
+    if incremental:
+        rows = rows.where(F.col("date_obs_elab") >= F.lit(bound))
     best = first_per_key(rows, list(keys), [("resultat_obs_elab", "desc")])
-    known = keep_known(best, sites, "code_site")
+    known = keep_known(require_parent(best, sites, "sites"), sites, "code_site")
     return enrich(known, sites, "code_site", ["geometry"])
 
 

@@ -13,12 +13,12 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.utils import AnalysisException
 
 from rivulet.operators import refresh
 
 
 SCRATCH = "rivulet.scratch.dir"
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -46,19 +46,34 @@ def settle(df: DataFrame, name: str = "table", path: str | None = None) -> DataF
 
     Cuts the lineage the way a stored table does: later steps do not recompute
     it, a lost executor cannot lose it, and its true size is known to the
-    planner, which then broadcasts it only if it is small.
+    planner, which then broadcasts it only if it is small. Once it is stored, the
+    shuffle files that led to it are of no more use and are dropped.
     """
-    target = path or f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target)
+    spark = df.sparkSession
+    target = path or f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(target)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(target)
+
+
+def _at(spark: SparkSession, path: str):
+    """(file system, path) of the session's own Hadoop client."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException:
-        return False
+    fs, place = _at(spark, path)
+    return fs.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, place = _at(spark, path)
+    fs.delete(place, True)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -69,26 +84,29 @@ def _with_year(df: DataFrame, day: str) -> DataFrame:
     return df.withColumn("year", F.year(day))
 
 
-def _replace_years(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """Overwrite only the years present in ``df``; rows spread over tasks by year and key."""
-    keys = [c for c in order if c in df.columns]
-    spread = df.repartition("year", *keys[:1]) if keys else df.repartition("year")
-    (spread.sortWithinPartitions("year", *keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path))
-
+def _replace_parts(df: DataFrame, path: str, part: str, order: Sequence[str] = ()) -> None:
+    """Overwrite only the partitions present in ``df``.
 
-def _staged(df: DataFrame, path: str) -> DataFrame:
-    """Materialise next to the table before the table itself is rewritten."""
-    stage = f"{path.rstrip('/')}__stage_{uuid.uuid4().hex}"
-    df.write.parquet(stage)
-    return df.sparkSession.read.schema(df.schema).parquet(stage)
+    Rows are rebalanced by partition: a large partition goes to several tasks of
+    about the advisory size, small ones share a task, whatever the keys in them.
+    """
+    keys = [c for c in order if c in df.columns]
+    (df.hint("rebalance", part).sortWithinPartitions(part, *keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
 
 
 def refresh_replace(df: DataFrame, path: str) -> DataFrame:
-    """Whole-table refresh; the new rows are complete on disk before the old ones go."""
-    staged = _staged(df, path)
-    staged.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Whole-table refresh: the new rows are complete beside the table before it is switched."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    stage, old = f"{path.rstrip('/')}__stage_{mark}", f"{path.rstrip('/')}__old_{mark}"
+    df.write.parquet(stage)
+    fs, place = _at(spark, path)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    if fs.exists(place):
+        fs.rename(place, hadoop_path(old))
+    fs.rename(hadoop_path(stage), place)
+    remove(spark, old)
+    return spark.read.parquet(path)
 
 
 def refresh_partition(df: DataFrame, path: str, day: str, year: int,
@@ -97,40 +115,67 @@ def refresh_partition(df: DataFrame, path: str, day: str, year: int,
     rows = _with_year(df.where(F.year(day) == year), day)
     if rows.isEmpty():
         return None
-    _replace_years(rows, path, sort)
+    _replace_parts(rows, path, "year", sort)
     return read_table(df.sparkSession, path)
 
 
-def _rewrite(df: DataFrame, path: str, day: str, touched: Column,
-             change: Callable[[DataFrame], DataFrame], sort: Sequence[str]) -> DataFrame:
-    """Read the touched years, change them, write those years back.
+def _files(spark: SparkSession, path: str, part: str) -> dict[str, frozenset[str]]:
+    """Names of the data files in each partition folder."""
+    fs, place = _at(spark, path)
+    found = {}
+    for folder in fs.listStatus(place):
+        name = folder.getPath().getName()
+        if folder.isDirectory() and name.startswith(f"{part}="):
+            found[name] = frozenset(f.getPath().getName() for f in fs.listStatus(folder.getPath()))
+    return found
+
+
+def _rewrite(spark: SparkSession, path: str, part: str, touched: Column,
+             change: Callable[[DataFrame | None], DataFrame], sort: Sequence[str] = ()
+             ) -> DataFrame:
+    """Read the touched partitions, change them, write them back; the others are not opened.
 
-    Dynamic overwrite stages its files and swaps partitions at commit, so it may
-    read the table it writes. It cannot empty a partition; when a change leaves
-    a year without rows the whole table is rewritten instead.
+    ``touched`` is over the partition column, false or NULL for those to leave
+    alone; ``change`` gets their rows (None if there is no table yet) and returns
+    what they hold from now on, with the partition column. Dynamic overwrite swaps
+    partitions at commit, so it may read the table it writes. A touched partition
+    that got no rows is left as it was by the write; its folder is removed after.
     """
-    spark = df.sparkSession
     if not exists(spark, path):
-        _replace_years(_with_year(change(df.limit(0)), day), path, sort)
+        _replace_parts(change(None), path, part, sort)
         return read_table(spark, path)
     table = read_table(spark, path)
-    old = table.where(touched)
-    new = _with_year(change(old.drop("year")), day)
-    gone = old.select("year").distinct().join(new.select("year").distinct(), "year", "left_anti")
-    if gone.isEmpty():
-        _replace_years(new, path, sort)
-    else:
-        whole = _staged(table.where(~touched).unionByName(new), path)
-        whole.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "year").parquet(path)
+    inside = F.coalesce(touched, F.lit(False))
+    kept_type = table.schema[part].dataType.simpleString()
+    before = _files(spark, path, part)
+    names = spark.createDataFrame([(n.split("=", 1)[1],) for n in before], "name string")
+    value = F.when(F.col("name") != "__HIVE_DEFAULT_PARTITION__", F.col("name")).cast(kept_type)
+    hit = {f"{part}={r['name']}" for r in names.withColumn(part, value).where(inside)
+           .select("name").collect()}
+    _replace_parts(change(table.where(inside)), path, part, sort)
+    after = _files(spark, path, part)
+    for name in hit:
+        if after.get(name) == before[name]:
+            remove(spark, f"{path}/{name}")
     return read_table(spark, path)
 
 
+def _by_year(df: DataFrame, path: str, day: str, touched: Column,
+             change: Callable[[DataFrame], DataFrame], sort: Sequence[str]) -> DataFrame:
+    def with_years(old: DataFrame | None) -> DataFrame:
+        return _with_year(change(df.limit(0) if old is None else old.drop("year")), day)
+
+    return _rewrite(df.sparkSession, path, "year", touched, with_years, sort)
+
+
 def refresh_recent(df: DataFrame, path: str, day: str, days: int, as_of: date | str,
                    sort: Sequence[str] = ()) -> DataFrame:
-    """Delete the last ``days`` days, append the re-fetched ones; other years stay untouched."""
+    """Delete the last ``days`` days, append the re-fetched ones; other years stay untouched.
+
+    Stored rows without a day stay too.
+    """
     cut = F.date_sub(F.lit(str(as_of)).cast("date"), days)
-    return _rewrite(df, path, day, F.col("year") >= F.year(cut),
+    return _by_year(df, path, day, F.col("year") >= F.year(cut),
                     lambda old: refresh.replace_recent(old, df, day, days, as_of), sort)
 
 
@@ -138,21 +183,87 @@ def refresh_range(df: DataFrame, path: str, ts: str, start, end, sort: Sequence[
                   ) -> DataFrame:
     years = F.col("year").between(F.year(F.lit(str(start)).cast("date")),
                                   F.year(F.lit(str(end)).cast("date")))
-    return _rewrite(df, path, ts, years,
+    return _by_year(df, path, ts, years,
                     lambda old: refresh.replace_range(old, df, ts, start, end), sort)
 
 
 def upsert_table(df: DataFrame, path: str, keys: Sequence[str], day: str,
                  sort: Sequence[str] = ()) -> DataFrame:
-    """Delete + insert by key in the years the batch touches.
+    """Delete + insert by key in the years the batch touches, that of no day included.
 
-    ``day`` must be part of the key, or corrections could move between years.
+    ``day`` must be part of the key, or corrections could move between years. Keys
+    with a NULL part match nothing, as in SQL: such rows are added, none is deleted.
     """
     if day not in keys:
         raise ValueError(f"{day} must be one of the keys {list(keys)}")
-    years = [r[0] for r in df.select(F.year(day)).distinct().collect()]
-    return _rewrite(df, path, day, F.col("year").isin(years),
-                    lambda old: refresh.upsert(old, df, keys), sort)
+    batch = settle(df, "batch")
+    years = [r[0] for r in batch.select(F.year(day)).distinct().collect()]
+    touched = F.col("year").isin([y for y in years if y is not None])
+    if None in years:
+        touched = touched | F.col("year").isNull()
+    return _by_year(batch, path, day, touched, lambda old: refresh.upsert(old, batch, keys), sort)
+
+
+def recompute_recent_table(spark: SparkSession, path: str, day: str, as_of: date | str,
+                           build: Callable[[Column | None], DataFrame], days: int | None = None,
+                           months: int | None = None, sort: Sequence[str] = ()) -> DataFrame:
+    """``recompute_recent`` on a table partitioned by year: only the last years are rewritten."""
+    cut = refresh.recent_cut(as_of, days, months)
+
+    def change(old: DataFrame | None) -> DataFrame:
+        rows = build(None) if old is None else refresh.recompute_recent(
+            build, old.drop("year"), day, as_of, days, months)
+        return _with_year(rows, day)
+
+    return _rewrite(spark, path, "year", F.col("year") >= F.year(cut), change, sort)
+
+
+def recompute_months_table(path: str, aggregate: Callable[[DataFrame], DataFrame],
+                           roll: Callable[[DataFrame], DataFrame], daily: DataFrame, day: str,
+                           month: str, months: int = 25, sort: Sequence[str] = ()) -> DataFrame:
+    """``recompute_months`` on a monthly table partitioned by year.
+
+    The rolling context is read from all stored months; the years from the first
+    recomputed month on are rewritten.
+    """
+    spark = daily.sparkSession
+    top = refresh.latest(read_table(spark, path), month) if exists(spark, path) else None
+    if top is None:
+        return _rewrite(spark, path, "year", F.lit(True),
+                        lambda _: _with_year(roll(aggregate(daily)), month), sort)
+    since = F.year(F.add_months(F.lit(str(top)).cast("date"), -months))
+    whole = refresh.recompute_months(aggregate, roll, daily, day,
+                                     read_table(spark, path).drop("year"), month, months)
+    return _rewrite(spark, path, "year", F.col("year") >= since,
+                    lambda _: _with_year(whole, month).where(F.col("year") >= since), sort)
+
+
+KEY_PART = "key_part"
+
+
+def with_key_part(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """The partition column of tables that are refreshed key by key."""
+    return df.withColumn(KEY_PART, F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+
+
+def recompute_active_table(path: str, build: Callable[[DataFrame], DataFrame], source: DataFrame,
+                           active: DataFrame, key: str, parts: int = 64,
+                           sort: Sequence[str] = ()) -> DataFrame:
+    """``recompute_active`` on a table partitioned by a hash of the key.
+
+    Only partitions that hold an active key are rewritten. ``parts`` is a property
+    of the table: every refresh must name the same number.
+    """
+    spark = source.sparkSession
+    hit = [r[0] for r in with_key_part(active.select(key), key, parts).select(KEY_PART)
+           .distinct().collect()]
+
+    def change(old: DataFrame | None) -> DataFrame:
+        rows = build(source) if old is None else refresh.recompute_active(
+            build, source, active, old.drop(KEY_PART), key)
+        return with_key_part(rows, key, parts)
+
+    return _rewrite(spark, path, KEY_PART, F.col(KEY_PART).isin(hit), change, sort)
 
 
 def export_tables(tables: Mapping[str, DataFrame], out: str, fmt: str = "parquet") -> list[str]:
@@ -210,7 +321,7 @@ def run_backfill(spark: SparkSession, job: str, partitions: Iterable[str],
             fn(name)
         except Exception as exc:
             outcome[name] = "failed"
-            _log(spark, ledger, job, name, "failed", str(exc)[:1000])
+            _log(spark, ledger, job, name, "failed", str(exc))
             if not keep_going:
                 raise
         else:

@@ -52,13 +52,21 @@ def stream_upsert(stream: DataFrame, table: str, checkpoint: str, keys: Sequence
                   ) -> StreamingQuery:
     """Corrections inside the horizon replace stored rows, the best of a batch wins.
 
-    Rows older than the horizon go to ``rejects`` with the reason LATE. Both
-    writes are idempotent for a repeated batch: the upsert by key, the rejects
-    by a folder per batch.
+    Rows older than the horizon go to ``rejects`` with the reason LATE. A batch that
+    is repeated after a crash gives what it gave: the stored maximum it is split by
+    is kept per batch beside the checkpoint, the upsert is by key, the rejects have a
+    folder per batch.
     """
+    def mark(spark: SparkSession, batch_id: int):
+        place = f"{checkpoint.rstrip('/')}__marks/batch={batch_id}"
+        if not exists(spark, f"{place}/_SUCCESS"):
+            top = latest(read_table(spark, table), day) if exists(spark, table) else None
+            (spark.createDataFrame([(top,)], "top date").coalesce(1).write.mode("overwrite")
+             .parquet(place))
+        return spark.read.schema("top date").parquet(place).first()["top"]
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        top = latest(read_table(spark, table), day) if exists(spark, table) else None
+        top = mark(batch.sparkSession, batch_id)
         current, late = split_late(batch, day, top, horizon)
         if rejects is not None:
             (late.withColumn("rejection_reason", F.lit("LATE")).write.mode("overwrite")

@@ -1,8 +1,13 @@
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from datetime import date
 
+from pyspark.sql import functions as F, types as T
+
+from rivulet.operators import refresh
+from rivulet.plans import staging
 from rivulet.sources import files, tables
+from rivulet.streaming import landing
 
 
 def test_payload_scan_mixes_delimiters(spark, tmp_path):
@@ -77,3 +82,134 @@ def test_key_batches_hold_every_key_once(spark):
     assert len(rows) == len({r.code for r in rows}) == 1230
     sizes = [sum(r.batch == b for r in rows) for b in range(13)]
     assert sizes == [100] * 12 + [30]
+
+
+def test_headers_of_files_with_many_blocks(spark, tmp_path):
+    """The header is the first line, also when a file is read in blocks and lines repeat."""
+    body = "".join(f"k{i};{i}\n" for i in range(60_000))
+    (tmp_path / "big.csv").write_text("Key; N\n" + body)
+    (tmp_path / "other.csv").write_text("n,key\n7,x\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = files.read_payload_csv(spark, str(tmp_path))
+        assert df.select("key", "n").where("key in ('k0', 'k59999', 'x')").orderBy("key").collect() == [
+            ("k0", "0"), ("k59999", "59999"), ("x", "7")]
+        assert df.count() == 60_001
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def names(path):
+    return {p.relative_to(path).as_posix() for p in path.rglob("*.parquet")}
+
+
+def levels(spark):
+    df = spark.sql("""select concat('s', id % 5) as k, date_add(date'2019-01-01', cast(id as int)) as d,
+                      cast(id as double) as v from range(1400)""")
+    return df.union(spark.sql("select 'undated' as k, cast(null as date) as d, 1.0D as v"))
+
+
+def test_refreshes_leave_other_partitions_alone(spark, tmp_path):
+    path = tmp_path / "t"
+    tables.upsert_table(levels(spark), str(path), ["k", "d"], "d", ["k"])
+    before = names(path)
+    assert {n.split("/")[0] for n in before} == {
+        "year=2019", "year=2020", "year=2021", "year=2022", "year=__HIVE_DEFAULT_PARTITION__"}
+    fresh = levels(spark).where("d >= '2022-06-01'").withColumn("v", F.lit(-1.0))
+    got = tables.refresh_recent(fresh, str(path), "d", 60, "2022-10-31")
+    changed = names(path) ^ before
+    assert {n.split("/")[0] for n in changed} == {"year=2022"}
+    assert got.where("d is null").count() == 1 and got.where("v = -1").count() == 61
+    before = names(path)
+    got = tables.refresh_range(fresh.limit(0), str(path), "d", "2020-01-01", "2020-12-31")
+    assert before - names(path) == {n for n in before if n.startswith("year=2020")}
+    assert names(path) < before and got.where("d is null").count() == 1
+    more = spark.sql("select 'other' as k, cast(null as date) as d, 2.0D as v")
+    got = tables.upsert_table(more, str(path), ["k", "d"], "d")
+    assert {r.k for r in got.where("d is null").collect()} == {"undated", "other"}
+
+
+def test_recomputes_rewrite_only_what_they_touch(spark, tmp_path):
+    path, source = tmp_path / "t", levels(spark)
+    build = lambda cut: source if cut is None else source.where(F.col("d") >= cut)
+    tables.recompute_recent_table(spark, str(path), "d", "2022-10-31", build, days=30)
+    before = names(path)
+    got = tables.recompute_recent_table(spark, str(path), "d", "2022-10-31", build, days=30)
+    assert {n.split("/")[0] for n in names(path) ^ before} == {"year=2022"}
+    assert sorted(map(str, got.drop("year").collect())) == sorted(map(str, source.collect()))
+
+    keyed = tmp_path / "keyed"
+    total = lambda df: df.groupBy("k").agg(F.sum("v").alias("v"))
+    everyone = source.select("k").distinct()
+    tables.recompute_active_table(str(keyed), total, source, everyone, "k", parts=16)
+    before = names(keyed)
+    got = tables.recompute_active_table(str(keyed), total, source, everyone.where("k = 's3'"), "k", parts=16)
+    assert len({n.split("/")[0] for n in names(keyed) ^ before}) == 1
+    assert sorted(map(str, got.drop(tables.KEY_PART).collect())) == sorted(map(str, total(source).collect()))
+
+
+def test_a_hot_key_of_one_year_is_written_by_several_tasks(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        df = spark.range(200_000).selectExpr("'hot' as k", "date'2020-02-02' as d", "uuid() as v")
+        tables.upsert_table(df, str(tmp_path / "t"), ["k", "d", "v"], "d")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(names(tmp_path / "t")) > 3
+
+
+def test_replaced_tables_leave_nothing_behind(spark, tmp_path):
+    path = tmp_path / "t"
+    for n in (3, 5):
+        assert tables.refresh_replace(spark.range(n), str(path)).count() == n
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_incremental_staging_prunes_bronze(spark, tmp_path):
+    raw = spark.sql("""select concat('s', id % 3) as code_bss, string(date_add(date'2015-01-01', cast(id as int)))
+                       as date_mesure, string(id) as niveau_nappe_eau, '1' as profondeur_nappe,
+                       year(date_add(date'2015-01-01', cast(id as int))) as year from range(2500)""")
+    raw.write.partitionBy("year").parquet(str(tmp_path / "bronze"))
+    stations = spark.sql("select concat('s', id) as code_bss from range(3)")
+    bronze = spark.read.parquet(str(tmp_path / "bronze"))
+    old = staging.build_stg_piezo_chroniques(bronze, stations).where("date_mesure < '2021-05-01'")
+    new = staging.build_stg_piezo_chroniques(bronze, stations, target=old)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and ">= 2021" in plan
+    assert refresh.lookback_bound(old, "date_mesure") == date(2021, 4, 23)
+    whole = staging.build_stg_piezo_chroniques(bronze, stations)
+    assert refresh.upsert(old, new, ["code_bss", "date_mesure"]).count() == whole.count()
+
+
+def test_a_repeated_stream_batch_is_split_alike(spark, tmp_path, monkeypatch):
+    """A crash after the upsert and before the commit: the restart gives the same tables."""
+    table, rejects, mark = (str(tmp_path / n) for n in ("table", "late", "mark"))
+    folder = str(tmp_path / "landed")
+
+    def run():
+        stream = spark.readStream.schema("k string, d date, v double").parquet(folder)
+        landing.stream_upsert(stream, table, mark, ["k", "d"], [("v", "desc")], "d", horizon=10,
+                              rejects=rejects).awaitTermination()
+
+    spark.sql("select 'a' as k, date'2024-03-01' as d, 1.0D as v").write.parquet(folder)
+    run()
+    spark.sql("""select * from values ('x', date'2024-02-25', 2.0D), ('y', date'2024-06-01', 3.0D),
+                 ('z', date'2024-01-01', 4.0D) as t(k, d, v)""").write.mode("append").parquet(folder)
+    real = landing.upsert_table
+
+    def crash(*args, **kwargs):
+        real(*args, **kwargs)
+        raise RuntimeError("lost between upsert and commit")
+
+    monkeypatch.setattr(landing, "upsert_table", crash)
+    try:
+        run()
+        raise AssertionError("the crash was swallowed")
+    except Exception as exc:
+        assert "lost between" in str(exc)
+    monkeypatch.setattr(landing, "upsert_table", real)
+    run()
+    assert {r.k for r in tables.read_table(spark, table).collect()} == {"a", "x", "y"}
+    assert {r.k for r in spark.read.parquet(rejects).collect()} == {"z"}
