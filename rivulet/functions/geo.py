@@ -19,6 +19,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+SETTLED = 1e-11
+
+
 def make_point(lon: Column | str, lat: Column | str) -> Column:
     """NULL unless both coordinates exist."""
     lon, lat = col(lon).cast("double"), col(lat).cast("double")
@@ -36,7 +39,11 @@ def haversine_m(lon1, lat1, lon2, lat2) -> Column:
 
 
 def distance_m(lon1, lat1, lon2, lat2, rounds: int = 8) -> Column:
-    """Ellipsoidal distance (Vincenty's inverse formula, fixed number of rounds)."""
+    """Ellipsoidal distance (Vincenty's inverse formula).
+
+    NULL where the angle has not settled within ``rounds`` (points almost opposite
+    each other): its last step must be below SETTLED radians, some 0.1 mm.
+    """
     b = WGS84_A * (1 - WGS84_F)
     x1, y1, x2, y2 = (F.radians(col(c).cast("double")) for c in (lon1, lat1, lon2, lat2))
     start = F.struct(
@@ -84,9 +91,14 @@ def distance_m(lon1, lat1, lon2, lat2, rounds: int = 8) -> Column:
         return b * big_a * (s["sigma"] - delta)
 
     def solve(p: Column) -> Column:
-        lam = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), p["dl"],
-                          lambda acc, _i: refine(p, acc))
-        return let(lam, lambda v: let(angles(p, v), length))
+        first = F.struct(p["dl"].alias("at"), F.lit(None).cast("double").alias("moved"))
+
+        def again(acc: Column, _round: Column) -> Column:
+            return let(refine(p, acc["at"]), lambda v: F.struct(
+                v.alias("at"), F.abs(v - acc["at"]).alias("moved")))
+
+        last = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), first, again)
+        return let(last, lambda v: F.when(v["moved"] <= SETTLED, let(angles(p, v["at"]), length)))
 
     return let(start, solve)
 

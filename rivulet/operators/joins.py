@@ -2,10 +2,9 @@
 
 No broadcast hints: Spark broadcasts a side when its size estimate (or, under
 AQE, its measured size) is below the threshold and sort-merges otherwise, and
-AQE splits skewed sort-merge partitions. Raw facts can be dominated by one key,
-or by NULL, so the raw-grain joins also spread the left side over sub-keys
-derived from a row identifier and repeat the (unique-key) right side; the
-result is the same with any salt.
+AQE splits skewed sort-merge partitions, those of NULL keys too. Where a session
+has AQE off, ``salted_join`` can spread the left side over sub-keys derived from a
+row identifier; the result is the same with any salt.
 """
 
 from __future__ import annotations
@@ -18,21 +17,19 @@ from pyspark.sql import DataFrame, functions as F
 from rivulet.functions.calendar import month_start
 from rivulet.functions.clean import first_token
 
-SALT = 8
-
 
 def _list(keys: Sequence[str] | str) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | str, how: str,
-                spread: Sequence[str] = (), salt: int = SALT) -> DataFrame:
+                spread: Sequence[str] = (), salt: int = 1) -> DataFrame:
     """Equi-join that tolerates a hot (or NULL) key on the left side.
 
-    ``spread`` names left columns that differ between the rows of one key, such
-    as a row identifier; without it this is a plain join. ``right`` must hold
-    each key once and stay small enough to repeat ``salt`` times. ``how`` is one
-    that never emits unmatched right rows.
+    A plain join leaves the splitting to AQE. With a ``salt`` the rows of a key are
+    dealt to that many tasks by ``spread``, left columns that differ between them such
+    as a row identifier, and ``right``, which must hold each key once, is repeated as
+    often. ``how`` is one that never emits unmatched right rows.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"unsupported join type: {how}")
@@ -154,7 +151,7 @@ def match_entity(stations: DataFrame, entities: DataFrame, key: str, codes: str,
     lookup = (entities.withColumn("_code", F.trim(F.col(code)))
               .select("_code", F.col(code).alias("_entity"),
                       *[F.col(a).alias(f"_e_{a}") for a in attrs]))
-    listed = (stations.select(key, F.posexplode(F.split(F.coalesce(F.col(codes), F.lit("")), sep))
+    listed = (stations.select(key, F.posexplode(F.split(F.coalesce(F.col(codes), F.lit("")), "\\Q" + sep + "\\E"))
                               .alias("_pos", "_token"))
               .select(key, "_pos", F.trim("_token").alias("_code")).where("_code != ''"))
     hits = listed.join(lookup, "_code").drop("_code")

@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.functions.geo import let, point_in_ring, ring_area
 
-BROADCAST_TILES = 100_000
-
 
 def _squared(dx: Column, dy: Column) -> Column:
     # nine decimals absorb floating noise, so that exact ties stay ties
@@ -22,12 +20,11 @@ def _squared(dx: Column, dy: Column) -> Column:
 
 def nearest(points: DataFrame, grid: DataFrame, key: str, lat: str, lon: str,
             grid_lat: str = "era5_latitude", grid_lon: str = "era5_longitude",
-            step: float = 0.1,
-            box: tuple[float, float, float, float] = (-90.0, 90.0, -180.0, 180.0)) -> DataFrame:
+            step: float = 0.1) -> DataFrame:
     """Closest grid point in planar degrees; ties go to the lower lat, then lon.
 
     The grid is snapped to ``step``, so a tile of 4x4 steps holds at most 16
-    points and ``box`` bounds the number of tiles. Points looks up its own tile
+    points. A point looks up its own tile
     among grid points copied into the 3x3 tiles around them; that answer is
     final when it is no farther than one tile. The remaining points (over sea,
     abroad) go through a pyramid of tight tile boxes, which is exact at any
@@ -43,9 +40,6 @@ def nearest(points: DataFrame, grid: DataFrame, key: str, lat: str, lon: str,
                       (F.floor(F.col("_y") / size) + F.col("_dy")).alias("_ty"),
                       F.struct("_y", "_x", "_glat", "_glon").alias("_c"))
               .groupBy("_tx", "_ty").agg(F.collect_list("_c").alias("_cands")))
-    n_tiles = ((box[1] - box[0]) / size + 3) * ((box[3] - box[2]) / size + 3)
-    if n_tiles <= BROADCAST_TILES:
-        around = F.broadcast(around)
     px, py = F.col(lon).cast("double"), F.col(lat).cast("double")
     placed = (points.withColumn("_px", px).withColumn("_py", py)
               .withColumn("_tx", F.floor(F.col("_px") / size))

@@ -30,6 +30,14 @@ def test_salted_joins_equal_plain_joins_on_a_hot_key(spark):
     assert joins.keep_known(rows, ref.where("false"), "k").count() == 0
 
 
+def test_entity_match_takes_the_separator_literally(spark):
+    stations = spark.createDataFrame([("s", "A1|B2"), ("t", "B2"), ("u", None)], "k string, codes string")
+    entities = spark.createDataFrame([("B2", "b")], "code_eh string, label string")
+    got = {r.k: (r.code_eh, r.matched_by) for r in joins.match_entity(
+        stations, entities, "k", "codes", attrs=["label"], sep="|").collect()}
+    assert got == {"s": ("B2", "ANY"), "t": ("B2", "PRIMARY"), "u": (None, None)}
+
+
 def test_first_per_key_limits_groups_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     best = dedup.first_per_key(df, ["k"], [("v", "desc")])
@@ -63,6 +71,20 @@ def test_nearest_equals_brute_force_near_and_far(spark):
         assert got[k] == (best[1], best[2])
 
 
+def test_nearest_on_a_grid_around_the_world(spark):
+    rng = random.Random(9)
+    cells = [(round(rng.uniform(-180, 180), 1), round(rng.uniform(-90, 90), 1)) for _ in range(1500)]
+    points = [(f"p{i}", rng.uniform(-180, 180), rng.uniform(-90, 90)) for i in range(120)]
+    grid = spark.createDataFrame([(y, x) for x, y in cells], "la double, lo double").select(
+        F.col("la").cast("decimal(6,1)").alias("era5_latitude"),
+        F.col("lo").cast("decimal(6,1)").alias("era5_longitude"))
+    got = {r.k: (float(r.era5_latitude), float(r.era5_longitude)) for r in spatial.nearest(
+        spark.createDataFrame(points, "k string, x double, y double"), grid, "k", "y", "x").collect()}
+    for k, x, y in points:
+        best = min((round((cx - x) ** 2 + (cy - y) ** 2, 9), cy, cx) for cx, cy in cells)
+        assert got[k] == (best[1], best[2])
+
+
 def test_polygon_join_prefers_the_smaller(spark):
     def box(x0, y0, x1, y1):
         return [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
@@ -81,53 +103,64 @@ def test_polygon_join_prefers_the_smaller(spark):
 # ---- climate --------------------------------------------------------------------------
 
 def test_hourly_to_daily(spark):
-    start, rows = datetime(2024, 1, 10), []
-    for hour in range(48):
-        day2, h = hour >= 24, hour % 24
-        for lat, lon, celsius in ((45.000000001, 2.000000001, h + (10 if day2 else 0)),
-                                  (45.000000001, 3.099999999, h - 5 + (10 if day2 else 0)),
-                                  (46.099999999, 2.000000001, float("nan")),
-                                  (46.099999999, 3.099999999, 15.0)):
-            rows.append((start + timedelta(hours=hour), lat, lon, celsius + 273.15))
+    rng, rows, want = random.Random(12), [], {}
+    for lat, lon in ((43.2, -0.7), (43.2, -0.6), (50.9, 7.4)):
+        for day in range(3):
+            some = [round(rng.uniform(-12, 30), 3) for _ in range(rng.randint(5, 24))]
+            for hour, celsius in enumerate(some):
+                rows.append((datetime(2022, 2, 27) + timedelta(days=day, hours=hour),
+                             lat + rng.uniform(-1e-9, 1e-9), lon + rng.uniform(-1e-9, 1e-9), celsius + 273.15))
+            want[str(date(2022, 2, 27) + timedelta(days=day)), lat, lon] = (
+                sum(some) / len(some), min(some), max(some))
+    rows += [(datetime(2022, 2, 27, h), 10.0, 10.0, float("nan")) for h in range(24)]  # no reading, no day
     df = spark.createDataFrame(rows, "time timestamp, latitude double, longitude double, t2m double")
     got = {(str(r.time), float(r.latitude), float(r.longitude)): (r.t2m_mean, r.t2m_min, r.t2m_max)
            for r in summaries.hourly_to_daily(df).collect()}
-    assert got == {
-        ("2024-01-10", 45.0, 2.0): (11.5, 0, 23), ("2024-01-11", 45.0, 2.0): (21.5, 10, 33),
-        ("2024-01-10", 45.0, 3.1): (6.5, -5, 18), ("2024-01-11", 45.0, 3.1): (16.5, 5, 28),
-        ("2024-01-10", 46.1, 3.1): (15, 15, 15), ("2024-01-11", 46.1, 3.1): (15, 15, 15)}
+    assert set(got) == set(want)
+    for key, values in want.items():
+        assert got[key] == pytest.approx(values, abs=0.0051)
+        assert all(round(v, 2) == v for v in got[key])
 
 
-def glo_samples(alpha, k, xi, n=60):
-    f = [(i - 0.5) / n for i in range(1, n + 1)]
-    return [xi + alpha * (1 - ((1 - p) / p) ** k) / k for p in f]
+def glo_by_moments(values):
+    """Location, scale and shape by gamma functions, from moments at positions (i - 0.35) / n."""
+    x, n = sorted(values), len(values)
+    above = [1 - (i + 0.65) / n for i in range(n)]
+    a0, a1, a2 = (sum(v * p ** r for v, p in zip(x, above)) / n for r in range(3))
+    l2, l3 = a0 - 2 * a1, a0 - 6 * a1 + 6 * a2
+    k = -l3 / l2
+    both = math.gamma(1 + k) * math.gamma(1 - k)
+    return a0 - l2 / both / k * (1 - both), l2 / both, k
+
+
+def draws(rng, n, xi, alpha, k):
+    return [xi + alpha / k * (1 - (1 / u - 1) ** k) for u in (rng.uniform(0.002, 0.998) for _ in range(n))]
 
 
 def test_glo_fit(spark):
-    groups = {"plus": glo_samples(40.0, 0.3, -10.0), "minus": glo_samples(40.0, -0.3, -10.0),
-              "short": [1.0, 2.0], "flat": [-5.0] * 30, "skewed": [-1e12] * 7 + [0.0],
-              "artefact": [5.0] * 30, "gaps": glo_samples(40.0, 0.3, -10.0) + [float("nan"), None]}
-    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs],
-                               "g string, v double")
+    rng = random.Random(77)
+    groups = {f"g{i}": draws(rng, n, xi, alpha, k) for i, (n, xi, alpha, k) in enumerate(
+        [(37, 3.0, 11.0, 0.12), (81, -250.0, 90.0, -0.21), (150, 0.0, 0.5, 0.05)])}
+    holes = groups["g0"] + [None] * 5 + [float("nan")]
+    odd = {"few": groups["g0"][:3], "same": [-7.25] * 25, "holes": holes,
+           "heavy": [0.0] * 40 + [-1e9] * 250}
+    df = spark.createDataFrame([(g, v) for g, vs in (groups | odd).items() for v in vs], "g string, v double")
     fit = {r.g: r for r in indices.fit_glo(df, ["g"], "v").collect()}
-    for name, k in (("plus", 0.3), ("minus", -0.3)):
-        r = fit[name]
-        assert r.reason is None
-        assert abs(r.glo_alpha - 40) < 2 and abs(r.glo_k - k) < 0.1 and abs(r.glo_xi + 10) < 3
-    assert (round(fit["plus"].glo_alpha, 4), round(fit["plus"].glo_k, 4),
-            round(fit["plus"].glo_xi, 4)) == (39.9278, 0.2617, -11.7952)
-    assert fit["gaps"].n == 60 and fit["gaps"].glo_alpha == pytest.approx(fit["plus"].glo_alpha)
-    assert fit["short"].reason == "n_insuffisant" and fit["short"].glo_alpha is None
-    assert fit["flat"].reason == "l2_degenere" and fit["skewed"].reason == "k_hors_domaine"
-    assert fit["artefact"].reason is None and fit["artefact"].glo_alpha < 1
-
-
-def test_reference_fit_drops_thin_groups(spark):
-    rows = [(45.0, 2.0, 1, v) for v in glo_samples(40.0, 0.3, -10.0)] + [(46.0, 2.0, 1, 1.0)] * 3
-    df = spark.createDataFrame(rows, "la double, lo double, m int, v double")
-    fits = indices.fit_reference(df, ["la", "lo", "m"], "v")
-    assert {(r.outcome, r.n_groups, r.pct) for r in indices.coverage_report(fits).collect()} == {
-        ("ok", 1, 50.0), ("n_annees_insuffisant", 1, 50.0)}
+    for g, values in groups.items():
+        assert fit[g].reason is None and fit[g].n == len(values)
+        assert (fit[g].glo_xi, fit[g].glo_alpha, fit[g].glo_k) == pytest.approx(glo_by_moments(values), rel=1e-8)
+    assert fit["holes"].n == 37 and fit["holes"].glo_k == pytest.approx(fit["g0"].glo_k)
+    assert fit["few"].reason == "n_insuffisant" and fit["same"].reason == "l2_degenere"
+    assert fit["few"].glo_alpha is None and fit["same"].glo_k is None
+
+
+def test_reference_fit_reports_every_group(spark):
+    rng = random.Random(5)
+    rows = [(i, v) for i in range(6) for v in draws(rng, 4 if i < 2 else 40, 1.0, 2.0, 0.1)]
+    df = spark.createDataFrame(rows, "cell int, v double")
+    report = indices.coverage_report(indices.fit_reference(df, ["cell"], "v")).collect()
+    assert {(r.outcome, r.n_groups, round(r.pct, 1)) for r in report} == {
+        ("ok", 4, 66.7), ("n_annees_insuffisant", 2, 33.3)}
 
 
 # ---- station indices ------------------------------------------------------------------
@@ -238,6 +271,24 @@ def test_checks_raise_by_severity(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/k_small").first().k == 2
 
 
+def test_row_checks_are_counted_together(spark, tmp_path):
+    df = spark.range(100)
+    checks = [quality.Check("small", bad=F.col("id") >= 90, severity="warn"),
+              quality.Check("known", bad=F.col("id").isNull()),
+              quality.Check("single", lambda d: quality.unique(d, ["id"]))]
+    report = quality.run_checks(df, checks, audit=str(tmp_path))
+    assert [(r["check"], r["failing"], r["status"]) for r in report] == [
+        ("small", 10, "warn"), ("known", 0, "pass"), ("single", 0, "pass")]
+    assert spark.read.parquet(f"{tmp_path}/small").count() == 10
+
+
+def test_an_empty_referential_is_an_error(spark):
+    df = spark.range(3)
+    assert quality.require_parent(df, df, "ids").count() == 3
+    with pytest.raises(Exception, match="ids: the referential has no rows"):
+        quality.require_parent(df, df.where("false"), "ids").collect()
+
+
 def test_presence_checks(spark):
     df = spark.createDataFrame([(1,)], "a int")
     with pytest.raises(ValueError, match="missing columns"):
