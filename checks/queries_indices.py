@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.views import REFERENCE, classify_sql, norm_cdf_sql, norm_ppf_sql
+from checks.views import REFERENCE, classify_sql, gamma_cdf_sql, norm_cdf_sql, norm_ppf_sql
 from rivulet.functions import stats
 from rivulet.operators import indices
 from rivulet.plans import climate
@@ -119,6 +119,30 @@ SELECT c.code, z, {classify_sql('z')} AS index_class
 FROM (SELECT DISTINCT code FROM {_PLAIN} s) c LEFT JOIN ({_SPLI}) k ON c.code = k.code""")(
     lambda t: indices.latest_spli(_plain(t), "code", "mois", "val", min_per_month=5))
 
-# maximum likelihood has no closed SQL form; checked against brute force in the tests
-query("latest_ssfi", "s code index_class; f z")(
+
+
+def _newton_sql(rows: str, rounds: int = 8) -> str:
+    """ln(a) - digamma(a) = s, round by round as nested subqueries."""
+    sums = [" + ".join(f"1/pow(a+{j},{p})" for j in range(8)) for p in (1, 2)]
+    sql = f"SELECT *, (3-s+sqrt((s-3)*(s-3)+24*s))/(12*s) AS a FROM ({rows}) r WHERE s > 0"
+    for _ in range(rounds):
+        sql = f"SELECT *, a+8 AS b, 1/((a+8)*(a+8)) AS i FROM ({sql}) n0"
+        sql = (f"SELECT *, ln(b) - 1/(2*b) - i*(1.0/12 - i*(1.0/120 - i*(1.0/252 - i/240))) - ({sums[0]}) AS psi,"
+               f" 1/b + i/2 + i/b*(1.0/6 - i*(1.0/30 - i*(1.0/42 - i/30))) + ({sums[1]}) AS psi1 FROM ({sql}) n1")
+        sql = (f"SELECT code, x, mean, s, greatest(a - (ln(a)-psi-s)/(1/a-psi1), a/10) AS a FROM ({sql}) n2")
+    return sql
+
+
+_POSITIVE = f"(SELECT * FROM {_PLAIN} p0 WHERE val > 0)"
+_LAST_POSITIVE = f"""SELECT code, MAX(mois) AS last, arg_max(val, mois) AS x
+  FROM {_POSITIVE} s GROUP BY 1 HAVING COUNT(*) >= 60"""
+_GAMMA = f"""SELECT v.code, any_value(l.x) AS x, AVG(v.val) AS mean, ln(AVG(v.val)) - AVG(ln(v.val)) AS s
+  FROM {_POSITIVE} v JOIN ({_LAST_POSITIVE}) l ON v.code = l.code AND month(v.mois) = month(l.last)
+  GROUP BY 1 HAVING COUNT(*) >= 5"""
+_SSFI = f"""SELECT code, round({norm_ppf_sql('p')}, 3) AS z FROM (
+  SELECT code, least(greatest({gamma_cdf_sql('u', 'a')}, 0.001), 0.999) AS p
+  FROM (SELECT code, a, x * a / mean AS u FROM ({_newton_sql(_GAMMA)}) g0) g1) g2"""
+query("latest_ssfi", "s code index_class; f z", f"""
+SELECT c.code, z, {classify_sql('z')} AS index_class
+FROM (SELECT DISTINCT code FROM {_PLAIN} s) c LEFT JOIN ({_SSFI}) k ON c.code = k.code""")(
     lambda t: indices.latest_ssfi(_plain(t), "code", "mois", "val", min_per_month=5))
