@@ -327,11 +327,11 @@ WHERE bss_id IN (SELECT code_bss_nouveau FROM network)""")(
 
 query("hourly_to_daily", "d time; f latitude longitude t2m_mean t2m_min t2m_max", """
 SELECT CAST(time AS DATE) AS time, CAST(ROUND(latitude, 1) AS DECIMAL(6,1)) AS latitude,
-       CAST(ROUND(longitude, 1) AS DECIMAL(6,1)) AS longitude, AVG(c) AS t2m_mean,
-       MIN(c) AS t2m_min, MAX(c) AS t2m_max
+       CAST(ROUND(longitude, 1) AS DECIMAL(6,1)) AS longitude, round_even(AVG(c), 2) AS t2m_mean,
+       round_even(MIN(c), 2) AS t2m_min, round_even(MAX(c), 2) AS t2m_max
 FROM (SELECT *, CASE WHEN isnan(t2m) THEN NULL ELSE t2m - 273.15 END AS c FROM hourly) h
 GROUP BY 1, 2, 3 HAVING AVG(c) IS NOT NULL""")(
-    lambda t: summaries.hourly_to_daily(t("hourly"), digits=8))
+    lambda t: summaries.hourly_to_daily(t("hourly")))
 
 query("monthly_station_summary", "s code_bss; d mois; l nb_jours_mesures; f niveau_moyen niveau_min"
       " niveau_max amplitude_mensuelle niveau_stddev profondeur", f"SELECT * FROM {_M}")(

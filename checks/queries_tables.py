@@ -164,6 +164,9 @@ query("fct_yearly_hydro", "s code_station code_site grandeur_hydro_elab code_dep
 
 # ---- dimensions ------------------------------------------------------------------
 
+# slopes per second that split the stations of the given tables; compared times 1e9
+_STEEP, _ALARMING = 1e-8, 3e-8
+
 query("dim_piezo_stations", "s code_bss bss_id nom_commune code_commune_insee code_departement"
       " nom_departement codes_bdlisa classification_derniere_annee tendance_classification"
       " niveau_alerte qualite_tendance; d date_debut_mesure date_fin_mesure premiere_mesure"
@@ -172,14 +175,16 @@ query("dim_piezo_stations", "s code_bss bss_id nom_commune code_commune_insee co
       " temperature_moyenne_globale precipitation_moyenne_mensuelle niveau_derniere_annee"
       " percentile_derniere_annee slope_niveau r2_niveau slope_precipitation; i nb_mesures_source"
       " derniere_annee; l nb_mesures_total nb_mois_total nb_mois_tendance", f"""
+SELECT * EXCLUDE (slope_niveau, slope_precipitation), slope_niveau * 1e9 AS slope_niveau,
+       slope_precipitation * 1e9 AS slope_precipitation FROM (
 SELECT s.*, s.x AS longitude, s.y AS latitude, s.nb_mesures_piezo AS nb_mesures_source, d.*
        EXCLUDE (code_bss), g.* EXCLUDE (code_bss), t.* EXCLUDE (code_bss),
        l.annee AS derniere_annee, l.niveau_moyen_annuel AS niveau_derniere_annee,
        l.classification_niveau_annuel AS classification_derniere_annee,
        l.percentile_niveau_historique AS percentile_derniere_annee,
-       CASE WHEN slope_niveau IS NULL THEN 'INSUFFISANT' WHEN slope_niveau > 0.0001 THEN 'HAUSSE'
-            WHEN slope_niveau < -0.0001 THEN 'BAISSE' ELSE 'STABLE' END AS tendance_classification,
-       CASE WHEN slope_niveau < -0.0005 THEN 'ALERTE' WHEN slope_niveau < -0.0001 THEN 'VIGILANCE'
+       CASE WHEN slope_niveau IS NULL THEN 'INSUFFISANT' WHEN slope_niveau > {_STEEP} THEN 'HAUSSE'
+            WHEN slope_niveau < -{_STEEP} THEN 'BAISSE' ELSE 'STABLE' END AS tendance_classification,
+       CASE WHEN slope_niveau < -{_ALARMING} THEN 'ALERTE' WHEN slope_niveau < -{_STEEP} THEN 'VIGILANCE'
             ELSE 'NORMAL' END AS niveau_alerte,
        CASE WHEN r2_niveau IS NULL THEN 'NON_CALCULEE' WHEN r2_niveau >= 0.5 THEN 'FIABLE'
             WHEN r2_niveau >= 0.2 THEN 'INDICATIVE' ELSE 'FAIBLE' END AS qualite_tendance
@@ -201,9 +206,11 @@ LEFT JOIN (SELECT code_bss, regr_slope(niveau_moyen, epoch(mois)) AS slope_nivea
            WHERE mois >= DATE '{AS_OF}' - INTERVAL 60 MONTH GROUP BY 1 HAVING COUNT(*) >= 24) t
   ON s.code_bss = t.code_bss
 LEFT JOIN ({top1('SELECT * FROM yearly_levels', 'code_bss', 'annee DESC')}) l
-  ON s.code_bss = l.code_bss""")(
-    lambda t: facts.build_dim_piezo_stations(t.stations, t.fact_levels, t.monthly_levels,
-                                             t.yearly_levels, AS_OF))
+  ON s.code_bss = l.code_bss) d""")(
+    lambda t: facts.build_dim_piezo_stations(
+        t.stations, t.fact_levels, t.monthly_levels, t.yearly_levels, AS_OF, steep=_STEEP,
+        alarming=_ALARMING).withColumns({c: F.col(c) * 1e9 for c in (
+            "slope_niveau", "slope_precipitation")}))
 _LIFE = """SELECT code_station, grandeur_hydro_elab, SUM(nb_jours_mesures) AS nb_jours_total,
              COUNT(*) AS nb_mois_total, AVG(resultat_moyen) AS resultat_moyen_global,
              MIN(resultat_min) AS resultat_min_global, MAX(resultat_max) AS resultat_max_global,

@@ -21,6 +21,7 @@ _DUCK = {"s": "VARCHAR", "i": "INTEGER", "l": "BIGINT", "d": "DATE", "t": "TIMES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+BUILDERS: dict[str, Callable[[Chain], DataFrame]] = {}
 
 
 def parse(contract: str) -> list[tuple[str, str]]:
@@ -51,7 +52,10 @@ def conform_sql(sql: str, contract: str) -> str:
 
 
 def query(name: str, contract: str, sql: str | None = None):
-    """Register ``fn(chain) -> DataFrame`` under ``name``."""
+    """Register ``fn(chain) -> DataFrame`` under ``name``.
+
+    A query starts a chain of its own; a builder runs on one whose tables may be stored.
+    """
     def register(fn: Callable[[Chain], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return conform(fn(Chain(spark, sf_dir)), contract)
@@ -60,6 +64,7 @@ def query(name: str, contract: str, sql: str | None = None):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = run
+        BUILDERS[name] = lambda chain: conform(fn(chain), contract)
         if sql is not None:
             ORACLES[name] = conform_sql(sql, contract)
         return fn

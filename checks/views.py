@@ -5,13 +5,35 @@ from __future__ import annotations
 import math
 
 from checks.adapters import AS_OF, DUCKDB
-from rivulet.functions import stats
 from rivulet.plans import staging
 
 NORMALS = ("1996-01-01", "2001-01-01", 4)      # start, end, minimum years
 REFERENCE = (1995, 1999, 4, 4)                  # period, minimum years, minimum per month
 
 
+# The published coefficients of AS 241, ascending powers, numerators and
+# denominators for the centre, the flanks and the far tails.
+PPND_A = [3.3871328727963665, 133.14166789178438, 1971.5909503065513, 13731.69376550946,
+          45921.95393154987, 67265.7709270087, 33430.57558358813, 2509.0809287301227]
+PPND_B = [1.0, 42.31333070160091, 687.1870074920579, 5394.196021424751, 21213.794301586597,
+          39307.89580009271, 28729.085735721943, 5226.495278852854]
+PPND_C = [1.4234371107496835, 4.630337846156546, 5.769497221460691, 3.6478483247632045,
+          1.2704582524523684, 0.2417807251774506, 0.022723844989269184, 0.0007745450142783414]
+PPND_D = [1.0, 2.053191626637759, 1.6763848301838038, 0.6897673349851, 0.14810397642748008,
+          0.015198666563616457, 0.0005475938084995345, 1.0507500716444169e-09]
+PPND_E = [6.657904643501103, 5.463784911164114, 1.7848265399172913, 0.29656057182850487,
+          0.026532189526576124, 0.0012426609473880784, 2.7115555687434876e-05,
+          2.0103343992922881e-07]
+PPND_F = [1.0, 0.599832206555888, 0.1369298809227358, 0.014875361290850615, 0.0007868691311456133,
+          1.8463183175100548e-05, 1.421511758316446e-07, 2.0442631033899397e-15]
+# The published coefficients of Hart's normal tail and where it ends.
+HART_NUM = [220.206867912376, 221.213596169931, 112.079291497871, 33.912866078383,
+            6.37396220353165, 0.700383064443688, 0.0352624965998911]
+HART_DEN = [440.413735824752, 793.826512519948, 637.333633378831, 296.564248779674,
+            86.7807322029461, 16.064177579207, 1.75566716318264, 0.0883883476483184]
+HART_SPLIT = 7.07106781186547
+
+
 def ct(c: str) -> str:
     return f"NULLIF(NULLIF(TRIM({c}), ''), 'NULL')"
 
@@ -42,9 +64,9 @@ def norm_ppf_sql(p: str) -> str:
     t = f"sqrt(-ln(least({p},1-{p})))"
     near, far = f"({t}-1.6)", f"({t}-5.0)"
     return (f"CASE WHEN {p}<=0 OR {p}>=1 THEN NULL WHEN abs({q})<=0.425 "
-            f"THEN {q}*{poly(r, stats.PPND_A)}/{poly(r, stats.PPND_B)} ELSE sign({q})*("
-            f"CASE WHEN {t}<=5 THEN {poly(near, stats.PPND_C)}/{poly(near, stats.PPND_D)} "
-            f"ELSE {poly(far, stats.PPND_E)}/{poly(far, stats.PPND_F)} END) END")
+            f"THEN {q}*{poly(r, PPND_A)}/{poly(r, PPND_B)} ELSE sign({q})*("
+            f"CASE WHEN {t}<=5 THEN {poly(near, PPND_C)}/{poly(near, PPND_D)} "
+            f"ELSE {poly(far, PPND_E)}/{poly(far, PPND_F)} END) END")
 
 
 def norm_cdf_sql(x: str) -> str:
@@ -52,8 +74,8 @@ def norm_cdf_sql(x: str) -> str:
     tail = f"({a}+0.65)"
     for n in (4, 3, 2, 1):
         tail = f"({a}+{n}.0/{tail})"
-    inner = f"exp(-{a}*{a}/2)*{poly(a, stats.HART_NUM)}/{poly(a, stats.HART_DEN)}"
-    upper = (f"(CASE WHEN {a}>37 THEN 0.0 WHEN {a}<{stats.HART_SPLIT} THEN {inner} "
+    inner = f"exp(-{a}*{a}/2)*{poly(a, HART_NUM)}/{poly(a, HART_DEN)}"
+    upper = (f"(CASE WHEN {a}>37 THEN 0.0 WHEN {a}<{HART_SPLIT} THEN {inner} "
              f"ELSE exp(-{a}*{a}/2)/{tail}/{math.sqrt(2 * math.pi)!r} END)")
     return f"CASE WHEN {x}>0 THEN 1-{upper} ELSE {upper} END"
 

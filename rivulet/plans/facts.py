@@ -317,7 +317,9 @@ def build_fct_yearly_hydro(monthly: DataFrame) -> DataFrame:
 
 def build_dim_piezo_stations(stations: DataFrame, daily: DataFrame, monthly: DataFrame,
                              yearly: DataFrame, as_of: str, trend_years: int = 5,
-                             min_trend_months: int = 24) -> DataFrame:
+                             min_trend_months: int = 24, steep: float = 1e-4,
+                             alarming: float = 5e-4) -> DataFrame:
+    """``steep`` and ``alarming`` are slopes per second from which a trend has a class."""
     key = "code_bss"
     dates = coverage(daily, key, "date")
     life = lifetime_stats(monthly, [key], {
@@ -355,8 +357,8 @@ def build_dim_piezo_stations(stations: DataFrame, daily: DataFrame, monthly: Dat
         "precipitation_moyenne_mensuelle", "derniere_annee", "niveau_derniere_annee",
         "classification_derniere_annee", "percentile_derniere_annee", "slope_niveau",
         "r2_niveau", "slope_precipitation", "nb_mois_tendance",
-        trend_class("slope_niveau").alias("tendance_classification"),
-        alert_level("slope_niveau").alias("niveau_alerte"),
+        trend_class("slope_niveau", steep).alias("tendance_classification"),
+        alert_level("slope_niveau", -alarming, -steep).alias("niveau_alerte"),
         trend_quality("r2_niveau").alias("qualite_tendance"),
         F.current_timestamp().alias("date_calcul"))
 
