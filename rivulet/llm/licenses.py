@@ -3,8 +3,8 @@
 Templates of about the same number of shingles form a class. A class has windows a
 little longer than its templates, a fraction of that length apart, so every
 occurrence lies wholly in a window and the window's Jaccard similarity to the
-template has a known floor. Bands are set so that a pair at the floor collides with the wanted
-probability. A window that shares a band with a template is compared exactly: the
+template has a known floor. Each class has as many bands as let a pair at its floor
+collide with the wanted probability. A window that shares a band with a template is compared exactly: the
 share of the template's shingles that the window holds.
 """
 
@@ -53,6 +53,8 @@ TEMPLATES = {
 
 def bands_for(similarity: float, certainty: float = 0.999) -> int:
     """Bands of ROWS hashes so that a pair of this similarity collides with that probability."""
+    if similarity >= 1:
+        return 1
     return math.ceil(math.log(1 - certainty) / math.log(1 - similarity ** ROWS))
 
 
@@ -96,6 +98,7 @@ class TemplateClass:
     names: list[str] = field(default_factory=list)
     shingles: list[np.ndarray] = field(default_factory=list)
     keys: list[np.ndarray] = field(default_factory=list)  # a band key for each band
+    bands: int = 1
 
     @property
     def step(self) -> int:
@@ -103,8 +106,16 @@ class TemplateClass:
 
     @property
     def blocks(self) -> int:
-        """Steps in a window: the template's length and one step more."""
-        return -(-self.size // self.step) + 1
+        """Steps in a window: wherever a template starts in the first, it ends in the last."""
+        return -(-(self.size + self.step - 1) // self.step)
+
+    def floor(self, containment: float) -> float:
+        """Least similarity of a window that holds enough of a template to the template."""
+        def least(n: int) -> float:
+            held = math.ceil(containment * n - 1e-9)
+            return held / (self.blocks * self.step + n - held)
+
+        return min(least(len(s)) for s in self.shingles)
 
 
 class Library:
@@ -122,13 +133,13 @@ class Library:
             last.size = max(last.size, n)
             last.names.append(name)
             last.shingles.append(shingles)
-        floor = min((containment * len(c.shingles[0]) / (c.blocks * c.step + len(c.shingles[0])
-                     - containment * len(c.shingles[0])) for c in self.classes), default=1.0)
-        self.bands = bands_for(floor, certainty) if self.classes else 0
+        for c in self.classes:
+            c.bands = bands_for(c.floor(containment), certainty)
+        self.bands = max((c.bands for c in self.classes), default=0)
         rng = np.random.default_rng(seed)
         self.factors = rng.integers(1, 1 << 63, (self.bands * ROWS, 2), dtype=np.uint64) * U(2) + U(1)
         for c in self.classes:
-            c.keys = [self.keys(np.array([self.hashed(s, k).min() for k in range(len(self.factors))]
+            c.keys = [self.keys(np.array([self.hashed(s, k).min() for k in range(c.bands * ROWS)]
                                          ).reshape(-1, 1))[:, 0] for s in c.shingles]
 
     def hashed(self, shingles: np.ndarray, k: int) -> np.ndarray:
@@ -163,12 +174,16 @@ def find(library: Library, shingles: np.ndarray, sizes: np.ndarray, containment:
     for band in range(library.bands):
         hashed = [library.hashed(shingles, band * ROWS + r) for r in range(ROWS)]
         for (c, first, last, _), hit in zip(plans, hits):
+            if band >= c.bands:
+                continue
             least = []
             for h in hashed:
-                block = np.minimum.reduceat(h, first)
-                whole, at = block.copy(), np.arange(len(block))
-                for k in range(1, c.blocks):
-                    whole = np.minimum(whole, block[np.minimum(at + k, last - 1)])
+                block = np.minimum.reduceat(h, first) if c.step > 1 else h
+                whole = block
+                if c.blocks > 1:
+                    whole, at = block.copy(), np.arange(len(block))
+                    for k in range(1, c.blocks):
+                        np.minimum(whole, block[np.minimum(at + k, last - 1)], out=whole)
                 least.append(whole)
             keys = library.keys(np.stack(least))[0]
             for t, key in enumerate(c.keys):
