@@ -24,7 +24,7 @@ from rivulet.llm.common import settle, share_file, shared_path, slices
 from rivulet.llm.word_bpe import WordBpe
 
 LONGEST = 64  # bytes of a word in the lexicon
-KNOWN = 300_000  # words a worker remembers before it starts anew
+KNOWN = 500_000  # words a worker remembers before it starts anew
 
 
 class _State:
@@ -104,6 +104,8 @@ class Lexicon:
             parts.append(view[at:at + n])
             at += n
         self.first, self.final, self.labels, self.targets, self.adds, self.offsets, self.ids = parts
+        states = np.repeat(np.arange(len(self.final)), np.diff(np.asarray(self.first)))
+        self.arcs = states << 8 | np.asarray(self.labels)  # in order, as states and labels are
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
@@ -127,23 +129,78 @@ class Lexicon:
         return tuple(self.ids[self.offsets[rank]:self.offsets[rank + 1]].tolist())
 
 
+    def find_many(self, words: list[bytes]) -> list[tuple[int, ...] | None]:
+        """``find`` of each word; all take their next arc together."""
+        if not words or not len(self.arcs):
+            return [self.find(w) for w in words]
+        lens = np.fromiter(map(len, words), np.int64, len(words))
+        width = int(lens.max())
+        codes = np.array(words, f"S{max(1, width)}").view(np.uint8).reshape(len(words), -1)
+        targets, adds = (np.asarray(x).astype(np.int64) for x in (self.targets, self.adds))
+        state, rank = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for k in range(width):
+            go = np.flatnonzero((lens > k) & (state >= 0))
+            key = state[go] << 8 | codes[go, k]
+            at = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
+            there = self.arcs[at] == key
+            state[go] = np.where(there, targets[at], -1)
+            rank[go] += np.where(there, adds[at], 0)
+        held = (state >= 0) & (np.asarray(self.final)[np.maximum(state, 0)] > 0)
+        offsets, ids = np.asarray(self.offsets), np.asarray(self.ids)
+        rank = np.where(held, rank, 0)
+        spans = zip(held.tolist(), offsets[rank].tolist(), offsets[rank + 1].tolist())
+        return [tuple(ids[a:b].tolist()) if has else None for has, a, b in spans]
+
+
 class _Known(dict):
-    """Ids by word: from the lexicon if it holds the word, else merged."""
+    """Numbers of words; ids of word k are ``flat[start[k]:start[k] + size[k]]``."""
 
     def __init__(self, bpe: WordBpe, lexicon: Lexicon):
         super().__init__()
         self.bpe, self.lexicon = bpe, lexicon
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        raw = word.encode("utf-8", "replace")
-        ids = self.lexicon.find(raw) if len(raw) <= LONGEST else None
-        if ids is None:
-            ids = self.bpe.merge(word)
-        if len(self) >= KNOWN:
-            self.clear()
-        if len(raw) <= LONGEST:
-            self[word] = ids
-        return ids
+        self._forget()
+
+    def _forget(self) -> None:
+        self.clear()
+        self.flat = np.empty(0, np.int32)
+        self.start = self.size = np.empty(0, np.int64)
+        self.long = False  # holds a word too long to be kept
+
+    def _learn(self, words: set[str]) -> None:
+        """Look up the new words in the lexicon, merge those it lacks, all at once."""
+        fresh = words - self.keys()
+        if len(self) + len(fresh) > KNOWN:
+            self._forget()
+            fresh = words
+        if not fresh:
+            return
+        pairs = [(w, w.encode("utf-8", "replace")) for w in fresh]
+        short = [(w, raw) for w, raw in pairs if len(raw) <= LONGEST]
+        self.long |= len(short) < len(pairs)
+        found = dict(zip((w for w, _ in short), self.lexicon.find_many([raw for _, raw in short])))
+        rest = [w for w, _ in pairs if found.get(w) is None]
+        found.update(zip(rest, self.bpe.merge_many(rest)))
+        self.update(zip(found, range(len(self.start), len(self.start) + len(found))))
+        size = np.fromiter(map(len, found.values()), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found.values()), np.int32, int(size.sum()))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, ids])
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of the texts in a row."""
+        split = [self.bpe.words(t) if t else [] for t in texts]
+        self._learn(set(chain.from_iterable(split)))
+        words = np.array([len(some) for some in split])
+        which = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(words.sum()))
+        size = self.size[which]
+        ends = np.cumsum(size)
+        at = np.repeat(self.start[which] - ends + size, size) + np.arange(size.sum())
+        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(words)])]
+        ids = self.flat[at]
+        if self.long:
+            self._forget()
+        return offsets.astype(np.int32), ids
 
 
 _OPEN: dict[str, _Known] = {}
@@ -211,14 +268,11 @@ def _encoder(shared, lexicon: str):
     """Batches with a ``text`` column to batches with ``ids`` in its place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known(shared.value, lexicon)
-        ids_of, words = known.__getitem__, known.bpe.words
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            for part in slices(batch, "text"):
-                rows = [np.fromiter(chain.from_iterable(map(ids_of, words(t))), np.int32)
-                        if t else np.empty(0, np.int32) for t in part.column("text").to_pylist()]
-                offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
+            for part in slices(batch, "text", 1 << 21):
+                offsets, flat = known.encode(part.column("text").to_pylist())
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 yield part.set_column(at, "ids", ids)
 
     return run

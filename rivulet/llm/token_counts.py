@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -32,15 +33,19 @@ class _Counts(dict):
         self.bpe = bpe
 
     def __missing__(self, word: str) -> int:
-        n = len(self.bpe.merge(word))
-        if len(self) >= KNOWN:
+        """Words too long to be remembered."""
+        return len(self.bpe.merge(word))
+
+    def of_all(self, texts: list[str]) -> list[int]:
+        split = [self.bpe.words(t) for t in texts]
+        words = {w for some in split for w in some if len(w) <= 64}
+        fresh = words - self.keys()
+        if len(self) + len(fresh) > KNOWN:
             self.clear()
-        if len(word) <= 64:
-            self[word] = n
-        return n
-
-    def of(self, text: str) -> int:
-        return sum(map(self.__getitem__, self.bpe.words(text)))
+            fresh = words
+        fresh = list(fresh)
+        self.update(zip(fresh, map(len, self.bpe.merge_many(fresh))))
+        return [sum(map(self.__getitem__, some)) for some in split]
 
 
 _COUNTS: dict[int, _Counts] = {}
@@ -64,12 +69,9 @@ def boundaries(counts: _Counts, text: str, start: int, overlap: int, last: bool
     if not last:
         marks += [m.start() for m in SPACE.finditer(text, max(overlap if start else 0,
                                                               len(text) - overlap))]
-    before, total, at = [], 0, 0
-    for mark in marks:
-        total += counts.of(text[at:mark])
-        before.append(total)
-        at = mark
-    return [start + m for m in marks], before, total + counts.of(text[at:])
+    cuts = [0, *marks, len(text)]
+    sizes = list(accumulate(counts.of_all([text[a:b] for a, b in zip(cuts, cuts[1:])])))
+    return [start + m for m in marks], sizes[:-1], sizes[-1]
 
 
 def _cut(size: int, overlap: int):
@@ -142,8 +144,8 @@ def token_counts(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", tex
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _counts(shared.value)
         for batch in batches:
-            for part in slices(batch, "text"):
-                n = [counts.of(t) for t in part.column("text").to_pylist()]
+            for part in slices(batch, "text", 1 << 21):
+                n = counts.of_all(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())],
                     ["doc_id", "n_bytes", "n_tokens"])

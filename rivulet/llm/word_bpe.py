@@ -11,7 +11,9 @@ import heapq
 import json
 import re
 import unicodedata
+from collections import defaultdict
 
+import numpy as np
 import regex
 
 # The split pattern and the word-end mark of the vocabulary file.
@@ -58,6 +60,13 @@ class WordBpe:
             map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.mark = re.compile("|".join({re.escape(x[:2]) for x in self.special}) or "(?!)")
         self.chars = byte_characters()
+        # the merges as sorted pairs of ids, for many words at once
+        pair = np.array([self.vocab[a] << 20 | self.vocab[b] for a, b in self.ranks], np.int64)
+        self.pair_order = np.argsort(pair)
+        self.pairs = pair[self.pair_order]
+        self.merged = np.array([self.vocab[a + b] for a, b in self.ranks], np.int64)
+        self.inner = np.array([self.vocab.get(c, -1) for c in self.chars], np.int64)
+        self.closing = np.array([self.vocab.get(c + WORD_END, -1) for c in self.chars], np.int64)
 
     def words(self, text: str) -> list[str]:
         """The words of a text in order; a special token's string is one word."""
@@ -83,6 +92,60 @@ class WordBpe:
         parts = self._merge_short(parts) if len(parts) < 200 else self._merge_long(parts)
         return tuple(map(self.vocab.__getitem__, parts))
 
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids; the number of merges if there is none."""
+        key = left << 20 | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.pair_order[at], len(self.merged))
+
+    def merge_many(self, words: list[str]) -> list[tuple[int, ...]]:
+        """``merge`` of each word. Words of one length go through their merges together."""
+        out: list[tuple[int, ...] | None] = [None] * len(words)
+        by_length = defaultdict(list)
+        for k, word in enumerate(words):
+            raw = word.encode("utf-8", "replace")
+            if word in self.special or len(raw) > 64:
+                out[k] = self.merge(word)
+            else:
+                by_length[len(raw)].append((k, raw))
+        for size, some in by_length.items():
+            number = np.array([k for k, _ in some])
+            codes = np.frombuffer(b"".join(raw for _, raw in some), np.uint8).reshape(-1, size)
+            ids = self.inner[codes]
+            ids[:, -1] = self.closing[codes[:, -1]]
+            for k in number[(ids < 0).any(axis=1)].tolist():  # a byte that the vocabulary lacks
+                out[k] = self.merge(words[k])
+            known = (ids >= 0).all(axis=1)
+            self._merge_block(ids[known], number[known], out)
+        return out
+
+    def _merge_block(self, ids: np.ndarray, number: np.ndarray, out: list) -> None:
+        """Each round every row makes its next merge and gets one id shorter, or is done."""
+        ranks = self._pair_ranks(ids[:, :-1], ids[:, 1:])
+        while len(ids):
+            width = ids.shape[1]
+            at = ranks.argmin(axis=1) if width > 1 else np.zeros(len(ids), np.int64)
+            rows = np.arange(len(ids))
+            low = ranks[rows, at] if width > 1 else np.full(len(ids), len(self.merged))
+            done = low == len(self.merged)
+            for k, row in zip(number[done].tolist(), ids[done].tolist()):
+                out[k] = tuple(row)
+            ids, ranks, number, at, low = (x[~done] for x in (ids, ranks, number, at, low))
+            if not len(ids):
+                return
+            rows, cols = np.arange(len(ids)), np.arange(width - 1)[None, :]
+            ids[rows, at] = self.merged[low]
+            ids = np.take_along_axis(ids, cols + (cols > at[:, None]), axis=1)
+            if width > 2:
+                cols = cols[:, :-1]
+                ranks = np.take_along_axis(ranks, cols + (cols >= at[:, None]), axis=1)
+                for side in (at - 1, at):  # the pairs on both sides of the new id
+                    has = (side >= 0) & (side < width - 2)
+                    r, c = rows[has], side[has]
+                    ranks[r, c] = self._pair_ranks(ids[r, c], ids[r, c + 1])
+            else:
+                ranks = ranks[:, :0]
+
     def _merge_short(self, parts: list[str]) -> list[str]:
         rank, never = self.ranks.get, len(self.ranks)
         ranks = [rank(p, never) for p in zip(parts, parts[1:])]

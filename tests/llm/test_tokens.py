@@ -44,10 +44,11 @@ def docs_of(spark, rows):
 
 def test_merges_of_any_length(vocabulary, library):
     own, rng = WordBpe(vocabulary), np.random.default_rng(1)
-    for n in (1, 2, 199, 200, 201, 4000):
+    for n in (1, 2, 40, 63, 64, 65, 199, 200, 201, 4000):
         text = "".join(rng.choice(list("abcdefghié"), n))
         ids = [i for w in own.words(text) for i in own.merge(w)]
         assert ids == library.encode(text, add_special_tokens=False).ids
+        assert ids == [i for some in own.merge_many(own.words(text)) for i in some]
 
 
 def test_transducer_holds_what_it_was_given(tmp_path):
@@ -57,6 +58,8 @@ def test_transducer_holds_what_it_was_given(tmp_path):
     lexicon = bpe.Lexicon(str(tmp_path / "lexicon"))
     assert len(lexicon) == len(words)
     assert {w: lexicon.find(w) for w in entries} == entries
+    some = [*entries, b"", b"abcd", b"wal", b"zz", b"a\0"]
+    assert lexicon.find_many(some) == [lexicon.find(w) for w in some]
     for absent in (b"", b"abcd", b"wal", b"c", b"zz", b"bcc"):
         assert lexicon.find(absent) is None
     # walk and talk share their endings: fewer arcs than a tree of prefixes has
