@@ -75,7 +75,35 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "over_limit", F.col("n_tokens") > 2048)
 
 
-@query("op3_suffix_dedup")
+REPEATS_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (
+  SELECT doc_id, p, substring(h, CAST(2 * p + 1 AS BIGINT), 100) AS s
+  FROM (SELECT doc_id, h, UNNEST(range(0, length(h) // 2 - 49)) AS p FROM d WHERE length(h) >= 100) u),
+m AS (SELECT s, MIN(doc_id) AS first_doc FROM g GROUP BY s),
+c AS (
+  SELECT DISTINCT g.doc_id, g.p FROM g JOIN m ON g.s = m.s WHERE m.first_doc < g.doc_id),
+r AS (
+  SELECT doc_id, p, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 1 ELSE 0 END AS fresh
+  FROM c),
+runs AS (SELECT doc_id, p, SUM(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM r),
+spans AS (SELECT doc_id, run, MIN(p) AS a, MAX(p) + 50 AS b FROM runs GROUP BY doc_id, run),
+edges AS (
+  SELECT doc_id, b AS k0, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS k1 FROM spans
+  UNION ALL SELECT doc_id, 0, MIN(a) FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT e.doc_id, string_agg(substring(h, CAST(2 * k0 + 1 AS BIGINT),
+           CAST(2 * (coalesce(k1, length(h) // 2) - k0) AS BIGINT)), '' ORDER BY k0) AS h
+  FROM edges e JOIN d ON e.doc_id = d.doc_id GROUP BY e.doc_id),
+total AS (SELECT doc_id, SUM(b - a) AS gone, COUNT(*) AS n FROM spans GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(t.gone, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(t.n, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN total t ON d.doc_id = t.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+@query("op3_suffix_dedup", REPEATS_SQL)
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), match=50)
     lost = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
