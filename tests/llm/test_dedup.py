@@ -92,7 +92,7 @@ def test_long_fingerprints_find_similar_texts(spark):
         for at in (30, 150):  # two words changed: similarity about 0.9
             some[at] = "changed"
         rows.append((2 * k + 1, " ".join(some)))
-    found = simhash.near_duplicates(docs_of(spark, rows), words=5, radius=44, lanes=4, size_ratio=0.8)
+    found = simhash.near_duplicates(docs_of(spark, rows), words=5, radius=90, lanes=8, size_ratio=0.8)
     got = {r["doc_id"]: r["component_id"] for r in found.collect()}
     assert all(got[2 * k] == 2 * k for k in range(pairs))
     assert sum(got[2 * k + 1] == 2 * k for k in range(pairs)) >= pairs - 1
