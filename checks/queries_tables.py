@@ -10,7 +10,7 @@ from rivulet.functions import clean
 from rivulet.operators import quality, summaries
 from rivulet.operators.dedup import first_per_key
 from rivulet.plans import facts, staging
-from rivulet.sources import files
+from rivulet.sources import files, tables
 
 # ---- silver ----------------------------------------------------------------------
 
@@ -76,6 +76,18 @@ query("accepted_rows", "s _dlt_id code_bss", f"""
 SELECT _dlt_id, code_bss FROM raw_levels WHERE {_LEVEL_REASON} IS NULL""")(
     lambda t: quality.split_rejects(t("raw_levels"), staging.piezo_chroniques_rules(), t.stations,
                                     "code_bss")[0])
+
+
+def _stored_split(t):
+    return tables.store_split(quality.labelled_rejects(
+        t("raw_levels"), staging.piezo_chroniques_rules(), t.stations, "code_bss"), t.scratch("split"))
+
+
+query("stored_accepts", "s _dlt_id code_bss", f"""
+SELECT _dlt_id, code_bss FROM raw_levels WHERE {_LEVEL_REASON} IS NULL""")(
+    lambda t: _stored_split(t)[0])
+query("stored_rejects", "s _dlt_id code_bss date_mesure niveau_nappe_eau profondeur_nappe"
+      " rejection_reason", _LEVEL_REJECTS)(lambda t: _stored_split(t)[1])
 query("reject_volume", "s rejection_reason; l n",
       f"SELECT rejection_reason, COUNT(*) AS n FROM ({_LEVEL_REJECTS}) x GROUP BY 1")(
     lambda t: summaries.reject_volume(

@@ -78,14 +78,17 @@ def join_weather(facts: DataFrame, mapping: DataFrame, grid: DataFrame, key: str
     """Facts -> their cell -> that cell's weather of the day, both left joins.
 
     The weather join is keyed on (lat, lon, day): a popular cell is spread over
-    its days. ``mapping`` holds one row per station, ``grid`` one per cell-day.
+    its days. Only the cell of a station goes through it; the station's other
+    attributes join last, so they are not shuffled by day. ``mapping`` holds one row
+    per station, ``grid`` one per cell-day.
     """
-    located = facts.join(mapping, key, "left")
+    located = facts.join(mapping.select(key, *cell), key, "left")
+    rest = [c for c in mapping.columns if c not in cell]
     weather = grid.select(
         F.col(grid_cell[0]).alias(cell[0]), F.col(grid_cell[1]).alias(cell[1]),
         F.col(grid_day).alias(day),
         *[c for c in grid.columns if c not in (*grid_cell, grid_day)])
-    return located.join(weather, [*cell, day], "left")
+    return located.join(weather, [*cell, day], "left").join(mapping.select(*rest), key, "left")
 
 
 def restrict_to_cells(grid: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame:

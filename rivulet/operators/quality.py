@@ -180,11 +180,11 @@ def label_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]],
     return df.withColumn(name, chain.otherwise(F.lit(None).cast("string")))
 
 
-def split_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]], ref: DataFrame | None = None,
-                  key: str | None = None, ref_key: str | None = None,
-                  known: str = "_known", row_id: str = "_dlt_id"
-                  ) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected with a reason) from one labelled frame.
+def labelled_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]],
+                     ref: DataFrame | None = None, key: str | None = None,
+                     ref_key: str | None = None, known: str = "_known", row_id: str = "_dlt_id"
+                     ) -> DataFrame:
+    """All rows with ``rejection_reason``, NULL for accepted ones.
 
     With ``ref`` the rules may use the boolean column ``known``: the key exists
     in the referential. The key is joined in its cleaned text form, spread by ``row_id``.
@@ -195,11 +195,23 @@ def split_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]], ref: DataF
         parents = ref.select(F.col(ref_key or key).alias("_ref_key"))
         source = flag_known(keyed, parents, "_ref_key", known,
                             spread=[row_id] if row_id in df.columns else ())
-    labelled = label_rejects(source, rules).select(*df.columns, "rejection_reason")
+    return label_rejects(source, rules).select(*df.columns, "rejection_reason")
+
+
+def split_labelled(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected with a reason); see ``tables.store_split`` to scan the rows once."""
     accepted = labelled.where("rejection_reason is null").drop("rejection_reason")
     return accepted, labelled.where("rejection_reason is not null")
 
 
+def split_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]], ref: DataFrame | None = None,
+                  key: str | None = None, ref_key: str | None = None,
+                  known: str = "_known", row_id: str = "_dlt_id"
+                  ) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected with a reason), each planned from the rows."""
+    return split_labelled(labelled_rejects(df, rules, ref, key, ref_key, known, row_id))
+
+
 def append_rejects(old: DataFrame, new: DataFrame, row_id: str = "_dlt_id") -> DataFrame:
     """New rejects that are not logged yet; the log itself is append-only."""
     return drop_known(new, old, row_id)

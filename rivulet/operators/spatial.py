@@ -49,13 +49,14 @@ def nearest(points: DataFrame, grid: DataFrame, key: str, lat: str, lon: str,
             _squared(c["_x"] - F.col("_px"), c["_y"] - F.col("_py")).alias("_d2"),
             c["_glat"].alias("_glat"), c["_glon"].alias("_glon")))))
     settled = F.coalesce(F.col("_best._d2") <= size * size, F.lit(False))
-    scored = scored.withColumn("_near", F.when(settled, F.col("_best")))
-    far = scored.where(F.col("_near").isNull()).select(key, "_px", "_py")
-    found = _pyramid(far, cells, key, step)
-    return scored.join(found, key, "left").select(
-        *[F.col(f"`{c}`") for c in points.columns],
-        F.coalesce("_near._glat", "_glat").alias(grid_lat),
-        F.coalesce("_near._glon", "_glon").alias(grid_lon)).where(F.col(grid_lat).isNotNull())
+    kept = [F.col(f"`{c}`") for c in points.columns]
+    near = scored.where(settled).select(*kept, F.col("_best._glat").alias(grid_lat),
+                                        F.col("_best._glon").alias(grid_lon))
+    # the others alone meet the pyramid's answers; near points take no part in that join
+    far = scored.where(~settled).select(*kept, "_px", "_py")
+    found = _pyramid(far.select(key, "_px", "_py"), cells, key, step)
+    return near.unionByName(far.join(found, key).select(
+        *kept, F.col("_glat").alias(grid_lat), F.col("_glon").alias(grid_lon)))
 
 
 def _boxes(cells: DataFrame, size: float, parent: float | None) -> DataFrame:

@@ -8,6 +8,8 @@ half written without a complete copy beside it.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import date, datetime, timezone
@@ -24,21 +26,21 @@ DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for tables between steps.
 
-    ``spark.checkpoint.dir`` if the session has it, else ``rivulet.scratch.dir``
-    (set by ``use_scratch`` where no cluster names a folder). There is no silent
-    fallback: a machine's own folder would lose rows on a cluster.
+    ``spark.checkpoint.dir`` if the session has it, else ``rivulet.scratch.dir``. Only a
+    session whose driver and executors are one process gets a folder of its own, which
+    goes when the process ends. A cluster must name one: a machine's own folder would
+    lose rows there.
     """
     for key in ("spark.checkpoint.dir", SCRATCH):
         shared = spark.conf.get(key, None)
         if shared:
             return shared.rstrip("/")
-    raise ValueError(f"set spark.checkpoint.dir or {SCRATCH} to a folder all executors share")
-
-
-def use_scratch(spark: SparkSession, folder: str) -> None:
-    """Name the shared folder of a session that has none."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set(SCRATCH, folder)
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError(f"set spark.checkpoint.dir or {SCRATCH} to a folder all executors share")
+    folder = f"/tmp/checkpoints/rivulet-{uuid.uuid4().hex}"
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set(SCRATCH, folder)
+    return folder
 
 
 def settle(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
@@ -266,6 +268,21 @@ def recompute_active_table(path: str, build: Callable[[DataFrame], DataFrame], s
     return _rewrite(spark, path, KEY_PART, F.col(KEY_PART).isin(hit), change, sort)
 
 
+def store_split(labelled: DataFrame, path: str, reason: str = "rejection_reason"
+                ) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) of labelled rows, written in one pass.
+
+    The raw rows are scanned and joined once; either part is then a partition of its
+    own. ``labelled`` comes from ``quality.labelled_rejects``.
+    """
+    labelled.withColumn("rejected", F.col(reason).isNotNull()).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy("rejected").parquet(path)
+    stored = labelled.sparkSession.read.schema(
+        labelled.schema.add("rejected", "boolean")).parquet(path)
+    accepted = stored.where(~F.col("rejected")).drop("rejected", reason)
+    return accepted, stored.where(F.col("rejected")).drop("rejected")
+
+
 def export_tables(tables: Mapping[str, DataFrame], out: str, fmt: str = "parquet") -> list[str]:
     """Flat export of every non-empty table: zstd Parquet or gzip TSV with a header."""
     written = []

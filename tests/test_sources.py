@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from rivulet.operators import refresh
@@ -213,3 +214,21 @@ def test_a_repeated_stream_batch_is_split_alike(spark, tmp_path, monkeypatch):
     run()
     assert {r.k for r in tables.read_table(spark, table).collect()} == {"a", "x", "y"}
     assert {r.k for r in spark.read.parquet(rejects).collect()} == {"z"}
+
+
+class _Session:
+    """As much of a session as finding the shared folder takes."""
+
+    def __init__(self, master, **conf):
+        self.sparkContext = type("Context", (), {"master": master})()
+        self.conf = type("Conf", (), {"get": lambda _, k, d=None: conf.get(k, d),
+                                      "set": lambda _, k, v: conf.__setitem__(k, v)})()
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.scratch_root(_Session("spark://host:7077"))
+    named = _Session("spark://host:7077", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert tables.scratch_root(named) == "hdfs:///shared"
+    alone = _Session("local[4]")
+    assert tables.scratch_root(alone) == tables.scratch_root(alone)
