@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -58,20 +58,31 @@ def _counts(vocabulary: bytes) -> _Counts:
     return _COUNTS[hash(vocabulary)]
 
 
-def boundaries(counts: _Counts, text: str, start: int, overlap: int, last: bool
-               ) -> tuple[list[int], list[int], int]:
-    """(offsets, tokens before each, tokens in all) of one chunk that starts at ``start``.
-
-    Offsets are of white space in the first and, unless it is the last chunk, the
-    last ``overlap`` characters.
-    """
+def boundaries(text: str, start: int, overlap: int, last: bool) -> list[int]:
+    """Places of white space in the first and, unless it is the last chunk, the last
+    ``overlap`` characters of a chunk that starts at ``start`` of its text."""
     marks = [m.start() for m in SPACE.finditer(text, 0, overlap)] if start else []
     if not last:
         marks += [m.start() for m in SPACE.finditer(text, max(overlap if start else 0,
                                                               len(text) - overlap))]
-    cuts = [0, *marks, len(text)]
-    sizes = list(accumulate(counts.of_all([text[a:b] for a, b in zip(cuts, cuts[1:])])))
-    return [start + m for m in marks], sizes[:-1], sizes[-1]
+    return marks
+
+
+def chunk_counts(counts: _Counts, chunks: list[tuple[str, int, bool]], overlap: int
+                 ) -> list[tuple[list[int], list[int], int]]:
+    """(offsets of boundaries, tokens before each, tokens in all) of (text, start, last) chunks.
+
+    The pieces of all chunks are counted in one go.
+    """
+    marks = [boundaries(text, start, overlap, last) for text, start, last in chunks]
+    pieces = [text[a:b] for (text, _, _), some in zip(chunks, marks)
+              for a, b in zip([0, *some], [*some, len(text)])]
+    sizes = iter(counts.of_all(pieces))
+    out = []
+    for (_, start, _), some in zip(chunks, marks):
+        total = list(accumulate(islice(sizes, len(some) + 1)))
+        out.append(([start + m for m in some], total[:-1], total[-1]))
+    return out
 
 
 def _cut(size: int, overlap: int):
@@ -96,15 +107,15 @@ def _long_counts(texts: DataFrame, shared, size: int, overlap: int) -> DataFrame
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _counts(shared.value)
         for batch in batches:
-            rows = [boundaries(counts, t, s, overlap, last) for t, s, last in zip(
-                batch.column("text").to_pylist(), batch.column("start").to_pylist(),
-                batch.column("last").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("start"),
-                 pa.array([r[0] for r in rows], pa.list_(pa.int64())),
-                 pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-                 pa.array([r[2] for r in rows], pa.int64())],
-                ["row", "start", "marks", "counts", "total"])
+            for part in slices(batch, "text", 1 << 21):
+                rows = chunk_counts(counts, list(zip(*(part.column(c).to_pylist() for c in (
+                    "text", "start", "last")))), overlap)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("row"), part.column("start"),
+                     pa.array([r[0] for r in rows], pa.list_(pa.int64())),
+                     pa.array([r[1] for r in rows], pa.list_(pa.int64())),
+                     pa.array([r[2] for r in rows], pa.int64())],
+                    ["row", "start", "marks", "counts", "total"])
 
     chunks = texts.mapInArrow(_cut(size, overlap), "row bigint, start bigint, last boolean, text string")
     dealt = chunks.repartition(F.xxhash64("row", "start"))  # the chunks of a text go to many tasks
