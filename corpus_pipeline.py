@@ -16,8 +16,8 @@ from rivulet.llm.common import settle, table
 LEAST_SHARE = 0.3  # of a document's words in its language, by probability
 LEAST_QUALITY = 0.3
 SIMHASH_LANES = 8  # 512 bits
-SIMHASH_RADIUS = 90  # bits: 95 % of pairs at similarity 0.8, 99.9 % at 0.85; 18 % at 0.7, 0.2 % at 0.6
-SIZE_RATIO = 0.8  # of shingle counts, below which two texts can't be similar to 0.8
+SIMHASH_RADIUS = 112  # bits that candidates differ in at most; misses 1 in 10,000 pairs at similarity 0.8
+SIMILARITY = 0.8  # of the sets of five-word shingles, by which near duplicates are judged
 MATCH_BYTES = 50
 MAX_TOKENS, BUCKETS, BATCH_TOKENS = 2048, 16, 65_536
 
@@ -39,11 +39,14 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of each group of near duplicates."""
-    groups = simhash.near_duplicates(docs, words=5, radius=SIMHASH_RADIUS, lanes=SIMHASH_LANES,
-                                     size_ratio=SIZE_RATIO)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    # a key for each row, stored so that a repeated task gives the same
+    rows = settle(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    groups = simhash.similar_groups(rows.where("doc_id IS NOT NULL"), words=5, radius=SIMHASH_RADIUS,
+                                    lanes=SIMHASH_LANES, similarity=SIMILARITY, id_col="row")
+    named = rows.join(groups, "row")
+    keep = named.groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    kept = rows.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).union(docs.where("doc_id IS NULL"))
 
 
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

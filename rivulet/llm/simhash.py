@@ -6,6 +6,9 @@ distance of two fingerprints is at least the difference of their counts, also
 when it is added up over parts of the word), with exclusive-or and bit counts on
 numpy blocks. Each pair of tiles gives back a spanning forest of its links, not
 all pairs, and the forests are joined into components.
+
+``similar_groups`` takes such pairs as candidates only and links two texts if an exact
+comparison of their shingle sets says so.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 from rivulet.llm.common import byte_views, settle, slices
 from rivulet.llm.components import connected_components
 
+FEW, FEW_MORE = 15, 18  # sets of so few shingles have rougher fingerprints: bits more to the radius
+
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 PARTS = 4  # 16 bits each, for 64-bit fingerprints
 
@@ -147,17 +152,12 @@ def _code(parts) -> int | np.ndarray:
     return total
 
 
-def near_duplicate_links(prints: DataFrame, radius: int, lanes: int = 1,
-                         size_ratio: float | None = None, tile_rows: int = 4096) -> DataFrame:
-    """(a, b): links between the smallest documents of distinct fingerprints.
+def _tile_pairs(classes: DataFrame, radius: int, lanes: int, size_ratio: float | None,
+                tile_rows: int) -> DataFrame:
+    """(left, right): pairs of tiles of (fp, rep, shingles) rows that can hold a link.
 
-    The links span every component of fingerprints at ``radius`` or fewer differing
-    bits. With ``size_ratio`` (for longer fingerprints) documents whose shingle
-    counts differ by more than that ratio are not compared.
+    ``right`` is NULL where a tile is to be compared with itself.
     """
-    classes = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(
-        F.min("doc_id").alias("rep"), F.min("shingles").alias("shingles"))
-
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = np.frombuffer(b"".join(batch.column("fp").to_pylist()), ">u8")
@@ -165,39 +165,56 @@ def near_duplicate_links(prints: DataFrame, radius: int, lanes: int = 1,
             parts = _coordinates(words, batch.column("shingles").to_numpy(), lanes, radius,
                                  size_ratio)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_code(parts.T), pa.int64()), batch.column("fp"), batch.column("rep")],
-                ["tile", "fp", "rep"])
+                [pa.array(_code(parts.T), pa.int64()), batch.column("fp"), batch.column("rep"),
+                 batch.column("shingles")], ["tile", "fp", "rep", "shingles"])
 
-    placed = settle(classes.mapInArrow(place, "tile bigint, fp binary, rep bigint"), "prints")
+    placed = settle(classes.select("fp", "rep", "shingles").mapInArrow(
+        place, "tile bigint, fp binary, rep bigint, shingles bigint"), "prints")
     # one row per tile: at most 17^4 population counts, or the few bands and sizes, so it may
     # be broadcast; a join by tile would bring all of a full tile to one task
     chunks = placed.groupBy("tile").agg(
         F.ceil(F.count("*") / tile_rows).cast("int").alias("chunks"))
     tiles = (placed.join(F.broadcast(chunks), "tile")
              .withColumn("chunk", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("chunks")).cast("int"))
-             .groupBy("tile", "chunk").agg(F.collect_list(F.struct("fp", "rep")).alias("rows")))
+             .groupBy("tile", "chunk").agg(F.collect_list(F.struct("fp", "rep", "shingles")).alias("rows")))
     tiles = settle(tiles, "tiles")
     base = _code([0] * len(_offsets(lanes, radius)[0]))
     steps = F.array(*[F.lit(_code(s) - base).cast("bigint") for s in _offsets(lanes, radius)])
     left = tiles.select(F.col("tile").alias("from_tile"), F.col("chunk").alias("from_chunk"),
                         F.col("rows").alias("left"), F.explode(steps).alias("step"))
-    pairs = left.join(tiles, F.col("from_tile") + F.col("step") == F.col("tile")).where(
+    return left.join(tiles, F.col("from_tile") + F.col("step") == F.col("tile")).where(
         "step <> 0 OR from_chunk <= chunk").select(
         "left", F.when((F.col("step") != 0) | (F.col("from_chunk") != F.col("chunk")),
                        F.col("rows")).alias("right"))
 
-    def words_of(scalar: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
-        flat = scalar.values
-        words = np.frombuffer(b"".join(flat.field("fp").to_pylist()), ">u8").astype(np.uint64)
-        return words.reshape(-1, lanes), flat.field("rep").to_numpy(zero_copy_only=False)
+
+def _words_of(scalar: pa.Scalar, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fingerprints, representatives, shingle counts) of one side of a pair of tiles."""
+    flat = scalar.values
+    words = np.frombuffer(b"".join(flat.field("fp").to_pylist()), ">u8").astype(np.uint64)
+    return (words.reshape(-1, lanes), flat.field("rep").to_numpy(zero_copy_only=False),
+            flat.field("shingles").to_numpy(zero_copy_only=False))
+
+
+def near_duplicate_links(prints: DataFrame, radius: int, lanes: int = 1,
+                         size_ratio: float | None = None, tile_rows: int = 4096) -> DataFrame:
+    """(a, b): links between the smallest documents of distinct fingerprints.
+
+    The links span every component of fingerprints at ``radius`` or fewer differing
+    bits. With ``size_ratio`` (for longer fingerprints) documents whose shingle
+    counts differ by more than that ratio are not compared.
+    """
+    classes = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(
+        F.min("doc_id").alias("rep"), F.min("shingles").alias("shingles"))
+    pairs = _tile_pairs(classes, radius, lanes, size_ratio, tile_rows)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
             for i in range(batch.num_rows):
-                x, x_rep = words_of(batch.column("left")[i])
+                x, x_rep, _ = _words_of(batch.column("left")[i], lanes)
                 right = batch.column("right")[i]
-                y, y_rep = words_of(right) if right.is_valid else (None, x_rep)
+                y, y_rep, _ = _words_of(right, lanes) if right.is_valid else (None, x_rep, None)
                 for p, q in forest(x, y, radius):
                     a.append(int(x_rep[p]))
                     b.append(int(y_rep[q]))
@@ -228,3 +245,160 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, lanes: int
     named = reps.join(groups, F.col("rep") == F.col("node"), "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def _candidates(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.ndarray, radius: int
+                ) -> np.ndarray:
+    """Which rows of x and y are near enough to be compared by their shingles."""
+    apart = np.zeros((len(x), len(y)), np.uint16)
+    for k in range(x.shape[1]):
+        apart += np.bitwise_count(x[:, k, None] ^ y[None, :, k])
+    few = (x_size <= FEW)[:, None] & (y_size <= FEW)[None, :]
+    return apart <= np.where(few, np.uint16(radius + FEW_MORE), np.uint16(radius))
+
+
+def _blocks(x: tuple, y: tuple | None, radius: int, most: int
+            ) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """Rows of each side that have a candidate on the other, cut into blocks of bounded sets.
+
+    Every candidate pair of the two sides is in one block; a second part of None means
+    that the first is compared with itself.
+    """
+    def parts(member: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        some = np.flatnonzero(member)
+        before = np.cumsum(sizes[some]) - sizes[some]
+        return np.split(some, np.flatnonzero(np.diff(before // most)) + 1) if len(some) else []
+
+    same = y is None
+    (a, _, a_size), (b, _, b_size) = x, x if same else y
+    near_a, near_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    step = max(1, (1 << 20) // max(1, len(b)))
+    for at in range(0, len(a), step):
+        near = _candidates(a[at:at + step], a_size[at:at + step], b, b_size, radius)
+        if same:
+            near[np.arange(len(near)), at + np.arange(len(near))] = False
+        near_a[at:at + step] = near.any(axis=1)
+        near_b |= near.any(axis=0)
+    left = parts(near_a, a_size)
+    right = left if same else parts(near_b, b_size)
+    for i, p in enumerate(left):
+        for j, q in enumerate(right):
+            if same and j < i:
+                continue
+            if same and i == j:
+                yield p, None
+                continue
+            near = _candidates(a[p], a_size[p], b[q], b_size[q], radius)
+            if near.any():
+                yield p[near.any(axis=1)], q[near.any(axis=0)]
+
+
+def similar_forest(near: np.ndarray, left: list[np.ndarray], right: list[np.ndarray] | None,
+                   similarity: float) -> list[tuple[int, int]]:
+    """Links (i, j) that span what candidates of at least that Jaccard similarity connect.
+
+    ``near`` marks the candidates; sets are arrays of distinct hashes; ``right`` None
+    compares left with itself. Pairs whose ends are joined already are not compared.
+    """
+    same = right is None
+    sets = left if same else [*left, *right]
+    shift = 0 if same else len(left)
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    starts = np.cumsum(sizes) - sizes
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    mark, labels, links = np.zeros(len(values), bool), np.arange(len(sets)), []
+    for i in range(len(left)):
+        cols = np.flatnonzero(near[i, i + 1:]) + i + 1 if same else np.flatnonzero(near[i])
+        cols = cols[(labels[cols + shift] != labels[i]) & (sizes[cols + shift] > 0)]
+        if not len(cols) or not sizes[i]:
+            continue
+        other = cols + shift
+        mine = flat[starts[i]:starts[i] + sizes[i]]
+        mark[mine] = True
+        held = mark[np.concatenate([flat[starts[j]:starts[j] + sizes[j]] for j in other])]
+        mark[mine] = False
+        both = np.add.reduceat(held.astype(np.int64), np.cumsum(sizes[other]) - sizes[other])
+        alike = both >= similarity * (sizes[i] + sizes[other] - both) - 1e-9
+        cols, roots = cols[alike], labels[other[alike]]
+        fresh, first = np.unique(roots, return_index=True)
+        links += [(i, int(c)) for c in cols[first]]
+        labels[np.isin(labels, fresh)] = labels[i]
+    return links
+
+
+def shingle_sets(docs: DataFrame, words: int, id_col: str, text_col: str = "text") -> DataFrame:
+    """(rep, shingles): the distinct shingle hashes of each text, 8 bytes each, in order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = [np.unique(shingle_hashes(raw, words)).tobytes()
+                        for raw in byte_views(part.column("text"))]
+                yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(sets, pa.binary())],
+                                                 ["rep", "hashes"])
+
+    return docs.select(F.col(id_col).cast("bigint").alias("rep"), F.col(text_col).alias("text")
+                       ).mapInArrow(run, "rep bigint, hashes binary")
+
+
+def similar_groups(docs: DataFrame, words: int, radius: int, lanes: int, similarity: float, id_col: str,
+                   text_col: str = "text", tile_rows: int = 4096, block_shingles: int = 1 << 19
+                   ) -> DataFrame:
+    """(id, component_id) of each row; texts link at a Jaccard similarity of ``similarity`` or more.
+
+    Shingle sets are compared exactly, for each pair whose fingerprints of ``lanes``
+    words are within ``radius`` bits (and some more for the shortest texts). Ids must
+    be whole numbers, one for each row. ``component_id`` is the smallest id reachable over links.
+
+    Candidates come as blocks: the rows of two tiles that have one, with their sets, so
+    that rows grow with the texts and not with the pairs of a family of texts. A side of a
+    block holds about ``block_shingles`` shingles (8 bytes each) and one text more at worst.
+
+    Defined cases: texts without a word are alike, and unlike any other; a text of fewer
+    words than a shingle is one shingle. NULL counts as empty.
+    """
+    prints = settle(fingerprints(docs, words, lanes, id_col, text_col), "fingerprints")
+    classes = settle(prints.groupBy("fp").agg(
+        F.min("doc_id").alias("rep"), F.min("shingles").alias("shingles")), "classes")
+    pairs = _tile_pairs(classes, radius + FEW_MORE, lanes, similarity, tile_rows)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                x, right = _words_of(batch.column("left")[i], lanes), batch.column("right")[i]
+                y = _words_of(right, lanes) if right.is_valid else None
+                for p, q in _blocks(x, y, radius, block_shingles):
+                    one, two = x[1][p], y[1][q] if y else x[1][q if q is not None else []]
+                    # blocks differ in the rows they start with or in the set of both sides
+                    name = xxhash.xxh3_128_digest(one.tobytes() + b"|" + two.tobytes())
+                    n = len(one) + len(two)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * n, pa.binary()), pa.array([False] * len(one) + [True] * len(two)),
+                         pa.array(np.concatenate([one, two]), pa.int64())], ["block", "second", "rep"])
+
+    members = settle(pairs.mapInArrow(gather, "block binary, second boolean, rep bigint"), "candidates")
+    wanted = members.select("rep").distinct()
+    texts = docs.join(wanted, F.col(id_col) == F.col("rep"), "left_semi")
+    sets = settle(shingle_sets(texts, words, id_col, text_col).join(
+        classes.select("rep", "fp"), "rep"), "shingle_sets")
+
+    def verify(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("second", "ascending"), ("rep", "ascending")])
+        second = block.column("second").to_numpy()
+        rep = block.column("rep").to_numpy()
+        fp = np.frombuffer(b"".join(block.column("fp").to_pylist()), ">u8").astype(np.uint64)
+        fp, n = fp.reshape(-1, lanes), int((~second).sum())
+        found = [np.frombuffer(x, np.uint64) for x in block.column("hashes").to_pylist()]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        same = n == len(found)
+        at = slice(None) if same else slice(n, None)
+        near = _candidates(fp[:n], sizes[:n], fp[at], sizes[at], radius)
+        links = similar_forest(near, found[:n], None if same else found[n:], similarity)
+        other = rep[at]
+        return pa.table({"a": pa.array([int(rep[i]) for i, _ in links], pa.int64()),
+                         "b": pa.array([int(other[j]) for _, j in links], pa.int64())})
+
+    links = members.join(sets, "rep").groupBy("block").applyInArrow(verify, "a bigint, b bigint")
+    groups = connected_components(links)
+    named = classes.join(groups, F.col("rep") == F.col("node"), "left").select(
+        "fp", F.coalesce("component", "rep").alias("component_id"))
+    return prints.join(named, "fp").select(F.col("doc_id").alias(id_col), "component_id")

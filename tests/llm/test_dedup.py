@@ -98,6 +98,51 @@ def test_long_fingerprints_find_similar_texts(spark):
     assert sum(got[2 * k + 1] == 2 * k for k in range(pairs)) >= pairs - 1
 
 
+def plain_set(text, k=5):
+    found = (text or "").lower().split()
+    return {tuple(found[i:i + k]) for i in range(max(1, len(found) - k + 1))} if found else set()
+
+
+def similar_by_sets(rows, similarity):
+    """Smallest id reachable over pairs of exact Jaccard similarity."""
+    sets = {i: plain_set(t) for i, t in rows}
+    group = {i: i for i in sets}
+    for i, j in itertools.combinations(sorted(sets), 2):
+        both = len(sets[i] & sets[j])
+        if sets[i] == sets[j] or both and both >= similarity * (len(sets[i] | sets[j])) - 1e-9:
+            a, b = sorted((group[i], group[j]))
+            group = {k: a if g == b else g for k, g in group.items()}
+    return group
+
+
+def similar(spark, rows, **options):
+    found = simhash.similar_groups(docs_of(spark, rows), words=5, radius=112, lanes=8, similarity=0.8,
+                                   id_col="doc_id", **options)
+    return {r["doc_id"]: r["component_id"] for r in found.collect()}
+
+
+def apart(base, similarity, seed):
+    """A text whose shingle set has about that similarity: its end is other words."""
+    keep = round((len(base) - 4) * 2 * similarity / (1 + similarity)) + 4
+    return base[:keep] + words(len(base) - keep, seed)
+
+
+@pytest.mark.parametrize("options", [{}, {"tile_rows": 7, "block_shingles": 1000}])
+def test_similar_groups_link_by_exact_similarity(spark, options):
+    rows, n = [(0, None), (1, ""), (2, "one two"), (3, "One  two"), (4, "a b c d e f g h"), (5, "a b c d e f g h i")], 10
+    for k in range(12):
+        for share in (0.7, 0.75, 0.805, 0.9):
+            base = words(304, 5000 + 10 * k)
+            base = [f"{w}{k}.{round(100 * share)}" for w in base]
+            rows += [(n, " ".join(base)), (n + 1, " ".join(apart(base, share, n)))]
+            n += 2
+    template = words(304, 77)  # a family of texts at 0.65 to 0.7
+    rows += [(n + k, " ".join(apart(template, 0.68, 9000 + k))) for k in range(40)]
+    want = similar_by_sets(rows, 0.8)
+    assert similar(spark, rows, **options) == want
+    assert sum(want[i] != i for i in want) == 27 and all(want[i] == i for i in range(n, n + 40))
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 200 + i) for i in range(300)] + [(7, 7)]
     df = spark.createDataFrame(links + [(None, 3)], "a bigint, b bigint")
