@@ -70,23 +70,29 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> bytes:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, lanes: int = 1, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """(doc_id, fp binary, shingles): the SimHash of each whole text."""
+                 text_col: str = "text", distinct: bool = False) -> DataFrame:
+    """(doc_id, fp binary, shingles, hash): the SimHash of each whole text.
+
+    ``shingles`` is the number of distinct shingles and ``hash`` stands for their set;
+    with ``distinct`` the fingerprint is that of the set, too.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                prints, sizes = [], []
+                prints, sizes, sets = [], [], []
                 for raw in byte_views(part.column("text")):
                     hashes = shingle_hashes(raw, words)
-                    prints.append(fingerprint(hashes, lanes))
-                    sizes.append(len(hashes))
+                    found = np.unique(hashes)
+                    prints.append(fingerprint(found if distinct else hashes, lanes))
+                    sizes.append(len(found))
+                    sets.append(xxhash.xxh3_128_digest(found.tobytes()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(prints, pa.binary()),
-                     pa.array(sizes, pa.int64())], ["doc_id", "fp", "shingles"])
+                    [part.column("doc_id"), pa.array(prints, pa.binary()), pa.array(sizes, pa.int64()),
+                     pa.array(sets, pa.binary())], ["doc_id", "fp", "shingles", "hash"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id bigint, fp binary, shingles bigint")
+        run, "doc_id bigint, fp binary, shingles bigint, hash binary")
 
 
 def forest(left: np.ndarray, right: np.ndarray | None, radius: int, block: int = 1 << 20
@@ -201,11 +207,15 @@ def near_duplicate_links(prints: DataFrame, radius: int, lanes: int = 1,
     """(a, b): links between the smallest documents of distinct fingerprints.
 
     The links span every component of fingerprints at ``radius`` or fewer differing
-    bits. With ``size_ratio`` (for longer fingerprints) documents whose shingle
-    counts differ by more than that ratio are not compared.
+    bits. With ``size_ratio`` (for longer fingerprints) documents whose numbers of
+    distinct shingles differ by more than that ratio are not compared; a fingerprint
+    that documents of different sizes share stands in the tiles of each of them.
     """
-    classes = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(
-        F.min("doc_id").alias("rep"), F.min("shingles").alias("shingles"))
+    named = prints.where("doc_id IS NOT NULL")
+    classes = named.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min("shingles").alias("shingles"))
+    if size_ratio:
+        sizes = named.select("fp", "shingles").distinct()
+        classes = classes.select("fp", "rep").join(sizes, "fp")
     pairs = _tile_pairs(classes, radius, lanes, size_ratio, tile_rows)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,9 +366,11 @@ def similar_groups(docs: DataFrame, words: int, radius: int, lanes: int, similar
     Defined cases: texts without a word are alike, and unlike any other; a text of fewer
     words than a shingle is one shingle. NULL counts as empty.
     """
-    prints = settle(fingerprints(docs, words, lanes, id_col, text_col), "fingerprints")
-    classes = settle(prints.groupBy("fp").agg(
-        F.min("doc_id").alias("rep"), F.min("shingles").alias("shingles")), "classes")
+    prints = settle(fingerprints(docs, words, lanes, id_col, text_col, distinct=True), "fingerprints")
+    # texts of one set are one class, so a class has one size
+    classes = settle(prints.groupBy("hash").agg(
+        F.min("doc_id").alias("rep"), F.first("fp").alias("fp"), F.first("shingles").alias("shingles")),
+        "classes")
     pairs = _tile_pairs(classes, radius + FEW_MORE, lanes, similarity, tile_rows)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,5 +412,5 @@ def similar_groups(docs: DataFrame, words: int, radius: int, lanes: int, similar
     links = members.join(sets, "rep").groupBy("block").applyInArrow(verify, "a bigint, b bigint")
     groups = connected_components(links)
     named = classes.join(groups, F.col("rep") == F.col("node"), "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(named, "fp").select(F.col("doc_id").alias(id_col), "component_id")
+        "hash", F.coalesce("component", "rep").alias("component_id"))
+    return prints.join(named, "hash").select(F.col("doc_id").alias(id_col), "component_id")

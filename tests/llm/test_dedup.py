@@ -143,6 +143,23 @@ def test_similar_groups_link_by_exact_similarity(spark, options):
     assert sum(want[i] != i for i in want) == 27 and all(want[i] == i for i in range(n, n + 40))
 
 
+def test_repeated_passages_do_not_hide_near_copies(spark):
+    base, other = words(200, 61), words(200, 62)
+    rows = [(0, " ".join(base)), (1, " ".join(base * 2)), (2, " ".join(base[:180] + ["new"] + base[181:])),
+            (3, " ".join(other)), (4, " ".join(other[:100] * 3 + other))]
+    want = similar_by_sets(rows, 0.8)
+    assert want == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3}
+    assert similar(spark, rows) == want
+
+
+def test_a_fingerprint_of_two_sizes_is_in_the_tiles_of_both(spark):
+    fp = bytes(64)
+    prints = spark.createDataFrame([(1, fp, 10), (2, fp, 100), (3, bytes(63) + b"\1", 100)],
+                                   "doc_id bigint, fp binary, shingles bigint")
+    links = simhash.near_duplicate_links(prints, radius=90, lanes=8, size_ratio=0.8)
+    assert {(r["a"], r["b"]) for r in links.collect()} & {(1, 3), (3, 1)}
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 200 + i) for i in range(300)] + [(7, 7)]
     df = spark.createDataFrame(links + [(None, 3)], "a bigint, b bigint")
