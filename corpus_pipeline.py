@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import langid, packing, quality, simhash, suffix_dedup
+from rivulet.llm import langid, packing, quality, queries, simhash, suffix_dedup
 from rivulet.llm.common import settle, table
 
 LEAST_SHARE = 0.3  # of a document's words in its language, by probability
@@ -59,8 +59,9 @@ def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Batches for training."""
-    return packing.pack(docs, max_len=MAX_TOKENS, buckets=BUCKETS, budget=BATCH_TOKENS)
+    """Batches for training, by the tokens of the public vocabulary."""
+    return packing.pack_tokens(docs, queries.vocabulary(), max_len=MAX_TOKENS, buckets=BUCKETS,
+                               budget=BATCH_TOKENS)
 
 
 STAGES = [("language", language), ("quality", clean), ("near_duplicates", distinct),

@@ -13,10 +13,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.llm.common import settle
+from rivulet.llm.token_counts import token_counts
 
 
 def word_tokens(text_col: str = "text") -> Column:
-    """Number of runs without white space; a NULL text has none."""
+    """Number of runs without white space, which are no tokens; a NULL text has none."""
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^ \t-\r]+")), F.lit(0)).cast("bigint")
 
 
@@ -106,3 +107,14 @@ def pack(docs: DataFrame, length: Column | None = None, id_col: str = "doc_id",
                     (F.col("bucket") - F.col("n_tokens")).alias("padding"),
                     F.floor(F.col("place") / room).alias("batch"),
                     F.pmod("place", room).cast("int").alias("slot")))
+
+
+def pack_tokens(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col: str = "text",
+                max_len: int = 2048, buckets: int = 16, budget: int = 65_536) -> DataFrame:
+    """``pack`` by the tokens of a vocabulary.
+
+    Lengths are exact counts of each whole text; ``start`` and ``n_tokens`` of a piece
+    are a place in the text's token ids, as ``bpe.encode`` gives them.
+    """
+    counted = token_counts(docs, vocabulary, id_col, text_col)
+    return pack(counted, F.col("n_tokens"), "doc_id", max_len, buckets, budget)

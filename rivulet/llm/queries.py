@@ -139,7 +139,8 @@ def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_length_buckets")
 def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), max_len=2048, buckets=16, budget=65_536)
+    return packing.pack_tokens(table(spark, sf_dir, "documents"), vocabulary(), max_len=2048, buckets=16,
+                               budget=65_536)
 
 
 @query("op7_license_scan")

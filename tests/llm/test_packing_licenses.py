@@ -8,7 +8,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from rivulet.llm import licenses, packing
+from tokenizers import Tokenizer
+import public_tokenizers
+
+from rivulet.llm import licenses, packing, queries
 
 SCHEMA = "doc_id bigint, text string, bucket string, piece string, template int"
 
@@ -73,6 +76,23 @@ def test_pack_by_a_given_length(spark):
     assert packing.pack(df.where("false"), length=packing.F.col("n")).count() == 0
 
 
+def test_pack_by_tokens_cuts_unspaced_texts(spark):
+    rows = [(1, "一二三四五六七八九十" * 400), (2, "x\xa0y\xa0" * 60), (3, "antidisestablishmentarianism " * 20),
+            (4, None), (5, " "), (6, "short"), (None, "no id")]
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    got = packing.pack_tokens(docs_of(spark, rows), queries.vocabulary(), max_len=64, buckets=4, budget=256).collect()
+    want = Counter()
+    for i, t in rows:
+        n = len(library.encode(t or "", add_special_tokens=False).ids)
+        assert i != 1 or n > 64
+        want.update((i, p, p * 64, min(64, n - p * 64)) for p in range(-(-n // 64)))
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["n_tokens"]) for r in got) == want
+    batches = Counter()
+    for r in got:
+        batches[r["bucket"], r["batch"]] += r["bucket"]
+    assert max(batches.values()) <= 256
+
+
 def plain_scan(texts, templates, containment):
     """Documents and templates of which any stretch of the template's length holds enough."""
     def grams(text):
