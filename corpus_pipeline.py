@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table that is written and read
 again as the next stage's documents. All but the last keep the columns of documents.
-Rows without doc_id pass the near-duplicate stage as they are; rows that share a
-doc_id are one document there.
+The near-duplicate stage judges rows by their texts: rows without doc_id, or that share
+one, are documents of their own there.
 """
 
 from __future__ import annotations
@@ -38,15 +38,19 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each group of near duplicates."""
+    """Keeps one row of each group of near duplicates: smallest id, then hash of the text.
+
+    Rows without id come last.
+    """
     # a key for each row, stored so that a repeated task gives the same
     rows = settle(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
-    groups = simhash.similar_groups(rows.where("doc_id IS NOT NULL"), words=5, radius=SIMHASH_RADIUS,
-                                    lanes=SIMHASH_LANES, similarity=SIMILARITY, id_col="row")
-    named = rows.join(groups, "row")
-    keep = named.groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    kept = rows.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    groups = simhash.similar_groups(rows, words=5, radius=SIMHASH_RADIUS, lanes=SIMHASH_LANES,
+                                    similarity=SIMILARITY, id_col="row")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("hash"),
+                     F.xxhash64(*docs.columns).alias("all"), "row")
+    keep = rows.select("row", order.alias("first")).join(groups, "row").groupBy("component_id").agg(
+        F.min("first").alias("first")).select("first.row")
+    return rows.join(keep, "row", "left_semi").select(*docs.columns)
 
 
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

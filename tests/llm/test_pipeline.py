@@ -64,6 +64,15 @@ def test_near_duplicates_leave_one_of_each_group(spark, docs):
     assert sorted(r["doc_id"] for r in kept) == [100 * g for g in range(20)]
 
 
+def test_near_duplicates_judge_rows_not_ids(spark, docs):
+    text = lambda seed: " ".join(f"{seed}w{k}" for k in range(40))
+    rows = [(1, text("a")), (1, text("b")), (1, text("b")), (2, text("a")), (None, text("c")), (None, text("c")),
+            (None, text("b")), (3, text("d"))]
+    kept = pipeline.distinct(spark, spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], docs.schema), SF)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(1, text("a")), (1, text("b")), (None, text("c")), (3, text("d"))], key=str)
+
+
 def test_passages_are_cut_at_whole_characters(spark, docs):
     shared = "é" * 40
     rows = [(1, shared, "fr", "s", 40), (2, "start " + shared + " end", "fr", "s", 50), (3, None, None, None, None)]
