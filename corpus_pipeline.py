@@ -57,8 +57,8 @@ def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Cuts passages that a document of smaller id has too; a character cut in two goes whole."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
     found = suffix_dedup.remove_repeats(docs, match=MATCH_BYTES, carry=others)
-    text = F.regexp_replace(F.expr("try_validate_utf8(make_valid_utf8(cast(kept AS string)))"), "�", "")
-    cut = found.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    cut = suffix_dedup.whole_characters(found).withColumn("text", F.col("kept").cast("string")).withColumn(
+        "n_chars", F.char_length("text").cast("bigint"))
     return cut.select(*docs.columns)
 
 

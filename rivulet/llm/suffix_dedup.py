@@ -468,3 +468,24 @@ def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", tex
                         "kept binary", *[f"{c} {kinds[c]}" for c in along]]))
     return out.select("doc_id", "n_bytes", "spans", "kept",
                       *[F.col(a).alias(c) for a, c in zip(along, carry)])
+
+
+def whole_characters(found: DataFrame) -> DataFrame:
+    """The rows of ``remove_repeats`` with what is left of characters cut in two taken from ``kept``.
+
+    Only the ends of the pieces between spans are touched; a text without spans stays as it is.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("kept")
+            for part in slices(batch, "kept"):
+                texts = []
+                for raw, spans in zip(part.column("kept").to_pylist(), part.column("spans").to_pylist()):
+                    ends = np.cumsum([0] + [b["start"] - a for a, b in zip(
+                        [0, *(s["end"] for s in spans)], spans)]).tolist()
+                    pieces = (raw[a:b] for a, b in zip(ends, [*ends[1:], len(raw)]))
+                    texts.append(b"".join(x.decode("utf-8", "ignore").encode() for x in pieces)
+                                 if spans else raw)
+                yield part.set_column(at, "kept", pa.array(texts, pa.binary()))
+
+    return found.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in found.dtypes))

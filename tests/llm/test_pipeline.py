@@ -81,6 +81,14 @@ def test_passages_are_cut_at_whole_characters(spark, docs):
     assert got == {1: (shared, 40), 2: ("start  end", 10), 3: ("", 0)}
 
 
+def test_passages_keep_replacement_signs_of_the_text(spark, docs):
+    shared = "é" * 40
+    rows = [(1, "\ufffd " + shared), (2, "a\ufffdb"), (3, "\ufffd start è" + shared + "\ufffd end"), (4, "\ufffd")]
+    got = {r["doc_id"]: r["text"] for r in pipeline.fresh_passages(spark, spark.createDataFrame(
+        [(i, t, "fr", "s", 0) for i, t in rows], docs.schema), SF).collect()}
+    assert got == {1: rows[0][1], 2: "a\ufffdb", 3: "\ufffd start è\ufffd end", 4: "\ufffd"}
+
+
 def test_whole_run(spark, docs):
     found = pipeline.run(spark, SF)
     rows = found.collect()
