@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from rivulet.llm import ann, bpe, langid, licenses, packing, quality, simhash, suffix_dedup, token_counts, topk
+from rivulet.llm import (ann, bpe, langid, licenses, packing, periodic, phrases, quality, simhash, suffix_dedup,
+                         token_counts, topk, vector_dedup)
 from rivulet.llm.common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +147,104 @@ def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_license_scan")
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), containment=0.8)
+
+
+VECTOR_GROUPS_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (
+  SELECT a, a AS r FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.r = links.a),
+least AS (SELECT a, MIN(r) AS component FROM reach GROUP BY a),
+degree AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a)
+SELECT m.vec_id, coalesce(d.n, 0) AS n_links, coalesce(l.component, m.vec_id) AS component_id,
+       coalesce(l.component, m.vec_id) = m.vec_id AS kept
+FROM embeddings m LEFT JOIN degree d ON m.vec_id = d.a LEFT JOIN least l ON m.vec_id = l.a
+"""
+
+
+@query("op11_vector_near_duplicates", VECTOR_GROUPS_SQL)
+def op11_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the words of one document in ten, by crc32 of its id, repeat from some word on."""
+    words = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"),
+                        F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("w"))
+    shape = words.where("h % 10 = 0 AND size(w) > 0").withColumn("g", F.expr("h div 10")).withColumn(
+        "a", F.expr("g % size(w)")).withColumn("p", F.expr("1 + (size(w) - a) div (3 + g % 8)"))
+    planted = shape.select("doc_id", F.expr(
+        "array_join(transform(w, (x, i) -> CASE WHEN i < a THEN x ELSE w[int(a + (i - a) % p)] END), ' ')"
+    ).alias("text"))
+    return planted.union(words.where("NOT coalesce(h % 10 = 0 AND size(w) > 0, false)").select("doc_id", "text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents"))
+    found = periodic.periodic_runs(docs, least_length=6, least_exponent=4)
+    # the longest run; of equal ones the first, then the shortest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        "best.length", (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+PHRASES_SQL = """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, UNNEST(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d) p),
+g AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, UNNEST(range(1, len(w) - m + 2)) AS i
+        FROM w, (SELECT UNNEST(range(1, 5)) AS m) o WHERE len(w) >= m) u),
+c AS (SELECT lang, m, phrase, COUNT(*) AS f FROM g GROUP BY lang, m, phrase),
+total AS (SELECT lang, SUM(f) AS n FROM c WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM c WHERE m > 1 AND f >= 30),
+inner_parts AS (
+  SELECT lang, a AS longer, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, a, w, k, UNNEST(range(1, m - k + 2)) AS i
+        FROM cand, (SELECT UNNEST(range(2, 4)) AS k) o WHERE k < m) u),
+most AS (SELECT lang, phrase, MAX(longer) AS longer FROM inner_parts GROUP BY lang, phrase),
+kept AS (
+  SELECT x.* FROM cand x LEFT JOIN most ON x.lang = most.lang AND x.phrase = most.phrase
+  WHERE coalesce(100 * CAST(most.longer AS HUGEINT) < 80 * CAST(x.a AS HUGEINT), true)),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+  FROM kept, (SELECT UNNEST(range(1, 4)) AS k) o WHERE k < m),
+scored AS (
+  SELECT u.lang, u.phrase, u.a, u.k, l.f AS l, r.f AS r,
+         CAST(2000000 * CAST(u.a AS HUGEINT) // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM cuts u JOIN c l ON u.lang = l.lang AND u.head = l.phrase JOIN c r ON u.lang = r.lang AND u.rest = r.phrase),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, CAST(t.n AS BIGINT) AS n, k.score
+FROM ranked k JOIN total t ON k.lang = t.lang WHERE k.rank <= 2000
+"""
+
+
+@query("op13_collocations", PHRASES_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, longest=4, contain=(80, 100), top=2000)

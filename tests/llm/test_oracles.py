@@ -30,5 +30,6 @@ def test_query_has_the_contract_columns(spark, name):
         "op7": "doc_id template start end containment",
         "op8": "doc_id n_bytes n_tokens over_limit",
         "op9": "doc_id fingerprint component_id",
-        "op10": "doc_id held_out lang_pred score"}[name.split("_")[0]]
+        "op10": "doc_id held_out lang_pred score",
+        "op12": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256"}[name.split("_")[0]]
     assert queries.QUERIES[name](spark, SF).columns == wanted.split()
