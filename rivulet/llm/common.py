@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rivulet.sources.tables import scratch_root, settle
 
 __all__ = ["settle", "scratch_root", "slices", "byte_views", "share_file", "shared_path",
-           "by_row", "text_or_empty", "finite_vectors", "crc_remainder", "table"]
+           "by_row", "free_name", "text_or_empty", "finite_vectors", "crc_remainder", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,15 @@ def by_row(df: DataFrame, tasks: int) -> DataFrame:
     return df.repartition(tasks)
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name like ``stem`` that the table does not have, in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    name = stem
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def finite_vectors(df: DataFrame, id_col: str, vector_col: str, zero: bool) -> DataFrame:
     """(id, vector of doubles), one row per id, of the vectors that take part in a search.
 

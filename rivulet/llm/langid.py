@@ -19,7 +19,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from rivulet.llm.common import slices
 
@@ -27,6 +28,8 @@ WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
 BLOCK = 64  # words that are taken through the chain at once
 KNOWN = 300_000  # words a worker remembers
+MOST_ROWS = 20_000  # labelled rows that a fit sees in all
+MOST_PAIRS = 20_000_000  # numbers in the fit's largest table: training sequences times pairs of languages
 U = np.uint64
 
 
@@ -219,6 +222,9 @@ def fit(texts: list[str], langs: list[str], rounds: int = 25, seed: int = 3, len
                            np.random.default_rng(seed), length)
     if not len(seq):
         return field
+    if len(seq) * k * k > MOST_PAIRS:
+        some = np.random.default_rng(seed).permutation(len(seq))[:max(1, MOST_PAIRS // (k * k))]
+        seq, gold = seq[some], gold[some]
     observed = np.stack([np.bincount(seq[gold == y], minlength=len(words)) for y in range(k)], 1)
     turns = np.zeros((k, k))
     np.add.at(turns, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1)
@@ -263,28 +269,36 @@ def fit(texts: list[str], langs: list[str], rounds: int = 25, seed: int = 3, len
     return field
 
 
-def sample_rows(docs: DataFrame, per_language: int, most_bytes: int) -> list:
-    """Labelled rows for the fit: about ``per_language`` of each language, by a hash of the row."""
-    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(
-        F.octet_length("text") <= most_bytes)
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+def sample_rows(docs: DataFrame, per_language: int, most_chars: int) -> list:
+    """Labelled texts for the fit: about ``per_language`` of each language, by a hash of the text.
+
+    A text is drawn or not whatever number of rows hold it, and comes once. Of a longer
+    text a stretch of ``most_chars`` comes, from a place that its hash names.
+    """
+    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(
+        "lang", "text", F.xxhash64("text").alias("hash"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(
+        F.countDistinct("hash").alias("n")).collect()}
     if not counts:
         return []
-    draw: Column = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
+    each = max(1, min(per_language, MOST_ROWS // len(counts)))
+    draw: Column = F.pmod(F.xxhash64("hash"), F.lit(1 << 40)) / float(1 << 40)
     share = F.element_at(F.create_map(*[x for lang, n in sorted(counts.items()) for x in (
-        F.lit(lang), F.lit(min(1.0, per_language / n)))]), F.col("lang"))
-    return rows.where(draw < share).select("doc_id", "text", "lang").limit(
-        2 * per_language * len(counts)).collect()
+        F.lit(lang), F.lit(min(1.0, each / n)))]), F.col("lang"))
+    start = F.pmod("hash", F.greatest(F.lit(1), F.char_length("text") - most_chars + 1)).cast("int") + 1
+    return rows.where(draw < share).select("lang", F.substr("text", start, F.lit(most_chars)).alias("text")
+                                           ).distinct().limit(2 * each * len(counts)).collect()
 
 
-def fit_field(labelled: DataFrame, per_language: int = 200, most_bytes: int = 32_768) -> Field:
-    """Fit on a bounded sample of (doc_id, text, lang).
+def fit_field(labelled: DataFrame, per_language: int = 200, most_chars: int = 32_768) -> Field:
+    """Fit on a bounded sample of (text, lang).
 
-    At most about ``per_language`` rows of each language, none over ``most_bytes``
-    long, come to the driver; these two bounds are the fit's whole appetite.
+    About ``per_language`` different texts of each language come to the driver, at most
+    MOST_ROWS in all and ``most_chars`` characters of each; MOST_PAIRS bounds what the fit
+    makes of them. Those bounds are its whole appetite. Rows without text or lang teach
+    nothing; without any the field knows no language.
     """
-    rows = sorted(sample_rows(labelled, per_language, most_bytes),
-                  key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"], r["lang"]))
+    rows = sorted(sample_rows(labelled, per_language, most_chars), key=lambda r: (r["text"], r["lang"]))
     return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
@@ -368,3 +382,33 @@ def label_languages(docs: DataFrame, field: Field, text_col: str = "text", words
     fields = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
     kinds = ["string", "double", "array<struct<lang:string,words:bigint>>"][:len(new)]
     return rows.mapInArrow(run, ", ".join([fields, *(f"{c} {t}" for c, t in zip(new, kinds))]))
+
+
+def language_verdicts(spark: SparkSession, field: Field):
+    """A function of a text column: struct of lang_pred, score (as ``label_languages`` has them) and evidence.
+
+    ``evidence`` is 0 where the field tells no language from another in any word, and 1 where it
+    is sure of each word's language, whichever: the mean over words of the greatest probability,
+    scaled from 1 / languages to 1. Texts in several languages have it as well as others.
+    """
+    shared = spark.sparkContext.broadcast(field)
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("evidence", pa.float64())])
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        field = shared.value
+        known, chance = _Known(field), 1 / max(2, len(field.languages))
+        for column in columns:
+            batch, out = pa.RecordBatch.from_arrays([column], ["text"]), []
+            for part in slices(batch, "text", 1 << 21):
+                for p in label_texts(field, known, part.column("text").to_pylist())[1]:
+                    if p is None:
+                        out.append(("und", 0.0, 0.0))
+                        continue
+                    share = p.mean(axis=0)
+                    sure = (float(p.max(axis=1).mean()) - chance) / (1 - chance)
+                    out.append((field.languages[int(share.argmax())], min(1.0, float(share.max())),
+                                min(1.0, max(0.0, sure))))
+            yield pa.StructArray.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(kind)],
+                                             fields=list(kind))
+
+    return F.arrow_udf(run, "lang_pred string, score double, evidence double", ArrowUDFType.SCALAR_ITER)

@@ -8,7 +8,6 @@ expressions over the statistics, so scoring needs no model object.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -17,6 +16,7 @@ import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from rivulet.llm.common import byte_views, settle, slices
 
@@ -42,25 +42,30 @@ def statistics_of(raw: bytes) -> tuple[float, ...]:
             len(set(lines)) / len(lines), float(max(map(len, words))), int(count[128:].sum()) / size)
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """The rows with a struct of statistics; the text itself goes on only if asked for."""
-    rows = docs.drop(FIELD)
-    kept = [c for c in rows.columns if keep_text or c != text_col]
+def text_statistics(text_col: str = "text") -> Column:
+    """A struct of the statistics of a text column; only the texts go to Python.
+
+    A NULL, empty or blank text has zeros. Long texts are read whole.
+    """
     kind = pa.struct([(s, pa.float64()) for s in STATISTICS])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text_col):
-                found = np.array([statistics_of(t) for t in byte_views(part.column(text_col))])
-                struct = pa.StructArray.from_arrays(
-                    [pa.array(np.ascontiguousarray(c)) for c in found.T], fields=list(kind))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], struct],
-                                                 [*kept, FIELD])
+    def run(column: pa.Array) -> pa.Array:
+        found = np.array([statistics_of(raw) for part in slices(
+            pa.RecordBatch.from_arrays([column], ["text"]), "text") for raw in byte_views(part.column("text"))])
+        return pa.StructArray.from_arrays(
+            [pa.array(np.ascontiguousarray(c)) for c in found.reshape(-1, len(STATISTICS)).T], fields=list(kind))
+
+    inner = ", ".join(f"{s} double" for s in STATISTICS)
+    return F.arrow_udf(run, inner, ArrowUDFType.SCALAR)(F.col(text_col))
 
-    types = dict(rows.dtypes)
-    fields = [f"`{c}` {types[c]}" for c in kept]
-    inner = ", ".join(f"{s}: double" for s in STATISTICS)
-    return rows.mapInArrow(run, ", ".join([*fields, f"{FIELD} struct<{inner}>"]))
+
+def with_statistics(docs: DataFrame, text_col: str = "text", field: str = FIELD) -> DataFrame:
+    """The rows with a struct of statistics in the column ``field``.
+
+    A column that has this name is replaced; name another where the rows must keep it. For
+    NULL, empty and long texts see ``text_statistics``.
+    """
+    return docs.withColumn(field, text_statistics(text_col))
 
 
 @dataclass(frozen=True)
@@ -69,10 +74,10 @@ class Rule:
 
     parts: tuple[tuple[str, bool, float], ...]
 
-    def column(self) -> Column:
+    def column(self, field: str = FIELD) -> Column:
         out = F.lit(True)
         for name, above, cut in self.parts:
-            value = F.col(f"{FIELD}.{name}")
+            value = F.col(f"{field}.{name}")
             out = out & ((value > F.lit(cut)) if above else (value <= F.lit(cut)))
         return out
 
@@ -87,10 +92,10 @@ class Rules:
     intercept: float
     weights: tuple[tuple[Rule, float], ...]
 
-    def score(self) -> Column:
+    def score(self, field: str = FIELD) -> Column:
         total = F.lit(float(self.intercept))
         for rule, weight in self.weights:
-            total = total + F.when(rule.column(), F.lit(float(weight))).otherwise(F.lit(0.0))
+            total = total + F.when(rule.column(field), F.lit(float(weight))).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
@@ -123,6 +128,7 @@ def fit_rules(rows: DataFrame, trees: int = 12, depth: int = 3, penalty: float =
               ) -> Rules:
     """Fit on (text_statistics, label) rows; rows without a label are left out.
 
+    Texts without words and very long ones teach by their statistics like any other.
     Without labelled rows every text scores 0.5; with one class only, that class.
     """
     spark = rows.sparkSession
@@ -164,6 +170,6 @@ def fitted_rules(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str
     like any other. Rows without id teach nothing. Repeated rows each teach.
     """
     stats = settle(with_statistics(docs.select(F.col(id_col).alias("doc_id"),
-                                               F.col(text_col).alias("text"))), "statistics")
+                                               F.col(text_col).alias("text"))).drop("text"), "statistics")
     known = stats.where(learn).join(labels_by_id(labels), "doc_id")
     return stats, fit_rules(known)

@@ -178,8 +178,8 @@ def _tile_pairs(classes: DataFrame, radius: int, lanes: int, size_ratio: float |
         place, "tile bigint, fp binary, rep bigint, shingles bigint"), "prints")
     # one row per tile: at most 17^4 population counts, or the few bands and sizes, so it may
     # be broadcast; a join by tile would bring all of a full tile to one task
-    chunks = placed.groupBy("tile").agg(
-        F.ceil(F.count("*") / tile_rows).cast("int").alias("chunks"))
+    chunks = settle(placed.groupBy("tile").agg(
+        F.ceil(F.count("*") / tile_rows).cast("int").alias("chunks")), "chunks")
     tiles = (placed.join(F.broadcast(chunks), "tile")
              .withColumn("chunk", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("chunks")).cast("int"))
              .groupBy("tile", "chunk").agg(F.collect_list(F.struct("fp", "rep", "shingles")).alias("rows")))
@@ -187,9 +187,13 @@ def _tile_pairs(classes: DataFrame, radius: int, lanes: int, size_ratio: float |
     base = _code([0] * len(_offsets(lanes, radius)[0]))
     steps = F.array(*[F.lit(_code(s) - base).cast("bigint") for s in _offsets(lanes, radius)])
     left = tiles.select(F.col("tile").alias("from_tile"), F.col("chunk").alias("from_chunk"),
-                        F.col("rows").alias("left"), F.explode(steps).alias("step"))
-    return left.join(tiles, F.col("from_tile") + F.col("step") == F.col("tile")).where(
-        "step <> 0 OR from_chunk <= chunk").select(
+                        F.col("rows").alias("left"), F.explode(steps).alias("step")).withColumn(
+        "tile", F.col("from_tile") + F.col("step"))
+    # each chunk of the other tile is a key of its own: a full tile's pairs go to many tasks
+    wanted = left.join(F.broadcast(chunks), "tile").withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where(
+        "step <> 0 OR from_chunk <= chunk")
+    return wanted.join(tiles, ["tile", "chunk"]).select(
         "left", F.when((F.col("step") != 0) | (F.col("from_chunk") != F.col("chunk")),
                        F.col("rows")).alias("right"))
 
@@ -364,7 +368,7 @@ def similar_groups(docs: DataFrame, words: int, radius: int, lanes: int, similar
     block holds about ``block_shingles`` shingles (8 bytes each) and one text more at worst.
 
     Defined cases: texts without a word are alike, and unlike any other; a text of fewer
-    words than a shingle is one shingle. NULL counts as empty.
+    words than a shingle is one shingle. NULL counts as empty. Other columns are ignored.
     """
     prints = settle(fingerprints(docs, words, lanes, id_col, text_col, distinct=True), "fingerprints")
     # texts of one set are one class, so a class has one size
@@ -389,8 +393,9 @@ def similar_groups(docs: DataFrame, words: int, radius: int, lanes: int, similar
 
     members = settle(pairs.mapInArrow(gather, "block binary, second boolean, rep bigint"), "candidates")
     wanted = members.select("rep").distinct()
-    texts = docs.join(wanted, F.col(id_col) == F.col("rep"), "left_semi")
-    sets = settle(shingle_sets(texts, words, id_col, text_col).join(
+    texts = docs.select(F.col(id_col).cast("bigint").alias("rep"), F.col(text_col).alias("text")).join(
+        wanted, "rep", "left_semi")
+    sets = settle(shingle_sets(texts, words, "rep").join(
         classes.select("rep", "fp"), "rep"), "shingle_sets")
 
     def verify(block: pa.Table) -> pa.Table:

@@ -26,17 +26,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from rivulet.llm.common import byte_views, settle, slices
 
 GRAM = 24
-SEGMENT = 1 << 22  # bytes handled at once; positions must fit 24 bits
+SEGMENT = 1 << 20  # bytes handled at once; positions must fit 24 bits
 LAST_ID = np.iinfo(np.int64).max  # stands for a missing doc_id
 U = np.uint64
 
 _x = np.arange(1, 257, dtype=np.uint64) * U(0x9E3779B97F4A7C15)
 _x = (_x ^ (_x >> U(30))) * U(0xBF58476D1CE4E5B9)
 BYTE = (_x ^ (_x >> U(27))) * U(0x94D049BB133111EB)
+OTHER = (BYTE ^ (BYTE >> U(31))) * U(0xD6E8FEB86659FD93)  # for a second hash of the same text
 
 
 def _join(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -55,9 +57,9 @@ def _final(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return out
 
 
-def rolling_hashes(text: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray]:
+def rolling_hashes(text: np.ndarray, match: int, values: np.ndarray = BYTE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the GRAM bytes and of the ``match`` bytes from each position on."""
-    h, size, gram, eight = BYTE[text], 1, None, None
+    h, size, gram, eight = values[text], 1, None, None
     while size * 2 <= match:
         h = _join(h[:-size], h[size:])
         size *= 2
@@ -262,7 +264,7 @@ def _ranges(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 EMITTED = "shard int, first_doc bigint, suffixes binary"
 FOUND = "doc bigint, hash bigint, edge boolean, ranges binary"
-MOST = 1_200_000  # suffixes in a batch
+MOST = 300_000  # suffixes in a batch
 
 
 class _Batch:
@@ -279,22 +281,31 @@ class _Batch:
         self.n += len(part)
 
     def emit(self) -> Iterator[pa.RecordBatch]:
-        """One batch's suffix array in shards; what it covers itself goes along to the shard."""
+        """One batch's suffix array in shards; what it covers itself goes to a group of its own.
+
+        So a passage that most documents hold brings its rows to as many groups as there
+        are shards, not to the shard of the passage.
+        """
         if self.n:
             table = Table(np.array(self.ids, np.int64), np.array(self.hashes, np.int64))
             run = Suffixes.joined(self.parts)
             run.doc = table.number[run.doc]
             run = run.ordered()
             keep = table.ids[run.doc[run.heads()]] >= table.ids[run.doc]
+            lost, run = run.take(~keep), run.take(keep)
             # equal parts of the hash space, in order
             home = (run.key >> U(32)) * U(self.shards) >> U(32)
             cuts = np.searchsorted(home, np.arange(self.shards + 1, dtype=np.uint64))
-            for s in np.flatnonzero(np.diff(cuts)):
-                part, own = run.take(slice(cuts[s], cuts[s + 1])), keep[cuts[s]:cuts[s + 1]]
+            none = run.take(slice(0, 0))
+            packed = [(int(s), pack(run.take(slice(cuts[s], cuts[s + 1])), none, table))
+                      for s in np.flatnonzero(np.diff(cuts))]
+            if len(lost):
+                group = int(_final(table.hashes[:1].view(np.uint64), 5)[0] % U(self.shards))
+                packed.append((-1 - group, pack(none, lost, table)))
+            for shard, blob in packed:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(s)], pa.int32()), pa.array([int(table.ids[0])], pa.int64()),
-                     pa.array([pack(part.take(own), part.take(~own), table)], pa.binary())],
-                    ["shard", "first_doc", "suffixes"])
+                    [pa.array([shard], pa.int32()), pa.array([int(table.ids[0])], pa.int64()),
+                     pa.array([blob], pa.binary())], ["shard", "first_doc", "suffixes"])
         self.__init__(self.shards)
 
 
@@ -343,10 +354,10 @@ def _index_edges(match: int, shards: int):
         if len(base) == 2:  # of a segment, the windows that start in it
             here = (at >= 0) & (at < min(SEGMENT, base[1] - match + 1))
             at, doc = at[here], doc[here]
-        _, whole = rolling_hashes(np.frombuffer(b"".join(texts), np.uint8), match)
-        h = whole[at]
+        text = np.frombuffer(b"".join(texts), np.uint8)
+        h, second = (rolling_hashes(text, match, values)[1][at] for values in (BYTE, OTHER))
         local = at - base[np.maximum(doc - number, 0)] + start
-        return Suffixes(_final(h), (_final(h, 2) >> U(32)).astype(np.uint32), doc.astype(np.uint32),
+        return Suffixes(_final(h), (_final(second, 2) >> U(32)).astype(np.uint32), doc.astype(np.uint32),
                         local.astype(np.uint32), np.zeros(len(at), np.uint8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,9 +394,10 @@ def _family_of_shard(with_edges: bool):
             run, lost = unpack(blob)[:2]
             run.doc, lost.doc = number[run.doc], number[lost.doc]
             family.covered.append(lost)
-            family.add(run)
+            if len(run):
+                family.add(run)
         rows = [(d, False, r) for d, r in _pack_ranges(Suffixes.joined(family.covered))]
-        if with_edges:
+        if with_edges and family.levels:
             rows += [(d, True, r) for d, r in _pack_ranges(_edges(family.merged(), table.ids))]
         doc = np.array([r[0] for r in rows], np.int64)
         return pa.Table.from_arrays(
@@ -417,10 +429,11 @@ def removed_spans(low: np.ndarray, span: np.ndarray, match: int) -> list[tuple[i
 
 
 def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   carry: tuple[str, ...] = (), shard_bytes: int = 16 << 20) -> DataFrame:
+                   carry: tuple[str, ...] = (), shard_bytes: int = 16 << 20, whole: bool = False) -> DataFrame:
     """doc_id, n_bytes, spans (array of start, end) and kept (binary) of each document.
 
-    Columns named in ``carry`` go along.
+    Columns named in ``carry`` go along. With ``whole`` the characters that an end of a span
+    cuts in two are taken from ``kept`` altogether; a text without spans stays as it is.
 
     A byte goes if it lies under a string of ``match`` bytes that also starts in a
     document with a smaller id. Strings are judged on the input; spans are maximal
@@ -429,10 +442,13 @@ def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", tex
 
     Defined cases: a NULL text counts as empty, and texts shorter than ``match`` lose
     nothing. A row without id counts as the last document. Rows that share an id
-    never remove from each other. Rows keep their number; other columns are ignored.
+    never remove from each other. Rows keep their number; other columns are ignored, and a
+    carried column must not have the name of a new one.
     """
     if match < 2 * GRAM or match - GRAM > 255:
         raise ValueError(f"match must be {2 * GRAM} to {255 + GRAM} bytes")
+    if {c.lower() for c in carry} & {"doc_id", "n_bytes", "spans", "kept"}:
+        raise ValueError("a carried column has the name of a new one")
     missing: Column = F.lit(int(LAST_ID)).cast("bigint")
     texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), missing).alias("doc"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(
@@ -444,48 +460,23 @@ def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", tex
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        *[F.col(c).alias(f"carry_{k}") for k, c in enumerate(carry)]).withColumn(
         "hash", F.xxhash64("text"))
-    along = [f"carry_{k}" for k in range(len(carry))]
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                spans, kept, raws = [], [], byte_views(part.column("text"))
-                for raw, blobs in zip(raws, part.column("ranges").to_pylist()):
-                    gone = removed_spans(*_ranges(blobs), match) if blobs else []
-                    edges = [0, *(x for s in gone for x in s), len(raw)]
-                    kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
-                    spans.append([{"start": a, "end": b} for a, b in gone])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(r) for r in raws], pa.int64()),
-                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                     pa.array(kept, pa.binary()), *[part.column(c) for c in along]],
-                    ["doc_id", "n_bytes", "spans", "kept", *along])
-
-    kinds = dict(rows.dtypes)
-    out = rows.join(ranges, ["doc", "hash"], "left").select(
-        "doc_id", "text", "ranges", *along).mapInArrow(
-        cut, ", ".join(["doc_id bigint", "n_bytes bigint", "spans array<struct<start:bigint,end:bigint>>",
-                        "kept binary", *[f"{c} {kinds[c]}" for c in along]]))
-    return out.select("doc_id", "n_bytes", "spans", "kept",
-                      *[F.col(a).alias(c) for a, c in zip(along, carry)])
-
-
-def whole_characters(found: DataFrame) -> DataFrame:
-    """The rows of ``remove_repeats`` with what is left of characters cut in two taken from ``kept``.
-
-    Only the ends of the pieces between spans are touched; a text without spans stays as it is.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("kept")
-            for part in slices(batch, "kept"):
-                texts = []
-                for raw, spans in zip(part.column("kept").to_pylist(), part.column("spans").to_pylist()):
-                    ends = np.cumsum([0] + [b["start"] - a for a, b in zip(
-                        [0, *(s["end"] for s in spans)], spans)]).tolist()
-                    pieces = (raw[a:b] for a, b in zip(ends, [*ends[1:], len(raw)]))
-                    texts.append(b"".join(x.decode("utf-8", "ignore").encode() for x in pieces)
-                                 if spans else raw)
-                yield part.set_column(at, "kept", pa.array(texts, pa.binary()))
-
-    return found.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in found.dtypes))
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def cut(text: pa.Array, ranges: pa.Array) -> pa.Array:
+        spans, kept = [], []
+        for part in slices(pa.RecordBatch.from_arrays([text, ranges], ["text", "ranges"]), "text"):
+            for raw, blobs in zip(byte_views(part.column("text")), part.column("ranges").to_pylist()):
+                gone = removed_spans(*_ranges(blobs), match) if blobs else []
+                edges = [0, *(x for s in gone for x in s), len(raw)]
+                pieces = [raw[a:b] for a, b in zip(edges[::2], edges[1::2])]
+                if whole and gone:  # pieces lose what is left of a character at their ends
+                    pieces = [x.decode("utf-8", "ignore").encode() for x in pieces]
+                kept.append(b"".join(pieces))
+                spans.append([{"start": a, "end": b} for a, b in gone])
+        return pa.StructArray.from_arrays([pa.array(spans, span), pa.array(kept, pa.binary())], ["spans", "kept"])
+
+    cutter = F.arrow_udf(cut, "spans array<struct<start:bigint,end:bigint>>, kept binary", ArrowUDFType.SCALAR)
+    return rows.join(ranges, ["doc", "hash"], "left").select(
+        "doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), cutter("text", "ranges").alias("cut"),
+        *[F.col(f"carry_{k}").alias(c) for k, c in enumerate(carry)]).select(
+        "doc_id", "n_bytes", "cut.spans", "cut.kept", *carry)

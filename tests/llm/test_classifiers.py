@@ -148,3 +148,35 @@ def test_quality_on_held_out_documents(spark):
     assert all(r["predicted"] == int(r["score"] >= 0.3) for r in rows)
     held = [r for r in rows if r["held_out"] and r["doc_id"] in quality_of]
     assert np.mean([r["predicted"] == quality_of[r["doc_id"]] for r in held]) > 0.95
+
+
+def test_a_language_of_long_texts_or_of_copies_is_learned(spark):
+    rows = [(k, text_in("aa", 60, k), "aa") for k in range(30)]
+    rows += [(100 + k, text_in("bb", 9000, k), "bb") for k in range(8)]  # each longer than a stretch
+    rows += [(200 + k, text_in("cc", 60, 0), "cc") for k in range(400)] + [
+        (900 + k, text_in("cc", 60, k), "cc") for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    drawn = langid.sample_rows(df, 20, 5000)
+    assert {r["lang"] for r in drawn} == {"aa", "bb", "cc"} and max(len(r["text"]) for r in drawn) == 5000
+    assert len({(r["lang"], r["text"]) for r in drawn}) == len(drawn)
+    assert sum(r["lang"] == "cc" for r in drawn) > 5
+    field = langid.fit_field(df, per_language=20, most_chars=5000)
+    got = langid.label_languages(df, field).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+
+
+def test_every_score_equals_a_plain_reading_of_the_rules(spark, fitted):
+    docs, labels = fitted
+    odd = spark.createDataFrame([(9001, None, None), (9002, "", None), (None, "a | b! 7.", None)], docs.schema)
+    stats, rules = quality.fitted_rules(docs.union(odd), labels, quality.F.lit(True))
+    got = sorted((r["doc_id"] or -1, r["s"]) for r in stats.select("doc_id", rules.score().alias("s")).collect())
+    want = []
+    for r in docs.union(odd).collect():
+        found = dict(zip(quality.STATISTICS, quality.statistics_of((r["text"] or "").encode())))
+        total = rules.intercept
+        for rule, weight in rules.weights:
+            if all((found[n] > cut) == above for n, above, cut in rule.parts):
+                total += weight
+        want.append((r["doc_id"] or -1, 1 / (1 + np.exp(-total))))
+    assert [i for i, _ in got] == [i for i, _ in sorted(want)]
+    assert np.allclose([s for _, s in got], [s for _, s in sorted(want)])
