@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivulet.llm import langid, packing, quality, queries, simhash, suffix_dedup
-from rivulet.llm.common import settle, table
+from rivulet.llm.common import free_name, settle, table
 
-LEAST_SHARE = 0.3  # of a document's words in its language, by probability
+LEAST_EVIDENCE = 0.37  # that the words of a document are in some language or other, from 0 to 1
 LEAST_QUALITY = 0.3
 SIMHASH_LANES = 8  # 512 bits
 SIMHASH_RADIUS = 112  # bits that candidates differ in at most; misses 1 in 10,000 pairs at similarity 0.8
@@ -23,41 +23,56 @@ MAX_TOKENS, BUCKETS, BATCH_TOKENS = 2048, 16, 65_536
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and those that no language explains."""
-    field = langid.fit_field(docs.select("doc_id", "text", "lang"))
-    judged = langid.label_languages(docs, field)
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(
-        *docs.columns)
+    """Drops texts without a letter and those whose words look like no language more than another.
+
+    Where no row has text and lang, no language can be learned and every text with a letter stays.
+    """
+    field = langid.fit_field(docs.select("text", "lang"))
+    if not field.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    verdict = free_name(docs, "verdict")
+    judged = docs.withColumn(verdict, langid.language_verdicts(spark, field)("text"))
+    return judged.where((F.col(f"{verdict}.lang_pred") != "und")
+                        & (F.col(f"{verdict}.evidence") >= LEAST_EVIDENCE)).drop(verdict)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that the rules score below LEAST_QUALITY."""
-    _, rules = quality.fitted_rules(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    judged = quality.with_statistics(docs, keep_text=True)
-    return judged.where(rules.score() >= LEAST_QUALITY).select(*docs.columns)
+    """Drops texts that the rules score below LEAST_QUALITY; NULL and empty texts are scored, too."""
+    field = free_name(docs, "statistics")
+    rows = settle(quality.with_statistics(docs, field=field), "statistics")
+    labels = quality.labels_by_id(table(spark, sf_dir, "labels"))
+    rules = quality.fit_rules(rows.select("doc_id", F.col(field).alias(quality.FIELD)).join(labels, "doc_id"))
+    return rows.where(rules.score(field) >= LEAST_QUALITY).drop(field)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near duplicates: smallest id, then hash of the text.
 
-    Rows without id come last.
+    Rows without id come last. Links chain: the ends of a group may be less alike than its links.
     """
     # a key for each row, stored so that a repeated task gives the same
-    rows = settle(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
-    groups = simhash.similar_groups(rows, words=5, radius=SIMHASH_RADIUS, lanes=SIMHASH_LANES,
-                                    similarity=SIMILARITY, id_col="row")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("hash"),
-                     F.xxhash64(*docs.columns).alias("all"), "row")
-    keep = rows.select("row", order.alias("first")).join(groups, "row").groupBy("component_id").agg(
-        F.min("first").alias("first")).select("first.row")
-    return rows.join(keep, "row", "left_semi").select(*docs.columns)
+    key = free_name(docs, "row")
+    rows = settle(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    groups = simhash.similar_groups(rows.select(F.col(key).alias("row"), "text"), words=5,
+                                    radius=SIMHASH_RADIUS, lanes=SIMHASH_LANES, similarity=SIMILARITY,
+                                    id_col="row")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.xxhash64(*docs.columns), key)
+    keep = rows.select(F.col(key).alias("row"), order.alias("first")).join(groups, "row").groupBy(
+        "component_id").agg(F.min("first").alias("first")).select(F.col(f"first.{key}").alias(key))
+    return rows.join(keep, key, "left_semi").select(*docs.columns)
 
 
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages that a document of smaller id has too; a character cut in two goes whole."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    found = suffix_dedup.remove_repeats(docs, match=MATCH_BYTES, carry=others)
-    cut = suffix_dedup.whole_characters(found).withColumn("text", F.col("kept").cast("string")).withColumn(
+    """Cuts passages that a document of smaller id has too; a character cut in two goes whole.
+
+    A NULL text becomes empty. n_chars is counted anew.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    held = [f"held_{k}" for k in range(len(others))]
+    lean = docs.select("doc_id", "text", *[F.col(c).alias(h) for c, h in zip(others, held)])
+    found = suffix_dedup.remove_repeats(lean, match=MATCH_BYTES, carry=tuple(held), whole=True)
+    cut = found.select("doc_id", F.col("kept").cast("string").alias("text"),
+                       *[F.col(h).alias(c) for c, h in zip(others, held)]).withColumn(
         "n_chars", F.char_length("text").cast("bigint"))
     return cut.select(*docs.columns)
 
