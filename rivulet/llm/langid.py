@@ -20,7 +20,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.functions import ArrowUDFType
 
 from rivulet.llm.common import slices
 
@@ -411,4 +410,4 @@ def language_verdicts(spark: SparkSession, field: Field):
             yield pa.StructArray.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(kind)],
                                              fields=list(kind))
 
-    return F.arrow_udf(run, "lang_pred string, score double, evidence double", ArrowUDFType.SCALAR_ITER)
+    return F.arrow_udf(run, "lang_pred string, score double, evidence double")

@@ -16,7 +16,6 @@ import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.functions import ArrowUDFType
 
 from rivulet.llm.common import byte_views, settle, slices
 
@@ -56,7 +55,7 @@ def text_statistics(text_col: str = "text") -> Column:
             [pa.array(np.ascontiguousarray(c)) for c in found.reshape(-1, len(STATISTICS)).T], fields=list(kind))
 
     inner = ", ".join(f"{s} double" for s in STATISTICS)
-    return F.arrow_udf(run, inner, ArrowUDFType.SCALAR)(F.col(text_col))
+    return F.arrow_udf(run, inner)(F.col(text_col))
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text", field: str = FIELD) -> DataFrame:

@@ -26,7 +26,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.functions import ArrowUDFType
 
 from rivulet.llm.common import byte_views, settle, slices
 
@@ -475,7 +474,7 @@ def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", tex
                 spans.append([{"start": a, "end": b} for a, b in gone])
         return pa.StructArray.from_arrays([pa.array(spans, span), pa.array(kept, pa.binary())], ["spans", "kept"])
 
-    cutter = F.arrow_udf(cut, "spans array<struct<start:bigint,end:bigint>>, kept binary", ArrowUDFType.SCALAR)
+    cutter = F.arrow_udf(cut, "spans array<struct<start:bigint,end:bigint>>, kept binary")
     return rows.join(ranges, ["doc", "hash"], "left").select(
         "doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), cutter("text", "ranges").alias("cut"),
         *[F.col(f"carry_{k}").alias(c) for k, c in enumerate(carry)]).select(
