@@ -3,15 +3,20 @@
 Each stage takes (spark, docs, sf_dir) and returns a table that is written and read
 again as the next stage's documents. All but the last keep the columns of documents.
 The near-duplicate stage judges rows by their texts: rows without doc_id, or that share
-one, are documents of their own there.
+one, are documents of their own there. What a stage stores on its way is dropped when the next
+stage starts on stored documents.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivulet.llm import langid, packing, quality, queries, simhash, suffix_dedup
 from rivulet.llm.common import free_name, settle, table
+from rivulet.sources.tables import remove, settled_in
 
 LEAST_EVIDENCE = 0.37  # that the words of a document are in some language or other, from 0 to 1
 LEAST_QUALITY = 0.3
@@ -22,6 +27,27 @@ MATCH_BYTES = 50
 MAX_TOKENS, BUCKETS, BATCH_TOKENS = 2048, 16, 65_536
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+FOLDERS: dict[str, list[str]] = {}  # of stages that have run, by application
+
+
+def stage(work: Stage) -> Stage:
+    """The stage with a folder for its tables; folders of earlier stages go, but those that docs is read from."""
+    @wraps(work)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        left = FOLDERS.setdefault(spark.sparkContext.applicationId, [])
+        read = docs.inputFiles() if left else []
+        for folder in [f for f in left if not any(f.rsplit("/", 1)[1] in file for file in read)]:
+            remove(spark, folder)
+            left.remove(folder)
+        with settled_in(spark, work.__name__) as folder:
+            left.append(folder)
+            return work(spark, docs, sf_dir)
+
+    return run
+
+
+@stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and those whose words look like no language more than another.
 
@@ -36,15 +62,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                         & (F.col(f"{verdict}.evidence") >= LEAST_EVIDENCE)).drop(verdict)
 
 
+@stage
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that the rules score below LEAST_QUALITY; NULL and empty texts are scored, too."""
-    field = free_name(docs, "statistics")
-    rows = settle(quality.with_statistics(docs, field=field), "statistics")
     labels = quality.labels_by_id(table(spark, sf_dir, "labels"))
-    rules = quality.fit_rules(rows.select("doc_id", F.col(field).alias(quality.FIELD)).join(labels, "doc_id"))
-    return rows.where(rules.score(field) >= LEAST_QUALITY).drop(field)
+    labelled = docs.select("doc_id", "text").join(labels, "doc_id")
+    rules = quality.fit_rules(quality.with_statistics(labelled).drop("text"))
+    field = free_name(docs, "statistics")
+    return quality.with_statistics(docs, field=field).where(rules.score(field) >= LEAST_QUALITY).drop(field)
 
 
+@stage
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near duplicates: smallest id, then hash of the text.
 
@@ -62,6 +90,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(keep, key, "left_semi").select(*docs.columns)
 
 
+@stage
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that a document of smaller id has too; a character cut in two goes whole.
 
@@ -77,6 +106,7 @@ def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return cut.select(*docs.columns)
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Batches for training, by the tokens of the public vocabulary."""
     return packing.pack_tokens(docs, queries.vocabulary(), max_len=MAX_TOKENS, buckets=BUCKETS,
@@ -92,7 +122,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each stored before the next one."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), name)
+    docs, stored = table(spark, sf_dir, "documents"), None
+    for name, work in STAGES[:-1]:
+        with settled_in(spark, name) as folder:
+            docs = settle(work(spark, docs, sf_dir), name)
+        if stored:
+            remove(spark, stored)
+        stored = folder
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,7 +11,9 @@ from __future__ import annotations
 import atexit
 import shutil
 import uuid
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,6 +22,7 @@ from rivulet.operators import refresh
 
 
 SCRATCH = "rivulet.scratch.dir"
+FOLDER: ContextVar[str | None] = ContextVar("folder of settled tables", default=None)
 DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -52,7 +55,7 @@ def settle(df: DataFrame, name: str = "table", path: str | None = None) -> DataF
     shuffle files that led to it are of no more use and are dropped.
     """
     spark = df.sparkSession
-    target = path or f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    target = path or f"{FOLDER.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(DROP_SHUFFLES, "false")
     spark.conf.set(DROP_SHUFFLES, "true")
     try:
@@ -68,6 +71,26 @@ def _at(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+@contextmanager
+def settled_in(spark: SparkSession, name: str) -> Iterator[str]:
+    """Tables settled inside go to a folder of their own, which is given.
+
+    Its user drops the folder (``remove``) when nothing reads the tables any more.
+    """
+    folder = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    token = FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        FOLDER.reset(token)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of tables, if it is there."""
+    fs, place = _at(spark, path)
+    fs.delete(place, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, place = _at(spark, path)
     return fs.exists(place)
