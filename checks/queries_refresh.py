@@ -233,26 +233,35 @@ _EVENT = "l event_id; s event_type; f value; t ts"
 
 
 def _landed(t, name: str):
-    """Events as text, written once with ';' and once with ','."""
+    """Events as text, written with ';' and with ',', some types with line breaks and quotes.
+
+    Each file begins with its header; one row of each kind repeats it.
+    """
     folder = t.scratch(name)
+    names = ["Event_ID", " Event_Type ", "VALUE", "ts"]
+    odd = F.concat(F.col("event_type"), F.lit('\n"two"; and, \n\nfour'))
     rows = t("events").select(
-        F.col("event_id").cast("string").alias("Event_ID"), F.col("event_type").alias(" Event_Type "),
+        F.col("event_id").cast("string").alias(names[0]),
+        F.when(F.col("event_id") % 7 == 0, odd).otherwise(F.col("event_type")).alias(names[1]),
         F.when(F.col("event_type") == "error", "").otherwise(F.col("value").cast("string"))
-        .alias("VALUE"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"))
+        .alias(names[2]), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(names[3]))
     early = F.col("ts") < "2024-01-15"
+    again = t.spark.createDataFrame([tuple(names)], rows.schema)
     for part, sep in ((rows.where(early), ";"), (rows.where(~early), ",")):
-        (part.write.mode("append").option("ignoreLeadingWhiteSpace", "false")
-         .option("ignoreTrailingWhiteSpace", "false").option("emptyValue", "")
+        (part.union(again).write.mode("append").option("ignoreLeadingWhiteSpace", "false")
+         .option("ignoreTrailingWhiteSpace", "false").option("emptyValue", "").option("escape", '"')
          .csv(folder, sep=sep, header=True))
     return folder
 
 
 query("csv_payload_scan", _EVENT, """
-SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, ts
-FROM events""")(
+SELECT event_id, CASE WHEN event_id % 7 = 0 THEN event_type || chr(10) || '"two"; and, ' || chr(10) || chr(10) || 'four'
+       ELSE event_type END AS event_type, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, ts
+FROM events
+UNION ALL SELECT NULL, ' Event_Type ', NULL, NULL FROM range(2)""")(
     lambda t: files.coerce_numeric(
         files.read_payload_csv(t.spark, _landed(t, "payload")), {"event_id": "int", "value": "float"})
-    .withColumn("ts", F.to_timestamp("ts")))
+    .withColumn("ts", F.try_to_timestamp("ts")))
 
 
 @query("presence_validation", "f latitude longitude total_precipitation; t time",
@@ -300,17 +309,17 @@ SELECT CAST(s_suppkey AS VARCHAR) || 'AA' AS code_eh,
        CASE WHEN s_suppkey % 2 = 0 THEN 'Système ' || s_name END AS libelle_eh,
        CASE WHEN s_suppkey % 2 = 1 THEN CAST(s_nationkey AS VARCHAR) END AS niveau_eh FROM supplier""")
 def entity_files(t):
-    """A Latin-1 file with semicolons and a UTF-8 file with commas, headers spelled differently."""
-    latin, comma = t.scratch("latin"), t.scratch("comma")
+    """One folder: Latin-1 files with semicolons and UTF-8 files with commas, headers spelled differently."""
+    folder = t.scratch("entities")
     code = F.concat(F.col("s_suppkey").cast("string"), F.lit("AA"))
     even = F.col("s_suppkey") % 2 == 0
     (t("supplier").where(even).select(code.alias("Code entité"), F.concat(F.lit("Système "), "s_name")
                                       .alias("Libelle EH"))
-     .write.csv(latin, sep=";", header=True, encoding="ISO-8859-1"))
+     .write.mode("append").csv(folder, sep=";", header=True, encoding="ISO-8859-1"))
     (t("supplier").where(~even).select(code.alias("code_eh"), F.col("s_nationkey").alias("NiveauEH"),
                                        F.col("s_name").alias("other"))
-     .write.csv(comma, sep=",", header=True))
-    return reshape.union_all(files.read_entity_csv(t.spark, latin), files.read_entity_csv(t.spark, comma))
+     .write.mode("append").csv(folder, sep=",", header=True))
+    return files.read_entity_csv(t.spark, folder)
 
 
 def _checks():
@@ -487,18 +496,18 @@ def backfill_run(t):
 SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, ts
 FROM events""")
 def landed_file_stream(t):
-    """Two runs over a growing folder; each file is appended once."""
+    """Two runs over a growing folder; each file is appended once, whatever the order of its columns."""
     folder, table, mark = t.scratch("landing"), t.scratch("bronze"), t.scratch("mark")
     rows = t("events").select(
         F.col("event_id").cast("string").alias("event_id"), "event_type",
         F.when(F.col("event_type") == "error", "").otherwise(F.col("value").cast("string"))
         .alias("value"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"))
     early = F.col("ts") < "2024-01-15"
-    for part in (rows.where(early), rows.where(~early)):
-        part.write.mode("append").option("emptyValue", "").csv(folder, sep=";", header=True)
-        stream = landing.landed_csv(t.spark, folder, ["event_id", "event_type", "value", "ts"])
-        landing.ingest_stream(stream, table, mark).awaitTermination()
-    stored = t.spark.read.parquet(table)
+    landings = ((rows.where(early), ";"), (rows.where(~early).select("ts", "value", "event_type", "event_id"), ","))
+    for part, sep in landings:
+        part.write.mode("append").option("emptyValue", "").csv(folder, sep=sep, header=True)
+        landing.ingest_payloads(t.spark, folder, table, mark).awaitTermination()
+    stored = tables.read_table(t.spark, table)
     return files.coerce_numeric(stored, {"event_id": "int", "value": "float"}).withColumn(
         "ts", F.to_timestamp("ts"))
 

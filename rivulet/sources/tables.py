@@ -96,11 +96,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    fs, place = _at(spark, path)
-    fs.delete(place, True)
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 

@@ -11,24 +11,30 @@ from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.functions.clean import nan_to_null, snap
 from rivulet.operators.dedup import Order, first_per_key
 from rivulet.operators.refresh import latest
+from rivulet.sources.files import payload_rows
+from rivulet.sources.records import file_lines
 from rivulet.sources.tables import exists, read_table, upsert_table
 
 
-def text_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+def ingest_payloads(spark: SparkSession, path: str, table: str, checkpoint: str) -> StreamingQuery:
+    """Append landed CSV files to a bronze table, exactly once per file, columns by name.
 
+    Each file is read by its own header and delimiter, so a file with other or reordered
+    columns lands right; columns are text, '' is NULL. A batch has a folder of its own, which a
+    repeated batch overwrites; ``read_table`` gives all of them, with the column ``batch``.
+    """
+    def land(batch: DataFrame, batch_id: int) -> None:
+        rows = payload_rows(batch)
+        if rows is not None:
+            rows.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
-def landed_csv(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ";"
-               ) -> DataFrame:
-    """New CSV files as a stream, every column as text, '' as NULL."""
-    return (spark.readStream.schema(text_schema(columns)).option("header", True)
-            .option("sep", sep).option("nullValue", "").option("emptyValue", "").csv(path))
+    return (file_lines(spark.readStream, path).writeStream.foreachBatch(land)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def ingest_stream(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:

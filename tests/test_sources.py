@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import csv
+import io
+import random
 from datetime import date
 
 import pytest
@@ -7,7 +10,7 @@ from pyspark.sql import functions as F, types as T
 
 from rivulet.operators import refresh
 from rivulet.plans import staging
-from rivulet.sources import files, tables
+from rivulet.sources import files, records, tables
 from rivulet.streaming import landing
 
 
@@ -21,7 +24,7 @@ def test_payload_scan_mixes_delimiters(spark, tmp_path):
 
 
 def test_delimiter_rule():
-    assert [files.delimiter_of(h) for h in ("a;b", "a,b", "a;b,c", "a")] == [";", ",", ",", ";"]
+    assert [records.delimiter_of(h) for h in ("a;b", "a,b", "a;b,c", "a")] == [";", ",", ",", ";"]
 
 
 def test_entity_files(spark, tmp_path):
@@ -40,6 +43,76 @@ def test_entity_files(spark, tmp_path):
     assert [(r.code_eh, r.libelle_eh) for r in merged] == [("050AA01", "Système à nappe")]
 
 
+def test_entity_files_of_one_folder_have_their_own_encodings(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("Code entité;Libelle EH\r\n050AA01;Système à nappe\r\n".encode("latin-1"))
+    (tmp_path / "b.csv").write_text('Libelle EH,code_eh\n"Système, dit ""é""\nde nappe",050AA02\n', encoding="utf-8")
+    (tmp_path / "c.csv").write_text("code_eh;other\n1;2\n")
+    got = files.read_entity_csv(spark, str(tmp_path)).select("code_eh", "libelle_eh").collect()
+    assert sorted(map(tuple, got)) == [("050AA01", "Système à nappe"), ("050AA02", 'Système, dit "é"\nde nappe')]
+
+
+def random_csv(rng, sep):
+    """Fields with line breaks, quotes at odd places and separators; the first row is the header."""
+    def field():
+        kind = rng.random()
+        plain = "".join(rng.choice('ab"x ') for _ in range(rng.randint(0, 5)))
+        if kind < 0.5:
+            return plain.lstrip('"')
+        inside = "".join(rng.choice(["a", "\n", '""', sep, "\r\n", " ", "bc", "\n\n"]) for _ in range(rng.randint(0, 8)))
+        return f'"{inside}"' + rng.choice(["", "", "tail"])
+
+    lines = [sep.join(["Key", "b", '"C\n 1"' if rng.random() < 0.3 else "C "])]
+    for _ in range(rng.randint(0, 60)):
+        lines.append(rng.choice(["", sep.join(field() for _ in range(3)), lines[0]]))
+    return rng.choice(["\n", "\r\n"]).join(lines) + rng.choice(["", "\n"])
+
+
+@pytest.mark.parametrize("block", ["16m", "100b", "37b"])
+def test_records_across_lines_and_blocks_equal_the_csv_module(spark, tmp_path, block):
+    rng = random.Random(block)
+    want = []
+    for k in range(25):
+        sep = rng.choice(";,")
+        text = random_csv(rng, sep).replace(";" if sep == "," else ",", "_")
+        (tmp_path / f"f{k}.csv").write_bytes(text.encode())
+        rows = [r for r in csv.reader(io.StringIO(text, newline=""), delimiter=sep) if "".join(r).strip() or len(r) > 1]
+        names = [n.strip().lower() for n in rows[0]]
+        for r in rows[1:]:
+            found = dict(zip(names, r))
+            want.append((found.get("key") or None, found.get("b") or None,
+                         found.get("c") or found.get("c\n 1") or None))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        df = files.read_payload_csv(spark, str(tmp_path))
+        last = F.coalesce("c", F.col("`c\n 1`")) if "c\n 1" in df.columns else F.col("c")
+        got = [tuple(r) for r in df.select("key", "b", last).collect()]
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_a_quote_that_is_never_closed_is_told(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "MOST_CHARACTERS", 500)
+    (tmp_path / "a.csv").write_text('k;v\n1;"open\n' + "2;3\n" * 500)
+    with pytest.raises(ValueError, match="never closed"):
+        files.read_payload_csv(spark, str(tmp_path))
+
+
+def test_landed_layouts_are_read_by_name(spark, tmp_path):
+    folder, table = tmp_path / "in", str(tmp_path / "table")
+    folder.mkdir()
+    (folder / "a.csv").write_text('code;v\na;"1\n1"\n')
+    landing.ingest_payloads(spark, str(folder), table, str(tmp_path / "mark")).awaitTermination()
+    (folder / "b.csv").write_text("V,extra,CODE\n2,x,b\n")
+    (folder / "c.csv").write_text("")
+    landing.ingest_payloads(spark, str(folder), table, str(tmp_path / "mark")).awaitTermination()
+    rows = tables.read_table(spark, table).select("code", "v", "extra").collect()
+    assert sorted(map(tuple, rows)) == [("a", "1\n1", None), ("b", "2", "x")]
+
+
 def test_header_normalisation():
     assert files.normalize_header("  Code  EH (2) ") == "code_eh_2"
     assert files.normalize_header("!!") == "col"
