@@ -239,6 +239,18 @@ FROM stg_stations s CROSS JOIN grid_points g""", "code_bss", "d2, era5_latitude,
         t.stations.select("code_bss", (F.col("y") - 15).alias("y"), (F.col("x") + 20).alias("x")),
         t.grid_points, "code_bss", "y", "x"))
 
+query("nearest_cells_k4", "s code_bss; f era5_latitude era5_longitude; i rank", """
+SELECT code_bss, era5_latitude, era5_longitude, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY code_bss ORDER BY d2, era5_latitude, era5_longitude) AS rank FROM (
+    SELECT s.code_bss, g.era5_latitude, g.era5_longitude,
+           round((CAST(g.era5_longitude AS DOUBLE) - (s.x + s.o)) * (CAST(g.era5_longitude AS DOUBLE) - (s.x + s.o))
+               + (CAST(g.era5_latitude AS DOUBLE) - s.y) * (CAST(g.era5_latitude AS DOUBLE) - s.y), 9) AS d2
+    FROM (SELECT code_bss, x, y, CASE WHEN length(code_bss) % 2 = 0 THEN 30 ELSE 0 END AS o FROM stg_stations) s
+    CROSS JOIN grid_points g) d) r WHERE rank <= 4""")(
+    lambda t: spatial.nearest(
+        t.stations.select("code_bss", "y", (F.col("x") + F.when(F.length("code_bss") % 2 == 0, 30).otherwise(0))
+                          .alias("x")), t.grid_points, "code_bss", "y", "x", k=4))
+
 query("cell_distance", "s code_bss; f metres", f"""
 SELECT code_bss, {haversine_sql('x', 'y', 'era5_longitude', 'era5_latitude')} AS metres
 FROM located_stations""")(

@@ -231,7 +231,7 @@ def reference_grid(df: DataFrame, key: str, month: str, value: str,
     window = reference_window(values, key, month, period, min_years)
     inside = values.join(window.select(key, "baseline_start", "baseline_end"), key).where(
         F.col(month).between(F.col("baseline_start"), F.col("baseline_end")))
-    grids = (percentile_vector(inside.withColumn("_m", F.month(month)), [key, "_m"], "_v")
+    grids = (percentile_vector(inside.withColumn("_m", F.month(month)), [key, "_m"], "_v", most=None)
              .where(F.col("n") >= min_per_month))
     # at most 12 grids of 99 numbers per station
     own = grids.groupBy(key).agg(F.collect_list(F.struct("_m", "grid")).alias("_grids"))

@@ -20,13 +20,16 @@ def _squared(dx: Column, dy: Column) -> Column:
 
 def nearest(points: DataFrame, grid: DataFrame, key: str, lat: str, lon: str,
             grid_lat: str = "era5_latitude", grid_lon: str = "era5_longitude",
-            step: float = 0.1) -> DataFrame:
-    """Closest grid point in planar degrees; ties go to the lower lat, then lon.
+            step: float = 0.1, k: int = 1) -> DataFrame:
+    """The ``k`` closest grid points in planar degrees; ties go to the lower lat, then lon.
+
+    With ``k`` above 1 there is a row for each of them, with its ``rank`` from 1; a point has
+    fewer only where the grid has.
 
     The grid is snapped to ``step``, so a tile of 4x4 steps holds at most 16
     points. A point looks up its own tile
     among grid points copied into the 3x3 tiles around them; that answer is
-    final when it is no farther than one tile. The remaining points (over sea,
+    final when the last of them is no farther than one tile. The remaining points (over sea,
     abroad) go through a pyramid of tight tile boxes, which is exact at any
     distance. No driver-side job is run.
     """
@@ -44,19 +47,30 @@ def nearest(points: DataFrame, grid: DataFrame, key: str, lat: str, lon: str,
     placed = (points.withColumn("_px", px).withColumn("_py", py)
               .withColumn("_tx", F.floor(F.col("_px") / size))
               .withColumn("_ty", F.floor(F.col("_py") / size)))
-    scored = placed.join(around, ["_tx", "_ty"], "left").withColumn("_best", F.array_min(
-        F.transform("_cands", lambda c: F.struct(
-            _squared(c["_x"] - F.col("_px"), c["_y"] - F.col("_py")).alias("_d2"),
-            c["_glat"].alias("_glat"), c["_glon"].alias("_glon")))))
-    settled = F.coalesce(F.col("_best._d2") <= size * size, F.lit(False))
+    scored = placed.join(around, ["_tx", "_ty"], "left").withColumn("_best", _closest("_cands", k))
+    last = F.try_element_at("_best", F.lit(k))["_d2"]
+    settled = F.coalesce(last <= size * size, F.lit(False))
     kept = [F.col(f"`{c}`") for c in points.columns]
-    near = scored.where(settled).select(*kept, F.col("_best._glat").alias(grid_lat),
-                                        F.col("_best._glon").alias(grid_lon))
+    near = scored.where(settled).select(*kept, "_best")
     # the others alone meet the pyramid's answers; near points take no part in that join
     far = scored.where(~settled).select(*kept, "_px", "_py")
-    found = _pyramid(far.select(key, "_px", "_py"), cells, key, step)
-    return near.unionByName(far.join(found, key).select(
-        *kept, F.col("_glat").alias(grid_lat), F.col("_glon").alias(grid_lon)))
+    found = _pyramid(far.select(key, "_px", "_py"), cells, key, step, k)
+    both = near.unionByName(far.join(found, key).select(*kept, "_best"))
+    place = [F.col("_c._glat").alias(grid_lat), F.col("_c._glon").alias(grid_lon)]
+    if k == 1:
+        return both.withColumn("_c", F.element_at("_best", 1)).select(*kept, *place)
+    return both.select(*kept, F.posexplode("_best").alias("_n", "_c")).select(
+        *kept, *place, (F.col("_n") + 1).alias("rank"))
+
+
+def _closest(candidates: str, k: int) -> Column:
+    """The k candidates nearest to (_px, _py), nearest first; NULL without candidates."""
+    scored = F.transform(candidates, lambda c: F.struct(
+        _squared(c["_x"] - F.col("_px"), c["_y"] - F.col("_py")).alias("_d2"),
+        c["_glat"].alias("_glat"), c["_glon"].alias("_glon")))
+    if k == 1:
+        return F.when(F.col(candidates).isNotNull(), F.array(F.array_min(scored)))
+    return F.slice(F.array_sort(scored), 1, k)
 
 
 def _boxes(cells: DataFrame, size: float, parent: float | None) -> DataFrame:
@@ -67,7 +81,7 @@ def _boxes(cells: DataFrame, size: float, parent: float | None) -> DataFrame:
     names = ["_ix", "_iy", "_ox", "_oy"][:len(keys)]
     return (cells.select(*keys, "_x", "_y").groupBy(*names)
             .agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"),
-                 F.min("_y").alias("y0"), F.max("_y").alias("y1")))
+                 F.min("_y").alias("y0"), F.max("_y").alias("y1"), F.count("*").alias("n")))
 
 
 def _span(b: Column, x: Column, y: Column) -> tuple[Column, Column]:
@@ -80,13 +94,25 @@ def _span(b: Column, x: Column, y: Column) -> tuple[Column, Column]:
     return near_x * near_x + near_y * near_y, far_x * far_x + far_y * far_y
 
 
-def _survivors(boxes: Column, x: Column, y: Column, bound: Column | None) -> Column:
-    """Boxes that can hold the nearest point, given the best guaranteed distance."""
+def _survivors(boxes: Column, x: Column, y: Column, bound: Column | None, k: int) -> Column:
+    """Boxes that can hold one of the k nearest points.
+
+    Boxes by their farthest point, nearest first: where their points come to k, that
+    distance holds k points, so a box beyond it holds none of the k nearest.
+    """
     spans = F.transform(boxes, lambda b: F.struct(
         b.alias("b"), _span(b, x, y)[0].alias("lo"), _span(b, x, y)[1].alias("hi")))
 
+    def reach(items: Column) -> Column:
+        if k == 1:
+            return F.array_min(F.transform(items, lambda i: i["hi"]))
+        ordered = F.array_sort(F.transform(items, lambda i: F.struct(i["hi"].alias("hi"), i["b"]["n"].alias("n"))))
+        start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("hi"))
+        return F.aggregate(ordered, start, lambda acc, i: F.when(acc["n"] >= k, acc).otherwise(
+            F.struct((acc["n"] + i["n"]).alias("n"), i["hi"].alias("hi"))), lambda acc: acc["hi"])
+
     def keep(items: Column) -> Column:
-        best = F.array_min(F.transform(items, lambda i: i["hi"]))
+        best = reach(items)
         limit = best if bound is None else F.least(best, bound)
         return let(limit, lambda cut: F.transform(
             F.filter(items, lambda i: i["lo"] <= cut + 1e-9),
@@ -95,33 +121,32 @@ def _survivors(boxes: Column, x: Column, y: Column, bound: Column | None) -> Col
     return let(spans, keep)
 
 
-def _pyramid(far: DataFrame, cells: DataFrame, key: str, step: float) -> DataFrame:
+def _pyramid(far: DataFrame, cells: DataFrame, key: str, step: float, k: int) -> DataFrame:
     big, small = 64 * step, 8 * step
     top = _boxes(cells, big, None)
     # one row: the list of occupied top tiles, at most (360/6.4) * (180/6.4) of them
-    tops = top.agg(F.collect_list(F.struct("_ix", "_iy", "x0", "x1", "y0", "y1")).alias("t"))
+    tops = top.agg(F.collect_list(F.struct("_ix", "_iy", "x0", "x1", "y0", "y1", "n")).alias("t"))
     level1 = far.withColumn("_tops", tops.scalar()).select(
-        key, "_px", "_py", F.explode(_survivors(F.col("_tops"), F.col("_px"), F.col("_py"), None))
+        key, "_px", "_py", F.explode(_survivors(F.col("_tops"), F.col("_px"), F.col("_py"), None, k))
         .alias("_s")).select(key, "_px", "_py", F.col("_s.b._ix").alias("_ox"),
                              F.col("_s.b._iy").alias("_oy"), F.col("_s.cut").alias("_cut"))
     # at most 64 small tiles per top tile, 64 points per small tile
     children = _boxes(cells, small, big).groupBy("_ox", "_oy").agg(
-        F.collect_list(F.struct("_ix", "_iy", "x0", "x1", "y0", "y1")).alias("_kids"))
+        F.collect_list(F.struct("_ix", "_iy", "x0", "x1", "y0", "y1", "n")).alias("_kids"))
     level2 = level1.join(children, ["_ox", "_oy"]).select(
         key, "_px", "_py",
-        F.explode(_survivors(F.col("_kids"), F.col("_px"), F.col("_py"), F.col("_cut")))
+        F.explode(_survivors(F.col("_kids"), F.col("_px"), F.col("_py"), F.col("_cut"), k))
         .alias("_s")).select(key, "_px", "_py", F.col("_s.b._ix").alias("_ix"),
                              F.col("_s.b._iy").alias("_iy"))
     leaves = (cells.select(F.floor(F.col("_x") / small).alias("_ix"),
                            F.floor(F.col("_y") / small).alias("_iy"),
                            F.struct("_y", "_x", "_glat", "_glon").alias("_c"))
               .groupBy("_ix", "_iy").agg(F.collect_list("_c").alias("_cands")))
-    best = level2.join(leaves, ["_ix", "_iy"]).select(key, F.array_min(F.transform(
-        "_cands", lambda c: F.struct(
-            _squared(c["_x"] - F.col("_px"), c["_y"] - F.col("_py")).alias("_d2"),
-            c["_glat"].alias("_glat"), c["_glon"].alias("_glon")))).alias("_best"))
-    return best.groupBy(key).agg(F.min("_best").alias("_best")).select(
-        key, F.col("_best._glat").alias("_glat"), F.col("_best._glon").alias("_glon"))
+    best = level2.join(leaves, ["_ix", "_iy"]).select(key, _closest("_cands", k).alias("_best"))
+    if k == 1:
+        return best.groupBy(key).agg(F.min("_best").alias("_best"))
+    # at most k of each leaf that the bound has left
+    return best.groupBy(key).agg(F.slice(F.array_sort(F.flatten(F.collect_list("_best"))), 1, k).alias("_best"))
 
 
 def contains_join(points: DataFrame, polygons: DataFrame, key: str, lon: str, lat: str,

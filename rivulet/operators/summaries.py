@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.functions.calendar import days_in_month, epoch_seconds, month_start
 from rivulet.functions.clean import nan_to_null, snap
 from rivulet.operators.reshape import union_all
+from rivulet.sources.tables import settle
 
 PERCENTS = [p / 100 for p in range(1, 100)]
 
@@ -138,23 +139,111 @@ def median_nonzero(df: DataFrame, n: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def percentile_vector(df: DataFrame, keys: Sequence[str], value: str,
-                      probs: Sequence[float] = PERCENTS, name: str = "grid") -> DataFrame:
+                      probs: Sequence[float] = PERCENTS, name: str = "grid",
+                      most: int | None = 100_000) -> DataFrame:
     """Exact percentiles by linear interpolation, plus the sample size ``n``.
 
-    A group's values meet in one sorted array, so feed it series at a calendar
-    grain (one value per month or year), where the record bounds its length.
+    Groups of up to ``most`` values are sorted as one array. In larger ones the wanted ranks
+    are selected (``ranked_values``): no task sees a group. ``most`` None says that no group can
+    be large, as with series at a calendar grain, and saves the count. NaN is the largest value.
     Spark's own ``percentile`` weighs both neighbours, which is off by one ulp
     between equal values; a percentile grid needs its plateaus exact.
     """
-    groups = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.col(value).cast("double"))).alias("_v"))
-
-    def at(p: Column) -> Column:
-        position = p * (F.size("_v") - 1)
-        low = F.floor(position).cast("int")
-        a = F.element_at("_v", low + 1)
-        b = F.element_at("_v", F.least(low + 2, F.size("_v")))
-        return a + (b - a) * (position - low)
-
-    grid = F.transform(F.array(*[F.lit(float(p)) for p in probs]), at)
-    return groups.select(*keys, grid.alias(name), F.size("_v").cast("bigint").alias("n"))
+    keys = list(keys)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
+
+    def grid_of(at) -> Column:
+        """The interpolated values, given the value at a rank from 0."""
+        def one(p: Column) -> Column:
+            position = p * (F.col("n") - 1)
+            low = F.floor(position)
+            a, b = at(low), at(F.least(low + 1, F.col("n") - 1))
+            return F.when(a == b, a).otherwise(a + (b - a) * (position - low))
+
+        return F.transform(F.array(*[F.lit(float(p)) for p in probs]), one)
+
+    def small(some: DataFrame) -> DataFrame:
+        return some.groupBy(*keys).agg(F.array_sort(F.collect_list("_x")).alias("_v")).withColumn(
+            "n", F.size("_v").cast("bigint")).select(
+            *keys, grid_of(lambda r: F.element_at("_v", (r + 1).cast("int"))).alias(name), "n")
+
+    if most is None:
+        return small(rows)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    large = settle(sizes.where(F.col("n") > most), "large_groups")
+    if large.isEmpty():
+        return small(rows)
+    few = rows.join(large.select(*keys), _null_safe(rows, large, keys), "left_anti")
+    wanted = large.withColumn("_low", F.explode(F.array(*[
+        F.floor(F.lit(float(p)) * (F.col("n") - 1)) for p in probs]))).select(
+        *keys, "n", F.explode(F.array("_low", F.least(F.col("_low") + 1, F.col("n") - 1))).alias("rank")).distinct()
+    found = ranked_values(rows, keys, "_x", wanted.select(*keys, "rank"), most).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", "_x"))).alias("_at"))
+    big = found.join(large, _null_safe(found, large, keys)).select(
+        *[found[k] for k in keys], grid_of(lambda r: F.element_at("_at", r)).alias(name), "n")
+    return union_all(small(few), big)
+
+
+def _null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & a[k].eqNullSafe(b[k])
+    return out
+
+
+BINS = 4096
+
+
+def ranked_values(rows: DataFrame, keys: Sequence[str], value: str, wanted: DataFrame, most: int) -> DataFrame:
+    """(keys, rank, value): the values at the wanted ranks (from 0) of each group, exactly.
+
+    Each round counts values in bins of equal width, per group, before anything moves; the
+    running counts tell which bins hold a wanted rank. Bins of up to ``most`` values are sorted,
+    bins of one value are known, the others are cut into bins in the next round. A round
+    narrows a range BINS times, so rounds are few; other values are never moved.
+    """
+    keys = list(keys)
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = rows.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(value).alias("_x"))
+    at = F.struct(*names)  # equal also where a part is NULL
+    rows = rows.select(at.alias("_g"), "_x")
+    # open ranges: values low..high of a group, of which `before` others of the group are smaller
+    todo = wanted.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "rank").select(at.alias("_g"), "rank")
+    ranges = rows.join(todo.select("_g").distinct(), "_g", "left_semi").groupBy("_g").agg(
+        F.min("_x").alias("low"), F.max("_x").alias("high")).select(
+        "_g", F.lit(0).alias("range"), "low", "high", F.lit(0).cast("bigint").alias("before"))
+    ranges = settle(ranges, "ranges")
+    todo = settle(todo.withColumn("range", F.lit(0)), "wanted")
+    done = []
+    while not todo.isEmpty():
+        inside = rows.join(ranges, "_g").where("_x BETWEEN low AND high")
+        # halves first: the width of a range may overflow; NaN and infinities have bins of their own
+        share = (F.col("_x") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+        number = F.when(F.isnan("_x"), BINS + 1).when(F.col("_x") == float("inf"), BINS).when(
+            F.col("_x") == -float("inf"), -1).when(F.col("low") == F.col("high"), 0).otherwise(
+            F.least(F.floor(F.nanvl(share, F.lit(0.0)) * BINS), F.lit(BINS - 1)))
+        binned = inside.withColumn("bin", number.cast("int"))
+        counts = binned.groupBy("_g", "range", "before", "bin").agg(
+            F.count(F.lit(1)).alias("size"), F.min("_x").alias("low"), F.max("_x").alias("high"))
+        running = Window.partitionBy("_g", "range").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        placed = counts.withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(running), F.lit(0)))
+        hits = settle(todo.join(placed, ["_g", "range"]).where(
+            "rank >= start AND rank < start + size").select(
+            "_g", "rank", "range", "bin", "start", "size", "low", "high"), "hits")
+        one = F.col("low") == F.col("high")  # NaN equals itself here
+        done.append(hits.where(one).select("_g", "rank", F.col("low").alias("_x")))
+        short = hits.where(~one & (F.col("size") <= most))
+        values = binned.drop("low", "high", "before").join(
+            short.select("_g", "range", "bin").distinct(), ["_g", "range", "bin"], "left_semi").groupBy(
+            "_g", "range", "bin").agg(F.array_sort(F.collect_list("_x")).alias("_v"))
+        done.append(settle(short.join(values, ["_g", "range", "bin"]).select(
+            "_g", "rank", F.element_at("_v", (F.col("rank") - F.col("start") + 1).cast("int")).alias("_x")),
+            "ranked"))
+        later = hits.where(~one & (F.col("size") > most)).withColumn(
+            "range", F.dense_rank().over(Window.partitionBy("_g").orderBy("range", "bin")))
+        ranges = settle(later.select("_g", "range", "low", "high", F.col("start").alias("before")).distinct(), "ranges")
+        todo = settle(later.select("_g", "rank", "range"), "wanted")
+    out = done[0] if done else wanted.limit(0).withColumn("_g", at)
+    for more in done[1:]:
+        out = out.union(more)
+    return out.select(*[F.col(f"_g.{n}").alias(k) for k, n in zip(keys, names)], "rank", F.col("_x").alias(value))

@@ -115,18 +115,48 @@ def _replace_parts(df: DataFrame, path: str, part: str, order: Sequence[str] = (
      .option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
 
 
+POINTERS = "_pointers"
+
+
+def _pointers(spark: SparkSession, path: str) -> list[str]:
+    """Pointer files of a table, oldest first."""
+    fs, place = _at(spark, f"{path}/{POINTERS}")
+    if not fs.exists(place):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(place) if not f.getPath().getName().startswith("."))
+
+
+def read_replaced(spark: SparkSession, path: str) -> DataFrame:
+    """The present version of a table that ``refresh_replace`` writes."""
+    path = path.rstrip("/")
+    known = _pointers(spark, path)
+    return spark.read.parquet(f"{path}/{known[-1].split('-', 1)[1]}" if known else path)
+
+
 def refresh_replace(df: DataFrame, path: str) -> DataFrame:
-    """Whole-table refresh: the new rows are complete beside the table before it is switched."""
-    spark, mark = df.sparkSession, uuid.uuid4().hex
-    stage, old = f"{path.rstrip('/')}__stage_{mark}", f"{path.rstrip('/')}__old_{mark}"
-    df.write.parquet(stage)
-    fs, place = _at(spark, path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    if fs.exists(place):
-        fs.rename(place, hadoop_path(old))
-    fs.rename(hadoop_path(stage), place)
-    remove(spark, old)
-    return spark.read.parquet(path)
+    """Whole-table refresh: readers see the old table or the new one, never none.
+
+    A version is a folder of its own. The last pointer file names the one that counts; it
+    appears, by one rename, when its version is complete. If that fails the old version
+    stays and an error is raised. The version before is kept for readers that have begun,
+    older ones go.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    known = _pointers(spark, path)
+    number = int(known[-1].split("-", 1)[0]) + 1 if known else 0
+    version = f"v{number:012d}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    fs, draft = _at(spark, f"{path}/{POINTERS}/.{version}")
+    fs.mkdirs(draft.getParent())
+    fs.create(draft).close()
+    if not fs.rename(draft, _at(spark, f"{path}/{POINTERS}/{number:012d}-{version}")[1]):
+        fs.delete(draft, False)
+        remove(spark, f"{path}/{version}")
+        raise RuntimeError(f"could not switch {path} to its new version; the old one stays")
+    for old in known[:-1]:
+        remove(spark, f"{path}/{POINTERS}/{old}")
+        remove(spark, f"{path}/{old.split('-', 1)[1]}")
+    return read_replaced(spark, path)
 
 
 def refresh_partition(df: DataFrame, path: str, day: str, year: int,
@@ -224,6 +254,74 @@ def upsert_table(df: DataFrame, path: str, keys: Sequence[str], day: str,
     return _by_year(batch, path, day, touched, lambda old: refresh.upsert(old, batch, keys), sort)
 
 
+def changed_rows(batch: DataFrame, path: str, day: str) -> DataFrame:
+    """The rows that the table, partitioned by the year of ``day``, does not hold just so."""
+    spark = batch.sparkSession
+    if not exists(spark, path):
+        return batch
+    years = [r[0] for r in batch.select(F.year(day)).distinct().collect()]
+    touched = F.col("year").isin([y for y in years if y is not None])
+    if None in years:
+        touched = touched | F.col("year").isNull()
+    stored = read_table(spark, path).where(touched)
+    lacking = [c for c in batch.columns if c not in stored.columns]
+    stored = stored.withColumns({c: F.lit(None) for c in lacking}).select(
+        *[F.col(c).alias(f"_{k}") for k, c in enumerate(batch.columns)])
+    same = [F.col(c).eqNullSafe(F.col(f"_{k}")) for k, c in enumerate(batch.columns)]
+    return batch.join(stored, same, "left_anti")
+
+
+def _key_index(spark: SparkSession, path: str, keys: Sequence[str], parts: int) -> str:
+    """The folder that tells the years of each key, by a hash of the key; built from the table if need be."""
+    index = f"{path.rstrip('/')}__keys"
+    if not exists(spark, index) and exists(spark, path):
+        known = read_table(spark, path).select(*keys, F.col("year").cast("int").alias("year"))
+        _replace_parts(_by_key(known.distinct(), keys, parts), index, KEY_PART)
+    return index
+
+
+def _by_key(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    whole = df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    return whole.withColumn(KEY_PART, F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+
+
+def upsert_moved(df: DataFrame, path: str, keys: Sequence[str], day: str, parts: int = 64,
+                 sort: Sequence[str] = ()) -> DataFrame:
+    """Delete + insert by key where a correction may move a row to another year.
+
+    An index beside the table tells the years that hold a key. It is split by a hash of
+    the key into ``parts`` folders, and only those of the batch's keys are read, so the old
+    row is found without opening other years. New places are indexed before the
+    table is written and old ones dropped after, so a lost job leaves the index with too
+    many years, never with too few. Keys with a NULL part match nothing: such rows are added.
+    """
+    spark, batch = df.sparkSession, settle(df, "batch")
+    index = _key_index(spark, path, keys, parts)
+    new = settle(_by_key(batch.select(*keys, F.year(day).alias("year")).distinct(), keys, parts), "keys")
+    parts_hit = [r[0] for r in new.select(KEY_PART).distinct().collect()]
+    hit = F.col(KEY_PART).isin(parts_hit)
+    years = {r[0] for r in batch.select(F.year(day)).distinct().collect()}
+    if exists(spark, index):
+        old = read_table(spark, index).where(hit).join(new.select(*keys).distinct(), list(keys), "left_semi")
+        years |= {r[0] for r in old.select("year").distinct().collect()}
+
+    def with_new(known: DataFrame | None) -> DataFrame:
+        return new if known is None else known.unionByName(new).distinct()
+
+    def only_new(known: DataFrame) -> DataFrame:
+        return refresh.upsert(known, new, keys)
+
+    if parts_hit:
+        _rewrite(spark, index, KEY_PART, hit, with_new)
+    touched = F.col("year").isin([y for y in years if y is not None])
+    if None in years:
+        touched = touched | F.col("year").isNull()
+    out = _by_year(batch, path, day, touched, lambda rows: refresh.upsert(rows, batch, keys), sort)
+    if parts_hit:
+        _rewrite(spark, index, KEY_PART, hit, only_new)
+    return out
+
+
 def recompute_recent_table(spark: SparkSession, path: str, day: str, as_of: date | str,
                            build: Callable[[Column | None], DataFrame], days: int | None = None,
                            months: int | None = None, sort: Sequence[str] = ()) -> DataFrame:

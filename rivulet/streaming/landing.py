@@ -18,7 +18,9 @@ from rivulet.operators.dedup import Order, first_per_key
 from rivulet.operators.refresh import latest
 from rivulet.sources.files import payload_rows
 from rivulet.sources.records import file_lines
-from rivulet.sources.tables import exists, read_table, upsert_table
+from rivulet.sources.tables import changed_rows, exists, read_table, settle, upsert_table
+
+MARK = "top date, seen date"
 
 
 def ingest_payloads(spark: SparkSession, path: str, table: str, checkpoint: str) -> StreamingQuery:
@@ -58,26 +60,37 @@ def stream_upsert(stream: DataFrame, table: str, checkpoint: str, keys: Sequence
                   ) -> StreamingQuery:
     """Corrections inside the horizon replace stored rows, the best of a batch wins.
 
-    Rows older than the horizon go to ``rejects`` with the reason LATE. A batch that
-    is repeated after a crash gives what it gave: the stored maximum it is split by
-    is kept per batch beside the checkpoint, the upsert is by key, the rejects have a
-    folder per batch.
+    Rows older than the horizon go to ``rejects`` with the reason LATE. The latest day seen
+    is state beside the checkpoint, a mark per batch: a batch splits by what the marks
+    before it say, so a batch that is repeated after a crash gives what it gave, and the table
+    is asked for its latest day once, before the first batch. Rows that the table holds
+    already are no corrections: only the others are written, into their years, and a batch
+    without any writes nothing.
     """
-    def mark(spark: SparkSession, batch_id: int):
-        place = f"{checkpoint.rstrip('/')}__marks/batch={batch_id}"
+    marks = f"{checkpoint.rstrip('/')}__marks"
+
+    def mark(batch: DataFrame, batch_id: int):
+        spark, place = batch.sparkSession, f"{marks}/batch={batch_id}"
         if not exists(spark, f"{place}/_SUCCESS"):
-            top = latest(read_table(spark, table), day) if exists(spark, table) else None
-            (spark.createDataFrame([(top,)], "top date").coalesce(1).write.mode("overwrite")
-             .parquet(place))
-        return spark.read.schema("top date").parquet(place).first()["top"]
+            before = f"{marks}/batch={batch_id - 1}"
+            if exists(spark, f"{before}/_SUCCESS"):
+                top = spark.read.schema(MARK).parquet(before).select(F.greatest("top", "seen")).first()[0]
+            else:
+                top = latest(read_table(spark, table), day) if exists(spark, table) else None
+            seen = latest(batch, day)
+            (spark.createDataFrame([(top, seen)], MARK).coalesce(1).write.mode("overwrite").parquet(place))
+        return spark.read.schema(MARK).parquet(place).first()["top"]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        top = mark(batch.sparkSession, batch_id)
+        batch = settle(batch, "stream")
+        top = mark(batch, batch_id)
         current, late = split_late(batch, day, top, horizon)
         if rejects is not None:
             (late.withColumn("rejection_reason", F.lit("LATE")).write.mode("overwrite")
              .parquet(f"{rejects}/batch={batch_id}"))
-        upsert_table(first_per_key(current, keys, best), table, keys, day, sort=keys)
+        fresh = settle(changed_rows(first_per_key(current, keys, best), table, day), "corrections")
+        if not fresh.isEmpty():
+            upsert_table(fresh, table, keys, day, sort=keys)
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

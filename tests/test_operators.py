@@ -85,6 +85,28 @@ def test_nearest_on_a_grid_around_the_world(spark):
         assert got[k] == (best[1], best[2])
 
 
+@pytest.mark.parametrize("k", [2, 4, 30])
+def test_k_nearest_equal_brute_force(spark, k):
+    rng = random.Random(k)
+    cells = sorted({(round(rng.uniform(-20, 20), 1), round(rng.uniform(30, 60), 1)) for _ in range(700)}
+                   | {(x / 10, 45.0) for x in range(0, 12)})
+    points = [(f"p{i}", rng.uniform(-60, 60), rng.uniform(0, 80)) for i in range(120)]
+    points += [("tie", 0.45, 45.0), ("on", 0.5, 45.0)] + [(f"d{i}", rng.uniform(0, 1), 45.02) for i in range(20)]
+    grid = spark.createDataFrame([(y, x) for x, y in cells], "la double, lo double").select(
+        F.col("la").cast("decimal(6,1)").alias("era5_latitude"),
+        F.col("lo").cast("decimal(6,1)").alias("era5_longitude"))
+    got = {}
+    for r in spatial.nearest(spark.createDataFrame(points, "k string, x double, y double"), grid, "k", "y", "x",
+                             k=k).collect():
+        got.setdefault(r.k, []).append((r["rank"], float(r.era5_latitude), float(r.era5_longitude)))
+    for name, x, y in points:
+        best = sorted((round((cx - x) ** 2 + (cy - y) ** 2, 9), cy, cx) for cx, cy in cells)[:k]
+        assert sorted(got[name]) == [(i + 1, cy, cx) for i, (_, cy, cx) in enumerate(best)]
+    few = grid.limit(1)
+    assert spatial.nearest(spark.createDataFrame(points, "k string, x double, y double"), few, "k", "y", "x",
+                           k=k).count() == len(points)
+
+
 def test_polygon_join_prefers_the_smaller(spark):
     def box(x0, y0, x1, y1):
         return [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
@@ -224,6 +246,33 @@ def test_percentiles_keep_plateaus_exact(spark):
     assert grid[:75] == [24.1] * 75 and grid[75] > 24.1
 
 
+def test_percentiles_by_rank_selection_equal_sorting(spark):
+    rng = random.Random(4)
+    inf, nan = float("inf"), float("nan")
+    groups = {"a": [rng.gauss(0, 1) for _ in range(900)], "b": [rng.choice([1.5, 2.5, 7.0]) for _ in range(700)],
+              "c": [10.0 ** rng.randint(-300, 300) for _ in range(600)] + [-1e308, 1e308], "d": [3.0] * 500,
+              None: [rng.random() for _ in range(400)], "e": [5.0, 1.0], "f": [-inf] * 90 + [inf] * 5 + [1.0] * 300,
+              "g": [nan] * 3 + [rng.random() for _ in range(200)]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [("e", None)], "k string, v double")
+    exact = {r.k: (r.grid, r.n) for r in summaries.percentile_vector(df, ["k"], "v", most=None).collect()}
+    for most in (20, 300):
+        got = {r.k: (r.grid, r.n) for r in summaries.percentile_vector(df, ["k"], "v", most=most).collect()}
+        assert got.keys() == groups.keys()
+        for k in got:
+            assert repr(got[k]) == repr(exact[k])
+
+
+def test_percentiles_of_ten_million_values_in_one_group(spark):
+    df = spark.range(10_000_000).selectExpr("'x' as k", "cast(pmod(id * 7919, 10000019) as double) as v")
+    row = summaries.percentile_vector(df, ["k"], "v", probs=[0.0, 0.25, 0.5, 0.9, 1.0]).first()
+    assert row.n == 10_000_000
+    values = sorted(i * 7919 % 10_000_019 for i in range(10_000_000))
+    for p, g in zip([0.0, 0.25, 0.5, 0.9, 1.0], row.grid):
+        low = int(p * 9_999_999)
+        a, b = values[low], values[min(low + 1, 9_999_999)]
+        assert g == pytest.approx(a + (b - a) * (p * 9_999_999 - low), abs=1e-6)
+
+
 def test_kernel_index_equals_brute_force(spark):
     series = station(spark, 2000, 2012)
     got = indices.latest_spli(series, "code", "mois", "val").first()

@@ -305,3 +305,67 @@ def test_a_cluster_must_name_its_shared_folder():
     assert tables.scratch_root(named) == "hdfs:///shared"
     alone = _Session("local[4]")
     assert tables.scratch_root(alone) == tables.scratch_root(alone)
+
+
+def test_a_failing_switch_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    tables.refresh_replace(spark.range(5), path)
+    real = tables._at
+
+    class NoRename:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return (lambda *_: False) if name == "rename" else getattr(self.fs, name)
+
+    monkeypatch.setattr(tables, "_at", lambda s, p: (lambda fs, at: (NoRename(fs), at))(*real(s, p)))
+    with pytest.raises(RuntimeError, match="old one stays"):
+        tables.refresh_replace(spark.range(9), path)
+    monkeypatch.undo()
+    assert tables.read_replaced(spark, path).count() == 5
+    begun = tables.read_replaced(spark, path)
+    assert tables.refresh_replace(spark.range(7), path).count() == 7
+    assert begun.count() == 5  # a reader that has begun still has its version
+    for n in (3, 2):
+        assert tables.refresh_replace(spark.range(n), path).count() == n
+    assert sum(p.name.startswith("v") for p in (tmp_path / "table").iterdir()) == 2
+
+
+def test_a_moved_row_is_found_in_its_old_year(spark, tmp_path):
+    path = str(tmp_path / "moved")
+    rows = [(f"k{i}", date(2000 + i % 6, 1, 1), i) for i in range(60)] + [(None, date(2001, 5, 5), 7), ("u", None, 8)]
+    kind = "k string, day date, v int"
+    tables.upsert_moved(spark.createDataFrame(rows, kind), path, ["k"], "day", parts=8)
+    old = {p: p.stat().st_mtime_ns for p in (tmp_path / "moved").rglob("*.parquet")}
+    batch = [("k0", date(2003, 7, 7), 100), ("u", date(2003, 8, 8), 101), ("new", date(2003, 9, 9), 102),
+             (None, date(2003, 5, 5), 103)]
+    for _ in range(2):  # the same corrections twice: keys NULL match nothing and are added again
+        out = tables.upsert_moved(spark.createDataFrame(batch, kind), path, ["k"], "day", parts=8)
+    want = {(k, d, v) for k, d, v in rows if k not in ("k0", "u")} | set(batch)
+    got = [(r.k, r.day, r.v) for r in out.collect()]
+    assert set(got) == want and len(got) == len(want) + 1
+    same = {p.parent.name for p in old if p.exists()}
+    assert same == {"year=2001", "year=2002", "year=2004", "year=2005"}
+    places = {(r.k, r.year) for r in tables.read_table(spark, path + "__keys").collect()}
+    assert ("k0", 2003) in places and ("k0", 2000) not in places and len(places) == 62
+
+
+def test_a_batch_without_changes_writes_nothing(spark, tmp_path):
+    table, folder = tmp_path / "t", tmp_path / "in"
+    rows = [(i, date(2020, 1, 1 + i % 9), float(i)) for i in range(30)]
+
+    def land(some):
+        spark.createDataFrame(some, "k int, d date, v double").write.mode("append").parquet(str(folder))
+        stream = spark.readStream.schema("k int, d date, v double").parquet(str(folder))
+        landing.stream_upsert(stream, str(table), str(tmp_path / "mark"), ["k", "d"], [("v", "desc")], "d",
+                              rejects=str(tmp_path / "late")).awaitTermination()
+        return {p: p.stat().st_mtime_ns for p in table.rglob("*.parquet")}
+
+    first = land(rows)
+    assert land(rows[:20]) == first
+    assert land([(1, date(2020, 1, 2), 0.5)]) != first  # a correction wins, lower or not
+    assert {(r.k, r.v) for r in tables.read_table(spark, str(table)).collect()} == {
+        (i, 0.5 if i == 1 else float(i)) for i in range(30)}
+    land([(40, date(2019, 11, 1), 1.0)])
+    assert [r.k for r in spark.read.parquet(str(tmp_path / "late")).collect()] == [40]
