@@ -154,7 +154,7 @@ def _count_orders(orders: tuple[int, ...], table: tuple[str, int] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = Table(*table) if table else None
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 by_lang: dict[str, list[bytes]] = {}
                 for lang, raw in zip(part.column("lang").to_pylist(), byte_views(part.column("text"))):
                     by_lang.setdefault(lang, []).append(raw)
