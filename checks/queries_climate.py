@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.views import INDEX_END, INDEX_START, NORMALS, gamma_cdf_sql, norm_cdf_sql, norm_ppf_sql
-from rivulet.functions import stats
+from checks.views import (INDEX_END, INDEX_START, NORMALS, classify_sql, gamma_cdf_sql, norm_cdf_sql,
+                          norm_ppf_sql)
+from rivulet.functions import sql, stats
 from rivulet.operators import indices
 from rivulet.operators.joins import attach_normals
 from rivulet.plans import climate
@@ -107,3 +108,13 @@ query("gamma_cdf", _KEYS + "; f c", f"SELECT *, {gamma_cdf_sql('g', 'a')} AS c F
     lambda t: _ranked(t).withColumn("c", stats.gamma_cdf("g", "a")))
 query("log_gamma", _KEYS + "; f v", f"SELECT *, lgamma(a) AS v FROM {_RANKED}")(
     lambda t: _ranked(t).withColumn("v", stats.lgamma("a")))
+
+
+@query("sql_functions", _KEYS + "; f z c gc; s index_class",
+       f"SELECT *, {norm_ppf_sql('p')} AS z, {norm_cdf_sql('x')} AS c, {gamma_cdf_sql('g', 'a')} AS gc,"
+       f" {classify_sql(norm_ppf_sql('p'))} AS index_class FROM {_RANKED}")
+def sql_functions(t):
+    """The functions by their SQL names, in SQL text only."""
+    sql.register_functions(t.spark)
+    return t.spark.sql("""SELECT *, norm_ppf(p) AS z, norm_cdf(x) AS c, gamma_cdf(g, a, 1D) AS gc,
+                          classify(norm_ppf(p)) AS index_class FROM {ranked}""", ranked=_ranked(t))

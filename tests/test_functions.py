@@ -151,3 +151,24 @@ def test_hargreaves_needs_all_temperatures(spark):
     assert one(spark, climate.hargreaves_et0(lit(10.0), lit(-30.0), lit(-40.0), lit(-20.0))) == 0.0
     ra = one(spark, climate.extraterrestrial_radiation(lit(-20.0), lit(246)))
     assert ra == pytest.approx(32.2 * 0.408, abs=0.05)      # published worked example
+
+
+def test_sql_names_equal_the_columns(spark):
+    from rivulet.functions import sql
+
+    sql.register_functions(spark)
+    nan, inf = float("nan"), float("inf")
+    rows = [(x / 7 - 3, 0.3 + i % 5, 0.5 + i % 3, (i % 11) / 10, (i % 9) / 5 - 0.9) for i, x in enumerate(range(80))]
+    rows += [(None, 1.0, 1.0, 0.5, 0.1), (nan, 1.0, 1.0, 0.5, 0.1), (inf, 1.0, 1.0, 0.5, 0.1), (2.0, -1.0, 1.0, nan, 0.0),
+             (50.0, 3.0, 0.1, 1e-9, 1e-8), (0.0, 2.0, 1.0, 1.0, 1.5), (45.0, 30.0, 1.5, 0.0, -0.3)]
+    df = spark.createDataFrame(rows, "x double, a double, b double, q double, k double")
+    df.createOrReplaceTempView("sql_names")
+    got = spark.sql("""SELECT norm_ppf(q) AS a, norm_cdf(x) AS b, log_gamma(b) AS c, gamma_cdf(x, a, b) AS d,
+                       spi(x, a, b, q) AS e, sti(x, a, b) AS f, spei(x, b, k, q) AS g, classify(x) AS h FROM sql_names""")
+    want = df.select(stats.norm_ppf("q"), stats.norm_cdf("x"), stats.lgamma("b"), stats.gamma_cdf("x", "a", F.col("b")),
+                     stats.spi("x", "a", "b", "q"), stats.sti("x", "a", "b"), stats.spei("x", "b", "k", "q"),
+                     classes.classify("x"))
+    for a, b in zip(got.collect(), want.collect()):
+        assert [repr(v) for v in a[4:]] == [repr(v) for v in b[4:]]
+        assert [v if v is None or v != v else pytest.approx(v, rel=1e-13) for v in a[:4]] == list(b[:4]) or any(
+            v is not None and v != v for v in a[:4])
