@@ -280,10 +280,11 @@ class _Batch:
         self.n += len(part)
 
     def emit(self) -> Iterator[pa.RecordBatch]:
-        """One batch's suffix array in shards; what it covers itself goes to a group of its own.
+        """One batch's suffix array in shards; what it covers itself goes to other groups.
 
-        So a passage that most documents hold brings its rows to as many groups as there
-        are shards, not to the shard of the passage.
+        Those are named by shard and batch, so a passage that most documents hold brings its
+        rows to as many groups as there are shards, not to the shard of the passage, and no
+        group gets all rows of a batch.
         """
         if self.n:
             table = Table(np.array(self.ids, np.int64), np.array(self.hashes, np.int64))
@@ -291,16 +292,17 @@ class _Batch:
             run.doc = table.number[run.doc]
             run = run.ordered()
             keep = table.ids[run.doc[run.heads()]] >= table.ids[run.doc]
-            lost, run = run.take(~keep), run.take(keep)
             # equal parts of the hash space, in order
             home = (run.key >> U(32)) * U(self.shards) >> U(32)
             cuts = np.searchsorted(home, np.arange(self.shards + 1, dtype=np.uint64))
-            none = run.take(slice(0, 0))
-            packed = [(int(s), pack(run.take(slice(cuts[s], cuts[s + 1])), none, table))
-                      for s in np.flatnonzero(np.diff(cuts))]
-            if len(lost):
-                group = int(_final(table.hashes[:1].view(np.uint64), 5)[0] % U(self.shards))
-                packed.append((-1 - group, pack(none, lost, table)))
+            batch, packed = int(table.hashes[0]) & 0xFFFFFFFF, []
+            for s in np.flatnonzero(np.diff(cuts)).tolist():
+                part, own = run.take(slice(cuts[s], cuts[s + 1])), keep[cuts[s]:cuts[s + 1]]
+                kept, lost = part.take(own), part.take(~own)
+                if len(kept):
+                    packed.append((s, pack(kept, part.take(slice(0, 0)), table)))
+                if len(lost):
+                    packed.append((-1 - (s + batch) % self.shards, pack(part.take(slice(0, 0)), lost, table)))
             for shard, blob in packed:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([shard], pa.int32()), pa.array([int(table.ids[0])], pa.int64()),
