@@ -79,6 +79,21 @@ class Chain(Inputs):
                        corner("x0", "y1"))
         return self("boxes").select("code_eh", "libelle_eh", ring.alias("geometry"))
 
+    @cached_property
+    def pierced_boxes(self) -> DataFrame:
+        """The rectangles with a hole each, and a second part."""
+        def at(x: str, y: str):
+            return F.struct(F.expr(x).alias("lon"), F.expr(y).alias("lat"))
+
+        def box(x0: str, y0: str, x1: str, y1: str):
+            return F.array(at(x0, y0), at(x1, y0), at(x1, y1), at(x0, y1))
+
+        cx, cy, rx, ry = "(x0 + x1) / 2", "(y0 + y1) / 2", "(x1 - x0) * 0.375D", "(y1 - y0) * 0.375D"
+        hole = F.array(at(f"{cx} - {rx}", cy), at(cx, f"{cy} - {ry}"), at(f"{cx} + {rx}", cy), at(cx, f"{cy} + {ry}"))
+        east = box("x0 + 13", "y0", f"x0 + 13 + {rx}", "y0 + (y1 - y0) * 0.25D")
+        parts = F.array(F.array(box("x0", "y0", "x1", "y1"), hole), F.array(east))
+        return self("boxes").select("code_eh", "libelle_eh", parts.alias("geometry"))
+
     @stored
     def entities(self) -> DataFrame:
         raw = self("raw_entites").unionByName(self.boxes, allowMissingColumns=True)

@@ -306,6 +306,20 @@ JOIN boxes b ON s.x BETWEEN b.x0 AND b.x1 AND s.y BETWEEN b.y0 AND b.y1""",
     lambda t: spatial.contains_join(t.stations, t.boxes, "code_bss", "x", "y", "geometry",
                                     "code_eh", ["libelle_eh"]))
 
+# boxes with a diamond cut out of the middle and a second part thirteen degrees east; all in
+# binary fractions, so that equal areas are equal
+query("smallest_polygon_parts", "s code_bss code_eh libelle_eh", top1("""
+SELECT s.code_bss, b.code_eh, b.libelle_eh,
+       (b.x1 - b.x0) * (b.y1 - b.y0) * 0.8125 AS area FROM stg_stations s
+JOIN boxes b ON (s.x BETWEEN b.x0 AND b.x1 AND s.y BETWEEN b.y0 AND b.y1
+                 AND abs(s.x - (b.x0 + b.x1) / 2) / (b.x1 - b.x0)
+                   + abs(s.y - (b.y0 + b.y1) / 2) / (b.y1 - b.y0) > 0.375)
+  OR (s.x BETWEEN b.x0 + 13 AND b.x0 + 13 + (b.x1 - b.x0) * 0.375
+      AND s.y BETWEEN b.y0 AND b.y0 + (b.y1 - b.y0) * 0.25)""",
+      "code_bss", "area, code_eh"))(
+    lambda t: spatial.contains_join(t.stations, t.pierced_boxes, "code_bss", "x", "y", "geometry",
+                                    "code_eh", ["libelle_eh"]))
+
 query("recently_active", "s code_bss", f"""
 SELECT DISTINCT code_bss FROM daily_levels WHERE date_mesure >= DATE '{AS_OF}' - INTERVAL 60 DAY""")(
     lambda t: joins.recent_keys(t.daily_levels, "code_bss", "date_mesure", AS_OF, 60))

@@ -118,15 +118,28 @@ def ring_area(ring: Column | str) -> Column:
 
 def point_in_ring(lon: Column | str, lat: Column | str, ring: Column | str) -> Column:
     """Ray casting; works for concave rings."""
-    x, y, ring = col(lon).cast("double"), col(lat).cast("double"), col(ring)
+    ring = col(ring)
     n = F.size(ring)
 
-    def crosses(i: Column) -> Column:
+    def edge(i: Column) -> Column:
         a, b = F.element_at(ring, i), F.element_at(ring, i % n + 1)
-        spans = (a["lat"] > y) != (b["lat"] > y)
-        at = F.try_divide((b["lon"] - a["lon"]) * (y - a["lat"]), b["lat"] - a["lat"]) + a["lon"]
-        return (spans & (x < at)).cast("int")
+        return F.struct(a["lon"].alias("ax"), a["lat"].alias("ay"), b["lon"].alias("bx"), b["lat"].alias("by"))
+
+    return odd_crossings(lon, lat, F.transform(F.sequence(F.lit(1), n), edge))
+
+
+def odd_crossings(lon: Column | str, lat: Column | str, edges: Column | str) -> Column:
+    """Whether a ray east of the point crosses an odd number of ``struct<ax,ay,bx,by>`` edges.
+
+    True inside, for the edges of a ring as for those of all rings of a polygon with holes
+    and parts. Edges without a place count as not crossed.
+    """
+    x, y = col(lon).cast("double"), col(lat).cast("double")
+
+    def crossed(e: Column) -> Column:
+        spans = (e["ay"] > y) != (e["by"] > y)
+        at = F.try_divide((e["bx"] - e["ax"]) * (y - e["ay"]), e["by"] - e["ay"]) + e["ax"]
+        return F.coalesce((spans & (x < at)).cast("int"), F.lit(0))
 
-    hits = F.aggregate(F.transform(F.sequence(F.lit(1), n), crosses), F.lit(0),
-                       lambda acc, v: acc + F.coalesce(v, F.lit(0)))
+    hits = F.aggregate(col(edges), F.lit(0), lambda acc, e: acc + crossed(e))
     return hits % 2 == 1

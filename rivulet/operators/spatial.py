@@ -1,7 +1,8 @@
 """Nearest grid point and point-in-polygon without cross joins.
 
 Both build tiles on the small side and reach them by equality, so the work is
-proportional to the points plus the few tiles each point can touch.
+proportional to the points plus the few tiles each point can touch. Polygons are tested
+against the edges of one latitude strip, not against whole rings.
 """
 
 from __future__ import annotations
@@ -9,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType
 
-from rivulet.functions.geo import let, point_in_ring, ring_area
+from rivulet.functions.geo import let, odd_crossings, ring_area
+
+EDGES = 16  # of a polygon in a latitude strip, about
 
 
 def _squared(dx: Column, dy: Column) -> Column:
@@ -149,41 +153,96 @@ def _pyramid(far: DataFrame, cells: DataFrame, key: str, step: float, k: int) ->
     return best.groupBy(key).agg(F.slice(F.array_sort(F.flatten(F.collect_list("_best"))), 1, k).alias("_best"))
 
 
+def _parts(shape: Column, depth: int) -> Column:
+    """Any of the three nestings as parts of rings."""
+    for _ in range(3 - depth):
+        shape = F.array(shape)
+    kept = F.transform(F.filter(shape, lambda part: part.isNotNull()),
+                       lambda part: F.filter(part, lambda ring: F.size(ring) >= 3))
+    return F.filter(kept, lambda part: F.size(part) > 0)
+
+
+def _nesting(df: DataFrame, shape: str) -> int:
+    kind, depth = df.select(shape).schema[0].dataType, 0
+    while isinstance(kind, ArrayType):
+        kind, depth = kind.elementType, depth + 1
+    if depth not in (1, 2, 3):
+        raise ValueError(f"{shape} is no ring, list of rings or list of parts")
+    return depth
+
+
+def _edges(parts: Column) -> Column:
+    def around(ring: Column) -> Column:
+        following = F.concat(F.slice(ring, 2, F.size(ring) - 1), F.slice(ring, 1, 1))
+        return F.zip_with(ring, following, lambda a, b: F.struct(
+            a["lon"].alias("ax"), a["lat"].alias("ay"), b["lon"].alias("bx"), b["lat"].alias("by")))
+
+    edges = F.flatten(F.transform(F.flatten(parts), around))
+    # a level edge crosses no ray, nor does one without a place
+    return F.filter(edges, lambda e: (e["ay"] != e["by"]) & e["ax"].isNotNull() & e["bx"].isNotNull())
+
+
 def contains_join(points: DataFrame, polygons: DataFrame, key: str, lon: str, lat: str,
                   ring: str, code: str, attrs: Sequence[str] = ()) -> DataFrame:
     """Smallest polygon that contains each point (inner: uncovered points drop out).
 
-    A polygon is filed under tiles at least as large as its bounding box, so it
-    occupies at most 2x2 of them whatever its size; a point visits one tile per
-    power-of-two size.
+    ``ring`` is a ring of ``struct<lon,lat>``, a polygon (list of rings: outline, then its
+    holes) or a list of such polygons, its parts. Rings of fewer than three points hold
+    nothing; a polygon without rings is dropped. Size is the planar area, without holes;
+    ties go to the lower ``code``.
+
+    A polygon's bounding box is filed under tiles of a quarter of its extent or more, 5x5
+    at most; a point visits one tile for each tile size in use. The edges are filed apart,
+    under latitude strips of their polygon, so a point inside the box meets the edges of
+    one strip only: an odd number of them east of it means inside, whatever the rings. A
+    strip holds some 16 edges, and strips are no lower than the mean edge is high, so
+    the strips hold at most three times the edges.
     """
-    levels = range(-4, 10)
-    shapes = polygons.where(F.col(ring).isNotNull() & (F.size(ring) >= 3)).select(
-        F.col(ring).alias("_ring"), ring_area(ring).alias("_area"), F.col(code).alias(code),
-        *attrs,
-        F.array_min(F.transform(ring, lambda p: p["lon"])).alias("_x0"),
-        F.array_max(F.transform(ring, lambda p: p["lon"])).alias("_x1"),
-        F.array_min(F.transform(ring, lambda p: p["lat"])).alias("_y0"),
-        F.array_max(F.transform(ring, lambda p: p["lat"])).alias("_y1"))
-    extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"),
-                        F.lit(2.0 ** levels[0]))
-    level = F.least(F.greatest(F.ceil(F.log2(extent)), F.lit(levels[0])), F.lit(levels[-1]))
+    parts = _parts(F.col(ring), _nesting(polygons, ring))
+    every = F.flatten(F.flatten("_parts"))
+    lons, lats = F.transform(every, lambda p: p["lon"]), F.transform(every, lambda p: p["lat"])
+    shapes = polygons.select(parts.alias("_parts"), code, *attrs).where(F.size("_parts") > 0).select(
+        "_parts", code, *attrs, F.sha2(F.to_json("_parts"), 256).alias("_shape"), _edges(F.col("_parts")).alias("_edges"),
+        F.array_min(lons).alias("_x0"), F.array_max(lons).alias("_x1"),
+        F.array_min(lats).alias("_y0"), F.array_max(lats).alias("_y1"))
+    n, height = F.size("_edges"), F.col("_y1") - F.col("_y0")
+    rise = F.aggregate("_edges", F.lit(0.0), lambda acc, e: acc + F.abs(e["by"] - e["ay"]))
+    strips = F.greatest(F.lit(1.0), F.least(F.ceil(n / EDGES), F.floor(F.try_divide(height * n, rise))))
+    shapes = shapes.withColumn("_strips", strips.cast("int"))
+
+    def strip(y: Column) -> Column:
+        # grows with y, so a point between the ends of an edge is in a strip between theirs
+        at = F.floor(F.try_divide(y - F.col("_y0"), height) * F.col("_strips")).cast("int")
+        return F.least(F.col("_strips") - 1, at)
+
+    filed_edges = (shapes.dropDuplicates(["_shape"])
+                   .select("_shape", "_strips", "_y0", "_y1", F.explode("_edges").alias("_e"))
+                   .withColumn("_strip", F.explode(F.sequence(
+                       strip(F.least("_e.ay", "_e.by")), strip(F.greatest("_e.ay", "_e.by")))))
+                   .groupBy("_shape", "_strip").agg(F.collect_list("_e").alias("_near")))
+
+    extent = F.greatest(F.col("_x1") - F.col("_x0"), height, F.lit(2.0 ** -4))
+    area = F.aggregate(F.transform("_parts", lambda part: ring_area(part[0]) - F.aggregate(
+        F.transform(F.slice(part, 2, F.size(part)), ring_area), F.lit(0.0), lambda acc, hole: acc + hole)),
+        F.lit(0.0), lambda acc, v: acc + v)
+    boxes = shapes.select(code, *attrs, "_shape", "_strips", "_x0", "_x1", "_y0", "_y1", area.alias("_area"),
+                          (F.ceil(F.log2(extent)) - 2).cast("int").alias("_level"))
     tile = F.pow(F.lit(2.0), F.col("_level"))
-    filed = (shapes.withColumn("_level", level.cast("int"))
-             .withColumn("_tx", F.explode(F.sequence(F.floor(F.col("_x0") / tile),
-                                                     F.floor(F.col("_x1") / tile))))
-             .withColumn("_ty", F.explode(F.sequence(F.floor(F.col("_y0") / tile),
-                                                     F.floor(F.col("_y1") / tile)))))
+    filed = (boxes.withColumn("_tx", F.explode(F.sequence(F.floor(F.col("_x0") / tile), F.floor(F.col("_x1") / tile))))
+             .withColumn("_ty", F.explode(F.sequence(F.floor(F.col("_y0") / tile), F.floor(F.col("_y1") / tile)))))
+    # one row: the tile sizes in use, a dozen at most
+    levels = boxes.agg(F.collect_set("_level").alias("levels")).scalar()
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     visits = (points.select(key, x.alias("_x"), y.alias("_y"))
               .where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-              .withColumn("_level", F.explode(F.array(*[F.lit(i) for i in levels])))
+              .withColumn("_level", F.explode(levels))
               .withColumn("_tx", F.floor(F.col("_x") / tile))
               .withColumn("_ty", F.floor(F.col("_y") / tile)))
-    inside = (visits.join(filed, ["_level", "_tx", "_ty"])
-              .where(F.col("_x").between(F.col("_x0"), F.col("_x1"))
-                     & F.col("_y").between(F.col("_y0"), F.col("_y1")))
-              .where(point_in_ring("_x", "_y", "_ring")))
+    near = (visits.join(filed, ["_level", "_tx", "_ty"])
+            .where(F.col("_x").between(F.col("_x0"), F.col("_x1"))
+                   & F.col("_y").between(F.col("_y0"), F.col("_y1")))
+            .withColumn("_strip", strip(F.col("_y"))))
+    inside = near.join(filed_edges, ["_shape", "_strip"]).where(odd_crossings("_x", "_y", "_near"))
     best = inside.groupBy(key).agg(
         F.min_by(F.struct(code, *attrs), F.struct("_area", code)).alias("_hit"))
     return best.select(key, *[F.col(f"_hit.{c}").alias(c) for c in (code, *attrs)])
