@@ -1,11 +1,12 @@
 """License texts inside documents: MinHash bands over text windows, then exact containment.
 
-Templates of about the same number of shingles form a class. A class has windows a
-little longer than its templates, a fraction of that length apart, so every
-occurrence lies wholly in a window and the window's Jaccard similarity to the
+Templates of about the same number of shingles form a class. A class has windows longer
+than its templates by the words that may be inserted into one, a fraction of a template's
+length apart, so every occurrence lies wholly in a window and the window's Jaccard similarity to the
 template has a known floor. Each class has as many bands as let a pair at its floor
-collide with the wanted probability. A window that shares a band with a template is compared exactly: the
-share of the template's shingles that the window holds.
+collide with the wanted probability. Windows that share a band with a template are joined
+where they overlap and compared exactly: the share of the template's shingles that a
+stretch of the allowed length holds, wherever it starts.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ WORD = re.compile(r"[^\W_]+")
 SHINGLE = 5  # words
 GROWTH = 1.25  # template sizes in a class differ by this factor at most
 STEPS = 4  # windows of a class overlap in all but one of this many steps
-ROWS = 2  # in a band
+ROWS = 1  # in a band: few bands reach a low floor, and the exact comparison is cheap
+SLACK = 0.5  # shingles that may be inserted into a template, as a share of its own
+MOST_CHARS = 1 << 24  # of all templates of a table
 KNOWN = 400_000
 U = np.uint64
 
@@ -94,20 +97,26 @@ def shingles_of(texts: list[str], known: _Hashes) -> tuple[np.ndarray, np.ndarra
 class TemplateClass:
     """Templates whose sizes fit one window length."""
 
-    size: int  # shingles of the largest
+    size: int  # shingles of the longest
+    slack: float
     names: list[str] = field(default_factory=list)
-    shingles: list[np.ndarray] = field(default_factory=list)
-    keys: list[np.ndarray] = field(default_factory=list)  # a band key for each band
+    shingles: list[np.ndarray] = field(default_factory=list)  # distinct ones, sorted
+    lengths: list[int] = field(default_factory=list)  # with repeats
+    keys: np.ndarray = field(default_factory=lambda: np.empty((0, 0), np.uint64))  # template x band
     bands: int = 1
 
     @property
     def step(self) -> int:
         return max(1, self.size // STEPS)
 
+    def stretch(self, length: int) -> int:
+        """Shingles over which a template of this length may spread."""
+        return length + int(length * self.slack)
+
     @property
     def blocks(self) -> int:
-        """Steps in a window: wherever a template starts in the first, it ends in the last."""
-        return -(-(self.size + self.step - 1) // self.step)
+        """Steps in a window: wherever a stretch starts in the first, it ends in the last."""
+        return -(-(self.stretch(self.size) + self.step - 1) // self.step)
 
     def floor(self, containment: float) -> float:
         """Least similarity of a window that holds enough of a template to the template."""
@@ -121,26 +130,28 @@ class TemplateClass:
 class Library:
     """Templates by class, with their MinHash bands."""
 
-    def __init__(self, templates: dict[str, str], containment: float, certainty: float, seed: int = 1):
-        sized = sorted((len(np.unique(s)), name, np.unique(s)) for name, text in templates.items()
-                       for s in [shingles_of([text], _Hashes())[0]] if len(s))
+    def __init__(self, templates: dict[str, str], containment: float, certainty: float, slack: float = SLACK,
+                 seed: int = 1):
+        sized = sorted(((len(s), name, np.unique(s)) for name, text in templates.items()
+                        for s in [shingles_of([text], _Hashes())[0]] if len(s)), key=lambda t: t[:2])
         self.classes: list[TemplateClass] = []
         for n, name, shingles in sized:
             last = self.classes[-1] if self.classes else None
-            if last is None or n > GROWTH * len(last.shingles[0]):
-                last = TemplateClass(n)
+            if last is None or n > GROWTH * last.lengths[0]:
+                last = TemplateClass(n, slack)
                 self.classes.append(last)
             last.size = max(last.size, n)
             last.names.append(name)
             last.shingles.append(shingles)
+            last.lengths.append(n)
         for c in self.classes:
             c.bands = bands_for(c.floor(containment), certainty)
         self.bands = max((c.bands for c in self.classes), default=0)
         rng = np.random.default_rng(seed)
         self.factors = rng.integers(1, 1 << 63, (self.bands * ROWS, 2), dtype=np.uint64) * U(2) + U(1)
         for c in self.classes:
-            c.keys = [self.keys(np.array([self.hashed(s, k).min() for k in range(c.bands * ROWS)]
-                                         ).reshape(-1, 1))[:, 0] for s in c.shingles]
+            c.keys = np.stack([self.keys(np.array([self.hashed(s, k).min() for k in range(c.bands * ROWS)]
+                                                  ).reshape(-1, 1))[:, 0] for s in c.shingles])
 
     def hashed(self, shingles: np.ndarray, k: int) -> np.ndarray:
         """The k-th hash of each shingle, 32 bits."""
@@ -148,8 +159,9 @@ class Library:
         return ((shingles * a + b) >> U(32)).astype(np.uint32)
 
     def keys(self, least: np.ndarray) -> np.ndarray:
-        """Band keys from minima (hashes x windows): ROWS minima joined."""
-        return (least[0::2].astype(np.uint64) << U(32)) | least[1::2].astype(np.uint64)
+        """Band keys from minima (hashes x windows): ROWS minima joined, two at most."""
+        rows = least.astype(np.uint64).reshape(-1, ROWS, *least.shape[1:])
+        return rows[:, 0] if ROWS == 1 else (rows[:, 0] << U(32)) | rows[:, 1]
 
 
 def windows(sizes: np.ndarray, step: int, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,41 +198,104 @@ def find(library: Library, shingles: np.ndarray, sizes: np.ndarray, containment:
                         np.minimum(whole, block[np.minimum(at + k, last - 1)], out=whole)
                 least.append(whole)
             keys = library.keys(np.stack(least))[0]
-            for t, key in enumerate(c.keys):
-                hit[t] |= keys == key[band]
+            near = np.flatnonzero(np.isin(keys, c.keys[:, band]))
+            if len(near):
+                for t, key in enumerate(c.keys[:, band]):
+                    hit[t][near] |= keys[near] == key
     for (c, first, last, text), hit in zip(plans, hits):
         for t, name in enumerate(c.names):
-            spans: dict[int, list] = {}
-            for w in np.flatnonzero(hit[t]):
-                low, owner = int(first[w]), int(text[w])
-                high = min(low + c.blocks * c.step, int(ends[owner]))
-                inside = np.flatnonzero(np.isin(shingles[low:high], c.shingles[t]))
-                share = len(np.unique(shingles[low + inside])) / len(c.shingles[t])
-                if share >= containment:
-                    base = int(ends[owner] - sizes[owner])
-                    a, b = low + int(inside[0]) - base, low + int(inside[-1]) - base
-                    mine = spans.setdefault(owner, [])
-                    if mine and a <= mine[-1][1]:  # the same occurrence in the next window
-                        mine[-1] = (mine[-1][0], max(b, mine[-1][1]), max(share, mine[-1][2]))
-                    else:
-                        mine.append((a, b, share))
-            found += [(owner, name, a, b, s) for owner, some in spans.items() for a, b, s in some]
+            need, stretch = math.ceil(containment * len(c.shingles[t]) - 1e-9), c.stretch(c.lengths[t])
+            for low, high, owner in _joined(np.flatnonzero(hit[t]), first, text, c.blocks * c.step, ends):
+                base = int(ends[owner] - sizes[owner])
+                for a, b, held in occurrences(shingles[low:high], c.shingles[t], need, stretch):
+                    found.append((owner, name, low + a - base, low + b - base, held / len(c.shingles[t])))
+    return found
+
+
+def _joined(hits: np.ndarray, first: np.ndarray, text: np.ndarray, length: int, ends: np.ndarray
+            ) -> Iterator[tuple[int, int, int]]:
+    """(first shingle, last + 1, text) of the ranges that overlapping windows cover."""
+    low = high = owner = -1
+    for w in hits:
+        start, mine = int(first[w]), int(text[w])
+        if mine != owner or start > high:
+            if owner >= 0:
+                yield low, high, owner
+            low, owner = start, mine
+        high = min(start + length, int(ends[mine]))
+    if owner >= 0:
+        yield low, high, owner
+
+
+def occurrences(shingles: np.ndarray, template: np.ndarray, need: int, stretch: int
+                ) -> list[tuple[int, int, int]]:
+    """(first, last, held) where some ``stretch`` shingles in a row hold ``need`` distinct ones of the template.
+
+    Stretches that overlap are one occurrence; ``held`` is the most that one of them holds.
+    """
+    which = np.searchsorted(template, shingles)
+    places = np.flatnonzero(template[np.minimum(which, len(template) - 1)] == shingles)
+    found: list[tuple[int, int, int]] = []
+    counts: dict[int, int] = {}
+    start = 0
+    at, codes = places.tolist(), which[places].tolist()
+    for place, code in zip(at, codes):
+        counts[code] = counts.get(code, 0) + 1
+        while place - at[start] >= stretch:
+            old = codes[start]
+            counts[old] -= 1
+            if not counts[old]:
+                del counts[old]
+            start += 1
+        if len(counts) >= need:
+            if found and at[start] <= found[-1][1]:
+                found[-1] = (found[-1][0], place, max(found[-1][2], len(counts)))
+            else:
+                found.append((at[start], place, len(counts)))
     return found
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = 0.8,
-                  certainty: float = 0.999, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def templates_of(table: DataFrame, name_col: str = "template", text_col: str = "text",
+                 most_chars: int = MOST_CHARS) -> dict[str, str]:
+    """A table of whole license texts as templates; it goes to every task, so its size is checked.
+
+    Rows without name or text are left out. Several texts of one name are variants: a text
+    after the first (in text order) has its number at the name.
+    """
+    rows = table.where(F.col(name_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(name_col).cast("string").alias("name"), F.col(text_col).alias("text")).distinct()
+    chars = rows.agg(F.sum(F.length("text") + F.length("name") + 1)).first()[0] or 0
+    if chars > most_chars:
+        raise ValueError(f"templates of {chars} characters; {most_chars} can go to every task")
+    out: dict[str, str] = {}
+    seen: dict[str, int] = {}
+    for name, text in sorted(tuple(r) for r in rows.collect()):
+        seen[name] = seen.get(name, 0) + 1
+        out[name if seen[name] == 1 else f"{name}#{seen[name]}"] = text
+    return out
+
+
+def scan_licenses(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, containment: float = 0.8,
+                  certainty: float = 0.999, id_col: str = "doc_id", text_col: str = "text",
+                  slack: float = SLACK) -> DataFrame:
     """(doc_id, template, start, end, containment) of each license text in each document.
 
     ``start`` and ``end`` are character offsets of the words that matched. Words are
     runs of letters and digits, lower-cased; shingles are five words. An occurrence
-    counts if a window holds ``containment`` of the template's distinct shingles.
+    counts if a stretch of the document holds ``containment`` of the template's distinct
+    shingles; it may be longer than the template by ``slack`` of its length, for words that
+    were put in. ``templates`` is a mapping or a table (template, text); without it, the
+    notices above.
 
     Defined cases: NULL and empty texts, and texts without words, hold nothing; no
     templates find nothing. Repeated rows repeat their results; rows without id are
-    reported without id. Occurrences that overlap are one. Other columns are ignored.
+    reported without id. Stretches that overlap are one occurrence. Templates are judged one
+    by one, so a text may hold several at one place. Very long texts are scanned whole.
+    Other columns are ignored.
     """
-    library = Library(TEMPLATES if templates is None else templates, containment, certainty)
+    if isinstance(templates, DataFrame):
+        templates = templates_of(templates)
+    library = Library(TEMPLATES if templates is None else templates, containment, certainty, slack)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(library)  # as large as the templates given
 

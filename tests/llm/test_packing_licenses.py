@@ -93,8 +93,8 @@ def test_pack_by_tokens_cuts_unspaced_texts(spark):
     assert max(batches.values()) <= 256
 
 
-def plain_scan(texts, templates, containment):
-    """Documents and templates of which any stretch of the template's length holds enough."""
+def plain_scan(texts, templates, containment, slack=licenses.SLACK):
+    """Documents and templates of which any stretch of the allowed length holds enough."""
     def grams(text):
         words = licenses.WORD.findall(text.lower())
         return [tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))] if words else []
@@ -104,7 +104,7 @@ def plain_scan(texts, templates, containment):
         mine = grams(t or "")
         for name, template in templates.items():
             want = set(grams(template))
-            n = len(grams(template))
+            n = int(len(grams(template)) * (1 + slack))
             for k in range(max(1, len(mine) - n + 1)):
                 if want and len(want & set(mine[k:k + n])) >= containment * len(want):
                     found.add((i, name))
@@ -131,6 +131,42 @@ def test_scan(spark):
     assert own == ["Released under the\nMIT   License", "released under the mit license"]
 
 
+def test_scan_finds_notices_with_words_inserted_at_every_offset(spark):
+    rng = np.random.default_rng(9)
+    filler = lambda n: ["".join(rng.choice(list("abcdef"), 4)) for _ in range(n)]
+    notice = licenses.TEMPLATES["MIT-permission"].split()
+    rows, spread = [], {}
+    for inserted in (0, 10, 15, 20, 60):
+        for offset in range(24):
+            at = len(notice) // 2
+            i = 100 * inserted + offset
+            spread[i] = inserted
+            rows.append((i, " ".join([*filler(offset), *notice[:at], *filler(inserted), *notice[at:], *filler(90)])))
+    for templates in (None, spark.createDataFrame(
+            [*licenses.TEMPLATES.items(), (None, "x"), ("x", None)], "template string, text string")):
+        got = licenses.scan_licenses(docs_of(spark, rows), templates).collect()
+        assert {(r["doc_id"], r["template"]) for r in got} == plain_scan(rows, licenses.TEMPLATES, 0.8)
+        mine = {r["doc_id"] for r in got if r["template"] == "MIT-permission"}
+        assert mine == {i for i, n in spread.items() if n <= 20}
+    strict = licenses.scan_licenses(docs_of(spark, rows), slack=0.0).collect()
+    assert {(r["doc_id"], r["template"]) for r in strict} == plain_scan(rows, licenses.TEMPLATES, 0.8, 0.0)
+
+
+def test_templates_of_a_table(spark):
+    whole = " ".join(f"clause {i} of this long license says {i * i} things" for i in range(400))
+    table = spark.createDataFrame([("L", whole), ("L", whole[::-1]), ("L", whole), ("S", "one short line of five words")],
+                                  "template string, text string")
+    known = licenses.templates_of(table)
+    assert set(known) == {"L", "L#2", "S"} and whole in (known["L"], known["L#2"])
+    cut = whole.split()
+    cut = " ".join(cut[:1500] + ["something", "else"] * 20 + cut[1700:])
+    got = licenses.scan_licenses(docs_of(spark, [(1, "intro " * 50 + whole), (2, cut), (3, whole[:len(whole) // 2])]),
+                                 table).collect()
+    assert {r["doc_id"] for r in got} == {1, 2} and len(got) == 2
+    with pytest.raises(ValueError):
+        licenses.templates_of(table, most_chars=100)
+
+
 def test_scan_odd_cases(spark):
     rows = [(1, "short one"), (1, "short one"), (2, "a " * 50_000 + "short one")]
     got = licenses.scan_licenses(docs_of(spark, rows), {"tiny": "Short, one!", "empty": "..."}).collect()
