@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rivulet.llm.common import byte_views, settle, slices
+from rivulet.llm.common import byte_views, settle, slices, text_or_empty
 
 GRAM = 24
 SEGMENT = 1 << 20  # bytes handled at once; positions must fit 24 bits
@@ -429,36 +429,24 @@ def removed_spans(low: np.ndarray, span: np.ndarray, match: int) -> list[tuple[i
     return [(int(start[a]), int(end[b - 1])) for a, b in zip(fresh, [*fresh[1:], len(start)])]
 
 
-def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   carry: tuple[str, ...] = (), shard_bytes: int = 16 << 20, whole: bool = False) -> DataFrame:
-    """doc_id, n_bytes, spans (array of start, end) and kept (binary) of each document.
-
-    Columns named in ``carry`` go along. With ``whole`` the characters that an end of a span
-    cuts in two are taken from ``kept`` altogether; a text without spans stays as it is.
-
-    A byte goes if it lies under a string of ``match`` bytes that also starts in a
-    document with a smaller id. Strings are judged on the input; spans are maximal
-    and never touch. ``shard_bytes`` is the text behind one shard of the index (its
-    suffixes take about as much memory).
-
-    Defined cases: a NULL text counts as empty, and texts shorter than ``match`` lose
-    nothing. A row without id counts as the last document. Rows that share an id
-    never remove from each other. Rows keep their number; other columns are ignored, and a
-    carried column must not have the name of a new one.
-    """
+def check_options(match: int, carry: tuple[str, ...] = ()) -> None:
     if match < 2 * GRAM or match - GRAM > 255:
         raise ValueError(f"match must be {2 * GRAM} to {255 + GRAM} bytes")
     if {c.lower() for c in carry} & {"doc_id", "n_bytes", "spans", "kept"}:
         raise ValueError("a carried column has the name of a new one")
-    missing: Column = F.lit(int(LAST_ID)).cast("bigint")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), missing).alias("doc"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(
-        "doc", F.xxhash64("text").alias("hash"), "text")
-    ranges = covered_windows(texts, match, shard_bytes).groupBy("doc", "hash").agg(
-        F.collect_list("ranges").alias("ranges"))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                       F.coalesce(F.col(id_col).cast("bigint"), missing).alias("doc"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+
+
+def order_id(id_col: str) -> Column:
+    """The id, with a missing one as the last."""
+    return F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(LAST_ID)).cast("bigint"))
+
+
+def without_windows(docs: DataFrame, covered: DataFrame, match: int, id_col: str, text_col: str,
+                    carry: tuple[str, ...], whole: bool) -> DataFrame:
+    """The result of ``remove_repeats`` for the covered (doc, hash, ranges) of the documents."""
+    ranges = covered.groupBy("doc", "hash").agg(F.collect_list("ranges").alias("ranges"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), order_id(id_col).alias("doc"),
+                       text_or_empty(text_col).alias("text"),
                        *[F.col(c).alias(f"carry_{k}") for k, c in enumerate(carry)]).withColumn(
         "hash", F.xxhash64("text"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -481,3 +469,26 @@ def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", tex
         "doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), cutter("text", "ranges").alias("cut"),
         *[F.col(f"carry_{k}").alias(c) for k, c in enumerate(carry)]).select(
         "doc_id", "n_bytes", "cut.spans", "cut.kept", *carry)
+
+
+def remove_repeats(docs: DataFrame, match: int = 50, id_col: str = "doc_id", text_col: str = "text",
+                   carry: tuple[str, ...] = (), shard_bytes: int = 16 << 20, whole: bool = False) -> DataFrame:
+    """doc_id, n_bytes, spans (array of start, end) and kept (binary) of each document.
+
+    Columns named in ``carry`` go along. With ``whole`` the characters that an end of a span
+    cuts in two are taken from ``kept`` altogether; a text without spans stays as it is.
+
+    A byte goes if it lies under a string of ``match`` bytes that also starts in a
+    document with a smaller id. Strings are judged on the input; spans are maximal
+    and never touch. ``shard_bytes`` is the text behind one shard of the index (its
+    suffixes take about as much memory).
+
+    Defined cases: a NULL text counts as empty, and texts shorter than ``match`` lose
+    nothing. A row without id counts as the last document. Rows that share an id
+    never remove from each other. Rows keep their number; other columns are ignored, and a
+    carried column must not have the name of a new one.
+    """
+    check_options(match, carry)
+    texts = docs.select(order_id(id_col).alias("doc"), text_or_empty(text_col).alias("text")).select(
+        "doc", F.xxhash64("text").alias("hash"), "text")
+    return without_windows(docs, covered_windows(texts, match, shard_bytes), match, id_col, text_col, carry, whole)
