@@ -24,6 +24,8 @@ from rivulet.operators import refresh
 SCRATCH = "rivulet.scratch.dir"
 FOLDER: ContextVar[str | None] = ContextVar("folder of settled tables", default=None)
 DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+STORED_TASK_BYTES = "16MB"  # compressed; sorted rows of narrow tables take some thirty times that
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -52,16 +54,22 @@ def settle(df: DataFrame, name: str = "table", path: str | None = None) -> DataF
     Cuts the lineage the way a stored table does: later steps do not recompute
     it, a lost executor cannot lose it, and its true size is known to the
     planner, which then broadcasts it only if it is small. Once it is stored, the
-    shuffle files that led to it are of no more use and are dropped.
+    shuffle files that led to it are of no more use and are dropped. Tasks that share
+    small shuffle partitions get at most ``STORED_TASK_BYTES`` of them, so the memory of
+    a task stays the same however large the table (a session's own figure is kept).
     """
     spark = df.sparkSession
     target = path or f"{FOLDER.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(DROP_SHUFFLES, "false")
+    task = spark.conf.get(TASK_BYTES)
+    before = {DROP_SHUFFLES: spark.conf.get(DROP_SHUFFLES, "false"), TASK_BYTES: task}
     spark.conf.set(DROP_SHUFFLES, "true")
+    if task in ("64MB", "67108864b"):  # Spark's default
+        spark.conf.set(TASK_BYTES, STORED_TASK_BYTES)
     try:
         df.write.parquet(target)
     finally:
-        spark.conf.set(DROP_SHUFFLES, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(target)
 
 

@@ -369,3 +369,23 @@ def test_a_batch_without_changes_writes_nothing(spark, tmp_path):
         (i, 0.5 if i == 1 else float(i)) for i in range(30)}
     land([(40, date(2019, 11, 1), 1.0)])
     assert [r.k for r in spark.read.parquet(str(tmp_path / "late")).collect()] == [40]
+
+
+def test_tasks_of_a_stored_table_are_bounded(spark, monkeypatch):
+    """While a table is stored, tasks share at most 16 MB of shuffled rows; a session's figure is kept."""
+    from pyspark.sql import DataFrameWriter
+
+    from rivulet.sources import tables
+
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (
+        seen.append(spark.conf.get(tables.TASK_BYTES)), write(self, *a, **k))[1])
+    before = spark.conf.get(tables.TASK_BYTES)
+    assert tables.settle(spark.range(5), "few").count() == 5
+    assert seen == ["16MB"] and spark.conf.get(tables.TASK_BYTES) == before
+    spark.conf.set(tables.TASK_BYTES, "8m")
+    try:
+        tables.settle(spark.range(5), "few")
+    finally:
+        spark.conf.unset(tables.TASK_BYTES)
+    assert seen == ["16MB", "8m"]
