@@ -61,6 +61,10 @@ class Chain(Inputs):
     def flows(self) -> DataFrame:
         return staging.build_stg_hydrometry_obs_elab(self("raw_flows"), self.sites)
 
+    @cached_property
+    def flow_measures(self) -> DataFrame:
+        return staging.build_stg_hydrometry_obs_elab(self("raw_flows"), self.sites, measures_only=True)
+
     @stored
     def rain(self) -> DataFrame:
         return staging.build_stg_era5_timeseries(self("raw_rain"))
@@ -106,7 +110,7 @@ class Chain(Inputs):
 
     @cached_property
     def daily_flows(self) -> DataFrame:
-        return facts.build_int_hydro_daily_measurements(self.flows, self.hydro_stations)
+        return facts.build_int_hydro_daily_measurements(self.flow_measures, self.hydro_stations)
 
     @stored
     def grid_points(self) -> DataFrame:

@@ -140,26 +140,31 @@ def build_stg_hydrometry_obs_elab(raw: DataFrame, sites: DataFrame,
                                   target: DataFrame | None = None, days: int = 7,
                                   reprocess_from: str | None = None,
                                   keys: tuple[str, ...] = ("code_site", "date_obs_elab",
-                                                           "grandeur_hydro_elab")) -> DataFrame:
-    """Highest value per site, day and quantity; ``keys`` may name the station instead."""
+                                                           "grandeur_hydro_elab"),
+                                  measures_only: bool = False) -> DataFrame:
+    """Highest value per site, day and quantity; ``keys`` may name the station instead.
+
+    ``measures_only`` keeps day, value, site, quantity and station. They lead the tie-break,
+    so the winning rows have the same ones; the other columns are neither parsed nor moved.
+    """
     incremental = target is not None or reprocess_from is not None
     if incremental:
         bound = lookback_bound(target, "date_obs_elab", days, reprocess_from)
         raw = since_bound(raw, bound)
-    rows = raw.select(
-        clean_date("date_obs_elab").alias("date_obs_elab"), *_number("resultat_obs_elab"),
-        *_text("code_site", "grandeur_hydro_elab", "code_station"),
-        clean_timestamp("date_prod").alias("date_prod"),
-        *_text("code_statut", "libelle_statut", "code_methode", "libelle_methode",
-               "code_qualification", "libelle_qualification"),
-        *_number("longitude", "latitude"))
+    measures = [clean_date("date_obs_elab").alias("date_obs_elab"), *_number("resultat_obs_elab"),
+                *_text("code_site", "grandeur_hydro_elab", "code_station")]
+    rest = [clean_timestamp("date_prod").alias("date_prod"),
+            *_text("code_statut", "libelle_statut", "code_methode", "libelle_methode",
+                   "code_qualification", "libelle_qualification"),
+            *_number("longitude", "latitude")]
+    rows = raw.select(*measures, *([] if measures_only else rest))
     rows = require_not_null(rows, ["code_site", "date_obs_elab", "grandeur_hydro_elab",
                                    "resultat_obs_elab"])
     if incremental:
         rows = rows.where(F.col("date_obs_elab") >= F.lit(bound))
     best = first_per_key(rows, list(keys), [("resultat_obs_elab", "desc")])
     known = keep_known(require_parent(best, sites, "sites"), sites, "code_site")
-    return enrich(known, sites, "code_site", ["geometry"])
+    return known if measures_only else enrich(known, sites, "code_site", ["geometry"])
 
 
 def hydrometry_obs_rules() -> list[tuple[str, Column]]:
