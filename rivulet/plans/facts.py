@@ -187,6 +187,9 @@ def _monthly_weather() -> dict[str, Column]:
 
 
 def aggregate_monthly_chroniques(daily: DataFrame) -> DataFrame:
+    """One shuffle, by station, serves the months and the windows over them: days of a month
+    are too few and too spread out for partial sums to shrink, and a station has one row a day."""
+    daily = daily.repartition("code_bss")
     spec = {c: F.min(c) for c in ("code_departement", "nom_departement", "code_eh", "libelle_eh")}
     spec |= spread("niveau_nappe_eau", "niveau", "amplitude_mensuelle", "niveau_stddev")
     spec |= {"profondeur_moyenne": F.avg("profondeur_nappe"),
@@ -216,6 +219,8 @@ def build_fct_monthly_chroniques(daily: DataFrame) -> DataFrame:
 
 
 def aggregate_monthly_hydro(daily: DataFrame) -> DataFrame:
+    """One shuffle, by station and quantity, as in ``aggregate_monthly_chroniques``."""
+    daily = daily.repartition("code_station", "grandeur_hydro_elab")
     spec = {c: F.min(c) for c in ("code_departement", "nom_departement", "code_region",
                                   "libelle_region", "libelle_station", "libelle_site",
                                   "type_site", "code_cours_eau", "libelle_cours_eau")}

@@ -450,3 +450,53 @@ def test_months_recompute_keeps_row_context_over_gaps(spark):
 def test_distance_column_is_null_safe(spark):
     df = spark.createDataFrame([(None, 1.0)], "a double, b double")
     assert df.select(haversine_m("a", "b", "b", "b")).first()[0] is None
+
+
+# ---- shuffles and tasks of the station facts -----------------------------------------
+
+def _exchanges(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def _flow_days(spark):
+    labels = ("code_departement nom_departement code_region libelle_region libelle_station libelle_site"
+              " type_site code_cours_eau libelle_cours_eau").split()
+    weather = "temperature_2m total_precipitation potential_evaporation era5_latitude era5_longitude".split()
+    rows = [(s, "S" + s[1:], q, f"2001-{m:02d}-{d:02d}", float(m * d), *[f"{s}{c}{d}" for c in labels],
+             *[float(d)] * 5)
+            for s in ("H1", "H2") for q in ("H", "QmnJ") for m in (1, 2, 3) for d in (3, 1, 2)]
+    names = ["code_station", "code_site", "grandeur_hydro_elab", "date", "resultat_obs_elab", *labels, *weather]
+    return spark.createDataFrame(rows, names).withColumn("date", F.col("date").cast("date"))
+
+
+def test_station_months_move_once(spark):
+    from rivulet.plans import facts
+
+    monthly = facts.build_fct_monthly_hydro(_flow_days(spark))
+    assert _exchanges(monthly) == 1
+    rows = {(r["code_station"], r["grandeur_hydro_elab"], str(r["mois"])): r for r in monthly.collect()}
+    assert len(rows) == 12
+    march = rows["H1", "H", "2001-03-01"]
+    assert (march["resultat_moyen"], march["nb_jours_mesures"], march["libelle_site"]) == (6.0, 3, "H1libelle_site1")
+    assert (march["resultat_moy_mobile_3m"], march["variation_resultat_vs_mois_prec"]) == (4.0, 2.0)
+
+
+def test_measures_of_the_winning_readings(spark):
+    """The narrow table holds what the wide one does, where values tie too."""
+    from rivulet.plans import staging
+
+    rest = ["date_prod", "code_statut", "libelle_statut", "code_methode", "libelle_methode",
+            "code_qualification", "libelle_qualification", "longitude", "latitude"]
+    rows = [(site, station, "2001-01-02", quantity, value, f"2001-01-0{1 + i % 5} 06:00:00", *["1"] * 8)
+            for i, (site, station, quantity, value) in enumerate([
+                ("S1", "H3", "H", "7"), ("S1", "H2", "H", "7"), ("S1", None, "H", "7"), ("S1", "H1", "H", "5"),
+                ("S2", "H9", "H", "1"), ("S2", "H9", "H", "1"), ("S2", "H9", "QmnJ", "NULL"), ("S?", "H1", "H", "3")])]
+    raw = spark.createDataFrame(rows, ["code_site", "code_station", "date_obs_elab", "grandeur_hydro_elab",
+                                       "resultat_obs_elab", *rest])
+    sites = spark.createDataFrame([("S1", 1), ("S2", 2)], ["code_site", "geometry"])
+    wide = staging.build_stg_hydrometry_obs_elab(raw, sites)
+    narrow = staging.build_stg_hydrometry_obs_elab(raw, sites, measures_only=True)
+    assert set(narrow.columns) == {"date_obs_elab", "resultat_obs_elab", "code_site", "grandeur_hydro_elab",
+                                   "code_station"}
+    assert sorted(narrow.collect()) == sorted(wide.select(*narrow.columns).collect())
+    assert sorted(r["code_station"] for r in narrow.collect()) == ["H2", "H9"]
