@@ -18,10 +18,13 @@ from rivulet.plans import climate, facts, staging
 from rivulet.sources.tables import scratch_root, settle
 
 
+READING_TASK = "8MB"  # compressed; readings are narrow and repeat, so sorted they take far more
+
+
 def stored(build):
     """A cached property whose table is written once and read back."""
     def get(self) -> DataFrame:
-        return settle(build(self), build.__name__)
+        return settle(build(self), build.__name__, task_bytes=READING_TASK)
 
     return cached_property(get)
 

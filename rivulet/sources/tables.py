@@ -48,14 +48,15 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
-def settle(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
+def settle(df: DataFrame, name: str = "table", path: str | None = None,
+           task_bytes: str = STORED_TASK_BYTES) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage the way a stored table does: later steps do not recompute
     it, a lost executor cannot lose it, and its true size is known to the
     planner, which then broadcasts it only if it is small. Once it is stored, the
     shuffle files that led to it are of no more use and are dropped. Tasks that share
-    small shuffle partitions get at most ``STORED_TASK_BYTES`` of them, so the memory of
+    small shuffle partitions get at most ``task_bytes`` of them, so the memory of
     a task stays the same however large the table (a session's own figure is kept).
     """
     spark = df.sparkSession
@@ -64,7 +65,7 @@ def settle(df: DataFrame, name: str = "table", path: str | None = None) -> DataF
     before = {DROP_SHUFFLES: spark.conf.get(DROP_SHUFFLES, "false"), TASK_BYTES: task}
     spark.conf.set(DROP_SHUFFLES, "true")
     if task in ("64MB", "67108864b"):  # Spark's default
-        spark.conf.set(TASK_BYTES, STORED_TASK_BYTES)
+        spark.conf.set(TASK_BYTES, task_bytes)
     try:
         df.write.parquet(target)
     finally:

@@ -389,3 +389,29 @@ def test_tasks_of_a_stored_table_are_bounded(spark, monkeypatch):
     finally:
         spark.conf.unset(tables.TASK_BYTES)
     assert seen == ["16MB", "8m"]
+
+
+def test_settle_takes_a_smaller_share_a_task(spark, tmp_path, monkeypatch):
+    """Stored readings are written by tasks of 8 MB; other tables keep the 16 MB."""
+    from checks import chain
+
+    seen = []
+    write = tables.settle
+
+    def record(df, name, **more):
+        seen.append(more.get("task_bytes"))
+        return write(df, name, path=str(tmp_path / name), **more)
+
+    monkeypatch.setattr(chain, "settle", record)
+
+    class Levels(chain.Chain):
+        @property
+        def levels(self):
+            return self.spark.createDataFrame(
+                [("ST1", "2001-01-02", 3.0, 1.0)], "code_bss string, date_mesure string,"
+                " niveau_nappe_eau double, profondeur_nappe double").withColumn(
+                "date_mesure", F.col("date_mesure").cast("date"))
+
+    before = spark.conf.get(tables.TASK_BYTES)
+    assert Levels(spark, "").daily_levels.count() == 1
+    assert seen == ["8MB"] and spark.conf.get(tables.TASK_BYTES) == before
