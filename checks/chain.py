@@ -7,6 +7,7 @@ warehouse layers are; the rest stays lazy.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
@@ -26,7 +27,29 @@ def stored(build):
     def get(self) -> DataFrame:
         return settle(build(self), build.__name__, task_bytes=READING_TASK)
 
-    return cached_property(get)
+    table = cached_property(get)
+    table.plan = build
+    return table
+
+
+class OnDemand(Mapping):
+    """Tables by kind, each built when it is first asked for."""
+
+    def __init__(self, kinds: Mapping[str, object], build: Callable[[str], DataFrame]):
+        self.kinds, self.build, self.built = list(kinds), build, {}
+
+    def __getitem__(self, kind: str) -> DataFrame:
+        if kind not in self.kinds:
+            raise KeyError(kind)
+        if kind not in self.built:
+            self.built[kind] = self.build(kind)
+        return self.built[kind]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.kinds)
+
+    def __len__(self) -> int:
+        return len(self.kinds)
 
 
 class Chain(Inputs):
@@ -36,6 +59,14 @@ class Chain(Inputs):
         """A fresh folder in the shared directory the session names."""
         return f"{scratch_root(self.spark)}/{name}-{uuid.uuid4().hex}"
 
+    def pruned(self, name: str) -> DataFrame:
+        """A stored table if it is there, else its plan.
+
+        For a table that one step reads: it is not written in its full width, and columns
+        that the step does not use are left out by Spark.
+        """
+        return self.__dict__[name] if name in self.__dict__ else getattr(Chain, name).plan(self)
+
     # ---- silver
     @stored
     def stations(self) -> DataFrame:
@@ -146,11 +177,11 @@ class Chain(Inputs):
 
     @stored
     def monthly_levels(self) -> DataFrame:
-        return facts.build_fct_monthly_chroniques(self.fact_levels)
+        return facts.build_fct_monthly_chroniques(self.pruned("fact_levels"))
 
     @stored
     def monthly_flows(self) -> DataFrame:
-        return facts.build_fct_monthly_hydro(self.fact_flows)
+        return facts.build_fct_monthly_hydro(self.pruned("fact_flows"))
 
     @stored
     def yearly_levels(self) -> DataFrame:
@@ -193,11 +224,13 @@ class Chain(Inputs):
             | {"nb_jours_mesures": F.count(F.lit(1)), "profondeur": F.avg("profondeur_nappe")})
 
     @cached_property
-    def series(self) -> dict[str, DataFrame]:
-        return climate.station_series(self.monthly_levels, self.monthly_flows)
+    def series(self) -> Mapping[str, DataFrame]:
+        """Written in the width of a series; one kind does not build the other."""
+        plans = climate.station_series(self.pruned("monthly_levels"), self.pruned("monthly_flows"))
+        return OnDemand(plans, lambda kind: settle(plans[kind], f"series_{kind}", task_bytes=READING_TASK))
 
     @cached_property
-    def grids(self) -> dict[str, DataFrame]:
+    def grids(self) -> Mapping[str, DataFrame]:
         lo, hi, years, per_month = REFERENCE
-        return climate.reference_grids(self.series, period=(lo, hi), min_years=years,
-                                       min_per_month=per_month)
+        return OnDemand(self.series, lambda kind: climate.reference_grids(
+            {kind: self.series[kind]}, period=(lo, hi), min_years=years, min_per_month=per_month)[kind])

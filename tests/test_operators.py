@@ -500,3 +500,70 @@ def test_measures_of_the_winning_readings(spark):
                                    "code_station"}
     assert sorted(narrow.collect()) == sorted(wide.select(*narrow.columns).collect())
     assert sorted(r["code_station"] for r in narrow.collect()) == ["H2", "H9"]
+
+
+def _chain(spark):
+    """A chain over two days of one level station and one river station."""
+    from checks import chain
+
+    def nulls(names, kind="string"):
+        return [F.lit(None).cast(kind).alias(c) for c in names.split()]
+
+    t = chain.Chain(spark, "")
+    days = spark.createDataFrame([("ST1", "2001-01-02", 1.0), ("ST1", "2001-01-03", 3.0)], "c string, d string, v double")
+    cell = [F.lit("45.0").cast("decimal(6,1)").alias(c) for c in ("era5_latitude", "era5_longitude")]
+    t.__dict__ |= {
+        "daily_levels": days.select(F.col("c").alias("code_bss"), F.col("d").cast("date").alias("date_mesure"),
+                                    F.col("v").alias("niveau_nappe_eau"), F.col("v").alias("profondeur_nappe")),
+        "daily_flows": days.select(F.lit("S1").alias("code_site"), F.col("c").alias("code_station"),
+                                   F.col("d").cast("date").alias("date_obs_elab"), F.lit("H").alias("grandeur_hydro_elab"),
+                                   F.col("v").alias("resultat_obs_elab"), F.lit(1).alias("nb_obs")),
+        "mapping": spark.range(1).select(F.lit("ST1").alias("code_bss"), *cell, *nulls(
+            "codes_bdlisa code_commune_insee nom_commune altitude_station code_departement nom_departement code_eh"
+            " libelle_eh niveau_eh etat_eh nature_eh milieu_eh theme_eh origine_eh station_latitude station_longitude")),
+        "hydro_mapping": spark.range(1).select(F.lit("ST1").alias("code_station"), *cell, *nulls(
+            "code_departement nom_departement code_region libelle_region code_commune_site libelle_commune"
+            " libelle_station libelle_site type_site surface_bv code_zone_hydro_site code_cours_eau libelle_cours_eau"
+            " uri_cours_eau station_latitude station_longitude era5_distance_m")),
+        "weather": spark.createDataFrame(
+            [("45.0", "2001-01-02", 1.0)], "x string, d string, v double").select(
+            F.col("x").cast("decimal(6,1)").alias("latitude"), F.col("x").cast("decimal(6,1)").alias("longitude"),
+            F.col("d").cast("date").alias("era5_date"),
+            *[F.col("v").alias(c) for c in ("temperature_2m", "total_precipitation", "potential_evaporation")])}
+    return t
+
+
+def test_a_series_builds_only_its_own_kind(spark, monkeypatch):
+    from checks import chain
+
+    settled = []
+    monkeypatch.setattr(chain, "settle", lambda df, name, **_: settled.append((name, df.columns)) or df)
+    t = _chain(spark)
+    assert [r["val"] for r in t.series["piezo"].collect()] == [2.0]
+    assert t.grids["piezo"].count() == 12
+    assert settled == [("series_piezo", ["code", "mois", "val", "_tie"])]
+    assert set(t.grids) == {"piezo", "hydro"} and [r["val"] for r in t.series["hydro"].collect()] == [2.0]
+    with pytest.raises(KeyError):
+        t.series["other"]
+
+
+def test_years_do_not_write_days_and_months_first(spark, monkeypatch):
+    """One write, and the rolling months that no year reads are left out of the plan."""
+    from checks import chain, registry
+    from rivulet.sources import tables
+
+    registry.load()
+    settled = []
+    note = lambda df, name, **_: settled.append((name, df)) or df
+    monkeypatch.setattr(chain, "settle", note)
+    monkeypatch.setattr(tables, "settle", note)
+    for query, name, column in (("fct_yearly_stats", "yearly_levels", "niveau_moyen_annuel"),
+                                ("fct_yearly_hydro", "yearly_flows", "resultat_moyen_annuel")):
+        settled.clear()
+        rows = registry.BUILDERS[query](_chain(spark)).collect()
+        assert [(r["annee"], r[column], r["nb_jours_mesures_annuel"]) for r in rows] == [(2001, 2.0, 2)]
+        assert [n for n, _ in settled] == [name]
+        assert "mobile_12m" not in settled[0][1]._jdf.queryExecution().optimizedPlan().toString()
+    t = _chain(spark)
+    t.__dict__["fact_levels"] = stored = t.pruned("fact_levels")
+    assert t.pruned("fact_levels") is stored
