@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks.chain import READING_TASK
 from checks.registry import query
 from checks.views import AS_OF, ct, num, top1
 from rivulet.functions import clean
@@ -148,7 +149,7 @@ MONTHLY_LEVELS = (
     " profondeur_max" + _MONTH_WEATHER + " niveau_moy_mobile_3m niveau_moy_mobile_12m"
     " variation_niveau_vs_mois_prec variation_niveau_vs_annee_prec; l nb_jours_mesures")
 query("fct_monthly_chroniques", MONTHLY_LEVELS, "SELECT * FROM monthly_levels")(
-    lambda t: facts.build_fct_monthly_chroniques(t.fact_levels))
+    lambda t: facts.build_fct_monthly_chroniques(t.pruned("fact_levels")))
 query("fct_monthly_hydro", "s code_station code_site grandeur_hydro_elab code_departement"
       " nom_departement code_region libelle_region libelle_station libelle_site type_site"
       " code_cours_eau libelle_cours_eau; d mois; f resultat_moyen resultat_min resultat_max"
@@ -166,13 +167,16 @@ YEARLY_LEVELS = (
     " variation_niveau_vs_annee_prec variation_niveau_pct percentile_niveau_historique"
     " percentile_precipitation_historique niveau_moy_mobile_5ans" + _YEAR)
 query("fct_yearly_stats", YEARLY_LEVELS, "SELECT * FROM yearly_levels")(
-    lambda t: facts.build_fct_yearly_stats(t.monthly_levels))
+    lambda t: tables.settle(facts.build_fct_yearly_stats(t.pruned("monthly_levels")), "yearly_levels",
+                            task_bytes=READING_TASK))
 query("fct_yearly_hydro", "s code_station code_site grandeur_hydro_elab code_departement"
       " nom_departement code_region libelle_region libelle_station libelle_site"
       " classification_resultat_annuel; i annee; f resultat_moyen_annuel resultat_min_annuel"
       " resultat_max_annuel amplitude_annuelle resultat_stddev_annuel"
       " variation_resultat_vs_annee_prec percentile_resultat_historique" + _YEAR,
-      "SELECT * FROM yearly_flows")(lambda t: facts.build_fct_yearly_hydro(t.monthly_flows))
+      "SELECT * FROM yearly_flows")(
+    lambda t: tables.settle(facts.build_fct_yearly_hydro(t.pruned("monthly_flows")), "yearly_flows",
+                            task_bytes=READING_TASK))
 
 # ---- dimensions ------------------------------------------------------------------
 
