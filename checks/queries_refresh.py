@@ -208,8 +208,8 @@ def recent_months_recompute(t):
     stale = t.monthly_levels.withColumn("niveau_moyen", F.when(
         F.col("mois") >= _day("2001-01-01"), F.lit(0.0)).otherwise(F.col("niveau_moyen")))
     return refresh.recompute_months(facts.aggregate_monthly_chroniques,
-                                    facts.roll_monthly_chroniques, t.fact_levels, "date",
-                                    stale, "mois")
+                                    facts.roll_monthly_chroniques, t.pruned("fact_levels"),
+                                    "date", stale, "mois")
 
 
 @query("active_stations_recompute", YEARLY_LEVELS, "SELECT * FROM yearly_levels")
@@ -422,7 +422,7 @@ def _by_year(t, df, day: str, name: str) -> str:
 
 @query("recent_fact_partition", _FACT, "SELECT * FROM fact_levels")
 def recent_fact_partition(t):
-    stale = t.fact_levels.withColumn("niveau_nappe_eau", F.when(
+    stale = t.pruned("fact_levels").withColumn("niveau_nappe_eau", F.when(
         F.col("date") >= F.date_sub(_day(AS_OF), 90), F.lit(-1.0)).otherwise(F.col("niveau_nappe_eau")))
     path = _by_year(t, stale, "date", "fact")
     return tables.recompute_recent_table(
@@ -436,7 +436,7 @@ def recent_months_partition(t):
         F.col("mois") >= _day("2001-01-01"), F.lit(0.0)).otherwise(F.col("niveau_moyen")))
     return tables.recompute_months_table(
         _by_year(t, stale, "mois", "monthly"), facts.aggregate_monthly_chroniques,
-        facts.roll_monthly_chroniques, t.fact_levels, "date", "mois")
+        facts.roll_monthly_chroniques, t.pruned("fact_levels"), "date", "mois")
 
 
 @query("active_stations_partition", YEARLY_LEVELS, "SELECT * FROM yearly_levels")
