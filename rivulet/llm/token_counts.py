@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import accumulate, islice
+from itertools import accumulate, chain, islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -25,27 +26,39 @@ SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 KNOWN = 400_000
 
 
-class _Counts(dict):
-    """Token count by word, remembered up to a bound."""
+class _Counts:
+    """Token counts of texts. The counts of words are remembered up to a bound: when half of
+    it is full, only words asked for again outlive the next half."""
 
     def __init__(self, bpe: word_bpe.WordBpe):
-        super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, word: str) -> int:
-        """Words too long to be remembered."""
-        return len(self.bpe.merge(word))
+        self.bpe, self.young, self.old = bpe, {}, {}
+
+    def of_words(self, words: list[str]) -> list[int]:
+        """Tokens of each of some different words."""
+        found = list(map(self.young.get, words))
+        lacking = [k for k, n in enumerate(found) if n is None]
+        if lacking and self.old:
+            for k in lacking:
+                found[k] = self.old.get(words[k])
+            fresh = [k for k in lacking if found[k] is None]
+        else:
+            fresh = lacking
+        for k, ids in zip(fresh, self.bpe.merge_many([words[k] for k in fresh])):
+            found[k] = len(ids)
+        if len(self.young) + len(lacking) > KNOWN // 2:
+            self.old, self.young = self.young, {}
+        # words too long to be remembered are merged anew
+        self.young.update((words[k], found[k]) for k in lacking if len(words[k]) <= 64)
+        return found
 
     def of_all(self, texts: list[str]) -> list[int]:
+        """Tokens of each text; equal words of all the texts are looked up once."""
         split = [self.bpe.words(t) for t in texts]
-        words = {w for some in split for w in some if len(w) <= 64}
-        fresh = words - self.keys()
-        if len(self) + len(fresh) > KNOWN:
-            self.clear()
-            fresh = words
-        fresh = list(fresh)
-        self.update(zip(fresh, map(len, self.bpe.merge_many(fresh))))
-        return [sum(map(self.__getitem__, some)) for some in split]
+        words = pa.array(list(chain.from_iterable(split)), pa.large_string()).dictionary_encode()
+        sizes = np.array(self.of_words(words.dictionary.to_pylist()), np.int64)
+        before = np.concatenate([[0], np.cumsum(sizes[words.indices.to_numpy()])])
+        ends = np.cumsum([0, *map(len, split)])
+        return np.diff(before[ends]).tolist()
 
 
 _COUNTS: dict[int, _Counts] = {}
@@ -155,7 +168,7 @@ def token_counts(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", tex
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _counts(shared.value)
         for batch in batches:
-            for part in slices(batch, "text", 1 << 21):
+            for part in slices(batch, "text", 1 << 23):
                 n = counts.of_all(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())],

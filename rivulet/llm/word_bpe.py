@@ -62,11 +62,11 @@ class WordBpe:
         self.chars = byte_characters()
         # the merges as sorted pairs of ids, for many words at once
         pair = np.array([self.vocab[a] << 20 | self.vocab[b] for a, b in self.ranks], np.int64)
-        self.pair_order = np.argsort(pair)
+        self.pair_order = np.argsort(pair).astype(np.int32)
         self.pairs = pair[self.pair_order]
-        self.merged = np.array([self.vocab[a + b] for a, b in self.ranks], np.int64)
-        self.inner = np.array([self.vocab.get(c, -1) for c in self.chars], np.int64)
-        self.closing = np.array([self.vocab.get(c + WORD_END, -1) for c in self.chars], np.int64)
+        self.merged = np.array([self.vocab[a + b] for a, b in self.ranks], np.int32)
+        self.inner = np.array([self.vocab.get(c, -1) for c in self.chars], np.int32)
+        self.closing = np.array([self.vocab.get(c + WORD_END, -1) for c in self.chars], np.int32)
 
     def words(self, text: str) -> list[str]:
         """The words of a text in order; a special token's string is one word."""
@@ -94,9 +94,9 @@ class WordBpe:
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids; the number of merges if there is none."""
-        key = left << 20 | right
+        key = left.astype(np.int64) << 20 | right
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == key, self.pair_order[at], len(self.merged))
+        return np.where(self.pairs[at] == key, self.pair_order[at], np.int32(len(self.merged)))
 
     def merge_many(self, words: list[str]) -> list[tuple[int, ...]]:
         """``merge`` of each word. Words of one length go through their merges together."""
@@ -133,12 +133,11 @@ class WordBpe:
             ids, ranks, number, at, low = (x[~done] for x in (ids, ranks, number, at, low))
             if not len(ids):
                 return
-            rows, cols = np.arange(len(ids)), np.arange(width - 1)[None, :]
+            rows, cols = np.arange(len(ids)), np.arange(width)[None, :]
             ids[rows, at] = self.merged[low]
-            ids = np.take_along_axis(ids, cols + (cols > at[:, None]), axis=1)
+            ids = ids[cols != at[:, None] + 1].reshape(-1, width - 1)
             if width > 2:
-                cols = cols[:, :-1]
-                ranks = np.take_along_axis(ranks, cols + (cols >= at[:, None]), axis=1)
+                ranks = ranks[cols[:, :-1] != at[:, None]].reshape(-1, width - 2)
                 for side in (at - 1, at):  # the pairs on both sides of the new id
                     has = (side >= 0) & (side < width - 2)
                     r, c = rows[has], side[has]

@@ -114,3 +114,19 @@ def test_token_counts_of_nothing(spark, vocabulary):
 def test_other_vocabularies_are_refused():
     with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f, pytest.raises(ValueError):
         WordBpe(f.read())
+
+
+def test_words_that_come_again_are_not_merged_again(vocabulary, library, monkeypatch):
+    """New words push out those of long ago, not the frequent ones."""
+    monkeypatch.setattr(token_counts, "KNOWN", 16)
+    bpe_, merged = WordBpe(vocabulary), []
+    whole = bpe_.merge_many
+    monkeypatch.setattr(bpe_, "merge_many", lambda words: merged.extend(words) or whole(words))
+    counts = token_counts._Counts(bpe_)
+    texts = [f"the water of {a}x{a} {a}y{a} {a}z{a}" for a in "abcdefghijklmnopqrst"] + ["", " ", "w" * 80]
+    for text in texts:
+        assert counts.of_all([text]) == [len(library.encode(text, add_special_tokens=False).ids)]
+        assert len(counts.young) + len(counts.old) <= 2 * token_counts.KNOWN
+    assert [merged.count(w) for w in ("the", "water", "of")] == [1, 1, 1]
+    assert counts.of_all(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert counts.of_all([]) == []
