@@ -25,7 +25,7 @@ READING_TASK = "8MB"  # compressed; readings are narrow and repeat, so sorted th
 def stored(build):
     """A cached property whose table is written once and read back."""
     def get(self) -> DataFrame:
-        return settle(build(self), build.__name__, task_bytes=READING_TASK)
+        return settle(build(self), build.__name__, task_bytes=READING_TASK, by_input=True)
 
     table = cached_property(get)
     table.plan = build
@@ -227,7 +227,8 @@ class Chain(Inputs):
     def series(self) -> Mapping[str, DataFrame]:
         """Written in the width of a series; one kind does not build the other."""
         plans = climate.station_series(self.pruned("monthly_levels"), self.pruned("monthly_flows"))
-        return OnDemand(plans, lambda kind: settle(plans[kind], f"series_{kind}", task_bytes=READING_TASK))
+        return OnDemand(plans, lambda kind: settle(plans[kind], f"series_{kind}", task_bytes=READING_TASK,
+                                                  by_input=True))
 
     @cached_property
     def grids(self) -> Mapping[str, DataFrame]:

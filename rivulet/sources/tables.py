@@ -25,6 +25,10 @@ SCRATCH = "rivulet.scratch.dir"
 FOLDER: ContextVar[str | None] = ContextVar("folder of settled tables", default=None)
 DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+READ_BYTES = "spark.sql.files.maxPartitionBytes"
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+READ_TASK = 32 << 20
+SHUFFLED_SHARE = 4 << 20  # bytes of input files a shuffle partition; small ones are joined again
 STORED_TASK_BYTES = "16MB"  # compressed; sorted rows of narrow tables take some thirty times that
 
 
@@ -48,29 +52,49 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def _input_bytes(df: DataFrame) -> int:
+    """Size of the files a table is computed from."""
+    spark, total = df.sparkSession, 0
+    for uri in df.inputFiles():
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+        total += place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).getLen()
+    return total
+
+
 def settle(df: DataFrame, name: str = "table", path: str | None = None,
-           task_bytes: str = STORED_TASK_BYTES) -> DataFrame:
+           task_bytes: str = STORED_TASK_BYTES, by_input: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage the way a stored table does: later steps do not recompute
     it, a lost executor cannot lose it, and its true size is known to the
     planner, which then broadcasts it only if it is small. Once it is stored, the
     shuffle files that led to it are of no more use and are dropped. Tasks that share
-    small shuffle partitions get at most ``task_bytes`` of them, so the memory of
-    a task stays the same however large the table (a session's own figure is kept).
+    small shuffle partitions get at most ``task_bytes`` of them (a session's own figure
+    is kept). ``by_input`` has a task read at most 32 MB of files and lets the number of
+    shuffle partitions grow with the files, as a fixed number of them grows in size: so
+    the memory of a task stays the same however large the table.
     """
     spark = df.sparkSession
     target = path or f"{FOLDER.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    task = spark.conf.get(TASK_BYTES)
-    before = {DROP_SHUFFLES: spark.conf.get(DROP_SHUFFLES, "false"), TASK_BYTES: task}
-    spark.conf.set(DROP_SHUFFLES, "true")
-    if task in ("64MB", "67108864b"):  # Spark's default
-        spark.conf.set(TASK_BYTES, task_bytes)
+    fresh = {DROP_SHUFFLES: "true"}
+    if spark.conf.get(TASK_BYTES) in ("64MB", "67108864b"):  # Spark's default
+        fresh[TASK_BYTES] = task_bytes
+    if by_input:
+        if spark.conf.get(READ_BYTES) in ("128MB", "134217728b"):  # Spark's default
+            fresh[READ_BYTES] = str(READ_TASK)
+        first = spark.conf.get(FIRST_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+        fresh[FIRST_PARTITIONS] = str(max(int(first or 1), -(-_input_bytes(df) // SHUFFLED_SHARE)))
+    before = {key: spark.conf.get(key, None) for key in fresh}
+    for key, value in fresh.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(target)
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(target)
 
 

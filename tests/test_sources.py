@@ -415,3 +415,28 @@ def test_settle_takes_a_smaller_share_a_task(spark, tmp_path, monkeypatch):
     before = spark.conf.get(tables.TASK_BYTES)
     assert Levels(spark, "").daily_levels.count() == 1
     assert seen == ["8MB"] and spark.conf.get(tables.TASK_BYTES) == before
+
+
+def test_stored_by_input_uses_more_shuffle_partitions(spark, tmp_path, monkeypatch):
+    """A table that outgrows the session's shuffle partitions is written by more tasks, not larger ones."""
+    monkeypatch.setattr(tables, "SHUFFLED_SHARE", 128 << 10)
+    place = str(tmp_path / "in put")
+    spark.range(600_000).select(F.xxhash64("id").alias("k"), "id").write.parquet(place)
+    rows = spark.read.parquet(place).groupBy("k").agg(F.max("id").alias("id"))
+    keys = (tables.TASK_BYTES, tables.READ_BYTES, tables.FIRST_PARTITIONS)
+    before = [spark.conf.get(key, None) for key in keys]
+    found = tables.settle(rows, path=str(tmp_path / "out"), task_bytes="256KB", by_input=True)
+    assert [spark.conf.get(key, None) for key in keys] == before
+    assert len(found.inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found.agg(F.count("*"), F.sum("id")).first() == (600_000, 600_000 * 599_999 // 2)
+
+
+def test_readings_are_stored_by_input(monkeypatch):
+    from checks import chain
+
+    asked = []
+    monkeypatch.setattr(chain, "settle", lambda df, name, **how: asked.append((name, how)) or df)
+    monkeypatch.setattr(chain.Chain, "levels", None)
+    monkeypatch.setattr(chain.facts, "build_int_daily_measurements", lambda levels: levels)
+    chain.Chain(None, "").daily_levels
+    assert asked == [("daily_levels", {"task_bytes": "8MB", "by_input": True})]
