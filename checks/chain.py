@@ -59,13 +59,37 @@ class Chain(Inputs):
         """A fresh folder in the shared directory the session names."""
         return f"{scratch_root(self.spark)}/{name}-{uuid.uuid4().hex}"
 
-    def pruned(self, name: str) -> DataFrame:
+    def pruned(self, name: str, *through: str) -> DataFrame:
         """A stored table if it is there, else its plan.
 
         For a table that one step reads: it is not written in its full width, and columns
-        that the step does not use are left out by Spark.
+        that the step does not use are left out by Spark. Stored tables in ``through`` are
+        planned with it, each on the ones named before it.
         """
-        return self.__dict__[name] if name in self.__dict__ else getattr(Chain, name).plan(self)
+        if name in self.__dict__:
+            return self.__dict__[name]
+        planned = []
+        try:
+            for table in through:
+                if table not in self.__dict__:
+                    self.__dict__[table] = getattr(Chain, table).plan(self)
+                    planned.append(table)
+            return getattr(Chain, name).plan(self)
+        finally:
+            for table in planned:
+                del self.__dict__[table]
+
+    def __call__(self, name: str) -> DataFrame:
+        return self.cell_calendar if name == "cell_calendar" else super().__call__(name)
+
+    @stored
+    def cell_calendar(self) -> DataFrame:
+        """The days of every cell: rain, its reloaded days and temperatures are all dealt from them.
+
+        Few spans become many days in one task, so the days are spread for those who read them.
+        """
+        days = super().__call__("cell_calendar")
+        return days.repartition(self.spark.sparkContext.defaultParallelism, "latitude", "longitude", "day")
 
     # ---- silver
     @stored
@@ -225,8 +249,8 @@ class Chain(Inputs):
 
     @cached_property
     def series(self) -> Mapping[str, DataFrame]:
-        """Written in the width of a series; one kind does not build the other."""
-        plans = climate.station_series(self.pruned("monthly_levels"), self.pruned("monthly_flows"))
+        """Written in the width of a series; one kind does not build the other, nor a table of days."""
+        plans = climate.station_series(self.pruned("monthly_levels", "daily_levels"), self.pruned("monthly_flows"))
         return OnDemand(plans, lambda kind: settle(plans[kind], f"series_{kind}", task_bytes=READING_TASK,
                                                   by_input=True))
 

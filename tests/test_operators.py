@@ -547,6 +547,40 @@ def test_a_series_builds_only_its_own_kind(spark, monkeypatch):
         t.series["other"]
 
 
+def test_a_series_plans_its_days(spark, monkeypatch):
+    """Days that only the months of a series read are not written as a table first."""
+    from checks import chain
+
+    settled = []
+    monkeypatch.setattr(chain, "settle", lambda df, name, **_: settled.append(name) or df)
+    t = _chain(spark)
+    days = t.__dict__.pop("daily_levels")
+    monkeypatch.setattr(chain.Chain, "levels", None)
+    monkeypatch.setattr(chain.facts, "build_int_daily_measurements", lambda levels: days)
+    assert [r["val"] for r in t.series["piezo"].collect()] == [2.0]
+    assert settled == ["series_piezo"] and "daily_levels" not in t.__dict__
+    stored = t.daily_levels
+    assert settled == ["series_piezo", "daily_levels"] and t.pruned("daily_levels", "fact_levels") is stored
+
+
+def test_cell_days_are_dealt_from_one_calendar(spark, tmp_path, monkeypatch):
+    from checks import chain
+
+    settled = []
+    monkeypatch.setattr(chain, "settle", lambda df, name, **_: settled.append(name) or df)
+    spark.createDataFrame([(1, "2001-05-30", 2.0), (1, "2001-06-02", 3.0), (1, "2001-06-02", 4.0)],
+                          "l_suppkey int, day string, l_quantity double").selectExpr(
+        "l_suppkey", "CAST(day AS DATE) AS l_shipdate", "l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    t = chain.Chain(spark, str(tmp_path))
+    rain, temps = t("raw_rain"), t("raw_temps")
+    assert settled == ["cell_calendar"]
+    found = rain.groupBy(F.to_date("time").cast("string").alias("d")).agg(F.sort_array(F.collect_list(
+        F.col("total_precipitation"))).alias("r")).orderBy("d").collect()
+    assert [(x["d"], x["r"]) for x in found] == [("2001-05-30", [2.0]), ("2001-05-31", [0.0]),
+                                                 ("2001-06-01", [0.0, 1.0]), ("2001-06-02", [7.0, 8.0])]
+    assert temps.count() == 4
+
+
 def test_years_do_not_write_days_and_months_first(spark, monkeypatch):
     """One write, and the rolling months that no year reads are left out of the plan."""
     from checks import chain, registry
