@@ -3,6 +3,8 @@
 Vectors are dealt into tiles by a hash of their id; queries form tiles of their
 own. Each pair of a query tile and a shard tile is one matrix product, from which
 the best k per query are selected at once (a partial selection, no full sort).
+The stored tiles meet in a Cartesian product whose tasks read them from the shared
+folder: no copy of a tile is shuffled or broadcast, so none reaches the driver.
 The short lists then merge in a tree: first within groups of shards, then over
 the groups, so no task sees more than the square root of all lists of a query.
 """
@@ -94,11 +96,12 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "v
     fan = max(1, math.isqrt(tiles))
     exact_int, factor = scale is not None, scale or 1.0
 
-    shard_tiles = tile_rows(shards, tiles)
-    query_tiles = (tile_rows(asked, blocks).select("dim", F.col("tile").alias("block"),
-                                                   F.col("rows").alias("asked"))
-                   .withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))))
-    pairs = query_tiles.join(shard_tiles, ["tile", "dim"]).select("tile", "asked", "rows")
+    shard_tiles = settle(tile_rows(shards, tiles), "tiles")
+    query_tiles = settle(tile_rows(asked, blocks), "asked").select(
+        F.col("dim").alias("asked_dim"), F.col("rows").alias("asked"))
+    # dims are not a key: that would bring all tiles to one task; a broadcast would pass through the driver
+    pairs = shard_tiles.join(query_tiles.hint("shuffle_replicate_nl"),
+                             F.abs(F.col("dim") - F.col("asked_dim")) < 1).select("tile", "asked", "rows")
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

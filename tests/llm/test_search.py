@@ -51,6 +51,17 @@ def test_exact_top_k(spark, vectors):
     assert got == want
 
 
+def test_exact_top_k_sends_no_tiles_through_the_driver(spark, vectors):
+    """Tiles of several lengths, small enough for a broadcast, are not broadcast."""
+    mixed = vectors + [(1000 + i, v[:3]) for i, v in vectors[:90]]
+    df = rows_of(spark, mixed)
+    found = topk.exact_top_k(df, df.where("vec_id % 30 = 10"), k=4, scale=16.0, rows_per_tile=50, queries_per_tile=4)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    whole = [(i, [int(np.floor(np.float64(np.float32(x)) * 16)) for x in v]) for i, v in mixed]
+    assert collected(found) == brute(whole, [v for v in whole if v[0] % 30 == 10], 4,
+                                     lambda x, y: sum(a * b for a, b in zip(x, y)))
+
+
 def test_exact_top_k_small_cases(spark):
     few = rows_of(spark, [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 0.0])])
     got = collected(topk.exact_top_k(few, few.where("vec_id = 0"), k=5))
