@@ -11,6 +11,8 @@ among equal prefixes matters to a search for matches of fixed length, so suffixe
 are ordered by fingerprints of their text and not by the text. Each new array is
 scanned against every level of the shard's family; a suffix whose context is in a
 smaller document is covered and leaves the index. Levels of like size then merge.
+The more text, the more and smaller arrays a shard gets: they are joined to arrays of
+bounded size first, so that the scans of a shard do not grow in number with the text.
 
 Edges. Where a shared passage ends inside a run, contexts differ though windows are
 equal. Such runs (same GRAM, another context) go through the same family once more,
@@ -232,6 +234,33 @@ class LevelFamily:
         return Suffixes.joined(self.levels).ordered()
 
 
+def bounded_arrays(arrays: Iterator[Suffixes], ids: np.ndarray, covered: list[Suffixes],
+                   least: int | None = None) -> Iterator[Suffixes]:
+    """Arrays in a row joined to sorted ones of ``least`` suffixes or more; only the last may be shorter.
+
+    What an array covers in another one of its row goes to ``covered``.
+    """
+    least = JOINED if least is None else least
+
+    def joined(row: list[Suffixes]) -> Suffixes:
+        if len(row) == 1:
+            return row[0]
+        run = Suffixes.joined(row).ordered()
+        lost = ids[run.doc[run.heads()]] < ids[run.doc]
+        covered.append(run.take(lost))
+        return run.take(~lost)
+
+    row: list[Suffixes] = []
+    for part in arrays:
+        if len(part):
+            row.append(part)
+        if sum(map(len, row)) >= least:
+            yield joined(row)
+            row = []
+    if row:
+        yield joined(row)
+
+
 def _edges(index: Suffixes, ids: np.ndarray) -> Suffixes:
     """Suffixes whose gram stands in another context of another document too."""
     gram, doc = index.key >> U(24), ids[index.doc]
@@ -240,11 +269,11 @@ def _edges(index: Suffixes, ids: np.ndarray) -> Suffixes:
     return index.take(np.repeat(mixed, np.diff(np.append(first, len(index)))))
 
 
-def _pack_ranges(found: Suffixes) -> list[tuple[int, bytes]]:
-    """(document number, ranges); a range is a first window and a number of windows less one."""
+def _range_arrays(found: Suffixes) -> tuple[np.ndarray, pa.Array]:
+    """Document numbers and their ranges; a range is a first window and a number of windows less one."""
     if not len(found):
-        return []
-    order = np.lexsort((found.low, found.doc))
+        return np.empty(0, np.int64), pa.array([], pa.binary())
+    order = np.argsort(found.doc.astype(np.uint64) << U(32) | found.low)
     doc, low, high = found.doc[order], found.low[order], found.low[order] + found.span[order]
     # windows in a row become one range
     fresh = np.ones(len(doc), bool)
@@ -253,7 +282,15 @@ def _pack_ranges(found: Suffixes) -> list[tuple[int, bytes]]:
     doc, low = doc[first], low[first]
     ranges = np.stack([low, np.maximum.reduceat(high, first) - low], axis=1).astype("<u4")
     cuts = np.flatnonzero(np.diff(doc, prepend=~doc[:1]) != 0)
-    return [(int(doc[a]), ranges[a:b].tobytes()) for a, b in zip(cuts, [*cuts[1:], len(doc)])]
+    ends = np.append(cuts, len(doc)).astype(np.int32) * np.int32(ranges.itemsize * 2)
+    return doc[cuts].astype(np.int64), pa.Array.from_buffers(
+        pa.binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(ranges)])
+
+
+def _pack_ranges(found: Suffixes) -> list[tuple[int, bytes]]:
+    """(document number, ranges)."""
+    doc, ranges = _range_arrays(found)
+    return list(zip(doc.tolist(), ranges.to_pylist()))
 
 
 def _ranges(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -263,7 +300,9 @@ def _ranges(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 EMITTED = "shard int, first_doc bigint, suffixes binary"
 FOUND = "doc bigint, hash bigint, edge boolean, ranges binary"
-MOST = 300_000  # suffixes in a batch
+MOST = 300_000  # suffixes in a batch; up to four times as many where they go to many shards
+MANY = 64  # shards
+JOINED = 1 << 16  # least suffixes of an array that a family takes, but for its last
 
 
 class _Batch:
@@ -271,6 +310,7 @@ class _Batch:
 
     def __init__(self, shards: int):
         self.shards, self.n = shards, 0
+        self.most = MOST * min(4, max(1, shards // MANY))
         self.parts: list[Suffixes] = []
         self.ids: list[int] = []
         self.hashes: list[int] = []
@@ -336,7 +376,7 @@ def _index_texts(match: int, shards: int):
                     for k, text in enumerate(texts):
                         for c in range(0, max(1, len(text)), SEGMENT):
                             gathered.add(segment([text[c:c + SEGMENT + match - 1]], number + k, c))
-                if gathered.n >= MOST:
+                if gathered.n >= gathered.most:
                     yield from gathered.emit()
         yield from gathered.emit()
 
@@ -376,7 +416,7 @@ def _index_edges(match: int, shards: int):
                         for c in range(0, len(text) - match + 1, SEGMENT):
                             gathered.add(windows([text[c:c + SEGMENT + match - 1]],
                                                  [(low - c, span)], number + k, c))
-                if gathered.n >= MOST:
+                if gathered.n >= gathered.most:
                     yield from gathered.emit()
         yield from gathered.emit()
 
@@ -390,20 +430,25 @@ def _family_of_shard(with_edges: bool):
         opened = [unpack(b)[2:] for b in blobs]
         table = Table(np.concatenate([o[0] for o in opened]), np.concatenate([o[1] for o in opened]))
         numbers = np.split(table.number, np.cumsum([len(o[0]) for o in opened])[:-1])
-        family = LevelFamily(table.ids)
-        for blob, number in zip(blobs, numbers):
-            run, lost = unpack(blob)[:2]
-            run.doc, lost.doc = number[run.doc], number[lost.doc]
-            family.covered.append(lost)
-            if len(run):
-                family.add(run)
-        rows = [(d, False, r) for d, r in _pack_ranges(Suffixes.joined(family.covered))]
+        family, covered = LevelFamily(table.ids), []
+
+        def arrays() -> Iterator[Suffixes]:
+            for blob, number in zip(blobs, numbers):
+                run, lost = unpack(blob)[:2]
+                run.doc, lost.doc = number[run.doc], number[lost.doc]
+                covered.append(lost)
+                yield run
+
+        for run in bounded_arrays(arrays(), table.ids, covered):
+            family.add(run)
+        found = [_range_arrays(Suffixes.joined(covered + family.covered))]
         if with_edges and family.levels:
-            rows += [(d, True, r) for d, r in _pack_ranges(_edges(family.merged(), table.ids))]
-        doc = np.array([r[0] for r in rows], np.int64)
+            found.append(_range_arrays(_edges(family.merged(), table.ids)))
+        doc, ranges = np.concatenate([x[0] for x in found]), [x[1] for x in found]
+        edge = np.repeat([False, True][:len(found)], [len(x[0]) for x in found])
         return pa.Table.from_arrays(
-            [pa.array(table.ids[doc]), pa.array(table.hashes[doc]),
-             pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.binary())],
+            [pa.array(table.ids[doc]), pa.array(table.hashes[doc]), pa.array(edge, pa.bool_()),
+             pa.chunked_array(ranges, pa.binary())],
             ["doc", "hash", "edge", "ranges"])
 
     return run

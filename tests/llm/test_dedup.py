@@ -261,6 +261,48 @@ def test_remove_repeats_carries_columns(spark):
         (1, b"a" * 60, "d"), (2, b"b", "d")}
 
 
+def test_small_arrays_of_a_shard_are_joined_before_the_family(monkeypatch):
+    """A shard's scans follow its suffixes and not the number of batches they come in."""
+    rng, blobs = np.random.default_rng(3), []
+    by_key = {}
+    for b in range(300):
+        table = suffix_dedup.Table(np.sort(rng.choice(5000, 30, replace=False)), np.zeros(30, np.int64))
+        part = suffix_dedup.Suffixes(
+            rng.integers(0, 1500, 40).astype(np.uint64) << np.uint64(24), np.zeros(40, np.uint32),
+            rng.integers(0, 30, 40).astype(np.uint32), rng.integers(0, 999, 40).astype(np.uint32) * 2,
+            np.zeros(40, np.uint8)).ordered()
+        for k, d, low in zip(part.key, table.ids[part.doc], part.low):
+            by_key.setdefault(int(k), []).append((int(d), int(low)))
+        own = table.ids[part.doc[part.heads()]] >= table.ids[part.doc]
+        blobs.append((int(table.ids[0]), suffix_dedup.pack(part.take(own), part.take(~own), table)))
+    group = pa.table({"shard": pa.array([0] * 300, pa.int32()), "first_doc": pa.array([f for f, _ in blobs], pa.int64()),
+                      "suffixes": pa.array([b for _, b in blobs], pa.binary())})
+    sizes, add = [], suffix_dedup.LevelFamily.add
+    monkeypatch.setattr(suffix_dedup, "JOINED", 2000, raising=False)
+    monkeypatch.setattr(suffix_dedup.LevelFamily, "add", lambda self, run: sizes.append(len(run)) or add(self, run))
+    out = suffix_dedup._family_of_shard(False)(group)
+    assert len(sizes) <= 300 * 40 // 2000 + 1
+    want = {(d, low) for rows in by_key.values() for d, low in rows if d > min(rows)[0]}
+    got = set()
+    for doc, blob in zip(out.column("doc").to_pylist(), out.column("ranges").to_pylist()):
+        for low, more in zip(*suffix_dedup._ranges([blob])):
+            got |= {(doc, w) for w in range(low, low + more + 1)}
+    assert got == want
+
+
+def test_candidates_are_those_within_the_radius():
+    rng = np.random.default_rng(8)
+    for words, flip in ((1, 0.5), (5, 0.5), (8, 0.5), (8, 0.1), (8, 0.12)):
+        centre = rng.integers(0, 2, (1, 64 * words))
+        x, y = (np.packbits(centre ^ (rng.random((n, 64 * words)) < flip), axis=1).view(np.uint64) for n in (70, 90))
+        y[:5], y[5:9] = x[:5], ~x[:4]
+        x_size, y_size = rng.integers(1, 40, 70), rng.integers(1, 40, 90)
+        apart = np.bitwise_count(x[:, None] ^ y[None]).sum(axis=2, dtype=int)
+        few = (x_size <= simhash.FEW)[:, None] & (y_size <= simhash.FEW)
+        radius = 14 * words
+        assert (simhash._candidates(x, x_size, y, y_size, radius) == (apart <= radius + few * simhash.FEW_MORE)).all()
+
+
 def test_level_family_merges_geometrically():
     family = suffix_dedup.LevelFamily(np.arange(1000))
     rng = np.random.default_rng(1)
